@@ -6,16 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docframe.llm import bpe
 from docframe.llm.common import documents
 from docframe.llm.exact_dedup import exact_dedup
+from docframe.llm.quality import quality
+from docframe.llm.simhash import simhash_components
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir)).drop("removed")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, sf_dir), bpe.vocabulary_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op2_simhash": op2_simhash,
+        "op3_quality": op3_quality,
+        "op10_bpe": op10_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
