@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docframe.llm import bpe
+from docframe.llm import bpe, wordpiece
 from docframe.llm.common import documents
 from docframe.llm.exact_dedup import exact_dedup
+from docframe.llm.packing import pack
 from docframe.llm.quality import quality
 from docframe.llm.simhash import simhash_components
+from docframe.llm.suffix_dedup import suffix_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir)).drop("removed")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(documents(spark, sf_dir), bpe.vocabulary_path(wordpiece.VOCABULARY))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), bpe.vocabulary_path())
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), bpe.vocabulary_path())
 
@@ -34,6 +48,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
         "op3_quality": op3_quality,
+        "op4_token_counts": op4_token_counts,
+        "op7_suffix_dedup": op7_suffix_dedup,
+        "op9_packing": op9_packing,
         "op10_bpe": op10_bpe,
     }
 
