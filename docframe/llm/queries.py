@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docframe.llm import bpe, wordpiece
+from docframe.llm import bpe, html_text, sharding, toxicity, wordpiece
 from docframe.llm.common import documents
 from docframe.llm.exact_dedup import exact_dedup
 from docframe.llm.packing import pack
@@ -31,10 +32,25 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(documents(spark, sf_dir), bpe.vocabulary_path(wordpiece.VOCABULARY))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old shards are those of the sources, by hash: a third of all rows lies in one of them."""
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(sharding.SHARDS))
+    return sharding.reshard(documents(spark, sf_dir), old)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), bpe.vocabulary_path())
 
@@ -49,7 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op3_quality": op3_quality,
         "op4_token_counts": op4_token_counts,
+        "op5_html_text": op5_html_text,
+        "op6_toxicity": op6_toxicity,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
         "op10_bpe": op10_bpe,
     }
