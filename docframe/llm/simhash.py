@@ -204,10 +204,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(per_fp, F.col("fp") == F.col("f2"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, components: DataFrame) -> DataFrame:
-    """The documents whose id names their component: one of each group, all columns as they were."""
-    kept = components.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__c_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__c_id"], "left_semi")
+def keep_one(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents whose id names their component: one of each group, all columns as they were. Rows without an id stay
+    only where a component has no ids at all."""
+    kept = components.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__c_id")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["__c_id"]), "left_semi")
 
 
 def hamming(a: int, b: int) -> int:

@@ -314,27 +314,29 @@ def spans_of(starts: list[tuple[int, int]], window: int = WINDOW) -> list[tuple[
     return [(a, b) for a, b in out]
 
 
-def _remove(with_text: bool):  # noqa: ANN202
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for row, text, starts in zip(column(batch, "row").to_pylist(), column(batch, "text").to_pylist(), column(batch, "starts").to_pylist(), strict=True):
-                data = text.encode()
-                spans = spans_of([(x["s"], x["n"]) for x in starts or []])
-                kept, at = [], 0
-                for a, b in spans:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                left = b"".join(kept)
-                flat = [{"from": a, "to": b} for a, b in spans] if with_text else None
-                values = (row, len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest(), b"".join(kept).decode("utf-8", "ignore") if with_text else None, flat)
-                for col, v in zip(out, values, strict=True):
-                    col.append(v)
-            types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)][: 7 if with_text else 5], names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"][: 7 if with_text else 5])
-
-    return run
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Figures of the texts that lose bytes, and with a column rest their remaining texts and spans beside it."""
+    for batch in batches:
+        full = batch.schema.get_field_index("rest") >= 0
+        out: list[list] = [[] for _ in range(7)]
+        for row, text, starts in zip(column(batch, "row").to_pylist(), column(batch, "text").to_pylist(), column(batch, "starts").to_pylist(), strict=True):
+            data = text.encode()
+            spans = spans_of([(x["s"], x["n"]) for x in starts or []])
+            kept, at = [], 0
+            for a, b in spans:
+                kept.append(data[at:a])
+                at = b
+            left = b"".join([*kept, data[at:]])
+            values = (row, len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if full else None, [{"from": a, "to": b} for a, b in spans] if full else None)
+            for col, v in zip(out, values, strict=True):
+                col.append(v)
+        types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))]
+        arrays = [pa.array(x, t) for x, t in zip(out, types, strict=True)]
+        names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"]
+        if full:
+            yield pa.RecordBatch.from_arrays([*arrays, column(batch, "rest")], names=[*names, "rest"])
+        else:
+            yield pa.RecordBatch.from_arrays(arrays[:5], names=names[:5])
 
 
 def repeated_starts(base: DataFrame) -> DataFrame:
@@ -347,29 +349,44 @@ def repeated_starts(base: DataFrame) -> DataFrame:
     return met.filter(F.col("kind") == _KIND_DONE).select("row", "s", "n").union(resolved)
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with with_text also kept_text and spans.
+_FIGURES = "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
-    Null counts as empty; texts shorter than a window lose nothing. Every place of a repeated string loses it, and strings may
-    repeat within one text. Where a removed run ends inside a character, kept_text leaves out that character's rest. Repeated
-    rows are places of their own, so copies lose all that a window covers; rows without an id go by their text. Rows that
-    share an id must share the text. An empty table gives no rows; other columns are ignored.
-    """
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = F.coalesce(F.col(id_col).cast("long"), -1 - F.pmod(F.xxhash64(text), F.lit(1 << 62)))
-    named = docs.select(own.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    starts = repeated_starts(named.select("row", "text")).groupBy("row").agg(F.collect_list(F.struct("s", "n")).alias("starts"))
-    schema = "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    if with_text:
-        whole = named.select(F.col("row"), "text").join(starts, "row", "left").select("row", "text", "starts")
-        out = arrow_map(whole, _remove(True), schema + ", kept_text string, spans array<struct<`from`: long, `to`: long>>")
-        return out.select(F.when(F.col("row") >= 0, F.col("row")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans")
+    rest = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(own.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.struct(*[c for c, n in zip(rest, docs.columns, strict=True) if n != text_col]).alias("rest"))
+
+
+def _starts(named: DataFrame) -> DataFrame:
+    return repeated_starts(named.select("row", "text")).groupBy("row").agg(F.collect_list(F.struct("s", "n")).alias("starts"))
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    Null counts as empty; texts shorter than a window lose nothing. Every place of a repeated string loses it, and strings may
+    repeat within one text. Repeated rows are places of their own, so copies lose all that a window covers; rows without an
+    id go by their text. Rows that share an id must share the text. An empty table gives no rows; other columns are ignored.
+    """
+    named = _named(docs, id_col, text_col).select("row", "doc_id", "text")
     # Only the texts that lose bytes move; the figures of the others come from the scan.
-    starts = materialize(starts, "starts")
-    cut = arrow_map(named.join(starts, "row").select("row", "text", "starts"), _remove(False), schema)
+    starts = materialize(_starts(named), "starts")
+    cut = arrow_map(named.join(starts, "row").select("row", "text", "starts"), _remove, _FIGURES)
     plain = named.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha"))
     joined = plain.join(cut.drop("n_bytes").withColumnRenamed("row", "cut_row"), F.col("row") == F.col("cut_row"), "left")
     zero = F.lit(0).cast("long")
-    return joined.select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole_sha").alias("kept_sha256")
-    )
+    return joined.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole_sha").alias("kept_sha256"))
+
+
+def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", figures: bool = False) -> DataFrame:
+    """docs with the repeated bytes cut from the texts, all other columns as they were; with figures also n_bytes, n_removed,
+    n_spans and spans. Where a removed run ends inside a character, the text leaves out that character's rest. Null texts
+    become empty."""
+    named = _named(docs, id_col, text_col)
+    rest = named.schema["rest"].dataType.simpleString()
+    whole = named.select("row", "text", "rest").join(_starts(named), "row", "left")
+    out = arrow_map(whole, _remove, _FIGURES + f", kept_text string, spans array<struct<`from`: long, `to`: long>>, rest {rest}")
+    columns = [F.col("kept_text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns]
+    return out.select(*columns, *(["n_bytes", "n_removed", "n_spans", "spans"] if figures else []))
