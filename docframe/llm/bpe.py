@@ -7,7 +7,8 @@ lacks the arcs that some gadget took away. Arcs are kept as the gadgets left the
 of their gadget; a copy inherits what its original lacked when it was made, and an arc w exists where its parts' arcs
 existed when w's gadget ran. A label string is accepted if and only if it is the encoding of its text, and every text has
 one accepted path. Encoding walks that path over a pre-split word by table lookups: a scanner tells which
-labels end at a position, and the one whose arc exists after the shorter prefix's path is taken, in time linear in the word. Decoding emits the arcs' labels.
+labels end at a position, and the one whose arc exists after the shorter prefix's path is taken, in time linear in the word.
+Many words take each step together. Decoding emits the arcs' labels.
 
 Texts are pre-split at white space, and each different piece is encoded once per worker while a bounded table holds it.
 """
@@ -16,9 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 from pathlib import Path
 
@@ -32,13 +33,14 @@ from docframe.llm.common import arrow_map, column
 
 VOCABULARY = "word_bpe_49k.json"
 WORD_END = "</w>"
-CACHE_ENTRIES = 400_000
+#: Entries of a worker's table of pieces, which is emptied beyond them, and characters that are encoded in one go.
+CACHE_ENTRIES, _CHUNK = 800_000, 4 << 20
 #: What the vocabulary's normaliser takes as white space: the Unicode property White_Space.
-_SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 #: Characters outside these long-settled ranges have classes and cases that differ between Unicode versions: texts with one
 #: are normalised, and pieces with one are split into words, by the library itself.
-_RARE = regex.compile(r"[^\u0000-\u02ff\u0391-\u03a1\u03a3-\u03c9\u0400-\u045f\u2000-\u2027\u202a-\u205e\u20ac\u2190-\u22ff\u3001\u3002\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
+_RARE = re.compile(r"[^\u0000-\u02ff\u0391-\u03a1\u03a3-\u03c9\u0400-\u045f\u2000-\u2027\u202a-\u205e\u20ac\u2190-\u22ff\u3001\u3002\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -58,7 +60,7 @@ class Automaton:
     """The tokenization automaton of a BPE with word ends."""
 
     #: Stands for the word end, so that it is one symbol: a letter that no byte maps to.
-    END = "￿"
+    END = "\uffff"
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
         self.ids: dict[str, int] = {}
@@ -126,96 +128,126 @@ class Automaton:
         return ok
 
     def _compile_scan(self) -> None:
-        """Which labels end where: a scanner over the label strings with fail links, their outputs longest first."""
-        goto: dict[int, int] = {}
-        outs: list[tuple[tuple[int, int], ...]] = [()]
-        own: list[tuple[int, int] | None] = [None]
-        depth_order: list[tuple[int, int, str]] = []
-        for token, label in sorted(self.ids.items(), key=lambda x: len(x[0])):
+        """Tables of a scanner over the label strings: for each node and symbol the next node, and for each node the longest label
+        that ends there and the node of the next shorter one."""
+        symbols = {c: i for i, c in enumerate([*byte_letters().values(), self.END])}
+        self.symbols = np.full(max(map(ord, symbols)) + 1, -1, np.int32)
+        for c, i in symbols.items():
+            self.symbols[ord(c)] = i
+        goto: dict[tuple[int, int], int] = {}
+        levels: list[list[tuple[int, int, int]]] = []
+        label, length = [-1], [0]
+        for token, number in sorted(self.ids.items(), key=lambda x: len(x[0])):
             node = 0
-            for c in token:
-                key = node << 21 | ord(c)
+            for depth, c in enumerate(token):
+                key = (node, symbols[c])
                 to = goto.get(key)
                 if to is None:
-                    to = goto[key] = len(own)
-                    own.append(None)
-                    outs.append(())
-                    depth_order.append((to, node, c))
+                    to = goto[key] = len(label)
+                    label.append(-1)
+                    length.append(0)
+                    if depth == len(levels):
+                        levels.append([])
+                    levels[depth].append((to, *key))
                 node = to
-            own[node] = (label, len(token))
-        fail = [0] * len(own)
-        depth = [0] * len(own)
-        for node, parent, _ in depth_order:
-            depth[node] = depth[parent] + 1
-        for node, parent, c in sorted(depth_order, key=lambda x: depth[x[0]]):
-            at = fail[parent]
-            if parent:
-                while at and at << 21 | ord(c) not in goto:
-                    at = fail[at]
-                fail[node] = goto.get(at << 21 | ord(c), 0)
-            outs[node] = (() if own[node] is None else (own[node],)) + outs[fail[node]]
-        self._goto, self._fail, self._outs = goto, fail, outs
-        self._delta: dict[int, int] = {}
-
-    def _step(self, node: int, c: int) -> int:
-        key = node << 21 | c
-        at = node
-        while at and at << 21 | c not in self._goto:
-            at = self._fail[at]
-        to = self._goto.get(at << 21 | c, 0)
-        if len(self._delta) > 500_000:
-            self._delta.clear()
-        self._delta[key] = to
-        return to
+            label[node], length[node] = number, len(token)
+        self.label, self.length = np.array(label, np.int32), np.array(length, np.int32)
+        n = len(label)
+        self.next = np.zeros((n, len(symbols)), np.int32)
+        fail, self.shorter = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        for depth, level in enumerate(levels):
+            to, parent, symbol = np.array(level, np.int32).T
+            if depth:
+                fail[to] = self.next[fail[parent], symbol]
+            else:
+                self.next[parent, symbol] = to
+            # A node steps like the node of its longest proper suffix, but for its own arcs, set with its children.
+            self.next[to] = self.next[fail[to]]
+            self.shorter[to] = np.where(self.label[fail[to]] >= 0, fail[to], self.shorter[fail[to]])
+            if depth + 1 < len(levels):
+                child, own, by = np.array(levels[depth + 1], np.int32).T
+                self.next[own, by] = child
+        self._slots = np.full(1 << 20, -1, np.int64)
+        self._slot_ok = np.zeros(1 << 20, bool)
+
+    def arcs(self, last: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """arc() of many pairs, by way of a table of pairs met before."""
+        key = last.astype(np.int64) << self.shift | label
+        slot = (key * 0x1E3779B97F4A7C15 >> 40) & ((1 << 20) - 1)
+        hit = self._slots[slot] == key
+        out = self._slot_ok[slot]
+        if not hit.all():
+            new, back = np.unique(key[~hit], return_inverse=True)
+            ok = np.fromiter((self.arc(k >> self.shift, k & ((1 << self.shift) - 1)) for k in new.tolist()), bool, len(new))
+            out[~hit] = ok[back]
+            self._slots[slot[~hit]], self._slot_ok[slot[~hit]] = key[~hit], out[~hit]
+        return out
 
     def walk(self, word: str) -> list[int]:
-        """The labels of the accepted path over a pre-split word, in byte letters, without its end.
+        """The labels of the accepted path over a pre-split word, in byte letters, without its end."""
+        return np.frombuffer(self.walks([word])[0], "<u4").tolist()
+
+    def walks(self, words: list[str]) -> list[bytes]:
+        """The paths of many words, as numbers of 4 bytes; all words take each step together, those of like length in one go.
 
         Each prefix has one accepted path; its last arc follows from those of shorter prefixes, longest candidate first.
         """
-        n = len(word) + 1
-        delta, outs, memo, shift = self._delta, self._outs, self._arc, self.shift
-        last = [-1] * (n + 1)
-        size = [0] * (n + 1)
-        node, i = 0, 0
-        for c in map(ord, word + self.END):
-            to = delta.get(node << 21 | c)
-            node = self._step(node, c) if to is None else to
-            i += 1
-            for label, length in outs[node]:
-                j = i - length
-                if not j:
-                    break
-                before = last[j]
-                if before >= 0:
-                    ok = memo.get(before << shift | label)
-                    if self.arc(before, label) if ok is None else ok:
-                        break
-            else:
-                continue
-            last[i], size[i] = label, length
-        if last[n] < 0:
-            raise ValueError(f"the vocabulary lacks a symbol of {word!r}")
-        path = []
-        while n:
-            path.append(last[n])
-            n -= size[n]
-        path.reverse()
-        return path
-
-
-class _Pieces(dict):
-    """White-space piece -> its ids as little-endian bytes; emptied when full."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        found = self[piece] = self.codec.encode_piece(piece)
-        return found
+        out: list[bytes] = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        at = 0
+        while at < len(order):
+            # As many words as keep the table of their prefixes to some millions of cells.
+            to = at + 1
+            most = len(words[order[at]])
+            while to < len(order) and len(words[order[to]]) <= max(8, 2 * most) and (to - at) * len(words[order[to]]) < 2_000_000:
+                to += 1
+            some = [words[i] for i in order[at:to]]
+            for i, path in zip(order[at:to], self._together(some), strict=True):
+                out[i] = path
+            at = to
+        return out
+
+    def _together(self, words: list[str]) -> Iterator[bytes]:
+        n = np.fromiter(map(len, words), np.int64, len(words)) + 1  # sorted
+        text = np.frombuffer("".join(w + self.END for w in words).encode("utf-32-le"), "<u4")
+        symbol = self.symbols[text]
+        start = np.cumsum(n) - n
+        size = int(n[-1])
+        last = np.full((size + 1, len(words)), -1, np.int32)
+        back = np.zeros((size + 1, len(words)), np.int32)
+        node = np.zeros(len(words), np.int32)
+        for i in range(1, size + 1):
+            first = int(np.searchsorted(n, i))  # words before it have ended
+            node[first:] = self.next[node[first:], symbol[start[first:] + i - 1]]
+            cand = np.where(self.label[node[first:]] >= 0, node[first:], self.shorter[node[first:]])
+            open_ = np.flatnonzero(cand) + first
+            cand = cand[cand > 0]
+            while len(open_):
+                label, length = self.label[cand], self.length[cand]
+                before = last[i - length, open_]
+                ok = length == i
+                ask = np.flatnonzero(~ok & (before >= 0))
+                if len(ask):
+                    ok[ask] = self.arcs(before[ask], label[ask])
+                done = open_[ok]
+                last[i, done], back[i, done] = label[ok], length[ok]
+                cand, open_ = self.shorter[cand[~ok]], open_[~ok]
+                open_, cand = open_[cand > 0], cand[cand > 0]
+        every = np.arange(len(words))
+        if (last[n, every] < 0).any():
+            raise ValueError("the vocabulary lacks a symbol of a word")
+        at, who, steps = n.copy(), every, []
+        while len(who):
+            steps.append((who, last[at[who], who]))
+            at[who] -= back[at[who], who]
+            who = who[at[who] > 0]
+        count = np.bincount(np.concatenate([w for w, _ in steps]), minlength=len(words))
+        end = np.cumsum(count)
+        flat = np.zeros(int(end[-1]), "<u4")
+        for k, (w, labels) in enumerate(steps):
+            flat[end[w] - 1 - k] = labels
+        raw, bounds = flat.tobytes(), (4 * end).tolist()
+        yield from (raw[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True))
 
 
 class Codec:
@@ -233,7 +265,7 @@ class Codec:
         self._special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self._split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self._letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
-        self._pieces = _Pieces(self)
+        self._pieces: dict[str, bytes] = {}
 
     @cached_property
     def library(self):  # noqa: ANN201
@@ -241,38 +273,84 @@ class Codec:
 
         return Tokenizer.from_file(self.path)
 
-    def encode_piece(self, piece: str) -> bytes:
-        ids: list[int] = []
-        if _RARE.search(piece):
-            for word, _ in self.library.pre_tokenizer.pre_tokenize_str(piece):
-                ids += self.automaton.walk(word)
-            return array("I", ids).tobytes()
-        for word in (piece,) if piece.isalpha() else self._split.findall(piece):
-            if not word.isascii() or not word.isalnum():
-                word = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)
-            ids += self.automaton.walk(word)
-        return array("I", ids).tobytes()
-
-    def _plain(self, text: str) -> bytes:
+    def _learn(self, pieces: set[str]) -> None:
+        """Add pieces to the table, by way of their words."""
+        known = self._pieces
+        parts: dict[str, list[str]] = {}
+        words: dict[str, str] = {}
+        for piece in pieces:
+            if not piece.isascii() and _RARE.search(piece):
+                found = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
+                known[piece] = b"".join(self.automaton.walks(found))
+                continue
+            found = [piece] if piece.isalpha() else self._split.findall(piece)
+            if found != [piece]:
+                parts[piece] = found
+            for word in found:
+                if word not in known:
+                    plain = word.isascii() and word.isalnum()
+                    words[word if plain else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)] = word
+        for word, path in zip(words.values(), self.automaton.walks([*words]), strict=True):
+            known[word] = path
+        for piece, found in parts.items():
+            known[piece] = b"".join(map(known.__getitem__, found))
+
+    def _split_up(self, text: str) -> list[str]:
+        """A text without special tokens, normalised and split at white space."""
         if text.isascii():
             text = text.lower()
         elif _RARE.search(text):
             text = self.library.normalizer.normalize_str(text)
         else:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        pieces = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
-        return b"".join(map(self._pieces.__getitem__, pieces))
+        return _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        split = list(map(self._split_up, texts))
+        if len(self._pieces) > CACHE_ENTRIES:
+            self._pieces.clear()
+        new = set().union(*split).difference(self._pieces)
+        if new:
+            self._learn(new)
+        look = self._pieces.__getitem__
+        return [b"".join(map(look, pieces)) for pieces in split]
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of whole texts as little-endian unsigned 32-bit numbers (on the usual hosts); nothing for null.
+
+        Texts are taken some millions of characters at a time; longer ones are cut at white space, where no word goes on.
+        """
+        waiting: list[str] = []
+        size = 0
+        for text in texts:
+            text = text or ""
+            special = "<|" in text and self._special is not None and self._special.search(text)
+            if special or len(text) > _CHUNK or size + len(text) > _CHUNK:
+                yield from self._plain(waiting)
+                waiting, size = [], 0
+            if special:
+                out, at = [], 0
+                for m in self._special.finditer(text):
+                    out += [*self._long(text[at : m.start()]), np.array([self.special[m[0]]], "<u4").tobytes()]
+                    at = m.end()
+                yield b"".join([*out, *self._long(text[at:])])
+            elif len(text) > _CHUNK:
+                yield b"".join(self._long(text))
+            else:
+                waiting.append(text)
+                size += len(text)
+        yield from self._plain(waiting)
+
+    def _long(self, text: str) -> Iterator[bytes]:
+        at = 0
+        while at < len(text):
+            space = _SPACE.search(text, at + _CHUNK) if len(text) - at > _CHUNK else None
+            to = space.start() if space else len(text)
+            yield from self._plain([text[at:to]])
+            at = to
 
     def encode_bytes(self, text: str | None) -> bytes:
-        """The ids of a whole text as little-endian unsigned 32-bit numbers (on the usual hosts); nothing for null."""
-        text = text or ""
-        if self._special is None or not self._special.search(text):
-            return self._plain(text)
-        out, at = [], 0
-        for m in self._special.finditer(text):
-            out += [self._plain(text[at : m.start()]), np.array([self.special[m[0]]], "<u4").tobytes()]
-            at = m.end()
-        return b"".join([*out, self._plain(text[at:])])
+        return next(self.encode_many([text]))
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
@@ -302,8 +380,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         c = codec(path)
         for batch in batches:
             n, a, b, all_ids, texts = [], [], [], [], []
-            for t in column(batch, "text"):
-                raw = c.encode_bytes(t.as_py())
+            for raw in c.encode_many(column(batch, "text").to_pylist()):
                 ids = np.frombuffer(raw, "<u4").tolist()
                 text = c.decode(ids)
                 n.append(len(ids))

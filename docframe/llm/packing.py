@@ -49,10 +49,9 @@ def _pieces(path: str, capacity: int, slack: float, end_id: int, with_ids: bool)
         seen: dict[int, int] = {}
         for batch in batches:
             cols: list[list] = [[] for _ in range(8)]
-            source, texts = column(batch, "doc_id"), column(batch, "text")
-            take = []
-            for i in range(batch.num_rows):
-                raw = c.encode_bytes(texts[i].as_py()) + end
+            source, take = column(batch, "doc_id"), []
+            for i, raw in enumerate(c.encode_many(column(batch, "text").to_pylist())):
+                raw += end
                 total, at = len(raw) // 4, 0
                 for piece, n in enumerate(cut(total, capacity, slack)):
                     k = capacity // n
