@@ -33,6 +33,7 @@ from docframe.llm.common import arrow_map, column
 
 VOCABULARY = "word_bpe_49k.json"
 WORD_END = "</w>"
+_SIGNS = frozenset(".,;:!?")
 #: Entries of a worker's table of pieces, which is emptied beyond them, and characters that are encoded in one go.
 CACHE_ENTRIES, _CHUNK = 800_000, 4 << 20
 #: What the vocabulary's normaliser takes as white space: the Unicode property White_Space.
@@ -192,24 +193,23 @@ class Automaton:
 
         Each prefix has one accepted path; its last arc follows from those of shorter prefixes, longest candidate first.
         """
-        out: list[bytes] = [b""] * len(words)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        at = 0
-        while at < len(order):
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        sizes, out, at = sizes[order], [], 0
+        some = [words[i] for i in order.tolist()]
+        while at < len(some):
             # As many words as keep the table of their prefixes to some millions of cells.
-            to = at + 1
-            most = len(words[order[at]])
-            while to < len(order) and len(words[order[to]]) <= max(8, 2 * most) and (to - at) * len(words[order[to]]) < 2_000_000:
-                to += 1
-            some = [words[i] for i in order[at:to]]
-            for i, path in zip(order[at:to], self._together(some), strict=True):
-                out[i] = path
+            most = max(8, 2 * int(sizes[at]))
+            to = min(int(np.searchsorted(sizes, most, "right")), at + max(1, 4_000_000 // most))
+            out += self._together(some[at:to], sizes[at:to] + 1)
             at = to
-        return out
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        return [out[i] for i in place.tolist()]
 
-    def _together(self, words: list[str]) -> Iterator[bytes]:
-        n = np.fromiter(map(len, words), np.int64, len(words)) + 1  # sorted
-        text = np.frombuffer("".join(w + self.END for w in words).encode("utf-32-le"), "<u4")
+    def _together(self, words: list[str], n: np.ndarray) -> list[bytes]:
+        """n: their lengths with the word end, in rising order."""
+        text = np.frombuffer((self.END.join(words) + self.END).encode("utf-32-le"), "<u4")
         symbol = self.symbols[text]
         start = np.cumsum(n) - n
         size = int(n[-1])
@@ -247,7 +247,7 @@ class Automaton:
         for k, (w, labels) in enumerate(steps):
             flat[end[w] - 1 - k] = labels
         raw, bounds = flat.tobytes(), (4 * end).tolist()
-        yield from (raw[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True))
+        return [raw[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
 
 
 class Codec:
@@ -264,7 +264,7 @@ class Codec:
             self.labels[i] = token
         self._special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self._split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self._letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self._letters = {b: c for b, c in byte_letters().items() if chr(b) != c and b != 10}  # no word holds a line feed
         self._pieces: dict[str, bytes] = {}
 
     @cached_property
@@ -276,24 +276,25 @@ class Codec:
     def _learn(self, pieces: set[str]) -> None:
         """Add pieces to the table, by way of their words."""
         known = self._pieces
+        odd = [p for p in pieces if not p.isascii()]
+        rare = [p for p in odd if _RARE.search(p)] if _RARE.search("\n".join(odd)) else []
+        for piece in rare:
+            known[piece] = b"".join(self.automaton.walks([w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]))
+        pieces = pieces.difference(rare)
+        words = {p for p in pieces if p.isalpha()}
         parts: dict[str, list[str]] = {}
-        words: dict[str, str] = {}
-        for piece in pieces:
-            if not piece.isascii() and _RARE.search(piece):
-                found = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
-                known[piece] = b"".join(self.automaton.walks(found))
-                continue
-            found = [piece] if piece.isalpha() else self._split.findall(piece)
-            if found != [piece]:
-                parts[piece] = found
-            for word in found:
-                if word not in known:
-                    plain = word.isascii() and word.isalnum()
-                    words[word if plain else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)] = word
-        for word, path in zip(words.values(), self.automaton.walks([*words]), strict=True):
-            known[word] = path
-        for piece, found in parts.items():
-            known[piece] = b"".join(map(known.__getitem__, found))
+        for piece in pieces - words:
+            # Most are a word and a sign; the pattern parts the others.
+            parts[piece] = [piece[:-1], piece[-1]] if piece[-1:] in _SIGNS and piece[:-1].isalpha() else self._split.findall(piece)
+        for found in parts.values():
+            words.update(found)
+        new = [w for w in words if w not in known]
+        if new:
+            letters = "\n".join(new).encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters).split("\n")
+            known.update(zip(new, self.automaton.walks(letters), strict=True))
+        look = known.__getitem__
+        # Words stay in the table; a piece that is one word is that word.
+        known.update([(piece, b"".join(map(look, found))) for piece, found in parts.items() if found != [piece]])
 
     def _split_up(self, text: str) -> list[str]:
         """A text without special tokens, normalised and split at white space."""
