@@ -69,10 +69,10 @@ def pairs(boxes: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 def checkbox_tags(boxes: DataFrame, paired: DataFrame, doc: str = "doc_id") -> DataFrame:
     """One row a tag: pairs by their question, then boxes outside paired paragraphs by their label; the last counts."""
-    p = paired.select(doc, sanitize_tag_name(F.col("question")).alias("tag"), F.coalesce("value", F.lit(False)).alias("checked"), F.lit("boolean_pair").alias("type"), F.struct(F.lit(0), F.col("index"), F.lit(0)).alias("at"))
+    p = paired.select(doc, sanitize_tag_name(F.col("question")).alias("tag"), F.coalesce("value", F.lit(False)).alias("checked"), F.lit("boolean_pair").alias("type"), F.struct(F.lit(0).alias("late"), F.col("index").alias("index"), F.lit(0).alias("ord")).alias("at"))
     used = paired.select(doc, F.explode(F.array("oui_index", "non_index")).alias("index")).distinct()
     label = F.when(F.col("label") == "", F.concat(F.lit("CHECKBOX_"), F.col("index").cast("string"))).otherwise(F.col("label"))
-    s = boxes.join(used, [doc, "index"], "left_anti").select(doc, sanitize_tag_name(label).alias("tag"), "checked", F.lit("boolean_single").alias("type"), F.struct(F.lit(1), F.col("index"), F.col("ord")).alias("at"))
+    s = boxes.join(used, [doc, "index"], "left_anti").select(doc, sanitize_tag_name(label).alias("tag"), "checked", F.lit("boolean_single").alias("type"), F.struct(F.lit(1).alias("late"), F.col("index").alias("index"), F.col("ord").alias("ord")).alias("at"))
     last = F.max_by(F.struct("checked", "type"), "at")
     return p.unionByName(s).groupBy(doc, "tag").agg(last.alias("m")).select(doc, "tag", "m.checked", "m.type")
 

@@ -1,10 +1,6 @@
 """Query catalogue: QUERIES maps a name to (spark, sf_dir) -> DataFrame, ORACLES to the equivalent DuckDB SQL."""
 
-from __future__ import annotations
+from docframe.queries import fill, layout, matching, structure, text  # noqa: F401  they register their queries
+from docframe.queries.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
