@@ -118,7 +118,7 @@ def test_lines_keep_their_first_y(spark):
 
 
 def test_boxes_from_items(spark):
-    df = spark.createDataFrame([("d", 1, 1, "b", [1.0, 0, 0, 1, 7.0, 9.0], 1.0, 1.0), ("d", 1, 0, " ", [1.0] * 6, 1.0, 1.0)], "doc_id string, page int, nth int, text string, transform array<double>, width double, height double")
+    df = spark.createDataFrame([("d", 1, 1, "b", [1.0, 0.0, 0.0, 1.0, 7.0, 9.0], 1.0, 1.0), ("d", 1, 0, " ", [1.0] * 6, 1.0, 1.0)], "doc_id string, page int, nth int, text string, transform array<double>, width double, height double")
     r = SB.from_items(df).collect()
     assert [(x["index"], x["text"], x["x"], x["y"]) for x in r] == [(0, "b", 7.0, 9.0)]
 
