@@ -35,7 +35,7 @@ VOCABULARY = "word_bpe_49k.json"
 WORD_END = "</w>"
 _SIGNS = frozenset(".,;:!?")
 #: Entries of a worker's table of pieces, which is emptied beyond them, and characters that are encoded in one go.
-CACHE_ENTRIES, _CHUNK = 800_000, 4 << 20
+CACHE_ENTRIES, _CHUNK = 400_000, 3 << 20
 #: What the vocabulary's normaliser takes as white space: the Unicode property White_Space.
 _SPACE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -78,14 +78,12 @@ class Automaton:
         self.shift = size.bit_length()
         self._after: dict[int, tuple[tuple[int, int], ...]] = {}
         self._before: dict[int, tuple[tuple[int, int], ...]] = {}
-        self._arc: dict[int, bool] = {}
         end = lambda s: s[: -len(WORD_END)] + self.END if s.endswith(WORD_END) else s
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, end(a), end(b), vocab[a + b])
         self.labels = [""] * size
         for token, i in vocab.items():
             self.labels[i] = token
-        self._arc.clear()
         self._compile_scan()
 
     def _gadget(self, rank: int, a: str, b: str, w: int) -> None:
@@ -110,23 +108,13 @@ class Automaton:
 
     def arc(self, last: int, label: int) -> bool:
         """Whether the state after `last` has an arc `label`."""
-        key = last << self.shift | label
-        ok = self._arc.get(key)
-        if ok is None:
-            ok = True
-            heads = self._chain(label, self.left, self._before)
-            for r, until in self._chain(last, self.right, self._after):
-                for y, bound in heads:
-                    gone = self.removed.get(r << self.shift | y)
-                    if gone is not None and gone < until and gone <= bound:
-                        ok = False
-                        break
-                if not ok:
-                    break
-            if len(self._arc) > 500_000:
-                self._arc.clear()
-            self._arc[key] = ok
-        return ok
+        heads = self._chain(label, self.left, self._before)
+        for r, until in self._chain(last, self.right, self._after):
+            for y, bound in heads:
+                gone = self.removed.get(r << self.shift | y)
+                if gone is not None and gone < until and gone <= bound:
+                    return False
+        return True
 
     def _compile_scan(self) -> None:
         """Tables of a scanner over the label strings: for each node and symbol the next node, and for each node the longest label
@@ -350,6 +338,10 @@ class Codec:
             yield from self._plain([text[at:to]])
             at = to
 
+    def forget(self) -> None:
+        """Empty the table of pieces: at the end of a task, so that the worker's next tasks have the memory."""
+        self._pieces = {}
+
     def encode_bytes(self, text: str | None) -> bytes:
         return next(self.encode_many([text]))
 
@@ -396,6 +388,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        c.forget()
 
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return arrow_map(base, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids)

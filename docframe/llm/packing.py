@@ -65,6 +65,7 @@ def _pieces(path: str, capacity: int, slack: float, end_id: int, with_ids: bool)
             arrays = [source.take(pa.array(take, pa.int64()))] + [pa.array(x, t) for x, t in zip(cols, types, strict=True)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", "rank", "part", "ids"]
             yield pa.RecordBatch.from_arrays(arrays[: len(arrays) - (not with_ids)], names=names[: len(names) - (not with_ids)])
+        c.forget()
 
     return run
 

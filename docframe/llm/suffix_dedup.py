@@ -6,8 +6,8 @@ array, so they are dealt out by content first, sorted where they meet, and only
 1. Prefix polynomial hashes of a text give the hash of each GRAM of bytes; a window's anchor is its gram with the smallest
    hash, the leftmost of equals. Equal windows have equal anchors at equal places, and windows that follow each other mostly
    share theirs: an anchor row stands for a stretch of window starts, with a hash of all the bytes that they span.
-2. Rows meet by anchor. Of stretches with the same bytes (copies) one representative goes on, with its multiplicity, for
-   they are equal without a comparison. An anchor with one stretch needs no sort.
+2. Rows meet by anchor, those of a batch combined before. Of stretches with the same bytes (copies) one representative goes
+   on, for they are equal without a comparison. An anchor with one stretch needs no sort.
 3. The representatives' bytes are fetched, and the suffixes at their window starts are sorted by mergesort, in many runs at
    once: two suffixes compare by binary search for their longest common extension over prefix polynomial hashes, so in
    logarithmic time. Suffixes with a common extension of a whole window fall together in the merge; each such claim is
@@ -104,6 +104,12 @@ def anchors(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.nda
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+#: What a row is after step 2: a repeated stretch, a lone one among others of its anchor, the representative of copies.
+_KIND_DONE, _KIND_SINGLE, _KIND_COPY = 0, 1, 2
+#: What a row stands for before it: a decided place, one stretch, several equal ones whose places are decided.
+_DECIDED, _ALONE, _SEVERAL = 0, 1, 2
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols: list[list[np.ndarray]] = [[] for _ in range(5)]
@@ -112,10 +118,22 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for col, v in zip(cols, (k.view(np.int64), c.view(np.int64), np.full(len(k), i), s, n), strict=True):
                 col.append(v)
         k, c, i, s, n = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in cols)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c), pa.array(i), pa.array(s), pa.array(n.astype(np.int32))], names=["k", "c", "row", "s", "n"])
+        # Stretches that repeat within the batch are decided already: their places go on as decided, with keys that spread them,
+        # and one representative meets the other batches. So an anchor that is hot here is one row there.
+        order = np.lexsort((c, k))
+        first = np.ones(len(k), bool)
+        first[1:] = (k[order[1:]] != k[order[:-1]]) | (c[order[1:]] != c[order[:-1]])
+        group = np.cumsum(first) - 1
+        size = np.bincount(group) if len(k) else np.zeros(0, np.int64)
+        lone, many = order[size[group] == 1], order[size[group] > 1]
+        heads = order[first & (size[group] > 1)]
+        spread = _mix((i[many] * 0x5851F42D4C957F2D + s[many]).view(_U)).view(np.int64)
+        take = np.concatenate([lone, heads, many])
+        weight = np.repeat(np.array([_ALONE, _SEVERAL, _DECIDED], np.int32), [len(lone), len(heads), len(many)])
+        keys = np.concatenate([k[lone], k[heads], spread])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c[take]), pa.array(i[take]), pa.array(s[take]), pa.array(n[take].astype(np.int32)), pa.array(weight)], names=["k", "c", "row", "s", "n", "w"])
 
 
-_KIND_DONE, _KIND_SINGLE, _KIND_COPY = 0, 1, 2
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +147,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(cols: list[np.ndarray], final: bool) -> pa.RecordBatch:
         nonlocal carry, same_before, several_before, pending
-        k, c, row, s, n = cols
+        k, c, row, s, n, w = cols
         size = len(k)
         same_k, same_c = np.zeros(size, bool), np.zeros(size + 1, bool)
         same_k[1:] = k[1:] == k[:-1]
@@ -139,9 +157,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group -= group[0]
         several = np.bincount(group, weights=same_k & ~same_c[:-1]) > 0
         several[0] |= same_k[0] and several_before
-        copy, head, many = same_c[:-1] | same_c[1:], ~same_c[:-1], several[group]
+        copy, head, many = same_c[:-1] | same_c[1:] | (w == _SEVERAL), ~same_c[:-1], several[group]
         decided = np.arange(size) < (size if final else size - 1)
-        done, single = np.flatnonzero(decided & copy), np.flatnonzero(decided & ~copy & many)
+        done, single = np.flatnonzero(decided & copy & (w == _ALONE)), np.flatnonzero(decided & ~copy & many)
         shown = np.flatnonzero(decided & copy & head & many)
         i = np.concatenate([done, single, shown])
         kind = np.repeat(np.array([_KIND_DONE, _KIND_SINGLE, _KIND_COPY], np.int32), [len(done), len(single), len(shown)])
@@ -160,7 +178,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["k", "row", "s", "n", "kind"])
 
     for batch in batches:
-        cols = [column(batch, x).to_numpy() for x in ("k", "c", "row", "s", "n")]
+        cols = [column(batch, x).to_numpy() for x in ("k", "c", "row", "s", "n", "w")]
+        open_ = cols[5] != _DECIDED
+        if not open_.all():
+            k, _, row, s, n, _ = (x[~open_] for x in cols)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, row, s, n, np.full(len(k), _KIND_DONE, np.int32))], names=["k", "row", "s", "n", "kind"])
+            cols = [x[open_] for x in cols]
         if carry is not None:
             cols = [np.concatenate(p) for p in zip(carry, cols, strict=True)]
         if len(cols[0]) > 1 or (carry is None and len(cols[0])):
@@ -169,7 +192,22 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(carry, True)
 
 
-def repeated_suffixes(data: np.ndarray, at: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def repeated_in_parts(data: np.ndarray, at: np.ndarray, window: int = WINDOW, most: int = _SORT) -> np.ndarray:
+    """repeated_suffixes of any number of suffixes, about `most` at a time: equal ones share their first bytes, so parts dealt by
+    these hold all that can be equal."""
+    parts = -(-len(at) // most)
+    if parts < 2:
+        return repeated_suffixes(data, at, window)
+    hashes = PrefixHashes(data)
+    part = (_mix(hashes.of(at, 24)) % _U(parts)).astype(np.int32)
+    found = np.zeros(len(at), bool)
+    for p in range(parts):
+        mine = np.flatnonzero(part == p)
+        found[mine] = repeated_suffixes(data, at[mine], window, hashes)
+    return found
+
+
+def repeated_suffixes(data: np.ndarray, at: np.ndarray, window: int = WINDOW, hashes: PrefixHashes | None = None) -> np.ndarray:
     """Which of the suffixes data[at:] share their first window bytes with another of them.
 
     A bottom-up mergesort of all runs at once. Suffixes are dealt into runs by their first 8 bytes; in each round the later run
@@ -179,7 +217,7 @@ def repeated_suffixes(data: np.ndarray, at: np.ndarray, window: int = WINDOW) ->
     repeated = np.zeros(total, bool)
     if total < 2:
         return repeated
-    hashes = PrefixHashes(data)
+    hashes = hashes or PrefixHashes(data)
     rows = sliding_window_view(data, window)
     whole = hashes.of(at, window)
     prefix = np.ascontiguousarray(rows[:, :8])[at].view(">u8").ravel().astype(_U)
@@ -266,7 +304,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(r[5]) for r in rows], np.int64)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = np.repeat(np.cumsum(size) - size, n) + inner
-        found = repeated_suffixes(data, at)
+        found = repeated_in_parts(data, at)
         owner = np.repeat(np.arange(len(rows)), n)
         found &= np.array([r[4] == _KIND_SINGLE for r in rows])[owner]
         i = np.flatnonzero(found)
@@ -341,7 +379,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_starts(base: DataFrame) -> DataFrame:
     """(row, s, n): stretches of window starts that repeat; base has row and text."""
-    rows = arrow_map(base, _anchor_rows, "k long, c long, row long, s long, n int")
+    rows = arrow_map(base, _anchor_rows, "k long, c long, row long, s long, n int, w int")
     met = materialize(arrow_map(rows.repartition("k").sortWithinPartitions("k", "c"), _meet, "k long, row long, s long, n int, kind int"), "met")
     needs = met.filter(F.col("kind") != _KIND_DONE).groupBy("row").agg(F.collect_list(F.struct("k", "s", "n", "kind")).alias("needs"))
     fetched = arrow_map(base.join(needs, "row").select("row", "text", "needs"), _fetch, "k long, row long, s long, n int, kind int, bytes binary")

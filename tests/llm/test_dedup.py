@@ -160,7 +160,9 @@ def test_suffix_sort_in_small_rounds(spark, monkeypatch):
     at = np.arange(len(data) - sd.WINDOW + 1)
     windows = [bytes(data[i : i + sd.WINDOW]) for i in at]
     counts = Counter(windows)
-    assert sd.repeated_suffixes(data, at).tolist() == [counts[w] > 1 for w in windows]
+    want = [counts[w] > 1 for w in windows]
+    assert sd.repeated_suffixes(data, at).tolist() == want
+    assert all(sd.repeated_in_parts(data, at, sd.WINDOW, most).tolist() == want for most in (10, 100, 1000))
 
 
 def test_colliding_hashes_add_nothing(monkeypatch):
