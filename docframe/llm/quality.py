@@ -2,9 +2,9 @@
 
 Lines are normalised (lower case, outer white space off) and hashed; per host (the source column) the distinct documents of
 each line are counted, lines above the limit are removed, and a document left with less than a given share of its
-characters is rejected. Copies of one document are one document here: documents whose other lines agree in their smallest
-hash count once, so a text with many copies or near copies does not make its own lines look like boilerplate. The limit
-of a host is the larger of a fixed count and a share of its documents, so it works alike at every size.
+characters is rejected. Exact copies are one document here: texts are told apart by the hash of the whole text, so a text with
+many copies does not make its own lines look like boilerplate; texts that differ anywhere, near copies too, count each. The
+limit of a host is the larger of a fixed count and a share of its documents, so it works alike at every size.
 """
 
 from __future__ import annotations
@@ -70,9 +70,8 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """(host, h) of the lines in more distinct documents of a host than its limit."""
-    other = F.when(F.col("h") == F.col("least"), F.coalesce("second", F.lit(0))).otherwise(F.col("least"))
-    found = lines.select("host", "h", other.alias("other")).distinct().groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
+    """(host, h) of the lines in more distinct documents of a host than its limit; `row` is the hash of a line's whole text."""
+    found = lines.select("host", "h", "row").distinct().groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
     return found.join(hosts, "host").filter(F.col("n_docs") > F.greatest(F.lit(min_docs), share * F.col("host_docs"))).select("host", "h", "n_docs")
 
 
@@ -86,11 +85,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counts = arrow_map(base.select(F.col("doc_id").alias("_id"), "text"), _base, "_id long, " + ", ".join(f"{c} long" for c in _COUNTS))
     trimmed = F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
-    parsed = base.select("doc_id", "host", F.filter(trimmed, lambda x: x != "").alias("lines"))
-    ordered = parsed.withColumn("hs", F.array_sort(F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x)))))
-    lines = ordered.select("doc_id", "host", F.get("hs", F.lit(0)).alias("least"), F.get("hs", F.lit(1)).alias("second"), F.explode("lines").alias("line")).select(
-        "doc_id", "host", "least", "second", F.xxhash64("line").alias("h"), F.length("line").alias("chars")
-    )
+    parsed = base.select("doc_id", "host", F.xxhash64("text").alias("row"), F.explode(F.filter(trimmed, lambda x: x != "")).alias("line"))
+    lines = parsed.select("doc_id", "host", "row", F.xxhash64("line").alias("h"), F.length("line").alias("chars"))
     hosts = base.groupBy("host").agg(F.count("*").alias("host_docs"))
     common = common_lines(lines, hosts, min_docs, share).select(F.col("host").alias("ch"), F.col("h").alias("cl"))
     removed = (

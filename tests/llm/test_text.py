@@ -74,6 +74,15 @@ def test_quality_lines(spark):
     assert text["n_chars"] == len(text["text"])
 
 
+def test_quality_counts_documents_that_share_many_lines(spark):
+    shared = [f"line {k} of the template" for k in range(30)]
+    texts = ["\n".join([*shared, f"page {i} " + " ".join(f"w{i}x{j}" for j in range(300))]) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    got = quality.quality(docs, min_docs=20).collect()
+    assert [r["n_removed_lines"] for r in got] == [30] * 60
+    assert all(r["kept"] for r in got)
+
+
 def test_op3_keeps_what_passes(spark, sf):
     got = op3_quality(spark, sf).collect()
     assert sum(r["kept"] for r in got) > 0.8 * sum(not r["base_failed"] for r in got)
