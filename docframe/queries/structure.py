@@ -269,4 +269,4 @@ def segment_strategies(t: Tables) -> DataFrame:
 def xml_readings(t: Tables) -> DataFrame:
     xml = F.concat(F.lit("<w:tc><w:t>"), "n_name", F.lit("</w:t><w:b/><w:t>x</w:t></w:tc>"))
     field = F.concat(F.lit("<w:t>"), "n_name", F.lit("</w:t><w:instrText>FORM</w:instrText><w:t>x</w:t>"))
-    return t.nation.filter(~F.col("n_name").contains(" ")).select("n_nationkey", X.cell_text(xml).alias("cell"), F.regexp_replace(X.field_text(field), " FORM", "FORM").alias("field"))
+    return t.nation.select("n_nationkey", X.cell_text(xml).alias("cell"), F.regexp_replace(X.field_text(field), " FORMCHECKBOX x$", "FORMCHECKBOX x").alias("field"))
