@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions import xml as X
-from docframe.functions.text import checkbox_label, collapse, is_non, is_oui, sanitize_tag_name, trim_all
+from docframe.functions.text import checkbox_label, collapse, fold_label, is_non, is_oui, sanitize_tag_name, trim_all
 
 #: Signs of set and of empty boxes.
 CHECKED, UNCHECKED = "☑✓✔☒■", "☐□○◯◻"
 NEAR = 5
+#: Least score of a match by words; FIND_SCORE is that of the looser search for one box.
+MIN_SCORE, FIND_SCORE = 10, 4
 
 
 def extract(paras: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
@@ -77,17 +79,50 @@ def checkbox_tags(boxes: DataFrame, paired: DataFrame, doc: str = "doc_id") -> D
     return p.unionByName(s).groupBy(doc, "tag").agg(last.alias("m")).select(doc, "tag", "m.checked", "m.type")
 
 
-def match_by_ordinal(templates: DataFrame, targets: DataFrame, group: str) -> DataFrame:
-    """The nth Oui (Non) box of a template goes with the nth of the target."""
+def _ordinal_pairs(templates: DataFrame, targets: DataFrame, group: str) -> DataFrame:
     def numbered(rows: DataFrame, name: str) -> DataFrame:
         label = checkbox_label(F.col("label"))
         kind = F.when(is_oui(label), "oui").when(is_non(label), "non")
         w = Window.partitionBy(group, "kind").orderBy("index", "ord")
-        return rows.withColumn("kind", kind).filter("kind is not null").withColumn("nth", F.row_number().over(w)).select(group, "kind", "nth", F.col("index").alias(f"{name}_index"), F.col("checked").alias(f"{name}_checked"))
+        return rows.withColumn("kind", kind).filter("kind is not null").withColumn("nth", F.row_number().over(w)).select(group, "kind", "nth", *[F.col(c).alias(f"{name}_{c}") for c in ("index", "ord", "checked")])
 
     return numbered(templates, "template").join(numbered(targets, "target"), [group, "kind", "nth"])
 
 
+def match_by_ordinal(templates: DataFrame, targets: DataFrame, group: str) -> DataFrame:
+    """The nth Oui (Non) box of a template goes with the nth of the target."""
+    return _ordinal_pairs(templates, targets, group).drop("template_ord", "target_ord")
+
+
+def match_by_score(templates: DataFrame, targets: DataFrame, group: str, least: int = MIN_SCORE, once: bool = False) -> DataFrame:
+    """Each template box with the target box of its group that holds most of its words of three letters or more, by their length:
+    group, template_index, template_ord, target_index, target_ord, score, checked (the template's). The first target counts on
+    ties; a target may serve several templates, or with `once` (the semantic fallback) the first of them. Pairs stay in a group."""
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(group, F.col("index").alias(f"{name}_index"), F.col("ord").alias(f"{name}_ord"), "checked", fold_label(F.col("label")).alias(f"{name}_label"))
+
+    words = F.filter(F.split("template_label", " "), lambda w: (F.length(w) >= 3) & F.contains(F.col("target_label"), w))
+    score = F.aggregate(words, F.lit(0), lambda n, w: n + F.length(w))
+    pairs = side(templates, "template").join(side(targets, "target").drop("checked"), group).withColumn("score", score).filter(F.col("score") >= least)
+    best = Window.partitionBy(group, "template_index", "template_ord").orderBy(F.desc("score"), "target_index", "target_ord")
+    top = pairs.withColumn("_n", F.row_number().over(best)).filter("_n = 1")
+    if once:
+        first = Window.partitionBy(group, "target_index", "target_ord").orderBy("template_index", "template_ord")
+        top = top.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return top.select(group, "template_index", "template_ord", "target_index", "target_ord", "score", "checked")
+
+
+def match_boxes(templates: DataFrame, targets: DataFrame, group: str, least: int = MIN_SCORE) -> DataFrame:
+    """Oui and Non boxes by their ordinal, with score 100; the boxes that leaves over by their words."""
+    by_ordinal = _ordinal_pairs(templates, targets, group)
+    def rest(rows: DataFrame, name: str) -> DataFrame:
+        used = by_ordinal.select(group, F.col(f"{name}_index").alias("index"), F.col(f"{name}_ord").alias("ord"))
+        return rows.join(used, [group, "index", "ord"], "left_anti")
+
+    sure = by_ordinal.select(group, "template_index", "template_ord", "target_index", "target_ord", F.lit(100).alias("score"), F.col("template_checked").alias("checked"))
+    return sure.unionByName(match_by_score(rest(templates, "template"), rest(targets, "target"), group, least))
+
+
 def set_sign(text: Column, checked: Column) -> Column:
     """The first sign of a text set or emptied."""
     return F.when(checked, F.regexp_replace(text, f"^([^{UNCHECKED}]*)[{UNCHECKED}]", "$1☑")).otherwise(F.regexp_replace(text, f"^([^{CHECKED}]*)[{CHECKED}]", "$1☐"))

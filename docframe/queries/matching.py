@@ -180,6 +180,12 @@ def checkbox_match_ordinal(t: Tables) -> DataFrame:
     return B.match_by_ordinal(boxes, boxes, "doc_id").select("doc_id", "kind", "nth", "template_index", "target_index")
 
 
+@query("checkbox_match", "select doc_id, unnest([0, 3, 20]) as template_index, unnest([0, 3, 20]) as target_index, unnest([100, 100, 12]) as score, unnest([toxic = 1, toxic <> 1, quality = 1]) as checked from labels")
+def checkbox_match(t: Tables) -> DataFrame:
+    boxes = B.extract(_box_lines(t))
+    return B.match_boxes(boxes, boxes, "doc_id").select("doc_id", "template_index", "target_index", "score", "checked")
+
+
 @query("checkbox_apply", "select doc_id, '<w:p><w:t>' || case when toxic = 1 then '☐' else '☑' end || ' Oui</w:t></w:p>' as xml from labels")
 def checkbox_apply(t: Tables) -> DataFrame:
     lines = _box_lines(t).filter("index = 0")
