@@ -66,7 +66,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = np.array([base_counts(t.as_py()) for t in column(batch, "text")], np.int64).reshape(-1, 5)
-        yield pa.RecordBatch.from_arrays([column(batch, "_id"), *(pa.array(counts[:, i]) for i in range(5))], names=["_id", *_COUNTS])
+        yield pa.RecordBatch.from_arrays([column(batch, "_id"), column(batch, "_row"), *(pa.array(counts[:, i]) for i in range(5))], names=["_id", "_row", *_COUNTS])
 
 
 def common_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, share: float) -> DataFrame:
@@ -77,39 +77,44 @@ def common_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, share: float
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = DOC_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    chars, removed_chars, n_removed_lines, removed (hashes of the lines to remove).
+    removed_chars, n_removed_lines, removed (hashes of the lines to remove), row_hash (hash of host and text).
 
-    Null texts have no words and fail the base rule; a null host is a host of its own. Rows are told apart by id: repeated
-    ids share the verdict of their lines taken together. Ties do not occur; an empty table gives no rows.
+    Null texts have no words and fail the base rule; a null host is a host of its own. Rows are told apart by id, which may be
+    null, and row_hash: every row has the verdict of its own lines, repeated rows the same one. Ties do not occur; an empty table
+    gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = arrow_map(base.select(F.col("doc_id").alias("_id"), "text"), _base, "_id long, " + ", ".join(f"{c} long" for c in _COUNTS))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.xxhash64("host", "text"))
+    counts = arrow_map(base.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "text"), _base, "_id long, _row long, " + ", ".join(f"{c} long" for c in _COUNTS))
     trimmed = F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
-    parsed = base.select("doc_id", "host", F.xxhash64("text").alias("row"), F.explode(F.filter(trimmed, lambda x: x != "")).alias("line"))
-    lines = parsed.select("doc_id", "host", "row", F.xxhash64("line").alias("h"), F.length("line").alias("chars"))
+    parsed = base.select("doc_id", "host", "row", F.posexplode(F.filter(trimmed, lambda x: x != "")).alias("pos", "line"))
+    lines = parsed.select("doc_id", "host", "row", "pos", F.xxhash64("line").alias("h"), F.length("line").alias("chars"))
     hosts = base.groupBy("host").agg(F.count("*").alias("host_docs"))
     common = common_lines(lines, hosts, min_docs, share).select(F.col("host").alias("ch"), F.col("h").alias("cl"))
     removed = (
         lines.join(common, (F.col("host") == F.col("ch")) & (F.col("h") == F.col("cl")), "left_semi")
-        .groupBy("doc_id")
-        .agg(F.sum("chars").alias("removed_chars"), F.count("*").alias("n_removed_lines"), F.collect_set("h").alias("removed"))
-        .withColumnRenamed("doc_id", "rid")
-    )
-    joined = counts.join(removed, F.col("_id") == F.col("rid"), "left")
+        .groupBy(F.col("doc_id").alias("rid"), F.col("row").alias("rrow"))
+        .agg(F.collect_set(F.struct("pos", "h", "chars")).alias("gone"))  # the lines of one row, however often it is repeated
+        .select(
+            "rid", "rrow", F.aggregate("gone", F.lit(0).cast("long"), lambda n, x: n + x["chars"]).alias("removed_chars"),
+            F.size("gone").cast("long").alias("n_removed_lines"), F.array_distinct(F.transform("gone", lambda x: x["h"])).alias("removed"),
+        )
+    )
+    joined = counts.join(removed, F.col("_id").eqNullSafe(F.col("rid")) & (F.col("_row") == F.col("rrow")), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     gone = F.coalesce("removed_chars", F.lit(0))
     # Characters of words stand for the document's mass: outer white space counts for neither side.
     depleted = (F.col("word_chars") > 0) & (gone > 0) & (gone > (1 - min_left) * (F.col("word_chars") + F.col("n_words")))
     return joined.select(
         F.col("_id").alias("doc_id"), *_COUNTS, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
-        gone.alias("removed_chars"), F.coalesce("n_removed_lines", F.lit(0)).alias("n_removed_lines"), F.coalesce("removed", F.array().cast("array<long>")).alias("removed"),
+        gone.alias("removed_chars"), F.coalesce("n_removed_lines", F.lit(0)).alias("n_removed_lines"), F.coalesce("removed", F.array().cast("array<long>")).alias("removed"), F.col("_row").alias("row_hash"),
     )
 
 
 def apply_quality(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The documents that stay, without the lines above the limits; n_chars follows the text."""
-    v = verdicts.filter("kept").select(F.col("doc_id").alias("__q_id"), F.col("removed").alias("__q_removed")).dropDuplicates(["__q_id"])
+    v = verdicts.filter("kept").select(F.col("doc_id").alias("__q_id"), F.col("row_hash").alias("__q_row"), F.col("removed").alias("__q_removed")).dropDuplicates(["__q_id", "__q_row"])
+    row = F.xxhash64(F.coalesce(docs["source"].cast("string"), F.lit("")), F.coalesce(docs["text"], F.lit("")))
     lines = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("__q_removed"), F.xxhash64(F.btrim(F.lower(x), F.lit(" \t\r\x0b\x0c")))))
     text = F.when(F.size("__q_removed") > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
-    joined = docs.join(v, docs["doc_id"] == v["__q_id"])
+    joined = docs.join(v, docs["doc_id"].cast("long").eqNullSafe(v["__q_id"]) & (row == v["__q_row"]))
     return joined.withColumns({"text": text}).withColumns({"n_chars": F.length("text").cast("long")}).select(*docs.columns)

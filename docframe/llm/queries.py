@@ -25,7 +25,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(documents(spark, sf_dir)).drop("removed")
+    return quality(documents(spark, sf_dir)).drop("removed", "row_hash")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

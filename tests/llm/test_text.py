@@ -83,6 +83,22 @@ def test_quality_counts_documents_that_share_many_lines(spark):
     assert all(r["kept"] for r in got)
 
 
+def test_quality_keeps_null_ids_and_repeated_rows(spark):
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(80))
+    shared = "shared line of the site " + "abcde " * 15
+    rows = [(i, f"{own(i)}\n{shared}", "en", "a", 1) for i in range(30)]
+    rows += [(500, f"{own(500)}\n{shared}", "en", "a", 1)] * 10 + [(None, f"{own(k)}\n{shared}", "en", "a", 1) for k in (600, 601)] + [(500, own(501), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    verdicts = quality.quality(docs, min_docs=20)
+    got = verdicts.collect()
+    assert len(got) == len(rows)
+    assert all(r["kept"] for r in got)
+    assert sorted(r["n_removed_lines"] for r in got) == [0] + [1] * (len(rows) - 1)
+    assert {r["removed_chars"] for r in got} == {0, len(shared.strip())}
+    clean = Counter((r["doc_id"], r["text"]) for r in quality.apply_quality(docs, verdicts).collect())
+    assert clean == Counter((i, t.split("\n")[0]) for i, t, *_ in rows)
+
+
 def test_op3_keeps_what_passes(spark, sf):
     got = op3_quality(spark, sf).collect()
     assert sum(r["kept"] for r in got) > 0.8 * sum(not r["base_failed"] for r in got)
