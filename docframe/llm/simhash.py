@@ -167,9 +167,10 @@ def fingerprint_links(fps: DataFrame, tile: int = TILE) -> DataFrame:
 
 
 def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node of each component, by alternating large-star and small-star steps.
+    """(node, label): the smallest node of each component, by alternating large-star and small-star steps until none changes.
 
-    Each round is written to the shared folder. Only nodes with a link have a row.
+    Each round is written to the shared folder. Only nodes with a link have a row. Where the links still change in the last
+    round, an error is raised: labels of unfinished components would be wrong.
     """
     nodes = materialize(links.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "links")
     state = None
@@ -185,6 +186,8 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     return nodes.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("label")).union(nodes.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct()).groupBy("node").agg(F.min("label").alias("label"))
 
 

@@ -9,7 +9,7 @@ import xxhash
 from docframe.llm import suffix_dedup as sd
 from docframe.llm.exact_dedup import exact_dedup, keep_first
 from docframe.llm.queries import op1_exact_dedup, op2_simhash, op7_suffix_dedup, oracle_sql
-from docframe.llm.simhash import brute_components, covering_triples, fingerprint, fingerprint_links, keep_one, simhash_components
+from docframe.llm.simhash import brute_components, connected, covering_triples, fingerprint, fingerprint_links, keep_one, simhash_components
 from tests.llm.helpers import DOCS, clashing, odd_docs, plain_docs
 from tests.oracle import compare
 
@@ -188,3 +188,11 @@ def test_remove_repeated_keeps_columns(spark):
 def test_op7_against_brute_force(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert sorted((tuple(r) for r in op7_suffix_dedup(spark, sf).collect()), key=str) == brute_removal(rows)
+
+
+def test_connected_raises_where_rounds_run_out(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    got = {r["node"]: r["label"] for r in connected(chain).collect()}
+    assert got == dict.fromkeys(range(301), 0)
+    with pytest.raises(RuntimeError):
+        connected(chain, max_rounds=2)
