@@ -381,7 +381,7 @@ def repeated_starts(base: DataFrame) -> DataFrame:
     """(row, s, n): stretches of window starts that repeat; base has row and text."""
     rows = arrow_map(base, _anchor_rows, "k long, c long, row long, s long, n int, w int")
     met = materialize(arrow_map(rows.repartition("k").sortWithinPartitions("k", "c"), _meet, "k long, row long, s long, n int, kind int"), "met")
-    needs = met.filter(F.col("kind") != _KIND_DONE).groupBy("row").agg(F.collect_list(F.struct("k", "s", "n", "kind")).alias("needs"))
+    needs = met.filter(F.col("kind") != _KIND_DONE).groupBy("row").agg(F.collect_set(F.struct("k", "s", "n", "kind")).alias("needs"))
     fetched = arrow_map(base.join(needs, "row").select("row", "text", "needs"), _fetch, "k long, row long, s long, n int, kind int, bytes binary")
     resolved = arrow_map(fetched.repartition("k").sortWithinPartitions("k"), _resolve, "row long, s long, n int")
     return met.filter(F.col("kind") == _KIND_DONE).select("row", "s", "n").union(resolved)
@@ -398,7 +398,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _starts(named: DataFrame) -> DataFrame:
-    return repeated_starts(named.select("row", "text")).groupBy("row").agg(F.collect_list(F.struct("s", "n")).alias("starts"))
+    return repeated_starts(named.select("row", "text")).groupBy("row").agg(F.collect_set(F.struct("s", "n")).alias("starts"))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -411,7 +411,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = _named(docs, id_col, text_col).select("row", "doc_id", "text")
     # Only the texts that lose bytes move; the figures of the others come from the scan.
     starts = materialize(_starts(named), "starts")
-    cut = arrow_map(named.join(starts, "row").select("row", "text", "starts"), _remove, _FIGURES)
+    cut = arrow_map(named.join(starts, "row").select("row", "text", "starts"), _remove, _FIGURES).dropDuplicates(["row"])  # repeated rows share their row and its figures
     plain = named.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha"))
     joined = plain.join(cut.drop("n_bytes").withColumnRenamed("row", "cut_row"), F.col("row") == F.col("cut_row"), "left")
     zero = F.lit(0).cast("long")

@@ -151,6 +151,16 @@ def test_suffix_dedup_against_brute_force(spark, make):
     assert sorted((tuple(r) for r in sd.suffix_dedup(docs).collect()), key=str) == want
 
 
+def test_suffix_dedup_of_repeated_and_null_id_rows(spark):
+    rnd = random.Random(3)
+    say = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    a, b, c = say(300), say(450), say(700)
+    rows = [(1, a)] * 3 + [(None, b)] * 4 + [(2, c), (3, say(100) + c[50:400]), (None, say(250)), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = sorted((tuple(r) for r in sd.suffix_dedup(docs).collect()), key=str)
+    assert got == brute_removal(docs.select("doc_id", "text").collect())
+
+
 def test_suffix_sort_in_small_rounds(spark, monkeypatch):
     rnd = random.Random(2)
     text = bytes(rnd.choice(b"ab") for _ in range(400)) * 3
