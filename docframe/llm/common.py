@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,13 +39,40 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with bounded batches, the package shipped to the executors."""
+T = TypeVar("T")
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], T]) -> T:
+    """A table that a worker keeps from task to task, until a task of another operator runs in it."""
+    if name not in _HELD:
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def _release(keeps: str | None) -> None:
+    """Let go of what other operators have left in this worker, and give freed memory back to the system."""
+    for name in [n for n in _HELD if n != keeps]:
+        del _HELD[name]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: str | None = None) -> DataFrame:
+    """mapInArrow with bounded batches, the package shipped to the executors. keeps: the name of the table that fn has held."""
     spark = df.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release(keeps)
+        yield from fn(batches)
+        _release(keeps)
+
+    return df.mapInArrow(run, schema)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

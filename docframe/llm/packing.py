@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.llm.bpe import codec
+from docframe.llm.bpe import codec, ship
 from docframe.llm.common import arrow_map, column, materialize
 
 CAPACITY, END_ID, SLACK = 4096, 2, 0.04
@@ -41,9 +41,9 @@ def cut(length: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int
     return pieces
 
 
-def _pieces(path: str, capacity: int, slack: float, end_id: int, with_ids: bool):  # noqa: ANN202
+def _pieces(path: str, file: str, capacity: int, slack: float, end_id: int, with_ids: bool):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
+        c = codec(path, file)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         seen: dict[int, int] = {}
@@ -65,7 +65,6 @@ def _pieces(path: str, capacity: int, slack: float, end_id: int, with_ids: bool)
             arrays = [source.take(pa.array(take, pa.int64()))] + [pa.array(x, t) for x, t in zip(cols, types, strict=True)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", "rank", "part", "ids"]
             yield pa.RecordBatch.from_arrays(arrays[: len(arrays) - (not with_ids)], names=names[: len(names) - (not with_ids)])
-        c.forget()
 
     return run
 
@@ -101,7 +100,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = _COLUMNS + ", ids array<int>" * with_ids
-    pieces = materialize(arrow_map(base, _pieces(path, capacity, slack, end_id, with_ids), schema), "pieces")
+    pieces = materialize(arrow_map(base, _pieces(path, ship(spark, path), capacity, slack, end_id, with_ids), schema, f"bpe {path}"), "pieces")
     # Sizes of each task's classes, then of the classes: offsets of the numbers, and the class's first sequence.
     sizes = pieces.groupBy("part", "k").agg(F.count("*").alias("n"))
     before = sizes.select("part", "k", (F.sum("n").over(Window.partitionBy("k").orderBy("part")) - F.col("n")).alias("before"))

@@ -29,11 +29,12 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column, materialize
+from docframe.llm.common import arrow_map, column, held, materialize
 
 WINDOW, GRAM = 200, 80
-#: Window starts that a worker looks at in one go, and suffixes that it sorts in one go.
-_BLOCK, _SORT = 1 << 18, 1 << 18
+#: Window starts that a worker looks at in one go; suffixes that it sorts in one go, and bytes that they come from.
+_BLOCK, _SORT, _SORT_BYTES = 1 << 18, 1 << 17, 2 << 20
+_POWERS = "powers"
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
@@ -41,19 +42,16 @@ _U = np.uint64
 class PrefixHashes:
     """Polynomial hashes of all prefixes of a byte string, modulo 2**64."""
 
-    _powers: np.ndarray = np.ones(1, _U)
-    _inverse: np.ndarray = np.ones(1, _U)
-
     def __init__(self, data: np.ndarray):
         self.data, n = data, len(data)
-        cls = PrefixHashes
-        if len(cls._powers) <= n:
+        powers = held(_POWERS, dict)
+        if len(powers.get(1, ())) <= n:
             with np.errstate(over="ignore"):
-                size = max(n + 1, 2 * len(cls._powers))
-                cls._powers = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size, _BASE, _U)]))
-                cls._inverse = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size, pow(_BASE, -1, 1 << 64), _U)]))
+                powers[1] = np.cumprod(np.concatenate([np.ones(1, _U), np.full(n + (n >> 2), _BASE, _U)]))
+                powers[-1] = np.cumprod(np.concatenate([np.ones(1, _U), np.full(n + (n >> 2), pow(_BASE, -1, 1 << 64), _U)]))
+        self._inverse = powers[-1]
         self.prefix = np.zeros(n + 1, _U)
-        np.cumsum((data.astype(_U) + _U(1)) * cls._powers[:n], out=self.prefix[1:])
+        np.cumsum((data.astype(_U) + _U(1)) * powers[1][:n], out=self.prefix[1:])
 
     def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         """Hashes of substrings; equal strings have equal hashes wherever they start."""
@@ -296,7 +294,7 @@ def repeated_suffixes(data: np.ndarray, at: np.ndarray, window: int = WINDOW, ha
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort the suffixes of whole anchors, as many at once as fit, and give the repeated window starts of single stretches."""
     waiting: list[tuple[int, int, int, int, int, bytes]] = []
-    windows = 0
+    windows = size = 0
 
     def flush(rows: list) -> pa.RecordBatch:
         data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
@@ -318,11 +316,12 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for r in zip(*(column(batch, x).to_pylist() for x in ("k", "row", "s", "n", "kind", "bytes")), strict=True):
-            if windows >= _SORT and r[0] != waiting[-1][0]:
+            if (windows >= _SORT or size >= _SORT_BYTES) and r[0] != waiting[-1][0]:
                 yield flush(waiting)
-                waiting, windows = [], 0
+                waiting, windows, size = [], 0, 0
             waiting.append(r)
             windows += r[3]
+            size += len(r[5])
     if waiting:
         yield flush(waiting)
 
@@ -379,11 +378,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_starts(base: DataFrame) -> DataFrame:
     """(row, s, n): stretches of window starts that repeat; base has row and text."""
-    rows = arrow_map(base, _anchor_rows, "k long, c long, row long, s long, n int, w int")
+    rows = arrow_map(base, _anchor_rows, "k long, c long, row long, s long, n int, w int", _POWERS)
     met = materialize(arrow_map(rows.repartition("k").sortWithinPartitions("k", "c"), _meet, "k long, row long, s long, n int, kind int"), "met")
     needs = met.filter(F.col("kind") != _KIND_DONE).groupBy("row").agg(F.collect_set(F.struct("k", "s", "n", "kind")).alias("needs"))
     fetched = arrow_map(base.join(needs, "row").select("row", "text", "needs"), _fetch, "k long, row long, s long, n int, kind int, bytes binary")
-    resolved = arrow_map(fetched.repartition("k").sortWithinPartitions("k"), _resolve, "row long, s long, n int")
+    resolved = arrow_map(fetched.repartition("k").sortWithinPartitions("k"), _resolve, "row long, s long, n int", _POWERS)
     return met.filter(F.col("kind") == _KIND_DONE).select("row", "s", "n").union(resolved)
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column
+from docframe.llm.common import arrow_map, column, held
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
@@ -103,23 +103,21 @@ class _Counts(dict):
         return n
 
 
-_LOADED: dict[str, _Counts] = {}
+def vocabulary(path: str) -> list[str]:
+    """The pieces of a vocabulary file: a model of pieces, or a text file of one piece a line."""
+    if path.endswith(".model"):
+        import sentencepiece
 
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+        return [model.id_to_piece(i) for i in plain]
+    with open(path, encoding="utf-8") as lines:
+        return [line.rstrip("\n") for line in lines]
 
-def load(path: str) -> _Counts:
-    """The counts of a vocabulary file, compiled once per worker: a model of pieces, or a text file of one piece a line."""
-    if path not in _LOADED:
-        if path.endswith(".model"):
-            import sentencepiece
 
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-            pieces = [model.id_to_piece(i) for i in plain]
-        else:
-            with open(path, encoding="utf-8") as lines:
-                pieces = [line.rstrip("\n") for line in lines]
-        _LOADED[path] = _Counts(LongestMatch(pieces))
-    return _LOADED[path]
+def load(path: str) -> _Counts:
+    """The counts of a vocabulary file, which a worker holds."""
+    return held(f"pieces {path}", lambda: _Counts(LongestMatch(vocabulary(path))))
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,4 +141,4 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), *(pa.array(x, pa.int64()) for x in (words_n, tokens, unknown))], names=["doc_id", "n_words", "n_tokens", "n_unknown"])
 
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrow_map(base, run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return arrow_map(base, run, "doc_id long, n_words long, n_tokens long, n_unknown long", f"pieces {path}")
