@@ -25,16 +25,24 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: What a container's name, class, id or role says about it.
-AWAY = re.compile(
-    r"nav|menu|breadcrumb|crumb|header|masthead|banner|footer|foot\b|sidebar|side-?bar|aside|widget|related|recommend|promo|advert|sponsor|cookie|consent|gdpr|notice|alert|popup|modal|overlay|subscribe|newsletter|signup|login|search|share|social|comment|disqus|respond|reply|copyright|legal|pagination|pager|toolbar|skip|hidden|(?:^|[\s_-])ads?(?:$|[\s_-])|(?:^|[\s_-])toc(?:$|[\s_-])",
-    re.I,
+#: Words of a container's class, id or role that say that it is no part of the article.
+AWAY = frozenset(
+    "nav navbar navigation menu menus submenu dropdown breadcrumb breadcrumbs crumb crumbs masthead footer foot sidebar sidebars aside widget widgets related recommended recommendations "
+    "promo promos promotion advert adverts advertisement advertising ad ads adbox adslot sponsor sponsored sponsors cookie cookies consent gdpr notice notices alert alerts popup modal overlay subscribe "
+    "subscription newsletter signup login signin search searchbox share sharing sharebar social comment comments disqus respond reply replies copyright legal disclaimer pagination pager toolbar skip hidden toc "
+    "complementary contentinfo".split()
 )
-#: Names that hold such a word but mean a part of the article, or the page as a whole.
-_MASTHEAD = re.compile(r"(?:article|entry|post|story|page|content)[-_]{0,2}(?:header|banner)|(?:with|has|no|left|right)[-_](?:side-?bar|header|footer|nav)", re.I)
-HOME = re.compile(r"article|content|entry|post-?body|story|main|body-?text|prose", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)|<[!?][^>]*(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: The same of words that also name the head of an article: they count where the rest of the name speaks of the site.
+HEADS = frozenset("header banner".split())
+_SITE = frozenset("site main top global sticky fixed wrapper wrap container inner outer bar large small image area".split())
+#: Words that say nothing of their own: a name of these and AWAY words alone leads away for certain.
+_PLAIN = _SITE | frozenset("page bottom box block list item items section panel links link button buttons icon icons group row col column div id module secondary primary text title body form field media post posts article articles content thread count meta area slot unit".split())
+HOME = frozenset("article content entry post story main prose blog".split())
+_PART = re.compile(r"[^\W\d_]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: A tag ends at the first > outside a quoted value; a quote opens a value only after an equals sign.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|$)|<[!?][^>]*(?:>|$)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 _SPACE = re.compile(r"\s+")
 _AWAY_TAGS = frozenset("nav aside footer header form button dialog menu fieldset".split())
 
@@ -52,25 +60,33 @@ class Block:
         home = max((i for i, tag in enumerate(inside) if tag in ("article", "main")), default=-1)
         away = max((i for i, tag in enumerate(inside) if tag in _AWAY_TAGS and not (tag == "header" and 0 <= home < i)), default=-1)
         self.in_article, self.in_away = int(home >= 0), int(away >= 0)
-        self.named_away = int(any(mark < 0 for _, mark in stack))
-        self.named_home = int(any(mark > 0 for _, mark in stack))
+        self.named_away = max((mark for _, mark in stack if mark > 0), default=0)
+        self.named_home = int(any(mark < 0 for _, mark in stack))
         self.heading = int(any(len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() for tag in inside))
         self.item = int("li" in inside)
 
 
+def _names_away(name: str) -> int:
+    """Of one class, id or role: 2 if it surely leads away from the article, 1 if it may, -1 if it leads to it, 0 otherwise."""
+    parts = [x.lower() for x in _PART.findall(_CAMEL.sub(" ", name))]
+    away = [x for x in parts if x in AWAY]
+    if not away and any(x in HEADS for x in parts):
+        return 2 if all(x in HEADS or x in _SITE for x in parts) else 0
+    if away:
+        return 2 if all(x in AWAY or x in HEADS or x in _PLAIN or len(x) == 1 for x in parts) else 1
+    return -1 if any(x in HOME for x in parts) else 0
+
+
 def _mark(attributes: str) -> int:
-    """-1 for a container whose names lead away from the article, 1 for one whose names lead to it, 2 for one not shown."""
-    names, shown = [], True
+    """What a container's names say: the strongest of those that lead away, or -1 for one that leads to the article; 2 if hidden."""
+    marks = [0]
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            shown = False
-        elif key in ("class", "id", "role"):
-            names.append(value)
-    joined = _MASTHEAD.sub(" ", " ".join(names))
-    if not shown or AWAY.search(joined):
-        return -1
-    return 1 if HOME.search(joined) else 0
+            return 2
+        if key in ("class", "id", "role"):
+            marks += map(_names_away, value.split())
+    return max(marks) or min(marks)
 
 
 def flat_blocks(html: str | None) -> list[Block]:
@@ -78,7 +94,7 @@ def flat_blocks(html: str | None) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, int]] = []
     parts: list[str] = []
-    linked, in_link = 0, 0
+    linked, in_link = 0, -1  # in_link: the depth of the stack where the open link began; a link ends with what it began in
     html = html or ""
 
     def end() -> None:
@@ -95,9 +111,15 @@ def flat_blocks(html: str | None) -> list[Block]:
         if raw:
             text = unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if in_link:
+            if in_link >= 0:
                 linked += len(text.split())
 
+    def close(i: int) -> None:
+        nonlocal in_link
+        del stack[i:]
+        if len(stack) < in_link:
+            in_link = -1
+
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
@@ -113,27 +135,26 @@ def flat_blocks(html: str | None) -> list[Block]:
         tag, closing = m[2].lower(), bool(m[1])
         if tag in DROPPED and not closing:
             if not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(html, at)
-                at = close.end() if close else (n if tag in ("script", "style", "template", "textarea") else at)
+                found = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(html, at)
+                at = found.end() if found else (n if tag in ("script", "style", "template", "textarea") else at)
             continue
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
-            in_link = 0 if closing else 1
+            in_link = -1 if closing else len(stack)
         elif tag in BLOCKS:
             end()
-            in_link = 0
             if closing:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        del stack[i:]
+                        close(i)
                         break
             elif tag not in VOID:
                 if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (stack and stack[-1][0] == "p"):
                     # A new block closes the open paragraph, or the open one of its kind within its list or table.
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] in ("p", tag):
-                            del stack[i:]
+                            close(i)
                             break
                         if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body", "nav", "aside", "main", "footer", "header"):
                             break
@@ -175,6 +196,10 @@ _LABELLED = (
     '<body><article><p>+{mid}</p><div class="share">-<a>Tell a friend</a></div><p>+{long}</p><div class="advert">-{long}</div><p>+<a>{short}</a></p><p>+{short}</p><section class="comments"><article><p>-{long}</p></article></section></article></body>',
     '<body><main><h1>+{short}</h1><p>+{short}</p><p>+{long}</p><nav>-<a>{short}</a></nav><div class="newsletter"><p>-{mid}</p></div></main><div role="banner">-{mid}</div></body>',
     '<body><div class="entry"><p>+{mid}</p><ol><li>+{mid}</li><li>+{short}</li></ol><div class="notice">-{mid}</div></div><p>-{short}</p><form><p>-{mid}</p></form></body>',
+    '<body><div class="shareholder-news legal-affairs"><h1>+{short}</h1><p>+{long}</p><p>+{mid}</p></div><div class="legal-small-print">-<a>{short}</a></div></body>',
+    '<body><div class="wrap right-sidebar"><article><h1>+{short}</h1><p>+{long}</p><p>+{short}</p><p>+{mid}</p></article></div><div class="share-tools-x">-<a>{short}</a> <a>{short}</a></div></body>',
+    '<body><article class="social-science-report"><h1>+{short}</h1><p>+{mid}</p><ul><li>+{short}</li></ul><p>+{long}</p></article></body>',
+    '<body><a href="#"><div>-{short}</div></a><article><div class="section-header"><h2>+{short}</h2></div><p>+{long}</p></article><div class="left-sidebar-x"><ul><li>-<a>{short}</a></li></ul></div></body>',
 )
 _FILL = {"short": "few words in here", "mid": " ".join(["some"] * 16), "long": " ".join(["more"] * 60)}
 

@@ -283,6 +283,32 @@ def test_main_text():
     assert html_text.main_text("<article><p>open <b>end") == "open end"
 
 
+LONG = "word " * 60
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<article><p title=it's>first part here</p><p>second part</p></article>", "first part here\nsecond part"),
+        ('<article><p class="x"">first part here</p><p>second part</p></article>', "first part here\nsecond part"),
+        ("<article><p title='a > b' data-x=\"c > d\">first part</p></article>", "first part"),
+        (f'<article class="research-article"><h1>Head</h1><p>{LONG}</p></article>', "Head\n" + LONG.strip()),
+        (f'<div class="commentary"><p>{LONG}</p></div>', LONG.strip()),
+        (f'<article class="shareholder-letter"><p>{LONG}</p><p>Short end.</p></article>', LONG.strip() + "\nShort end."),
+        (f'<div class="unavailable-items"><p>{LONG}</p></div>', LONG.strip()),
+        (f'<article class="legal-news"><p>{LONG}</p><p>{LONG}</p></article>', LONG.strip() + "\n" + LONG.strip()),
+        (f'<article><div class="section-header"><h2>Part one</h2></div><p>{LONG}</p></article>', "Part one\n" + LONG.strip()),
+        (f"<a href=x><div>Menu text here</div></a><article><p>{LONG}</p></article>", LONG.strip()),
+        (f'<ul><li><a href=x>Home<li><a href=y>News</ul><article><p>{LONG}</p></article>', LONG.strip()),
+        (f'<div class="siteNav"><div>Some words</div></div><div data-class="menu"><p>{LONG}</p></div>', LONG.strip()),
+        (f'<div id="comments"><article class="comment" id="div-comment-5"><p>{LONG}</p></article></div>', ""),
+        (f'<div class="has-sidebar"><article><p>{LONG}</p></article><div class="sidebar"><p>{LONG}</p></div></div>', LONG.strip()),
+    ],
+)
+def test_main_text_of_odd_markup(html, want):
+    assert html_text.main_text(f"<body>{html}</body>") == want
+
+
 def test_extract_odd_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (3, "u", ""), (4, "u", "<article>" + "<p>some words here</p>" * 20_000 + "</article>"), (5, "u", "<<<>>&&& <p")]
     out = html_text.extract(clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()
