@@ -17,18 +17,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column
+from docframe.llm.common import arrow_map, column, materialize
 
-#: At most so many labelled rows are used, those with the smallest hashed ids; of their terms at most so many.
-MAX_LABELLED, MAX_TERMS = 20_000, 600
-MIN_TOXIC, MIN_SHARE, PREFIXES = 3, 0.7, (4, 5, 6, 7)
+#: At most so many labelled rows are used, those with the smallest hashed ids.
+MAX_LABELLED = 20_000
+#: A term stands in so many toxic rows and in such a share of all toxic rows at least, so that there are few terms at every size;
+#: and such a share of the rows with it is toxic.
+MIN_TOXIC, TERM_SHARE, MIN_SHARE, PREFIXES = 3, 0.002, 0.7, (4, 5, 6, 7)
 #: The sample's parts: the last calibrates, the others grow the trees.
 PARTS = 4
 #: Plain insults, beside what the labels teach.
 INSULTS = frozenset("idiot idiots moron morons stupid trash garbage loser losers scum pathetic disgusting clown clowns worthless dumb fool fools imbecile jerk filth vermin".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen euch euer tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros tuyo".split())
 _WORD = re.compile(r"[^\W\d_]+")
-_OBFUSCATED = re.compile(r"[^\W\d_]+[0-9@$*!|+][^\W\d_]+|\b(?:[^\W\d_][.\-_* ]){3,}[^\W\d_]\b", re.U)
+_OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!|+][^\W\d_]+|\b(?:[^\W\d_][.\-_* ]){3,}[^\W\d_]\b", re.U)
 _LEET = str.maketrans("013457@$!|+", "oieastasiit")
 _STRETCHED = re.compile(r"(\w)\1{2,}")
 _NEAR = 5
@@ -45,18 +47,22 @@ class Lexicon:
     def __init__(self, terms: dict[str, float]):
         self.words = {t[1:]: w for t, w in terms.items() if t[0] == "="}
         self.starts = {t[1:]: w for t, w in terms.items() if t[0] == "^"}
-        self._known: dict[str, tuple[float, bool, bool, bool]] = {}
+        self.known: dict[str, tuple[float, bool, bool, bool]] = {}
 
     def look(self, word: str) -> tuple[float, bool, bool, bool]:
         """Weight, and whether it is an insult, a term, or has a known beginning."""
-        found = self._known.get(word)
+        found = self.known.get(word)
         if found is None:
             own = self.words.get(word, 0.0)
-            start = max((self.starts.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n), default=0.0)
+            size, starts, start = len(word), self.starts, 0.0
+            for n in PREFIXES:
+                if n > size:
+                    break
+                start = max(start, starts.get(word[:n], 0.0))
             found = (max(own, start, 1.0 if word in INSULTS else 0.0), word in INSULTS, own > 0, start > 0)
-            if len(self._known) > 300_000:
-                self._known.clear()
-            self._known[word] = found
+            if len(self.known) > 300_000:
+                self.known.clear()
+            self.known[word] = found
         return found
 
 
@@ -65,6 +71,13 @@ def terms_of(text: str) -> set[str]:
     return {"=" + w for w in words if len(w) <= 40} | {"^" + w[:n] for w in words for n in PREFIXES if len(w) >= n}
 
 
+def _changed(text: str, lower: str) -> int:
+    """Letters that lower-casing changes."""
+    if len(text) != len(lower):
+        return sum(c != c.lower() for c in text)
+    return int((np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") != np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), "<u4")).sum())
+
+
 def feature_row(text: str | None, lexicon: Lexicon) -> list[float]:
     """FEATURES of a whole text; zeros for a text without words."""
     text = text or ""
@@ -74,7 +87,8 @@ def feature_row(text: str | None, lexicon: Lexicon) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     counts = Counter(words)
-    hits = {w: found for w in counts if (found := lexicon.look(w))[0] > 0}
+    known = lexicon.known
+    hits = {w: found for w in counts if (found := known.get(w) or lexicon.look(w))[0] > 0}
     total = sum(counts[w] for w in hits)
     near = 0
     second = sum(c for w, c in counts.items() if w in SECOND_PERSON)
@@ -94,7 +108,7 @@ def feature_row(text: str | None, lexicon: Lexicon) -> list[float]:
     odd = _OBFUSCATED.findall(text) if re.search(r"[0-9@$*!|+.\-_]", text) else []
     undone = [_WORD.findall(_STRETCHED.sub(r"\1", re.sub(r"[.\-_* ]", "", w.lower()).translate(_LEET))) for w in odd]
     letters = sum(map(len, words))
-    upper = sum(map(str.isupper, text)) if not text.islower() else 0
+    upper = _changed(text, lower)
     shouted = len(re.findall(r"\b[^\W\d_a-z]{3,}\b", text)) if upper * 20 > letters else 0
     return [
         math.log1p(n),
@@ -218,7 +232,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = known.orderBy(F.xxhash64("lid"), "lid").limit(max_labelled)
     # max_labelled rows of two numbers at most.
     texts = docs.select(F.col(id_col).cast("long").alias("lid"), F.col(text_col).alias("text")).join(F.broadcast(sample), "lid")
-    texts = texts.withColumn("part", F.pmod(F.xxhash64(F.col("lid"), F.lit(6)), F.lit(PARTS)).cast("int"))
+    # The sampled texts are written once, so that documents are read once for them.
+    texts = materialize(texts.withColumn("part", F.pmod(F.xxhash64(F.col("lid"), F.lit(6)), F.lit(PARTS)).cast("int")), "labelled")
+    least = max(MIN_TOXIC, TERM_SHARE * texts.filter("y = 1").count())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -235,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = arrow_map(texts.select("text", "y", "part"), count, "term string, " + ", ".join(f"{n} long" for n in names)).groupBy("term").agg(*(F.sum(n).alias(n) for n in names))
     toxic, clean = (sum((F.col(n) for n in names[j::2]), F.lit(0)) for j in (1, 0))
     share = (toxic + 0.1) / (toxic + clean + 1.0)
-    chosen = counted.filter((toxic >= MIN_TOXIC) & (share >= MIN_SHARE)).orderBy(F.desc(toxic * share), "term").limit(MAX_TERMS).collect()
+    chosen = sorted(counted.filter((toxic >= least) & (share >= MIN_SHARE)).collect(), key=lambda r: r["term"])
 
     def lexicon_without(part: int | None) -> dict[str, float]:
         out = {}
@@ -254,7 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             rows = [feature_row(t.as_py(), lexica[p]) for t, p in zip(column(batch, "text"), column(batch, "part").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([column(batch, "lid"), column(batch, "y"), column(batch, "part"), pa.array(rows, pa.list_(pa.float64()))], names=["lid", "y", "part", "x"])
 
-    rows = arrow_map(texts.select("lid", "y", "part", "text"), measure, "lid long, y int, part int, x array<double>").orderBy("lid", "part").collect()
+    rows = arrow_map(texts.select("lid", "y", "part", "text"), measure, "lid long, y int, part int, x array<double>").collect()
+    rows.sort(key=lambda r: (r["lid"], r["part"], r["x"]))  # of max_labelled rows and those that repeat their ids
     x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES))
     return Model(lexicon_without(None), x, np.array([r["y"] for r in rows], int), np.array([r["part"] == PARTS - 1 for r in rows], bool))
 
