@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import TypeVar
 
 import pyarrow as pa
@@ -96,6 +97,24 @@ def gapless(df: DataFrame, key: str, order: str, out: str, buckets: int | None =
     return joined.select(*[inner[c] for c in df.columns], (F.col("_r") + F.col("_o")).cast("long").alias(out))
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of docs in one struct, so that their names clash with none; select("name.*") unpacks it."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+
+
+def keep_rows(docs: DataFrame, keys: list[Column], kept: DataFrame) -> DataFrame:
+    """The rows of docs whose keys stand in a row of kept (nulls are equal), one row for each, all columns as they were."""
+    names = [f"k{i}" for i in range(len(keys))]
+    hashed = lambda cols: F.xxhash64(*cols, *[c.isNull() for c in cols])
+    mine = docs.select(hashed(keys).alias("h"), *[c.alias(n) for c, n in zip(keys, names, strict=True)], packed(docs).alias("d"))
+    stays = kept.toDF(*[f"o{n}" for n in names])
+    stays = stays.withColumn("oh", hashed([F.col(c) for c in stays.columns]))
+    # One hash is the key of the join and begins that of the window, so the rows move once.
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"o{n}")) for n in names], F.col("h") == F.col("oh"))
+    one = mine.join(stays, same, "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("h", *names).orderBy("h")))
+    return one.filter("nth = 1").select("d.*")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -14,10 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column, materialize, text_or_empty
+from docframe.llm.common import arrow_map, column, keep_rows, materialize, text_or_empty
 
 PREFIX_CHARS = 48
 _SCHEMA = "doc_id long, keep_id long, group_size long, first boolean, text_sha256 string, part int, edge boolean, edge_text string"
@@ -112,10 +112,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Column | None = None) -> DataFrame:
-    """The documents that stay, all columns as they were. groups: exact_dedup of docs with the same parameters."""
+    """The documents that stay, one for each group, all columns as they were. groups: exact_dedup of docs with the same parameters."""
     text = F.coalesce(normalise, F.lit("")) if normalise is not None else text_or_empty(text_col)
-    stays = groups.filter("kept").select(F.col("doc_id").alias("__e_id"), F.col("text_sha256").alias("__e_sha"))
-    mine = docs.withColumns({"__m_id": F.col(id_col).cast("long"), "__m_sha": F.sha2(text, 256)})
-    joined = mine.join(stays, F.col("__m_id").eqNullSafe(F.col("__e_id")) & (F.col("__m_sha") == F.col("__e_sha")), "left_semi")
-    one = joined.withColumn("__nth", F.row_number().over(Window.partitionBy("__m_id", "__m_sha").orderBy("__m_id")))
-    return one.filter("__nth = 1").drop("__m_id", "__m_sha", "__nth")
+    return keep_rows(docs, [F.col(id_col).cast("long"), F.sha2(text, 256)], groups.filter("kept").select("doc_id", "text_sha256"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column
+from docframe.llm.common import arrow_map, column, packed
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\r\x0b\x0c"
@@ -110,11 +110,18 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     )
 
 
-def apply_quality(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The documents that stay, without the lines above the limits; n_chars follows the text."""
-    v = verdicts.filter("kept").select(F.col("doc_id").alias("__q_id"), F.col("row_hash").alias("__q_row"), F.col("removed").alias("__q_removed")).dropDuplicates(["__q_id", "__q_row"])
-    row = F.xxhash64(F.coalesce(docs["source"].cast("string"), F.lit("")), F.coalesce(docs["text"], F.lit("")))
-    lines = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("__q_removed"), F.xxhash64(F.btrim(F.lower(x), F.lit(" \t\r\x0b\x0c")))))
-    text = F.when(F.size("__q_removed") > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
-    joined = docs.join(v, docs["doc_id"].cast("long").eqNullSafe(v["__q_id"]) & (row == v["__q_row"]))
-    return joined.withColumns({"text": text}).withColumns({"n_chars": F.length("text").cast("long")}).select(*docs.columns)
+def apply_quality(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str = "n_chars") -> DataFrame:
+    """The documents that stay, without the lines above the limits; all other columns as they were, but for chars_col, which
+    follows the text if docs has it. verdicts: quality of docs. Rows meet their verdict by id, null or not, and the hash of host
+    and text, so repeated rows share one; a null text that stays is empty. An empty table gives no rows."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    mine = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("")), text).alias("row"), packed(docs).alias("d"))
+    v = verdicts.filter("kept").select(F.col("doc_id").alias("vid"), F.col("row_hash").alias("vrow"), F.col("removed").alias("gone")).dropDuplicates(["vid", "vrow"])
+    joined = mine.join(v, (F.col("row") == F.col("vrow")) & F.col("id").eqNullSafe(F.col("vid")))
+    whole = F.coalesce(F.col("d").getField(text_col), F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: ~F.array_contains(F.col("gone"), F.xxhash64(F.btrim(F.lower(x), F.lit(" \t\r\x0b\x0c")))))
+    left = F.when(F.size("gone") > 0, F.array_join(lines, "\n")).otherwise(whole)
+    clean = joined.select("d", left.alias("left"))
+    kinds = dict(docs.dtypes)
+    made = {text_col: F.col("left"), chars_col: F.length("left").cast(kinds.get(chars_col, "long"))}
+    return clean.select(*[made.get(c, F.col("d").getField(c)).alias(c) for c in docs.columns])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import arrow_map, column, materialize
+from docframe.llm.common import arrow_map, column, keep_rows, materialize, text_or_empty
 
 SHINGLE, SEED, MAX_BITS, TILE = 4, 42, 4, 8192
 _BLOCK = 1 << 16
@@ -53,7 +53,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = np.array([fingerprint(t.as_py()) for t in column(batch, "text")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "text_hash"), pa.array(fps)], names=["doc_id", "text_hash", "fp"])
 
 
 def covering_triples() -> list[tuple[int, int, int]]:
@@ -167,51 +167,57 @@ def fingerprint_links(fps: DataFrame, tile: int = TILE) -> DataFrame:
 
 
 def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node of each component, by alternating large-star and small-star steps until none changes.
+    """(node, label): the smallest node of each component, by alternating large-star and small-star steps until all links are stars.
 
-    Each round is written to the shared folder. Only nodes with a link have a row. Where the links still change in the last
-    round, an error is raised: labels of unfinished components would be wrong.
+    Each round is written to the shared folder. Only nodes with a link have a row. Where links are left that are no stars when
+    the rounds run out, an error is raised: labels of unfinished components would be wrong.
     """
     nodes = materialize(links.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "links")
-    state = None
     for _ in range(max_rounds):
         both = nodes.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(nodes.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("mu"), "m")
-        large = both.join(least, F.col("u") == F.col("mu")).filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo <> hi").distinct()
+        # The least neighbours are written: so the joins read plain exchanges, whose hot nodes adaptive execution can split.
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("mu"), "m"), "least")
+        large = materialize(both.join(least, F.col("u") == F.col("mu")).filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo <> hi").distinct(), "large")
         small_least = large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("mu"), "m")
         small = large.join(small_least, F.col("hi") == F.col("mu"))
         small = small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).union(small.select(F.col("m").alias("lo"), F.col("hi"))).filter("lo <> hi").distinct()
         nodes = materialize(small, "stars")
-        now = nodes.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
-        if now == state:
+        # Stars: no node hangs on two others, and none that hangs on another has nodes of its own.
+        roles = nodes.select(F.col("hi").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(nodes.select(F.col("lo").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+        if roles.groupBy("node").agg(F.sum("hangs").alias("up"), F.max("holds").alias("down")).filter("up > 1 or (up > 0 and down > 0)").isEmpty():
             break
-        state = now
     else:
         raise RuntimeError(f"components have not settled after {max_rounds} rounds")
-    return nodes.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("label")).union(nodes.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct()).groupBy("node").agg(F.min("label").alias("label"))
+    return nodes.select(F.col("hi").alias("node"), F.col("lo").alias("label")).union(nodes.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct())
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id, component (the fingerprint, of those linked, that
+    names the component), text_hash.
 
     Null and empty texts have fingerprint zero and link like any other. component_id is the smallest id reachable over links
-    of at most MAX_BITS differing bits; null ids are ignored for it unless a component has no other. Repeated rows stay.
+    of at most MAX_BITS differing bits; null ids are ignored for it, and a component of none but null ids has null. Repeated rows
+    stay. An empty table gives no rows; other columns are ignored.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints = materialize(arrow_map(base, _fingerprints, "doc_id long, fp long"), "prints")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    prints = materialize(arrow_map(base, _fingerprints, "doc_id long, text_hash long, fp long"), "prints")
     labels = connected(fingerprint_links(prints, tile))
     per_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = per_fp.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    per_label = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_fp = named.join(per_label, "label").select(F.col("fp").alias("f2"), "component_id")
-    return prints.join(per_fp, F.col("fp") == F.col("f2"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id names their component: one of each group, all columns as they were. Rows without an id stay
-    only where a component has no ids at all."""
-    kept = components.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__c_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__c_id"]), "left_semi")
+    named = materialize(named, "named")
+    # Written, so that a label or fingerprint of very many rows can be split in the joins.
+    per_label = materialize(named.groupBy(F.col("label").alias("l2")).agg(F.min("least").alias("component_id")), "labels")
+    per_fp = named.join(per_label, F.col("label") == F.col("l2")).select(F.col("fp").alias("f2"), "component_id", "label")
+    digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return prints.join(per_fp, F.col("fp") == F.col("f2"), "left").select("doc_id", digits("fp").alias("fingerprint"), "component_id", digits("label").alias("component"), "text_hash")
+
+
+def keep_one(docs: DataFrame, components: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of each component, all columns as they were: that of the smallest id; where a component has no ids, one of
+    its rows, by the hash of its text. Of repeated rows one stays. components: simhash_components of docs."""
+    first = components.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+    kept = first.select("first.doc_id", "first.text_hash")
+    return keep_rows(docs, [F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col))], kept)
 
 
 def hamming(a: int, b: int) -> int:
