@@ -35,8 +35,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of strings that repeat go, at every place; n_chars follows the text."""
-    out = remove_repeated(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return remove_repeated(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
