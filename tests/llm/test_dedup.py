@@ -173,6 +173,25 @@ def test_suffix_dedup_of_repeated_and_null_id_rows(spark):
     assert got == brute_removal(docs.select("doc_id", "text").collect())
 
 
+def test_suffix_dedup_of_rows_that_share_an_id(spark):
+    rnd = random.Random(9)
+    say = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    a, b = say(260), say(300)
+    rows = [(1, say(90) + a), (1, b + say(40)), (-5, a + say(30)), (-5, say(50)), (2, say(7) + b), (3, say(400))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    assert sorted((tuple(r) for r in sd.suffix_dedup(docs).collect()), key=str) == brute_removal(docs.select("doc_id", "text").collect())
+
+
+@pytest.mark.parametrize("hot", [40, 700])
+def test_hot_anchors_are_dealt_out(spark, hot):
+    rnd = random.Random(5)
+    say = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passages = [say(n) for n in (210, 230, 330)]
+    rows = [(i, say(rnd.randint(0, 150)) + passages[i % 3][rnd.randint(0, 20) :] + say(rnd.randint(0, 150))) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(4)
+    assert sorted((tuple(r) for r in sd.suffix_dedup(docs, hot=hot).collect()), key=str) == brute_removal(docs.select("doc_id", "text").collect())
+
+
 def test_suffix_sort_in_small_rounds(spark, monkeypatch):
     rnd = random.Random(2)
     text = bytes(rnd.choice(b"ab") for _ in range(400)) * 3
