@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,28 +44,24 @@ def pairs(boxes: DataFrame, doc: str = "doc_id") -> DataFrame:
     numbered = boxes.withColumn("n", F.row_number().over(w) - 1).withColumn("kind", F.when(is_oui(label), "oui").when(is_non(label), "non"))
     sides = numbered.filter("kind is not null").select(doc, "n", "index", "kind", "checked", question(F.col("label"), F.col("n")).alias("question"))
 
-    def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("n")
-        items = list(rows.itertuples(index=False))
-        used: set[int] = set()
-        out = []
-        for i, a in enumerate(items):
-            if i in used:
-                continue
-            for j in range(i + 1, len(items)):
-                b = items[j]
-                if abs(int(b.index_) - int(a.index_)) > NEAR:
-                    break
-                if j not in used and a.kind != b.kind:
-                    oui, non = (a, b) if a.kind == "oui" else (b, a)
-                    value = True if oui.checked and not non.checked else False if non.checked and not oui.checked else None
-                    out.append((rows[doc].iloc[0], a.question, min(a.index_, b.index_), oui.index_, non.index_, value))
-                    used |= {i, j}
-                    break
-        return pd.DataFrame(out, columns=[doc, "question", "index", "oui_index", "non_index", "value"]).astype({"value": "object"})
-
-    kind = dict(sides.dtypes)[doc]
-    return sides.withColumnRenamed("index", "index_").groupBy(doc).applyInPandas(pair, f"{doc} {kind}, question string, index int, oui_index int, non_index int, value boolean")
+    # A fold over a document's boxes in order: one of the other kind that still waits, the first, goes with the next box near it.
+    box = F.struct("n", "index", "kind", "checked", "question")
+    row = "struct<question:string,index:int,oui_index:int,non_index:int,value:boolean>"
+    waiting = "array<struct<n:int,index:int,kind:string,checked:boolean,question:string>>"
+    start = F.struct(F.array().cast(waiting).alias("waiting"), F.array().cast(f"array<{row}>").alias("out"))
+
+    def step(state: Column, b: Column) -> Column:
+        near = F.filter(state["waiting"], lambda a: b["index"] - a["index"] <= NEAR)
+        mate = F.get(F.filter(near, lambda a: a["kind"] != b["kind"]), F.lit(0))
+        oui = lambda name: F.when(b["kind"] == "oui", b[name]).otherwise(mate[name])
+        non = lambda name: F.when(b["kind"] == "oui", mate[name]).otherwise(b[name])
+        value = F.when(oui("checked") & ~non("checked"), True).when(non("checked") & ~oui("checked"), False)
+        made = F.struct(mate["question"].alias("question"), mate["index"].alias("index"), oui("index").alias("oui_index"), non("index").alias("non_index"), value.alias("value"))
+        left = F.when(mate.isNull(), F.concat(near, F.array(b))).otherwise(F.filter(near, lambda a: a["n"] != mate["n"]))
+        return F.struct(left.cast(waiting).alias("waiting"), F.when(mate.isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(made.cast(row)))).alias("out"))
+
+    boxes_of = sides.groupBy(doc).agg(F.array_sort(F.collect_list(box.cast("struct<n:int,index:int,kind:string,checked:boolean,question:string>"))).alias("b"))
+    return boxes_of.select(doc, F.explode(F.aggregate("b", start, step, lambda state: state["out"])).alias("m")).select(doc, "m.*")
 
 
 def checkbox_tags(boxes: DataFrame, paired: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -109,22 +109,47 @@ def section_lines(lines: DataFrame, start: str, end: str | None) -> DataFrame:
     return below.join(last, "doc_id", "left").filter(F.col("_to").isNull() | (F.col("_at") < F.col("_to"))).drop("_at", "_bare", "_from", "_to")
 
 
-def label_places(lines: DataFrame, config: DataFrame) -> DataFrame:
-    """Places of configured fields: on the first line that holds one of a field's labels, beside its colon for inline fields, in
-    the next gap of at least min_gap below it for multiline ones. config: field, labels, type, min_gap; small, one row a field."""
-    flat = config.select("field", "type", F.coalesce("min_gap", F.lit(18.0)).alias("min_gap"), F.posexplode("labels").alias("label_ord", "label"))
-    w = Window.partitionBy(*KEY).orderBy("line")
-    near = lines.withColumn("below", F.collect_list("y").over(w.rowsBetween(1, 6)))
-    hits = near.join(F.broadcast(flat), F.lower("text").contains(F.lower("label")))
-    top = Window.partitionBy("doc_id", "field").orderBy("page", "line", "label_ord")
-    first = hits.withColumn("_n", F.row_number().over(top)).filter("_n = 1")
-    ys = F.concat(F.array("y"), F.col("below"))
-    wide = F.filter(F.sequence(F.lit(0), F.size(ys) - 2), lambda i: (F.size(ys) > 1) & (F.get(ys, i) - F.get(ys, i + 1) >= F.col("min_gap")))
-    i = F.get(wide, F.lit(0))
-    middle = (F.get(ys, i) + F.get(ys, i + 1)) / 2
-    colon = F.col("x") + F.col("width") * F.locate(":", F.col("text")) / F.length("text") + 8
-    multi = F.col("type") == "multiline"
-    return first.select("doc_id", "page", "field", "type", F.when(multi, F.lit(71.0)).otherwise(colon).alias("x"), F.when(multi, F.coalesce(middle, F.col("y") - F.col("min_gap"))).otherwise(F.col("y")).alias("y"))
+#: A line whose distance to the one above is below CONTINUES goes on with it; so many lines below a label are looked at. Text so
+#: near to a place takes it, and text of so near a line belongs to it. Multiline places begin at LEFT.
+CONTINUES, FOLLOWING, TAKEN, SAME_LINE, LEFT = 18.0, 5, 10.0, 5.0, 71.0
+
+
+def label_places(lines: DataFrame, config: DataFrame, boxes: DataFrame, page: int = 1, section: tuple[int, float, int] | None = None) -> DataFrame:
+    """One row for each document and configured field: doc_id, field, type, page, x, y; nulls where no place fits.
+
+    Inline fields: behind the colon of the first box with one on the first line that holds one of the field's labels. Others: for
+    each such line in turn, past the lines that go on with it, in the middle of the gap below, if it is at least min_gap (default
+    0) and no text is near. Labels match as written. Pages: the given one and the next, or those of section (first page, y that
+    lines must lie below on it, last page); the first page with a place counts.
+    lines, boxes: doc_id, page, x, y, width, text; config: field, labels, type, min_gap, a small table."""
+    first, last = (page, page + 1) if section is None else (section[0], section[2])
+    scope = lambda df: df.filter(F.col("page").between(first, last))
+    shown = scope(lines) if section is None else scope(lines).filter((F.col("page") != first) | (F.col("y") < section[1]))
+    texts = shown.groupBy(*KEY).agg(F.reverse(F.array_sort(F.collect_list(F.struct("y", "text")))).alias("ls"))
+    items = scope(boxes).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("x", "y", "width", "text"))).alias("els"))
+    # A row a page and field: config has a row a field.
+    pages = texts.join(items, [*KEY], "left").crossJoin(F.broadcast(config.select("field", "labels", "type", F.coalesce("min_gap", F.lit(0.0)).alias("min_gap"))))
+    at = lambda i: F.get("ls", i)
+    n = F.size("ls")
+    found = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.exists("labels", lambda label: F.contains(at(i)["text"], label)))
+    label_y = at(F.get(found, F.lit(0)))["y"]
+    colon = F.get(F.filter("els", lambda e: (F.abs(e["y"] - label_y) < SAME_LINE) & F.contains(e["text"], F.lit(":"))), F.lit(0))
+    inline = F.when(colon.isNotNull(), F.struct((colon["x"] + F.locate(":", colon["text"]) * colon["width"] / F.greatest(F.length(colon["text"]), F.lit(1)) + 8).alias("x"), colon["y"].alias("y")))
+
+    def below(i: Column) -> Column:
+        ks = F.sequence(i + 1, F.least(i + FOLLOWING, n - 1))
+        stop = F.get(F.filter(ks, lambda k: at(k - 1)["y"] - at(k)["y"] >= CONTINUES), F.lit(0))
+        end = F.coalesce(stop - 1, F.least(i + FOLLOWING, n - 1))
+        gap = at(end)["y"] - at(end + 1)["y"]
+        y = at(end + 1)["y"] + gap / 2
+        taken = F.coalesce(F.exists("els", lambda e: (F.abs(e["y"] - y) < TAKEN) & (F.trim(e["text"]) != "")), F.lit(False))
+        return F.when((i + 1 < n) & (end + 1 < n) & (gap >= F.col("min_gap")) & ~taken, F.struct(F.lit(LEFT).alias("x"), y.alias("y")))
+
+    multi = F.get(F.filter(F.transform(found, below), lambda p: p.isNotNull()), F.lit(0))
+    place = F.when(F.size(found) > 0, F.when(F.col("type") == "inline", inline).otherwise(multi))
+    best = pages.withColumn("place", place).groupBy("doc_id", "field", "type").agg(F.min(F.when(F.col("place").isNotNull(), F.struct("page", "place"))).alias("m"))
+    whole = lambda c: F.floor(c + 0.5).cast("double")
+    return best.select("doc_id", "field", "type", "m.page", whole(F.col("m.place.x")).alias("x"), whole(F.col("m.place.y")).alias("y"))
 
 
 def placements(matches: DataFrame, size: float = 9.0, least: float = 6.0, step: float = 1.2) -> DataFrame:

@@ -16,13 +16,50 @@ MIN_KEYWORD_SCORE = 5
 def keyword_candidates(tags: DataFrame, places: DataFrame, group: str, least: int = MIN_KEYWORD_SCORE) -> DataFrame:
     """(group, tag, ord, place, score) of the places whose words hold a tag's keywords; the score is the keywords' length, and 5
     more for a text that ends with a colon. Pairs meet on (group, word), so a group gives no pairs but those that share one.
-    tags: group, tag, ord, words array; places: group, place, text, words array."""
-    t = tags.select(group, "tag", "ord", F.explode(F.array_distinct("words")).alias("word"))
-    p = places.select(group, "place", F.col("text").endswith(":").alias("colon"), F.explode(F.array_distinct("words")).alias("word"))
-    scored = t.join(p, [group, "word"]).groupBy(group, "tag", "ord", "place").agg((F.sum(F.length("word")) + F.when(F.first("colon"), 5).otherwise(0)).alias("score"))
+    tags: group, tag, ord, words array; places: group, place, text, words array. Further columns count where both sides have them:
+    section (3 more where equal), is_cell (5 more where both are table cells), and label of tags with row_header of places (10 more
+    where the label holds the header's first 20 characters); places with has_tag are taken already."""
+    if "has_tag" in places.columns:
+        places = places.filter(~F.coalesce("has_tag", F.lit(False)))
+    more = {"section", "is_cell"} & {*tags.columns} & {*places.columns}
+    header = "label" in tags.columns and "row_header" in places.columns
+    own, other = [*sorted(more), *["label"] * header], [*sorted(more), *["row_header"] * header]
+    t = tags.select(group, "tag", "ord", *[F.col(c).alias(f"_t_{c}") for c in own], F.explode(F.array_distinct("words")).alias("word"))
+    p = places.select(group, "place", F.col("text").endswith(":").alias("colon"), *[F.col(c).alias(f"_p_{c}") for c in other], F.explode(F.array_distinct("words")).alias("word"))
+    extra = F.when(F.col("colon"), 5).otherwise(0)
+    if "section" in more:
+        extra = extra + F.when((F.col("_t_section") != "") & (F.col("_t_section") == F.col("_p_section")), 3).otherwise(0)
+    if "is_cell" in more:
+        extra = extra + F.when(F.col("_t_is_cell") & F.col("_p_is_cell"), 5).otherwise(0)
+    if header:
+        extra = extra + F.when((F.col("_p_row_header") != "") & F.contains(F.col("_t_label"), F.left("_p_row_header", F.lit(20))), 10).otherwise(0)
+    scored = t.join(p, [group, "word"]).groupBy(group, "tag", "ord", "place").agg((F.sum(F.length("word")) + F.first(extra)).alias("score"))
     return scored.filter(F.col("score") >= least)
 
 
+def cell_of_tag(tags: DataFrame, cells: DataFrame, doc: str = "doc_id", order: tuple[str, ...] = ("table_index", "row_index", "column_index")) -> DataFrame:
+    """tags (doc, tag) with the first cell whose array `tags` holds the tag; null places where none does."""
+    first = cells.select(doc, F.explode(F.array_distinct("tags")).alias("tag"), F.struct(*order).alias("_at")).groupBy(doc, "tag").agg(F.min("_at").alias("_at"))
+    return tags.join(first, [doc, "tag"], "left").select(*tags.columns, *[F.col("_at")[c].alias(c) for c in order])
+
+
+def paragraph_of_tag(found: DataFrame, paras: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """found (doc, tag, at, table_index, row_index, column_index) with paragraph_index: that of the paragraph in the tag's cell, else
+    of the one whose offsets hold `at`, else 0. paras: doc, index, start, end and the same cell columns."""
+    cell = ["table_index", "row_index", "column_index"]
+    by_cell = paras.filter("table_index is not null").groupBy(doc, *cell).agg(F.min("index").alias("_c"))
+    spans = paras.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("index", "start", "end"))).alias("_spans"))
+    inside = F.filter("_spans", lambda s: (s["start"] <= F.col("at")) & (F.col("at") < s["end"]))
+    joined = found.join(by_cell, [doc, *cell], "left").join(spans, doc, "left")
+    return joined.select(*[F.col(c) for c in found.columns], F.coalesce("_c", F.get(inside, F.lit(0))["index"], F.lit(0)).alias("paragraph_index"))
+
+
+def tags_by_cell(tags: DataFrame, doc: str = "doc_id", cell: tuple[str, ...] = ("table_index", "row_index", "column_index")) -> DataFrame:
+    """The tags of each cell in order; tags outside of cells are left out. tags: doc, cell, ord, tag."""
+    inside = tags.filter(" and ".join(f"{c} is not null" for c in cell))
+    return inside.groupBy(doc, *cell).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda x: x["tag"]).alias("tags"))
+
+
 def best_candidate(candidates: DataFrame, group: str) -> DataFrame:
     """The best place of each tag, first on ties; places may serve several tags."""
     best = F.max_by(F.struct("place", "score"), F.struct("score", -F.col("place")))
@@ -92,15 +129,19 @@ def split_cells(matches: DataFrame, group: str, place: str, cell: list[str]) ->
     return matches.groupBy(group, *cell).agg(F.count_distinct(place).alias("n_places")).filter("n_places > 1")
 
 
-def verify(expected: DataFrame, found: DataFrame, group: str, cell: list[str] = ("table_index", "row_index", "column_index")) -> DataFrame:
+def verify(expected: DataFrame, found: DataFrame, group: str, cell: list[str] = ("table_index", "row_index", "column_index"), cells: DataFrame | None = None) -> DataFrame:
     """status of each expected tag: missing, wrong_position, semantic_mismatch or ok. expected: group, tag, cell, label; found:
-    group, tag, cell, context; the first place of a tag counts."""
+    group, tag, cell, context; the first place of a tag counts. With cells (group, cell, text, has_tag) a tag that is missing from
+    a cell that has no tag and fewer than 5 characters is empty_cell."""
     f = found.groupBy(group, "tag").agg(F.min(F.struct("ord", *cell, "context")).alias("f"))
     joined = expected.join(f, [group, "tag"], "left")
-    off = F.lit(False)
+    off, empty = F.lit(False), F.lit(False)
     for c in cell:
         off = off | (F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col("f")[c]))
-    status = F.when(F.col("f").isNull(), "missing").when(off, "wrong_position").when(~context_matches(F.col("label"), F.col("f")["context"]), "semantic_mismatch").otherwise("ok")
+    if cells is not None:
+        free = cells.filter(~F.coalesce("has_tag", F.lit(False)) & (F.length(F.trim("text")) < 5)).select(group, *cell).distinct().withColumn("_free", F.lit(True))
+        joined, empty = joined.join(free, [group, *cell], "left"), F.col("_free").isNotNull()
+    status = F.when(F.col("f").isNull(), F.when(empty, "empty_cell").otherwise("missing")).when(off, "wrong_position").when(~context_matches(F.col("label"), F.col("f")["context"]), "semantic_mismatch").otherwise("ok")
     return joined.select(group, "tag", status.alias("status"))
 
 

@@ -171,3 +171,23 @@ def relative_tables(rows: DataFrame, doc: str, section: str, table: str = "table
     """Table and paragraph numbers within a section, from 0."""
     by = Window.partitionBy(doc, section)
     return rows.withColumn("relative_table", F.dense_rank().over(by.orderBy(table)) - 1).withColumn("relative_index", F.row_number().over(by.orderBy(order)) - 1)
+
+
+def table_stats(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """One row a table: doc, table_index, n_cells, n_rows, max_columns, has_merged (a cell spans columns), texts (the trimmed texts of
+    its cells that are not blank, in order). cells: doc, table_index, row_index, column_index, text, colspan."""
+    text = trim_all(F.coalesce("text", F.lit("")))
+    rows = cells.groupBy(doc, "table_index", "row_index").agg(F.count("*").alias("n"), F.bool_or(F.coalesce("colspan", F.lit(1)) > 1).alias("merged"), F.collect_list(F.struct("row_index", "column_index", text.alias("text"))).alias("texts"))
+    tables = rows.groupBy(doc, "table_index").agg(F.sum("n").alias("n_cells"), F.count("*").alias("n_rows"), F.max("n").alias("max_columns"), F.bool_or("merged").alias("has_merged"), F.array_sort(F.flatten(F.collect_list("texts"))).alias("texts"))
+    return tables.withColumn("texts", F.filter(F.transform("texts", lambda c: c["text"]), lambda x: x != ""))
+
+
+def first_run_style(runs: Column, style: str, any_text: bool = False) -> Column:
+    """The style field of the first run with text, of a paragraph; with any_text of the first run, as cells take it."""
+    return F.get(runs if any_text else F.filter(runs, lambda r: trim_all(F.coalesce(r["text"], F.lit(""))) != ""), F.lit(0))[style]
+
+
+def fields_by_kind(fields: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(text fields, checkbox fields) of rows with JSON values: booleans are checkboxes."""
+    flag = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(value))) == "BOOLEAN", F.lit(False))
+    return fields.filter(~flag), fields.filter(flag)

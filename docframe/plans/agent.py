@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.text import insertion_point, keywords
 from docframe.operators.matching import best_candidate, by_position, greedy_assignment, keyword_candidates, satisfaction
+from docframe.session import materialize
 
 MAX_ROUNDS, ENOUGH = 3, 80
 RESPONSE = "matches array<struct<tag:string,paragraphIndex:int,targetParagraphIndex:int,confidence:double,insertionPoint:string,reason:string>>"
@@ -85,10 +86,10 @@ def model_matcher(client: Callable[[str], object]) -> Matcher:
     return match
 
 
-def run_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, verify: Callable[[DataFrame], DataFrame], fallback: Matcher = semantic_matcher, max_rounds: int = MAX_ROUNDS, enough: int = ENOUGH, save: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+def run_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, verify: Callable[[DataFrame], DataFrame], fallback: Matcher = semantic_matcher, max_rounds: int = MAX_ROUNDS, enough: int = ENOUGH, save: Callable[[DataFrame], DataFrame] = lambda df: materialize(df, "round")) -> tuple[DataFrame, DataFrame]:
     """Matches and their percent of verified tags per document. verify: matches -> doc_id, tag, status. The loop ends when every
     document has enough, or after max_rounds; tags that the matcher leaves go to the fallback. save cuts the lineage of a
-    round, for instance by writing it."""
+    round, by writing it to the shared folder: a model is asked once a round, however often its answers are read."""
     done: DataFrame | None = None
     for _ in range(max_rounds):
         good = verify(done).filter("status in ('ok', 'semantic_mismatch')").select("doc_id", "tag") if done is not None else None

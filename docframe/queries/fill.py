@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.tags import flatten_to_tags, restyle
 from docframe.functions.text import checkbox_symbol, escape_xml
-from docframe.operators.fill import expand_loop, fill, fill_report
+from docframe.operators.fill import expand_loop, expand_loops, fill, fill_report
 from docframe.queries.registry import Tables, query
 
 LETTER = "<w:p><w:t>Order {{ORDER}} of {{NAME}} ({{SEGMENT}}): {{TOTAL}} {{NOTE}}</w:t></w:p>{#ITEMS}<w:p>{{LINE}}. {{PART}} x {{QTY}}</w:p>{/ITEMS}"
@@ -127,3 +127,42 @@ def config_merge(t: Tables) -> DataFrame:
 @query("escape_values", f"select n_nationkey, {_ESC.format(chr(39) + 'a&b<c>' + chr(39) + ' || n_name')} as v from nation")
 def escape_values(t: Tables) -> DataFrame:
     return t.nation.select("n_nationkey", escape_xml(F.concat(F.lit("a&b<c>"), "n_name")).alias("v"))
+
+
+@query(
+    "loop_repeated_block",
+    "select c_custkey, 'A:' || coalesce(string_agg('<o>' || o_orderkey || '</o>', '' order by o_orderkey), '') || ' B:' || coalesce(string_agg('<i>' || o_orderkey || '</i>', '' order by o_orderkey), '') || ' C:' || coalesce(string_agg('<o>' || o_orderkey || '</o>', '' order by o_orderkey), '') as xml from customer left join orders on o_custkey = c_custkey group by 1",
+)
+def loop_repeated_block(t: Tables) -> DataFrame:
+    """Several blocks of one name, two of them alike."""
+    items = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("key")))).alias("items"))
+    rows = t.customer.join(items, F.col("c_custkey") == F.col("o_custkey"), "left")
+    template = F.lit("A:{#ORDERS}<o>{{KEY}}</o>{/ORDERS} B:{#orders}<i>{{KEY}}</i>{/orders} C:{#ORDERS}<o>{{KEY}}</o>{/ORDERS}")
+    return rows.select("c_custkey", expand_loop(template, "ORDERS", F.col("items"), ["key"]).alias("xml"))
+
+
+def _nation_data(t: Tables) -> DataFrame:
+    """Nations with a JSON object of arrays at several depths, under keys of several cases."""
+    listed = F.array(*[F.struct(F.concat(F.lit(f"n{i} & "), F.col("n_name")).alias("Name"), (F.col("n_nationkey") % 2 == i).alias("ok")) for i in range(2)])
+    data = F.struct(
+        listed.alias("ITEMS"), F.array("n_nationkey").alias("keys"), F.array().cast("array<string>").alias("none"), F.struct(F.struct(listed.alias("lines")).alias("Order")).alias("Shop"), F.lit("[1]").alias("text"), F.col("n_name").alias("name")
+    )
+    return t.nation.select("n_nationkey", "n_name", F.to_json(data).alias("data"))
+
+
+_LISTED = "'n0 &amp; ' || n_name || '=' || case when n_nationkey % 2 = 0 then '☑' else '☐' end || ';n1 &amp; ' || n_name || '=' || case when n_nationkey % 2 = 1 then '☑' else '☐' end || ';'"
+
+
+@query("loop_lookup_paths", f"select n_nationkey, 'a ' || {_LISTED} || ' b k;' || ' c ' || {_LISTED} || ' d  e  f ' as xml from nation")
+def loop_lookup_paths(t: Tables) -> DataFrame:
+    """Arrays by the key as written, in lower case, by a path in any case; an empty array, a missing one and a text that looks
+    like one."""
+    line = "{{NAME}}={{ok}};"
+    template = f"a {{#ITEMS}}{line}{{/ITEMS}} b {{#KEYS}}k;{{/KEYS}} c {{#SHOP_ORDER_LINES}}{line}{{/SHOP_ORDER_LINES}} d {{#NONE}}x{{/NONE}} e {{#MISSING_ONE}}x{{/MISSING_ONE}} f {{#TEXT}}x{{/TEXT}}"
+    return _nation_data(t).select("n_nationkey", expand_loops(F.lit(template), F.col("data")).alias("xml"))
+
+
+@query("loop_nested", "select n_nationkey, '<n0 &amp; ' || n_name || ':k;>' || '<n1 &amp; ' || n_name || ':k;>' as xml from nation")
+def loop_nested(t: Tables) -> DataFrame:
+    """An inner block takes its array from the whole object, not from the outer item."""
+    return _nation_data(t).select("n_nationkey", expand_loops(F.lit("{#ITEMS}<{{NAME}}:{#KEYS}k;{/KEYS}>{/ITEMS}"), F.col("data")).alias("xml"))

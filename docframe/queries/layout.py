@@ -83,10 +83,23 @@ def pdf_tag_places(t: Tables) -> DataFrame:
     return L.tag_places(lines).select("doc_id", "tag", "x")
 
 
-@query("pdf_label_places")
+_FIRST_SQL = "select doc_id, line, index, x, y, width, text, row_number() over (partition by doc_id order by line, x, index) as n from boxes where contains(text, ':') and line in (select min(nr) from lines l where l.doc_id = boxes.doc_id and (contains(l.text, 'w1') or contains(l.text, 'w2')))"
+
+
+@query(
+    "pdf_label_places",
+    f"""with {_BOX_SQL}, {_TEXT_SQL}, ids as (select distinct doc_id from lines), hit as ({_FIRST_SQL}),
+        a as (select i.doc_id, 'first' as field, 'inline' as type, case when x is not null then 1 end as page, floor(x + instr(text, ':') * width / length(text) + 8 + 0.5) as x, floor(y + 0.5) as y from ids i left join (select * from hit where n = 1) using (doc_id)),
+        ranked as (select *, lead(y) over (partition by doc_id order by y desc) as nexty from lines),
+        fits as (select doc_id, max(y) as y, arg_max((y + nexty) / 2, y) as mid from ranked where contains(text, 'w3') and nexty is not null and y - nexty >= 30 group by 1),
+        b as (select i.doc_id, 'block' as field, 'multiline' as type, case when mid is not null then 1 end as page, case when mid is not null then 71.0 end as x, floor(mid + 0.5) as y from ids i left join fits using (doc_id))
+        select * from a union all select * from b""",
+)
 def pdf_label_places(t: Tables) -> DataFrame:
-    config = t.spark.createDataFrame([("first", ["w1", "w2"], "inline", None), ("block", ["w3"], "multiline", 18.0)], "field string, labels array<string>, type string, min_gap double")
-    return L.label_places(L.group_lines(boxes(t)), config)
+    """Lines lie 20 apart, so none goes on with another; only where line numbers are left out is a gap of 30 or more."""
+    config = t.spark.createDataFrame([("first", ["w1", "w2"], "inline", None), ("block", ["w3"], "multiline", 30.0)], "field string, labels array<string>, type string, min_gap double")
+    found = boxes(t)
+    return L.label_places(L.group_lines(found), config, found)
 
 
 @query("pdf_placements")

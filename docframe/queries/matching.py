@@ -25,7 +25,7 @@ def _places(t: Tables) -> DataFrame:
 
 
 _CANDIDATES = f"""tags as (select p_brand as brand, p_partkey as tag, unnest({_WORDS.format('p_name')}) as word from part),
-    texts as (select p_brand as brand, p_partkey as place, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part where p_size % 4 < 2),
+    texts as (select p_brand as brand, p_partkey as place, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part),
     places as (select brand, place, ends_with(text, ':') as colon, unnest({_WORDS.format('text')}) as word from texts),
     candidates as (select brand, tag, place, sum(length(word)) + case when any_value(colon) then 5 else 0 end as score from tags join places using (brand, word) group by all having score >= 5)"""
 
@@ -36,9 +36,7 @@ def _best(t: Tables, places: DataFrame) -> DataFrame:
 
 @query("keyword_best_candidate", f"with {_CANDIDATES}, r as (select *, row_number() over (partition by brand, tag order by score desc, place) as n from candidates) select brand, tag, place, score from r where n = 1")
 def keyword_best_candidate(t: Tables) -> DataFrame:
-    """Over the places that its SQL names, part of all; keyword_best_candidate_all takes them all."""
-    half = _places(t).join(t.part.filter("p_size % 4 < 2").select(F.col("p_partkey").alias("place")), "place", "left_semi")
-    return _best(t, half)
+    return _best(t, _places(t))
 
 
 @query("keyword_best_candidate_all")
@@ -46,6 +44,76 @@ def keyword_best_candidate_all(t: Tables) -> DataFrame:
     return _best(t, _places(t))
 
 
+@query(
+    "keyword_candidates_bonus",
+    f"""with tags as (select p_brand as brand, p_partkey as tag, p_size % 3 as section, p_size % 2 = 1 as is_cell, p_name as label, unnest({_WORDS.format('p_name')}) as word from part),
+        texts as (select p_brand as brand, p_partkey as place, p_size % 3 as section, p_partkey % 2 = 1 as is_cell, split_part(p_name, ' ', 1) as header, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part where p_partkey % 7 <> 0),
+        places as (select brand, place, section, is_cell, header, ends_with(text, ':') as colon, unnest({_WORDS.format('text')}) as word from texts),
+        c as (select brand, tag, place, sum(length(word)) + any_value(case when colon then 5 else 0 end + case when tags.section = places.section then 3 else 0 end + case when tags.is_cell and places.is_cell then 5 else 0 end + case when contains(label, left(header, 20)) then 10 else 0 end) as score
+          from tags join places using (brand, word) group by all having score >= 5),
+        r as (select *, row_number() over (partition by brand, tag order by score desc, place) as n from c) select brand, tag, place, score from r where n = 1""",
+)
+def keyword_candidates_bonus(t: Tables) -> DataFrame:
+    """Every seventh part holds a tag already and is no place."""
+    section = (F.col("p_size") % 3).cast("string")
+    tags = _tags(t).join(t.part.select(F.col("p_partkey").alias("tag"), section.alias("section"), (F.col("p_size") % 2 == 1).alias("is_cell"), F.col("p_name").alias("label")), "tag")
+    facts = t.part.select(F.col("p_partkey").alias("place"), section.alias("section"), (F.col("p_partkey") % 2 == 1).alias("is_cell"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("row_header"), (F.col("p_partkey") % 7 == 0).alias("has_tag"))
+    found = M.best_candidate(M.keyword_candidates(tags, _places(t).join(facts, "place"), "brand"), "brand")
+    return found.select("brand", "tag", "place", F.col("score").cast("long").alias("score"))
+
+
+_GRID = "g as (select l_orderkey as doc_id, l_linenumber % 2 as table_index, l_linenumber % 3 as row_index, l_partkey % 4 as column_index, l_suppkey % 5 as tag, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as ord from lineitem)"
+
+
+def _grid(t: Tables) -> DataFrame:
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return t.lineitem.select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 2).alias("table_index"), (F.col("l_linenumber") % 3).alias("row_index"), (F.col("l_partkey") % 4).alias("column_index"), (F.col("l_suppkey") % 5).alias("tag"), F.row_number().over(w).alias("ord"))
+
+
+@query("tag_first_cell", f"with {_GRID}, f as (select doc_id, tag, min((table_index, row_index, column_index)) as c from g group by all), o as (select o_orderkey as doc_id, k as tag from orders, (select unnest([0, 1, 2, 3, 4, 5]) as k)) select o.doc_id, o.tag, c[1] as table_index, c[2] as row_index, c[3] as column_index from o left join f using (doc_id, tag)")
+def tag_first_cell(t: Tables) -> DataFrame:
+    cells = _grid(t).groupBy("doc_id", "table_index", "row_index", "column_index").agg(F.collect_list("tag").alias("tags"))
+    tags = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(*[F.lit(k).cast("long") for k in range(6)])).alias("tag"))
+    return M.cell_of_tag(tags, cells)
+
+
+@query("tags_by_cell", f"with {_GRID} select doc_id, table_index, row_index, column_index, string_agg(tag, ',' order by ord) as tags from g group by all")
+def tags_by_cell(t: Tables) -> DataFrame:
+    return M.tags_by_cell(_grid(t)).withColumn("tags", F.array_join(F.transform("tags", lambda x: x.cast("string")), ","))
+
+
+@query(
+    "tag_paragraph",
+    """with p as (select n_regionkey as doc_id, row_number() over (partition by n_regionkey order by n_nationkey) - 1 as index, n_nationkey from nation)
+       select p.doc_id, n_nationkey as tag, case when n_nationkey % 3 = 0 then coalesce((select min(q.index) from p q where q.doc_id = p.doc_id and q.index % 2 = 1 and q.index = p.index), p.index) when n_nationkey % 3 = 1 then p.index else 0 end as paragraph_index from p""",
+)
+def tag_paragraph(t: Tables) -> DataFrame:
+    """Tags of every third nation name a cell, those of the next an offset inside, the last lie behind all paragraphs."""
+    from pyspark.sql import Window
+
+    rows = t.nation.select(F.col("n_regionkey").alias("doc_id"), (F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1).alias("index"), "n_nationkey")
+    cell = F.when(F.col("index") % 2 == 1, F.col("index"))
+    paras = rows.select("doc_id", "index", (10 * F.col("index")).alias("start"), (10 * F.col("index") + 10).alias("end"), cell.alias("table_index"), cell.alias("row_index"), cell.alias("column_index"))
+    kind = F.col("n_nationkey") % 3
+    named = F.when(kind == 0, F.col("index"))
+    at = F.when(kind == 2, F.lit(10_000)).otherwise(10 * F.col("index") + 9)
+    found = rows.select("doc_id", F.col("n_nationkey").alias("tag"), at.alias("at"), named.alias("table_index"), named.alias("row_index"), named.alias("column_index"))
+    return M.paragraph_of_tag(found, paras).select("doc_id", "tag", "paragraph_index")
+
+
+@query("verify_empty_cells", "select n_nationkey as doc_id, n_name as tag, case n_nationkey % 4 when 0 then 'ok' when 1 then 'empty_cell' else 'missing' end as status from nation")
+def verify_empty_cells(t: Tables) -> DataFrame:
+    """Missing tags whose cell is empty, is full, or does not exist."""
+    k = F.col("n_nationkey") % 4
+    at = [F.lit(i).alias(c) for i, c in enumerate(("table_index", "row_index", "column_index"))]
+    expected = t.nation.select(F.col("n_nationkey").alias("doc_id"), F.col("n_name").alias("tag"), *at, F.lit("").alias("label"))
+    found = t.nation.filter(k == 0).select(F.col("n_nationkey").alias("doc_id"), F.col("n_name").alias("tag"), F.lit(0).alias("ord"), *at, F.lit("").alias("context"))
+    cells = t.nation.filter(k < 3).select(F.col("n_nationkey").alias("doc_id"), *at, F.when(k == 1, " -  ").otherwise("full of text").alias("text"), F.lit(False).alias("has_tag"))
+    return M.verify(expected, found, "doc_id", cells=cells)
+
+
 @query("keyword_greedy_assignment")
 def keyword_greedy_assignment(t: Tables) -> DataFrame:
     return M.greedy_assignment(M.keyword_candidates(_tags(t), _places(t), "brand"), "brand")

@@ -270,3 +270,33 @@ def xml_readings(t: Tables) -> DataFrame:
     xml = F.concat(F.lit("<w:tc><w:t>"), "n_name", F.lit("</w:t><w:b/><w:t>x</w:t></w:tc>"))
     field = F.concat(F.lit("<w:t>"), "n_name", F.lit("</w:t><w:instrText>FORM</w:instrText><w:t>x</w:t>"))
     return t.nation.select("n_nationkey", X.cell_text(xml).alias("cell"), F.regexp_replace(X.field_text(field), " FORMCHECKBOX x$", "FORMCHECKBOX x").alias("field"))
+
+
+@query(
+    "table_stats",
+    """with c as (select l_orderkey as doc_id, l_suppkey % 2 as table_index, l_linenumber as row_index, case when l_partkey % 3 = 0 then ' ' else ' p' || l_partkey || ' ' end as text, case when l_quantity > 45 then 2 else 1 end as colspan from lineitem),
+       r as (select doc_id, table_index, row_index, count(*) as n, max(colspan) as m from c group by all),
+       x as (select doc_id, table_index, string_agg(trim(text), ',' order by row_index, trim(text)) filter (trim(text) <> '') as texts from c group by all)
+       select doc_id, table_index, sum(n) as n_cells, count(*) as n_rows, max(n) as max_columns, max(m) > 1 as has_merged, coalesce(any_value(texts), '') as texts from r join x using (doc_id, table_index) group by all""",
+)
+def table_stats(t: Tables) -> DataFrame:
+    text = F.when(F.col("l_partkey") % 3 == 0, " ").otherwise(F.concat(F.lit(" p"), F.col("l_partkey").cast("string"), F.lit(" ")))
+    cells = t.lineitem.select(F.col("l_orderkey").alias("doc_id"), (F.col("l_suppkey") % 2).alias("table_index"), F.col("l_linenumber").alias("row_index"), F.lit(0).alias("column_index"), text.alias("text"), F.when(F.col("l_quantity") > 45, 2).otherwise(1).alias("colspan"))
+    return S.table_stats(cells).withColumn("texts", F.array_join("texts", ","))
+
+
+@query("first_run_styles", "select n_nationkey, case when n_regionkey = 0 then 'second' when n_regionkey = 1 then null else 'first' end as paragraph_style, 'first' as cell_style from nation")
+def first_run_styles(t: Tables) -> DataFrame:
+    """The first run is blank in one region, all runs in another."""
+    first = F.when(F.col("n_regionkey") < 2, " ").otherwise(F.col("n_name"))
+    second = F.when(F.col("n_regionkey") == 1, "").otherwise(F.col("n_name"))
+    runs = F.array(F.struct(first.alias("text"), F.lit("first").alias("style")), F.struct(second.alias("text"), F.lit("second").alias("style")))
+    return t.nation.select("n_nationkey", S.first_run_style(runs, "style").alias("paragraph_style"), S.first_run_style(runs, "style", True).alias("cell_style"))
+
+
+@query("fields_by_kind", "select event_id, case when event_id % 4 in (0, 1) then 'checkbox' else 'text' end as kind from events")
+def fields_by_kind(t: Tables) -> DataFrame:
+    k = F.col("event_id") % 4
+    value = F.when(k == 0, "true").when(k == 1, "false").when(k == 2, '"true"').otherwise("{broken")
+    texts, boxes = S.fields_by_kind(t.events.select("event_id", value.alias("value")))
+    return texts.select("event_id", F.lit("text").alias("kind")).unionByName(boxes.select("event_id", F.lit("checkbox").alias("kind")))

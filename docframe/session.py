@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -43,3 +46,25 @@ def ship_package(spark: SparkSession) -> None:
     Path(target).write_bytes(buffer.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where that is unset on a local master (tests), a temporary one, set for the session."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
+    if conf:
+        return conf.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    made = tempfile.mkdtemp(prefix="docframe-shared-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
+    return f"file://{made}"
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends there, and losing an executor costs nothing."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/docframe/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

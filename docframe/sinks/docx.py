@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,15 +24,21 @@ def replace_body(content: bytes, xml: str) -> bytes:
 
 
 def rezip(documents: DataFrame) -> DataFrame:
-    """path, content of rows (path, content, xml); rows without XML keep their content."""
+    """path, content, error of rows (path, content, xml); rows without XML keep their content. A file that cannot be read has no
+    content, and its error says why."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            content = [replace_body(c, x) if isinstance(x, str) else c for c, x in zip(f["content"], f["xml"], strict=True)]
-            yield pd.DataFrame({"path": f["path"], "content": content})
+            rows = []
+            for path, content, xml in zip(f["path"], f["content"], f["xml"], strict=True):
+                try:
+                    rows.append((path, replace_body(content, xml) if isinstance(xml, str) else content, None))
+                except (zipfile.BadZipFile, ValueError, OSError, TypeError, zlib.error, RuntimeError) as e:
+                    rows.append((path, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["path", "content", "error"])
 
     ship_package(documents.sparkSession)
-    return documents.select("path", "content", "xml").mapInPandas(run, "path string, content binary")
+    return documents.select("path", "content", "xml").mapInPandas(run, "path string, content binary, error string")
 
 
 def output_name(path: Column, suffix: str = "_FILLED") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,7 +48,7 @@ def unzip(files: DataFrame, with_defragment: bool = True) -> DataFrame:
                         part = lambda n: z.read(n).decode("utf-8", "replace") if n in names else None  # noqa: B023, E731
                         xml = part(BODY)
                         rows.append((path, defragment(xml) if with_defragment else xml, part(CORE), part(APP), None))
-                except (zipfile.BadZipFile, ValueError, OSError, TypeError) as e:
+                except (zipfile.BadZipFile, ValueError, OSError, TypeError, zlib.error, RuntimeError) as e:
                     rows.append((path, None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", "xml", "core", "app", "error"])
 
