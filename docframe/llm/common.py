@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import TypeVar
@@ -15,31 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docframe.session import ship_package
+from docframe.session import materialize, ship_package
+
+__all__ = ["arrow_map", "column", "documents", "gapless", "held", "keep_rows", "materialize", "packed", "text_or_empty"]
 
 #: Rows and bytes of one Arrow batch: whole texts can be long, so the bytes cut batches of texts, the rows those of numbers.
 BATCH_ROWS, BATCH_BYTES = 16384, 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a temporary folder, set for the session."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
-    if conf:
-        return conf.rstrip("/")
-    made = tempfile.mkdtemp(prefix="docframe-shared-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
-    return f"file://{made}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and losing an executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docframe/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 T = TypeVar("T")
 _HELD: dict[str, object] = {}
 
@@ -62,11 +41,15 @@ def _release(keeps: str | None) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: str | None = None) -> DataFrame:
-    """mapInArrow with bounded batches, the package shipped to the executors. keeps: the name of the table that fn has held."""
+    """mapInArrow with bounded batches, the package shipped to the executors. keeps: the name of the table that fn has held.
+
+    The session's limits of a batch are lowered to these bounds, for a plan reads them when it runs; lower ones stay."""
     spark = df.sparkSession
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}").removesuffix("b").removesuffix("B")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _release(keeps)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from docframe.llm import bpe, html_text, packing, quality, sharding, toxicity, wordpiece
-from docframe.llm.queries import op3_quality, op6_toxicity, op8_sharding, op9_packing, op10_bpe
+from docframe.llm.queries import op3_quality, op4_token_counts, op6_toxicity, op8_sharding, op9_packing, op10_bpe
 from tests.llm.helpers import DOCS, clashing, odd_docs
 
 PATH = bpe.vocabulary_path()
@@ -99,9 +99,34 @@ def test_quality_keeps_null_ids_and_repeated_rows(spark):
     assert clean == Counter((i, t.split("\n")[0]) for i, t, *_ in rows)
 
 
-def test_op3_keeps_what_passes(spark, sf):
-    got = op3_quality(spark, sf).collect()
+def plain_verdicts(rows, min_docs, share, min_left):
+    """(doc_id, counts, base_failed, kept, removed_chars, n_removed_lines) of rows (doc_id, text, source)."""
+    trim = lambda line: line.lower().strip(" \t\r\x0b\x0c")
+    docs, sizes = {}, Counter()
+    for _, text, host in rows:
+        sizes[host or ""] += 1
+        for line in {trim(x) for x in (text or "").split("\n")} - {""}:
+            docs.setdefault((host or "", line), set()).add(text or "")
+    common = {k for k, texts in docs.items() if len(texts) > max(min_docs, share * sizes[k[0]])}
+    out = Counter()
+    for i, text, host in rows:
+        counts = plain_counts(text)
+        gone = [x for x in map(trim, (text or "").split("\n")) if (host or "", x) in common]
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        chars = sum(map(len, gone))
+        depleted = chars > 0 and chars > (1 - min_left) * (counts[1] + counts[0])
+        out[(i, *counts, failed, not failed and not depleted, chars, len(gone))] += 1
+    return out
+
+
+def test_op3_against_plain_python(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_chars", "n_removed_lines"]
+    got = op3_quality(spark, sf).select(*names).collect()
+    assert Counter(tuple(r) for r in got) == plain_verdicts(rows, quality.MIN_DOCS, quality.DOC_SHARE, quality.MIN_LEFT)
     assert sum(r["kept"] for r in got) > 0.8 * sum(not r["base_failed"] for r in got)
+    few = quality.quality(spark.read.parquet(f"{sf}/documents.parquet"), min_docs=2).select(*names).collect()
+    assert Counter(tuple(r) for r in few) == plain_verdicts(rows, 2, quality.DOC_SHARE, quality.MIN_LEFT)
 
 
 def pieces(rnd, letters, n):
@@ -131,6 +156,28 @@ def test_token_counts_odd_rows(spark):
     assert wordpiece.token_counts(spark.createDataFrame([], DOCS), path).count() == 0
 
 
+def test_op4_against_plain_matching(spark, sf):
+    vocabulary = set(wordpiece.vocabulary(bpe.vocabulary_path(wordpiece.VOCABULARY)))
+    longest = max(map(len, vocabulary))
+    known = {}
+
+    def pieces_in(word):
+        text, at, n = "▁" + word, 0, 0
+        while at < len(text):
+            size = next((k for k in range(min(longest, len(text) - at), 0, -1) if text[at : at + k] in vocabulary), 0)
+            if not size:
+                return None
+            at, n = at + size, n + 1
+        return n
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    for r in op4_token_counts(spark, sf).collect():
+        words = (texts[r["doc_id"]] or "").split()
+        known.update((w, pieces_in(w)) for w in {*words} - {*known})
+        each = [known[w] for w in words]
+        assert (r["n_words"], r["n_tokens"], r["n_unknown"]) == (len(each), sum(1 if n is None else n for n in each), each.count(None))
+
+
 ODD = ["", " ", "<|endoftext|>hi <|STARTOFTEXT|>", "ΑΣ ΟΔΟΣ Σ", "İstanbul ǅ ﬁ", "a\x1cb\x1fc d\x85e᠎f", "don't we'll I'M ''s", "１２3½ ²", "日本語🎉👩‍👩‍👧", "x" * 5000, "ab" * 3000, "<|endoftext|><|endoftext|>", "</w> a</w>b", "﻿x​y"]
 
 
@@ -179,6 +226,18 @@ def test_op10_against_the_library(spark, sf, library):
         ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_small_tables_of_pieces_and_shipped_automaton(library, monkeypatch, tmp_path):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "_CHUNK", 40)
+    monkeypatch.setattr(bpe, "_CELLS", 10)
+    bpe.Codec(PATH).automaton.save(str(tmp_path / "a.npz"))
+    c = bpe.Codec(PATH, bpe.Automaton.load(str(tmp_path / "a.npz")))
+    texts = [*ODD, *("some words, of text again; and more of them " * k for k in range(6))]
+    for text, raw in zip(texts, c.encode_many(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def check_pack(rows, ids_of, capacity=4096):
@@ -260,10 +319,26 @@ def test_reshard_odd_rows(spark, change):
 
 def test_op8_sizes_and_rewrite(spark, sf, tmp_path):
     placed = op8_sharding(spark, sf)
-    sizes = Counter()
+    texts = {r["doc_id"]: (r["text"], r["source"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    sizes, slots, moved = Counter(), {}, 0
     for r in placed.collect():
+        text, source = texts[r["doc_id"]]
+        assert (r["size"], r["text_crc32"]) == (len((text or "").encode()) + 1, zlib.crc32((text or "").encode()))
+        assert r["old_shard"] == zlib.crc32((source or "").encode()) % 8
+        assert r["moved"] == (r["shard"] != r["old_shard"])
         sizes[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        moved += r["size"] * r["moved"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(sizes.values()) < 1.05 * min(sizes.values())
+    # What must move at least: what the old shards have beyond an equal part. Blocks go whole, so a little more may move.
+    old = Counter()
+    for text, source in texts.values():
+        old[zlib.crc32((source or "").encode()) % 8] += len((text or "").encode()) + 1
+    part = sum(old.values()) / 8
+    least = sum(max(0, v - part) for v in old.values())
+    assert least <= moved + 8 * max(len((t or "").encode()) + 1 for t, _ in texts.values())
+    assert moved <= 1.05 * least + 8 * max(len((t or "").encode()) + 1 for t, _ in texts.values())
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     affected = sharding.rewrite(docs, placed, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
@@ -351,6 +426,34 @@ def test_toxicity_odd_rows(spark):
         assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_boosted_tree_against_all_splits():
+    rnd = np.random.default_rng(3)
+    x = np.round(rnd.random((60, 3)), 1)
+    y = (x[:, 1] + 0.3 * rnd.random(60) > 0.6).astype(int)
+    model = toxicity.Boosted(x, y, rounds=1, depth=1, bins=60, least=5, ridge=1.0)
+    base = y.mean()
+    g, h = y - base, np.full(60, base * (1 - base))
+    score = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1.0)
+    best = max((score(x[:, f] <= t) + score(x[:, f] > t) for f in range(3) for t in np.unique(x[:, f]) if 5 <= (x[:, f] <= t).sum() <= 55), default=0)
+    left = model._apply(model.trees[0], model._bin(x))
+    sides = [left == v for v in np.unique(left)]
+    assert len(sides) == 2
+    assert abs(sum(map(score, sides)) - best) < 1e-9
+    assert all(abs(left[m][0] - g[m].sum() / (h[m].sum() + 1.0)) < 1e-9 for m in sides)
+
+
+def test_features_of_a_text():
+    row = dict(zip(toxicity.FEATURES, toxicity.feature_row("You IDIOT!!! st0pid b.a.d.x thing", toxicity.Lexicon({"=idiot": 2.0, "^stop": 1.0})), strict=True))
+    n = 9  # you idiot st pid b a d x thing
+    assert row["log_words"] == pytest.approx(np.log1p(n))
+    assert row["insults"] == row["terms"] == pytest.approx(1 / n)
+    assert row["near_second"] == pytest.approx(1 / n)
+    assert row["exclaims"] == pytest.approx(3 / n)
+    assert row["obfuscated"] == pytest.approx(2 / n)
+    assert row["obfuscated_hits"] == pytest.approx(1 / n)  # stopid
+    assert row["capitals"] == pytest.approx(6 / 22)
+
+
 def test_isotonic_rises():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 1, 0, 1]))
     assert (np.diff(x) >= 0).all()
