@@ -37,8 +37,8 @@ from docframe.llm.common import arrow_map, column, held, materialize
 WINDOW, GRAM = 200, 80
 #: Window starts that a worker looks at in one go; suffixes that it sorts in one go, and bytes that they come from.
 _BLOCK, _SORT, _SORT_BYTES = 1 << 18, 1 << 17, 2 << 20
-#: Window starts of an anchor beyond which it is dealt out in parts of about that size.
-HOT = 1 << 15
+#: Window starts of an anchor beyond which it is dealt out, and of the parts that it is dealt out in.
+HOT, PART = 1 << 15, 1 << 11
 _POWERS = "powers"
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -460,7 +460,7 @@ def repeated_starts(base: DataFrame, hot: int = HOT) -> DataFrame:
     met = materialize(arrow_map(rows.repartition("k").sortWithinPartitions("k", "c", "d"), _meet, "k long, row long, s long, n int, kind int"), "met")
     going = met.filter(F.col("kind") != _KIND_DONE)
     # At most as many anchors as all window starts hold `hot`; written, so that the join knows their size.
-    heavy = materialize(going.groupBy("k").agg(F.sum("n").alias("w")).filter(F.col("w") > hot).select(F.col("k").alias("hk"), F.ceil(F.col("w") / hot).cast("int").alias("parts")), "hot")
+    heavy = materialize(going.groupBy("k").agg(F.sum("n").alias("w")).filter(F.col("w") > hot).select(F.col("k").alias("hk"), F.ceil(F.col("w") / min(hot, PART)).cast("int").alias("parts")), "hot")
     needs = going.join(heavy, F.col("k") == F.col("hk"), "left").groupBy("row").agg(F.collect_set(F.struct("k", "s", "n", "kind", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("needs"))
     fetched = arrow_map(base.join(needs, "row").select("row", "text", "needs"), _fetch, _FETCHED, _POWERS)
     resolved = arrow_map(fetched.repartition("k", "part").sortWithinPartitions("k", "part"), _resolve, "row long, s long, n int", _POWERS)
