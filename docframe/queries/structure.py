@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions import xml as X
 from docframe.operators import structure as S
+from docframe.operators import segments as G
 from docframe.operators.segments import MIN_SEGMENT, best_segments, buyer_name, content_flags, document_type, long_words, merge_small, relevance, section_of, strategy
 from docframe.queries.registry import Tables, query
 from docframe.sources.pages import html_elements
@@ -300,3 +301,46 @@ def fields_by_kind(t: Tables) -> DataFrame:
     value = F.when(k == 0, "true").when(k == 1, "false").when(k == 2, '"true"').otherwise("{broken")
     texts, boxes = S.fields_by_kind(t.events.select("event_id", value.alias("value")))
     return texts.select("event_id", F.lit("text").alias("kind")).unionByName(boxes.select("event_id", F.lit("checkbox").alias("kind")))
+
+
+_PIECE = "n_name || ' part ' || i || ' is long enough to be a segment of its own, {{T' || i || '}}'"
+
+
+def _paged(t: Tables, n: int, sections: bool) -> DataFrame:
+    """Documents of n pages of a paragraph each; with sections each announces one."""
+    title = lambda i: F.lit(f"{chr(65 + i)} - Objet : ") if sections else F.lit("")
+    page = lambda i: F.concat(F.lit("<w:p><w:r><w:t>"), title(i), F.col("n_name"), F.lit(f" part {i} is long enough to be a segment of its own, {{{{T{i}}}}}</w:t></w:r></w:p>"))
+    return t.nation.select(F.col("n_nationkey").alias("doc_id"), F.concat_ws("" if sections else '<w:br w:type="page"/>', *map(page, range(n))).alias("xml"))
+
+
+@query("segments_of_pages", f"select n_nationkey as doc_id, 'page' as type, i as ord, {_PIECE} as text, 'T' || i as tags, 20 as relevance from nation, (select unnest([0, 1, 2, 3]) as i)")
+def segments_of_pages(t: Tables) -> DataFrame:
+    return G.segment(_paged(t, 4, False)).select("doc_id", "type", "ord", F.trim("text").alias("text"), F.array_join("tags", ",").alias("tags"), "relevance")
+
+
+@query("segments_of_sections", f"select n_nationkey as doc_id, 'section' as type, chr(65 + i::int) as letter, chr(65 + i::int) || ' - Objet : ' || {_PIECE} as text from nation, (select unnest([0, 1, 2]) as i)")
+def segments_of_sections(t: Tables) -> DataFrame:
+    return G.segment(_paged(t, 3, True)).select("doc_id", "type", F.col("section.letter").alias("letter"), F.trim("text").alias("text"))
+
+
+@query("segment_totals", "select n_nationkey as doc_id, 4 as segments, 4 as with_tags, 4 as tags, 4 as paragraphs, 4 as relevant from nation")
+def segment_totals(t: Tables) -> DataFrame:
+    found = G.segment(_paged(t, 4, False))
+    some = G.relevant(found, only_with_tags=True).groupBy("doc_id").agg(F.count("*").alias("relevant"))
+    return G.segment_stats(found).join(some, "doc_id")
+
+
+@query(
+    "extracted_elements",
+    """select n_nationkey as doc_id, case n_nationkey % 3 when 0 then 'heading' when 1 then 'list' else 'paragraph' end as kind, case n_nationkey % 3 when 0 then 1 + n_regionkey when 1 then 2 end as level, case when n_nationkey % 3 = 0 then 'heading' || (1 + n_regionkey) end as style,
+       n_nationkey % 3 = 1 as ordered, case when n_nationkey % 3 = 1 then n_nationkey end as number from nation""",
+)
+def extracted_elements(t: Tables) -> DataFrame:
+    """Paragraphs as headings, list items and plain ones, with their level and number."""
+    k, key = F.col("n_nationkey") % 3, F.col("n_nationkey").cast("string")
+    style = F.when(k == 0, F.concat(F.lit('<w:pPr><w:pStyle w:val="Heading'), (1 + F.col("n_regionkey")).cast("string"), F.lit('"/></w:pPr>'))).when(k == 1, '<w:pPr><w:numPr><w:ilvl w:val="1"/><w:numId w:val="3"/></w:numPr></w:pPr>').otherwise("")
+    text = F.concat(F.when(k == 1, F.concat(key, F.lit(". "))).otherwise(""), F.col("n_name"))
+    paras = t.nation.select(F.col("n_nationkey").alias("doc_id"), text.alias("text"), F.concat(F.lit("<w:p>"), style, F.lit("<w:r><w:t>"), text, F.lit("</w:t></w:r></w:p>")).alias("xml"))
+    found = S.classify_paragraphs(paras)
+    heading = F.when(F.col("kind") == "heading", X.heading_style(F.col("level")))
+    return found.select("doc_id", "kind", "level", heading.alias("style"), X.is_ordered(F.col("text")).alias("ordered"), X.list_number(F.col("text")).alias("number"))
