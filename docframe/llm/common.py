@@ -92,8 +92,9 @@ def keep_rows(docs: DataFrame, keys: list[Column], kept: DataFrame) -> DataFrame
     mine = docs.select(hashed(keys).alias("h"), *[c.alias(n) for c, n in zip(keys, names, strict=True)], packed(docs).alias("d"))
     stays = kept.toDF(*[f"o{n}" for n in names])
     stays = stays.withColumn("oh", hashed([F.col(c) for c in stays.columns]))
-    # One hash is the key of the join and begins that of the window, so the rows move once.
-    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"o{n}")) for n in names], F.col("h") == F.col("oh"))
+    # The hash alone is the key of the join, the rest its condition, so the window finds its rows where the join put them.
+    alike = lambda a, b: F.coalesce(a == b, a.isNull() & b.isNull())
+    same = reduce(lambda a, b: a & b, [alike(F.col(n), F.col(f"o{n}")) for n in names], F.col("h") == F.col("oh"))
     one = mine.join(stays, same, "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("h", *names).orderBy("h")))
     return one.filter("nth = 1").select("d.*")
 
