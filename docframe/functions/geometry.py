@@ -113,3 +113,8 @@ def option_errors(font: Column, *margins: Column) -> Column:
     bad = [F.when(~font.between(6, 72), F.lit("font size must be between 6 and 72"))]
     bad += [F.when(~m.between(0, 200), F.lit("margins must be between 0 and 200")) for m in margins]
     return F.array_compact(F.array(*bad))
+
+
+def table_format_errors(c: Column) -> Column:
+    """A message where the format of tables is given and is neither array nor objects."""
+    return F.array_compact(F.array(F.when(~c.isin("", "array", "objects"), F.lit("table format must be array or objects"))))

@@ -16,6 +16,8 @@ STOP_BASE = "le la les de du des un une et ou à au aux en pour par sur dans ave
 STOP_VALIDATOR = [*STOP_BASE, *"est sont qui que dont son sa ses".split()]
 STOP_PAGE = [*STOP_BASE, *"est sont qui que dont son sa ses votre".split()]
 
+STOP_FIELD = [*STOP_BASE, *"sans qui que dont où si ne pas plus moins".split()]
+
 
 def trim_all(c: Column) -> Column:
     return F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")

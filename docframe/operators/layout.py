@@ -192,4 +192,24 @@ def merge_pages(documents: DataFrame) -> DataFrame:
 
 
 def extract_page(pages: DataFrame, n: int) -> DataFrame:
-    return pages.filter(F.col("page") == n)
+    """The rows of page n of each document, with a null error; a document without it gives a row of nulls and the error."""
+    whole = pages.groupBy("doc_id").agg(F.max("page").alias("_last")).filter((F.lit(n) < 1) | (F.col("_last") < n))
+    found = pages.filter(F.col("page") == n).withColumn("error", F.lit(None).cast("string"))
+    bad = whole.select("doc_id", F.concat(F.lit(f"page {n} is not between 1 and "), F.col("_last").cast("string")).alias("error"))
+    return found.unionByName(bad, allowMissingColumns=True)
+
+
+def filled_values(values: DataFrame, value: str = "value") -> DataFrame:
+    """Values to write: true, or text that is not blank."""
+    c = F.col(value)
+    return values.filter(c if dict(values.dtypes)[value] == "boolean" else trim_all(c) != "")
+
+
+def placement_report(matches: DataFrame, values: DataFrame, pages: DataFrame) -> DataFrame:
+    """matches (doc_id, field, page, ...) with value, warning and error: no_data where values (doc_id, field, value) has none,
+    bad_page where pages (doc_id, page) lacks the page. Rows with neither can be placed."""
+    given = values.groupBy("doc_id", "field").agg(F.first("value").alias("value"))
+    known = pages.select("doc_id", "page").distinct().withColumn("_known", F.lit(True))
+    joined = matches.join(given, ["doc_id", "field"], "left").join(known, ["doc_id", "page"], "left")
+    missing = F.col("value").isNull()
+    return joined.select(*matches.columns, "value", F.when(missing, "no_data").alias("warning"), F.when(~missing & F.col("_known").isNull(), "bad_page").alias("error"))

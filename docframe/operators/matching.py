@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions.text import context_matches
+from docframe.functions.text import STOP_FIELD, context_matches, keyword_similarity, keywords
 
 MIN_KEYWORD_SCORE = 5
 
@@ -98,6 +98,21 @@ def nearest_field(points: DataFrame, fields: DataFrame, key: list[str], score: C
     return scored.groupBy(*key, "id").agg(best.alias("m")).select(*key, "id", "m.fid", "m.score")
 
 
+def keyword_fields(tags: DataFrame, fields: DataFrame, doc: str = "doc_id", least: float = 0.7) -> DataFrame:
+    """doc, id, fid, score: of each tag (doc, id, label) the field (doc, fid, label) of the document, on whatever page, whose label is
+    most alike by keywords, the first on ties. A word that holds another holds its first three letters, so pairs meet on these."""
+    first = lambda ws: F.transform(ws, lambda w: F.left(w, F.lit(3)))
+    inside = lambda ws: F.flatten(F.transform(ws, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, 3))))
+    t = tags.select(doc, "id", keywords(F.col("label"), STOP_FIELD).alias("tw"))
+    f = fields.select(doc, "fid", keywords(F.col("label"), STOP_FIELD).alias("fw"))
+    grams = lambda df, key, ws: df.select(doc, key, F.explode(F.array_distinct(ws)).alias("g"))
+    held = grams(t, "id", first(F.col("tw"))).join(grams(f, "fid", inside(F.col("fw"))), [doc, "g"])
+    holds = grams(t, "id", inside(F.col("tw"))).join(grams(f, "fid", first(F.col("fw"))), [doc, "g"])
+    pairs = held.select(doc, "id", "fid").union(holds.select(doc, "id", "fid")).distinct()
+    scored = pairs.join(t, [doc, "id"]).join(f, [doc, "fid"]).withColumn("score", keyword_similarity(F.col("tw"), F.col("fw"))).filter(F.col("score") >= least)
+    return scored.groupBy(doc, "id").agg(F.max_by(F.struct("fid", "score"), F.struct("score", -F.col("fid"))).alias("m")).select(doc, "id", "m.fid", "m.score")
+
+
 def waterfall(items: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], key: list[str]) -> DataFrame:
     """Each stage matches what those before left over; rows carry the stage's name."""
     out, rest = None, items

@@ -66,6 +66,45 @@ def date_pair(text: Column, start: Column, end: Column) -> Column:
     return F.when(both != text, F.rtrim(both)).otherwise(text)
 
 
+_DOTS = r"(?:[.…]+|\s{5,})"
+_OPEN = r"<w:t(?: [^>]*)?>"
+
+
+def date_pair_xml(xml: Column, start: Column, end: Column) -> Column:
+    """A paragraph with the tags of a period: in place of the dots of "du .... au ....", in one text element or over several; behind
+    du and au where nothing stands between them; else at the end of the text. Null if there is no text to take them."""
+    text = X.xml_text(xml)
+    a, b = (F.replace(_full(t), F.lit("$"), F.lit("\\$")) for t in (start, end))
+    whole = F.regexp_replace(xml, F.lit(rf"(?iU)({_OPEN}[^<]*)(du\s*){_DOTS}(\s*au\s*){_DOTS}"), F.concat(F.lit("$1$2"), a, F.lit("$3"), b))
+    bare = F.regexp_replace(xml, F.lit(rf"(?iU)({_OPEN}[^<]*du\s+)(au\s*)"), F.concat(F.lit("$1"), a, F.lit(" $2"), b))
+    changed = lambda new: F.when(new != xml, new)
+    behind = F.when(text.rlike(r"(?iU)du\s+au"), changed(bare))
+    return F.when(text.rlike(rf"(?iU)du\s*{_DOTS}\s*au\s*{_DOTS}"), F.coalesce(changed(whole), changed(_over_runs(xml, a, b)))).otherwise(
+        F.coalesce(behind, inline(xml, F.concat(start, F.lit("}} au {{"), end)))
+    )
+
+
+def _over_runs(xml: Column, a: Column, b: Column) -> Column:
+    """The first text that ends with du and dots, or with dots, takes a; the first such after it, with au, takes b. A text of dots alone
+    behind one that took a tag goes, for the dots are those of the same word."""
+    state = F.struct(F.lit(False).alias("du"), F.lit(False).alias("au"), F.lit(False).alias("here"), F.array().cast("array<string>").alias("out"))
+    word = lambda t, w, tag: F.regexp_replace(t, F.lit(rf"(?isU)^(.*?{w}\s*)[.…]*"), F.concat(F.lit("$1"), tag))
+    dots = lambda t, tag: F.regexp_replace(t, F.lit(r"(?s)^(.*?)[.…]+"), F.concat(F.lit("$1"), tag))
+
+    def step(s: Column, t: Column) -> Column:
+        first, second = ~s["du"], s["du"] & ~s["au"]
+        ends = lambda w: t.rlike(rf"(?iU){w}\s*[.…]*$")
+        dotted = t.rlike("[.…]+$")
+        more = s["here"] & t.rlike(r"(?U)^\s*[.…]+\s*$")
+        new = F.when(more, F.lit("")).when(first & ends("du"), word(t, "du", a)).when(first & dotted, dots(t, a)).when(second & ends("au"), word(t, "au", b)).when(second & dotted, dots(t, b))
+        return F.struct((s["du"] | (first & new.isNotNull())).alias("du"), (s["au"] | (second & ~more & new.isNotNull())).alias("au"), new.isNotNull().alias("here"), F.concat(s["out"], F.array(F.coalesce(new, t))).alias("out"))
+
+    opens, gaps = F.regexp_extract_all(xml, F.lit(rf"({_OPEN})[^<]*</w:t>"), F.lit(1)), F.split(xml, X.RUN_TEXT, -1)
+    texts = F.aggregate(X.run_texts(xml), state, step)["out"]
+    filled = F.zip_with(opens, texts, lambda o, t: F.concat(o, t, F.lit("</w:t>")))
+    return F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(filled, F.slice(gaps, F.lit(2), F.size(opens)), lambda p, g: F.concat(p, g)), ""))
+
+
 def date_pairs(matches: DataFrame, group: str, place: str) -> DataFrame:
     """Matches whose tags X_DEBUT and X_FIN share a place: group, place, base."""
     base = F.regexp_replace("tag", "_(DEBUT|FIN)$", "")

@@ -7,14 +7,17 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions.text import insertion_point, keywords
-from docframe.operators.matching import best_candidate, by_position, greedy_assignment, keyword_candidates, satisfaction
+from docframe.functions.text import insertion_point, keyword_score, keywords
+from docframe.operators.matching import best_candidate, by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
 from docframe.session import materialize
 
 MAX_ROUNDS, ENOUGH = 3, 80
+#: The least confidence of a match, by the kind of matching.
+LEAST = {"model": 0.7, "unified": 0.7, "loop": 0.6, "page": 0.5}
+DECISIONS = "array<struct<targetIdx:int,targetIndex:int,idx:int,label:string,checked:boolean,shouldBeChecked:boolean,confidence:double>>"
 RESPONSE = "matches array<struct<tag:string,paragraphIndex:int,targetParagraphIndex:int,confidence:double,insertionPoint:string,reason:string>>"
 
 
@@ -53,16 +56,34 @@ def parse_response(answers: DataFrame, least: float = 0.6, default: float | None
     return out.filter(F.col("tag").isNotNull() & F.col("place").isNotNull() & (F.col("confidence") >= least))
 
 
+def parse_decisions(answers: DataFrame, least: float = LEAST["unified"], default: float = 0.8) -> DataFrame:
+    """doc_id, target_index, label, checked, confidence of the checkboxes in answers (doc_id, response), by any of their names."""
+    found = F.from_json(extract_json(F.col("response")), f"checkboxes {DECISIONS}, checkboxDecisions {DECISIONS}")
+    rows = answers.select("doc_id", F.explode(F.coalesce(found["checkboxes"], found["checkboxDecisions"])).alias("m")).select("doc_id", "m.*")
+    confidence = F.coalesce(F.nullif(F.col("confidence"), F.lit(0.0)), F.lit(default))
+    out = rows.select("doc_id", F.coalesce("targetIdx", "targetIndex", "idx").alias("target_index"), F.coalesce("label", F.lit("")).alias("label"), F.coalesce("checked", "shouldBeChecked").alias("checked"), confidence.alias("confidence"))
+    return out.filter((F.col("target_index") >= 0) & F.col("checked").isNotNull() & (F.col("confidence") >= least))
+
+
+def ask(task: str, **lists: tuple[DataFrame, str, int, list[str]]) -> DataFrame:
+    """One prompt a document that the first list holds: the task, then each list's first rows as JSON under its name. A list is
+    (rows, order, limit, columns)."""
+    out, parts = None, [F.lit(task)]
+    for name, (rows, order, limit, columns) in lists.items():
+        # Of a document's rows only the first are collected.
+        first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(order))).filter(F.col("_n") <= limit)
+        items = first.groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([order, *columns]))))).alias(name))
+        out = items if out is None else out.join(items, "doc_id", "left")
+        parts += [F.lit(f"\n{name.capitalize()}: "), F.coalesce(name, F.lit("[]"))]
+    return out.select("doc_id", F.concat(*parts).alias("prompt"))
+
+
+PARAGRAPHS = 'Match each tag with the paragraph that should hold its value. Answer with JSON: {"matches": [{"tag", "paragraphIndex", "confidence", "insertionPoint"}]}.'
+
+
 def prompts(tags: DataFrame, places: DataFrame, contexts: int = 40, lines: int = 80) -> DataFrame:
     """One prompt a document: its first tags and places as JSON."""
-    def listed(rows: DataFrame, order: str, limit: int, name: str, *columns: str) -> DataFrame:
-        items = F.slice(F.array_sort(F.collect_list(F.struct(order, *columns))), 1, limit)
-        return rows.groupBy("doc_id").agg(F.to_json(items).alias(name))
-
-    t = listed(tags, "ord", contexts, "tags", "tag", "label")
-    p = listed(places, "place", lines, "places", "text")
-    ask = F.concat(F.lit("Match each tag with the paragraph that should hold its value. Answer with JSON: {\"matches\": [{\"tag\", \"paragraphIndex\", \"confidence\", \"insertionPoint\"}]}.\nTags: "), "tags", F.lit("\nParagraphs: "), F.coalesce("places", F.lit("[]")))
-    return t.join(p, "doc_id", "left").select("doc_id", ask.alias("prompt"))
+    return ask(PARAGRAPHS, tags=(tags, "ord", contexts, ["tag", "label"]), paragraphs=(places, "place", lines, ["text"]))
 
 
 def model_matcher(client: Callable[[str], object]) -> Matcher:
@@ -106,17 +127,37 @@ def run_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, verify: Calla
     return done, score
 
 
-def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float = 0.3) -> DataFrame:
-    """Issues of a mapping: places shared by tags of different cells, cells spread over places, too many tags left out."""
-    from docframe.operators.matching import duplicate_places, split_cells
-
+def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float = 0.3, paras: DataFrame | None = None, decisions: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """doc_id, issue of a mapping: places shared by tags of different cells, cells spread over places, too many tags left out. With
+    paras (doc_id, place, text, is_cell) places in cells may be shared, and tags outside of tables whose label has two keywords or
+    more must share four letters of them with their place. With decisions (doc_id, ord, label, checked) neighbours Oui and Non must
+    not both be checked; with pairs (doc_id, value), those of the template, the first Oui or Non must be checked as they say."""
     cell = ["table_index", "row_index", "column_index"]
-    a = duplicate_places(matches, "doc_id", "place", cell).select("doc_id", F.lit("duplicate_place").alias("issue"))
+    shared = duplicate_places(matches, "doc_id", "place", cell)
+    if paras is not None:
+        shared = shared.join(paras.filter("is_cell").select("doc_id", "place"), ["doc_id", "place"], "left_anti")
+    a = shared.select("doc_id", F.lit("duplicate_place").alias("issue"))
     b = split_cells(matches.filter("table_index is not null"), "doc_id", "place", cell).select("doc_id", F.lit("split_cell").alias("issue"))
     left = expected.join(matches.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").groupBy("doc_id").agg(F.count("*").alias("m"))
     all_ = expected.groupBy("doc_id").agg(F.count("*").alias("n"))
     c = all_.join(left, "doc_id").filter(F.col("m") > max_missing * F.col("n")).select("doc_id", F.lit("missing_tags").alias("issue"))
-    return a.unionByName(b).unionByName(c)
+    out = a.unionByName(b).unionByName(c)
+    if paras is not None:
+        words = keywords(F.col("label"))
+        placed = matches.filter("table_index is null").select("doc_id", "tag", "place").join(expected.select("doc_id", "tag", "label"), ["doc_id", "tag"]).join(paras.select("doc_id", "place", "text"), ["doc_id", "place"])
+        out = out.unionByName(placed.filter((F.size(words) >= 2) & (keyword_score(words, F.col("text")) < 4)).select("doc_id", F.lit("unlike_place").alias("issue")))
+    if decisions is not None:
+        label = F.lower(F.trim("label"))
+        w = Window.partitionBy("doc_id").orderBy("ord")
+        seen = decisions.withColumn("_l", label).withColumns({"_nl": F.lead("_l").over(w), "_nc": F.lead("checked").over(w)})
+        pair = ((F.col("_l") == "oui") & (F.col("_nl") == "non")) | ((F.col("_l") == "non") & (F.col("_nl") == "oui"))
+        out = out.unionByName(seen.filter(pair & F.col("checked") & F.col("_nc")).select("doc_id", F.lit("both_checked").alias("issue")))
+        if pairs is not None:
+            first = lambda word: F.min_by("checked", F.when(F.contains(F.lower("label"), F.lit(word)), F.col("ord")))
+            state = decisions.groupBy("doc_id").agg(first("oui").alias("oui"), first("non").alias("non")).filter("oui is not null and non is not null")
+            wrong = pairs.join(state, "doc_id").filter("(value and not oui) or (not value and not non)")
+            out = out.unionByName(wrong.select("doc_id", F.lit("unlike_template").alias("issue")))
+    return out
 
 
 def best_by_keywords(tags: DataFrame, places: DataFrame) -> DataFrame:
