@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.geometry import field_type, fitting_font_size
 from docframe.functions.text import trim_all, wrap
+from docframe.session import small
 
 LINE_TOLERANCE, WORD_GAP, EMPTY_ZONE, RIGHT_MARGIN, ZONE_START = 3.0, 5.0, 30.0, 50.0, 5.0
 KEY = ["doc_id", "page"]
@@ -128,7 +129,7 @@ def label_places(lines: DataFrame, config: DataFrame, boxes: DataFrame, page: in
     texts = shown.groupBy(*KEY).agg(F.reverse(F.array_sort(F.collect_list(F.struct("y", "text")))).alias("ls"))
     items = scope(boxes).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("x", "y", "width", "text"))).alias("els"))
     # A row a page and field: config has a row a field.
-    pages = texts.join(items, [*KEY], "left").crossJoin(F.broadcast(config.select("field", "labels", "type", F.coalesce("min_gap", F.lit(0.0)).alias("min_gap"))))
+    pages = texts.join(items, [*KEY], "left").crossJoin(small(config.select("field", "labels", "type", F.coalesce("min_gap", F.lit(0.0)).alias("min_gap"))))
     at = lambda i: F.get("ls", i)
     n = F.size("ls")
     found = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.exists("labels", lambda label: F.contains(at(i)["text"], label)))
@@ -163,7 +164,7 @@ def placements(matches: DataFrame, size: float = 9.0, least: float = 6.0, step:
 def checkbox_marks(lines: DataFrame, config: DataFrame) -> DataFrame:
     """An X beside the first line that holds one of a set field's labels. config: field, labels, checked."""
     flat = config.filter("checked").select("field", F.posexplode("labels").alias("label_ord", "label"))
-    hits = lines.join(F.broadcast(flat), F.lower("text").contains(F.lower("label")))
+    hits = lines.join(small(flat), F.lower("text").contains(F.lower("label")))
     w = Window.partitionBy("doc_id", "field").orderBy("page", "line", "label_ord")
     first = hits.withColumn("_n", F.row_number().over(w)).filter("_n = 1")
     return first.select("doc_id", "page", "field", F.lit("X").alias("line_text"), F.lit(10.0).alias("size"), (F.col("x") - 12).alias("x"), (F.col("y") - 2).alias("y"))

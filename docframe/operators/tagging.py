@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions import xml as X
 from docframe.functions.text import trim_all
+from docframe.session import small
 
 _LAST_TEXT = r"(?s)^(.*<w:t(?: [^>]*)?>)([^<]*)(</w:t>.*)$"
 
@@ -128,7 +129,7 @@ def apply_rules(lines: DataFrame, rules: DataFrame, doc: str = "doc_id") -> Data
     itself. rules: label, tag, occurrence; a small table."""
     w = Window.partitionBy(doc).orderBy("index")
     nexts = F.collect_list(F.struct("index", trim_all(F.col("text")).alias("t"))).over(w.rowsBetween(1, 4))
-    hits = lines.withColumn("_next", nexts).join(F.broadcast(rules), F.col("text").contains(F.col("label")))
+    hits = lines.withColumn("_next", nexts).join(small(rules), F.col("text").contains(F.col("label")))
     nth = hits.withColumn("_n", F.row_number().over(Window.partitionBy(doc, "tag").orderBy("index"))).filter("_n = occurrence")
     empty = F.get(F.filter("_next", lambda x: x["t"] == ""), F.lit(0))["index"]
     return nth.select(doc, "tag", F.coalesce(empty, F.col("index")).alias("index"))

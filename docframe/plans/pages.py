@@ -11,7 +11,7 @@ from docframe.functions.geometry import relative_score, text_width
 from docframe.operators.layout import LEFT, checkbox_marks, filled_values, group_lines, label_places, observe
 from docframe.operators.matching import keyword_fields, nearest_field, satisfaction
 from docframe.plans.agent import ENOUGH, LEAST, ask, extract_json
-from docframe.session import materialize
+from docframe.session import materialize, small
 
 MAX_PAGE_ROUNDS, FONT, STEP_DOWN = 5, 9.0, 18.0
 NEAR, ALIKE = 0.8, 0.7
@@ -101,7 +101,7 @@ def fill_pages(
     place or none collides, after max_rounds, and, without a model, when labels give nothing more. Each round is written.
     boxes as of layout; values: doc_id, field, value, blank ones are left out; config as of label_places; model, correct: (fields,
     lines) -> doc_id, field, type, page, x, y; checks: config of checkbox_marks, whose set boxes count as expected."""
-    todo = filled_values(values).join(F.broadcast(config.select("field", "type")), "field").select("doc_id", "field", "type", "value")
+    todo = filled_values(values).join(small(config.select("field", "type")), "field").select("doc_id", "field", "type", "value")
     columns = ["doc_id", "field", "type", "page", "x", "y"]
     boxes = boxes.select("doc_id", "page", "index", "text", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "width", "height")])
     lines = group_lines(boxes)
@@ -126,7 +126,7 @@ def fill_pages(
         places = todo.select("doc_id", "field", "type", F.lit(0).alias("page"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0)
     asked = todo.select("doc_id", "field").join(places.select("doc_id", "field").withColumn("status", F.lit("ok")), ["doc_id", "field"], "left")
     if checks is not None:
-        boxed = lines.select("doc_id").distinct().crossJoin(F.broadcast(checks.filter("checked").select("field")))
+        boxed = lines.select("doc_id").distinct().crossJoin(small(checks.filter("checked").select("field")))
         marks = checkbox_marks(lines, checks).select("doc_id", "field").withColumn("status", F.lit("ok"))
         asked = asked.unionByName(boxed.join(marks, ["doc_id", "field"], "left"))
     score = satisfaction(asked.withColumn("status", F.coalesce("status", F.lit("missing"))), "doc_id", ("ok",))

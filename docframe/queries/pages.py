@@ -79,7 +79,7 @@ _FILL_SQL = f"""{_BOX_SQL}, {_TEXT_SQL}, ids as (select distinct doc_id from lin
 def _filled(t: Tables) -> tuple[DataFrame, DataFrame]:
     config = t.spark.createDataFrame([("first", ["w1", "w2"], "inline", None), ("block", ["w3"], "multiline", 30.0)], "field string, labels array<string>, type string, min_gap double")
     found = boxes(t)
-    values = found.select("doc_id").distinct().crossJoin(F.broadcast(config.select("field"))).select("doc_id", "field", F.concat_ws(" ", "field", F.col("doc_id").cast("string")).alias("value"))
+    values = found.select("doc_id").distinct().select("doc_id", F.explode(F.array(F.lit("first"), F.lit("block"))).alias("field")).select("doc_id", "field", F.concat_ws(" ", "field", F.col("doc_id").cast("string")).alias("value"))
     return pages.fill_pages(found, values, config)
 
 

@@ -12,6 +12,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -62,6 +63,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
+#: Most rows of a table of rules or fields, which every task is sent.
+MAX_CONFIG = 1000
+
+
+def small(config: DataFrame, most: int = MAX_CONFIG) -> DataFrame:
+    """The table of rules or fields, to be sent to every task; an error where it has more rows than that allows."""
+    if config.limit(most + 1).count() > most:
+        raise ValueError(f"a table of rules or fields may have {most} rows")
+    return F.broadcast(config)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and losing an executor costs nothing."""
     spark = df.sparkSession

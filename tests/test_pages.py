@@ -2,12 +2,14 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from docframe.operators import forms, layout
 from docframe.operators.matching import keyword_fields
 from docframe.operators.tagging import date_pair_xml
 from docframe.plans import agent, pages
+from docframe.session import small
 
 BOX = "doc_id int, page int, index int, text string, x double, y double, width double, height double"
 PLACE = "doc_id int, field string, type string, page int, x double, y double"
@@ -139,3 +141,9 @@ def test_values_and_pages_to_place(spark):
     got = sorted((r["doc_id"], r["text"], r["error"]) for r in layout.extract_page(sheets, 2).collect())
     assert got == [(1, "b", None), (2, None, "page 2 is not between 1 and 1")]
     assert {r["error"] for r in layout.extract_page(sheets, 0).collect()} == {"page 0 is not between 1 and 2", "page 0 is not between 1 and 1"}
+
+
+def test_tables_of_rules_are_bounded(spark):
+    assert small(spark.range(3), 3).count() == 3
+    with pytest.raises(ValueError, match="3 rows"):
+        small(spark.range(4), 3)
