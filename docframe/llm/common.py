@@ -10,6 +10,7 @@ from typing import TypeVar
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docframe.session import materialize, ship_package
 
@@ -40,7 +41,7 @@ def _release(keeps: str | None) -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: str | None = None) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, keeps: str | None = None) -> DataFrame:
     """mapInArrow with bounded batches, the package shipped to the executors. keeps: the name of the table that fn has held.
 
     The session's limits of a batch are lowered to these bounds, for a plan reads them when it runs; lower ones stay."""

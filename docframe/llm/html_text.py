@@ -8,6 +8,7 @@ belongs to the article. The article's blocks are joined in page order.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -30,13 +31,15 @@ AWAY = frozenset(
     "nav navbar navigation menu menus submenu dropdown breadcrumb breadcrumbs crumb crumbs masthead footer foot sidebar sidebars aside widget widgets related recommended recommendations "
     "promo promos promotion advert adverts advertisement advertising ad ads adbox adslot sponsor sponsored sponsors cookie cookies consent gdpr notice notices alert alerts popup modal overlay subscribe "
     "subscription newsletter signup login signin search searchbox share sharing sharebar social comment comments disqus respond reply replies copyright legal disclaimer pagination pager toolbar skip hidden toc "
-    "complementary contentinfo".split()
+    "complementary contentinfo feedback discussion discussions".split()
 )
+#: The words among them of what readers write: an element of such a name is never the page's text.
+READERS = frozenset("comment comments disqus respond reply replies feedback discussion discussions".split())
 #: The same of words that also name the head of an article: they count where the rest of the name speaks of the site.
 HEADS = frozenset("header banner".split())
 _SITE = frozenset("site main top global sticky fixed wrapper wrap container inner outer bar large small image area".split())
 #: Words that say nothing of their own: a name of these and AWAY words alone leads away for certain.
-_PLAIN = _SITE | frozenset("page bottom box block list item items section panel links link button buttons icon icons group row col column div id module secondary primary text title body form field media post posts article articles content thread count meta area slot unit".split())
+_PLAIN = _SITE | frozenset("page bottom box block list item items section panel links link button buttons icon icons group row col column div id module secondary primary text title body form field media post posts article articles content thread count meta area slot unit user users reader readers".split())
 HOME = frozenset("article content entry post story main prose blog".split())
 _PART = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -49,21 +52,55 @@ _AWAY_TAGS = frozenset("nav aside footer header form button dialog menu fieldset
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "in_away", "named_away", "named_home", "heading", "item")
 
 
-class Block:
-    """A flat text block: its text, words, words in links, and its surroundings."""
+class Node:
+    """An element that holds blocks: what it is, what stands in it and, once the page is read, what holds for the blocks in it."""
+
+    __slots__ = ("heading", "holds_home", "in_article", "in_away", "item", "mark", "named_away", "named_home", "parent", "readers", "tag", "words")
 
-    __slots__ = ("heading", "in_article", "in_away", "item", "linked", "named_away", "named_home", "text", "words")
+    def __init__(self, parent: Node | None, tag: str, mark: int, readers: bool):
+        self.parent, self.tag, self.mark, self.readers = parent, tag, mark, readers
+        self.words, self.holds_home = 0, tag in ("article", "main")
+        self.in_article = self.in_away = self.named_away = self.named_home = self.heading = self.item = 0
 
-    def __init__(self, text: str, words: int, linked: int, stack: list[tuple[str, int]]):
-        self.text, self.words, self.linked = text, words, linked
-        inside = [tag for tag, _ in stack]
-        home = max((i for i, tag in enumerate(inside) if tag in ("article", "main")), default=-1)
-        away = max((i for i, tag in enumerate(inside) if tag in _AWAY_TAGS and not (tag == "header" and 0 <= home < i)), default=-1)
-        self.in_article, self.in_away = int(home >= 0), int(away >= 0)
-        self.named_away = max((mark for _, mark in stack if mark > 0), default=0)
-        self.named_home = int(any(mark < 0 for _, mark in stack))
-        self.heading = int(any(len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() for tag in inside))
-        self.item = int("li" in inside)
+
+class Block:
+    """A flat text block: its text, words, words in links, and the element it stands in."""
+
+    __slots__ = ("linked", "node", "text", "words")
+
+    def __init__(self, text: str, words: int, linked: int, node: Node):
+        self.text, self.words, self.linked, self.node = text, words, linked, node
+
+
+def _settle(nodes: list[Node], blocks: list[Block]) -> None:
+    """What holds for the blocks of each element. An element that leads away by its tag or name is excused where the page's text lies in
+    it: where it is or holds an article and has most of the words outside of links, or where it has nearly all of those of the
+    article around it. What readers wrote counts for neither."""
+    for b in blocks:
+        b.node.words += b.words - b.linked
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.holds_home |= node.holds_home or node.mark < 0
+            if not node.readers:
+                node.parent.words += node.words
+    whole = nodes[0].words
+    home: dict[Node, Node | None] = {}
+    for node in nodes:
+        up = node.parent
+        around = home[up] if up is not None else None
+        home[node] = node if node.tag in ("article", "main") else around
+        tag_away = node.tag in _AWAY_TAGS and not (node.tag == "header" and around is not None)
+        if (tag_away or node.mark > 0) and not node.readers:
+            most = node.holds_home and 2 * node.words > whole
+            nearly = around is not None and node.tag not in ("nav", "aside", "footer") and 10 * node.words >= 9 * around.words > 0
+            if most or nearly:
+                tag_away, node.mark = False, min(node.mark, 0)
+        node.in_article = int(home[node] is not None)
+        node.in_away = int(tag_away or (up is not None and bool(up.in_away)))
+        node.named_away = max(node.mark, up.named_away if up is not None else 0, 0)
+        node.named_home = int(node.mark < 0 or (up is not None and bool(up.named_home)))
+        node.heading = int((len(node.tag) == 2 and node.tag[0] == "h" and node.tag[1].isdigit()) or (up is not None and bool(up.heading)))
+        node.item = int(node.tag == "li" or (up is not None and bool(up.item)))
 
 
 def _names_away(name: str) -> int:
@@ -77,22 +114,26 @@ def _names_away(name: str) -> int:
     return -1 if any(x in HOME for x in parts) else 0
 
 
-def _mark(attributes: str) -> int:
-    """What a container's names say: the strongest of those that lead away, or -1 for one that leads to the article; 2 if hidden."""
-    marks = [0]
+def _mark(attributes: str) -> tuple[int, bool]:
+    """What a container's names say: the strongest of those that lead away, or -1 for one that leads to the article; 2 if hidden; and
+    whether readers write there."""
+    marks, readers = [0], False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return 2
+            return 2, True  # what is hidden is never the page's text either
         if key in ("class", "id", "role"):
-            marks += map(_names_away, value.split())
-    return max(marks) or min(marks)
+            own = list(map(_names_away, value.split()))
+            marks += own
+            readers |= any(m == 2 and not READERS.isdisjoint(x.lower() for x in _PART.findall(_CAMEL.sub(" ", name))) for m, name in zip(own, value.split(), strict=True))
+    return max(marks) or min(marks), readers
 
 
 def flat_blocks(html: str | None) -> list[Block]:
     """The text blocks of a page in order; broken and unclosed markup is read as far as it goes."""
     blocks: list[Block] = []
-    stack: list[tuple[str, int]] = []
+    stack = [Node(None, "", 0, False)]
+    nodes, open_tags, no_end = [stack[0]], Counter(), set()
     parts: list[str] = []
     linked, in_link = 0, -1  # in_link: the depth of the stack where the open link began; a link ends with what it began in
     html = html or ""
@@ -102,7 +143,7 @@ def flat_blocks(html: str | None) -> list[Block]:
         text = _SPACE.sub(" ", "".join(parts)).strip()
         if text:
             words = len(text.split())
-            blocks.append(Block(text, words, min(linked, words), stack))
+            blocks.append(Block(text, words, min(linked, words), stack[-1]))
         parts.clear()
         linked = 0
 
@@ -116,6 +157,7 @@ def flat_blocks(html: str | None) -> list[Block]:
 
     def close(i: int) -> None:
         nonlocal in_link
+        open_tags.subtract(node.tag for node in stack[i:])
         del stack[i:]
         if len(stack) < in_link:
             in_link = -1
@@ -135,7 +177,10 @@ def flat_blocks(html: str | None) -> list[Block]:
         tag, closing = m[2].lower(), bool(m[1])
         if tag in DROPPED and not closing:
             if not m[3].endswith("/"):
-                found = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(html, at)
+                # Where one element has no end, no later one of its name has: the page is searched to its end once for each name.
+                found = None if tag in no_end else re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(html, at)
+                if found is None:
+                    no_end.add(tag)
                 at = found.end() if found else (n if tag in ("script", "style", "template", "textarea") else at)
             continue
         if tag == "br":
@@ -145,21 +190,25 @@ def flat_blocks(html: str | None) -> list[Block]:
         elif tag in BLOCKS:
             end()
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
+                for i in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
+                    if stack[i].tag == tag:
                         close(i)
                         break
             elif tag not in VOID:
-                if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (stack and stack[-1][0] == "p"):
+                if (tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags["p"] + open_tags[tag]) or stack[-1].tag == "p":
                     # A new block closes the open paragraph, or the open one of its kind within its list or table.
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] in ("p", tag):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag in ("p", tag):
                             close(i)
                             break
-                        if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body", "nav", "aside", "main", "footer", "header"):
+                        if stack[i].tag in ("ul", "ol", "dl", "table", "div", "article", "section", "body", "nav", "aside", "main", "footer", "header"):
                             break
-                stack.append((tag, _mark(m[3]) if m[3] and tag != "body" else 0))
+                mark, readers = _mark(m[3]) if m[3] and tag != "body" else (0, False)
+                stack.append(Node(stack[-1], tag, mark, readers))
+                nodes.append(stack[-1])
+                open_tags[tag] += 1
     end()
+    _settle(nodes, blocks)
     return blocks
 
 
@@ -168,7 +217,7 @@ def features(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     words = np.array([0, *(b.words for b in blocks), 0], float)
     density = np.array([0, *(b.linked / b.words for b in blocks), 0], float)
-    own = np.array([(b.in_article, b.in_away, b.named_away, b.named_home, b.heading, b.item) for b in blocks], float).reshape(n, 6)
+    own = np.array([(b.node.in_article, b.node.in_away, b.node.named_away, b.node.named_home, b.node.heading, b.node.item) for b in blocks], float).reshape(n, 6)
     return np.column_stack([words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:], own])
 
 

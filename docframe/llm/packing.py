@@ -116,11 +116,12 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     w = Window.partitionBy("sequence_id").orderBy("slot")
     packed = full.withColumn("offset", (F.sum("length").over(w) - F.col("length")).cast("long")).select(*shown, "sequence_id", "offset", *extra)
     bins = classes.agg(F.coalesce(F.sum("bins"), F.lit(0))).first()[0]
-    # Fewer than k pieces of each class k up to the capacity: a number that the capacity bounds.
-    rest = numbered.filter(F.col("i") >= F.col("bins") * F.col("k")).select("k", "i", *shown, *extra).orderBy("k", "i").collect()
+    # Fewer than k pieces of each class k up to the capacity: a number that the capacity bounds. Only their lengths reach the driver.
+    left = numbered.filter(F.col("i") >= F.col("bins") * F.col("k"))
+    rest = left.select("k", "i", "length").orderBy("k", "i").collect()
     if not rest:
         return packed
     where = lay_out_rest([r["length"] for r in rest], capacity)
-    rows = [(*(r[c] for c in shown), bins + seq, offset, *(r[c] for c in extra)) for r, (seq, offset) in zip(rest, where, strict=True)]
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return packed.unionByName(spark.createDataFrame(rows, schema))
+    places = spark.createDataFrame([(r["k"], r["i"], bins + seq, offset) for r, (seq, offset) in zip(rest, where, strict=True)], left.select("k", "i").schema.add("sequence_id", "long").add("offset", "long"))
+    placed = left.join(F.broadcast(places), ["k", "i"]).select(*shown, "sequence_id", "offset", *extra)
+    return packed.unionByName(placed)

@@ -70,7 +70,8 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """(host, h) of the lines in more distinct documents of a host than its limit; `row` is the hash of a line's whole text."""
+    """(host, h, n_docs) of the lines in more distinct documents of a host than its limit; `row` is the hash of a line's whole text.
+    lines: host, h, row; hosts: host, host_docs, its distinct texts. No lines or no hosts give no rows; other columns are ignored."""
     found = lines.select("host", "h", "row").distinct().groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
     return found.join(hosts, "host").filter(F.col("n_docs") > F.greatest(F.lit(min_docs), share * F.col("host_docs"))).select("host", "h", "n_docs")
 
@@ -88,7 +89,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     trimmed = F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
     parsed = base.select("doc_id", "host", "row", F.posexplode(F.filter(trimmed, lambda x: x != "")).alias("pos", "line"))
     lines = parsed.select("doc_id", "host", "row", "pos", F.xxhash64("line").alias("h"), F.length("line").alias("chars"))
-    hosts = base.groupBy("host").agg(F.count("*").alias("host_docs"))
+    hosts = base.groupBy("host").agg(F.count_distinct("row").alias("host_docs"))  # the same texts that a line's documents are counted by
     common = common_lines(lines, hosts, min_docs, share).select(F.col("host").alias("ch"), F.col("h").alias("cl"))
     removed = (
         lines.join(common, (F.col("host") == F.col("ch")) & (F.col("h") == F.col("cl")), "left_semi")

@@ -1,6 +1,6 @@
 """Operator 8, resharding by minimum-cost flow.
 
-The old shards are cut into blocks of documents by a hash of the id. From the old shards' sizes and the new shards'
+The old shards are cut into blocks of documents by a hash of id and text. From the old shards' sizes and the new shards'
 capacities a transport problem is solved: a byte that stays costs nothing, a byte that moves costs one, so the flow of least
 cost moves the fewest bytes. The flow is then carried out in whole blocks, largest first, and only the shards that lose or
 gain blocks are rewritten. The law is `bytes`: the new shards' sizes are near equal, to within about a block.
@@ -11,12 +11,14 @@ The driver sees block sizes alone: old shards times BLOCKS rows, whatever the in
 from __future__ import annotations
 
 import bisect
+import uuid
 import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import gapless, materialize, text_or_empty
+from docframe.llm.common import gapless, packed, text_or_empty
+from docframe.session import shared_dir
 
 SHARDS, BLOCKS = 8, 512
 
@@ -94,47 +96,85 @@ def crc32_of(text: Column) -> Column:
     return F.crc32(text.cast("binary"))
 
 
-def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, moved.
-
-    old_shard: an int column over docs that says where a row lies now (null counts as shard 0). Size is the UTF-8 bytes of the
-    text plus 1. Null texts count as empty, null ids share a block, repeated rows are rows of their own. Slots number a shard's
-    rows from 0 in the order of hashed ids. An empty table gives no rows.
-    """
-    text = text_or_empty(text_col)
-    doc = F.col(id_col).cast("long")
+def _placed(docs: DataFrame, old_shard: Column, shards: int, blocks: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows with their new shard: d (all columns of docs), _key, _size, _old, _shard. Blocks are cut by a hash of id and text, so rows
+    without an id spread like any others; a block of many equal rows is one that cannot be cut."""
+    text, doc = text_or_empty(text_col), F.col(id_col).cast("long")
     base = docs.select(
-        doc.alias("doc_id"),
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        crc32_of(text).alias("text_crc32"),
-        F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"),
-        F.pmod(F.xxhash64(doc), F.lit(blocks)).cast("int").alias("block"),
-    )
-    base = materialize(base, "sizes")
-    sizes = {(r["old_shard"], r["block"]): r["s"] for r in base.groupBy("old_shard", "block").agg(F.sum("size").alias("s")).collect()}
+        packed(docs).alias("d"), F.xxhash64(doc, doc.isNull(), text).alias("_key"), (F.octet_length(text) + 1).cast("long").alias("_size"), F.coalesce(old_shard.cast("int"), F.lit(0)).alias("_old")
+    ).withColumn("_block", F.pmod("_key", F.lit(blocks)).cast("int"))
+    sizes = {(r["_old"], r["_block"]): r["s"] for r in base.groupBy("_old", "_block").agg(F.sum("_size").alias("s")).collect()}
     moves = sorted((*key, to) for key, to in plan(sizes, shards).items())
-    spark = docs.sparkSession
     # old shards x blocks rows: bounded by the parameters.
-    table = spark.createDataFrame(moves, "old_shard int, block int, shard int")
-    placed = base.join(F.broadcast(table), ["old_shard", "block"])
-    return gapless(placed.select("doc_id", "size", "text_crc32", "shard", "old_shard"), "shard", "doc_id", "slot").select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", (F.col("shard") != F.col("old_shard")).alias("moved")
-    )
+    table = docs.sparkSession.createDataFrame(moves, "_old int, _block int, _shard int")
+    return base.join(F.broadcast(table), ["_old", "_block"])
+
+
+def _deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the store that path names, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
-    """Write the shards that gain or lose rows below path, one folder a shard (shard=0, ...), and give their numbers.
+def rewrite(docs: DataFrame, old_shard: Column, path: str, shards: int = SHARDS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
+    """Bring the shard files below path, one folder a shard (_shard=0, ...), to the new plan, and give the numbers of those rewritten.
 
-    Shards that no row enters or leaves are not written: their files hold as they are. Rows meet their shard by id, so ids
-    must be distinct.
+    Only shards that rows enter or leave are written; the files of the others hold as they are, and the folder of a shard that is
+    left without rows goes. Files have all columns of docs as they were, and _slot, the row's number in its shard. Every row of
+    docs lies in one shard, whether its id is null or stands in other rows too. An empty table writes nothing. A column of docs
+    named _shard or _slot is an error, for the files have their own.
     """
-    moved = placed.filter("moved").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
-    affected = sorted(r[0] for r in moved.collect())  # at most one row a shard
-    where = placed.select(F.col("doc_id").alias("__at_id"), F.col("shard").alias("shard"), "slot").filter(F.col("shard").isin(affected) if affected else F.lit(False))
-    out = docs.drop("shard", "slot").join(where, docs[id_col] == where["__at_id"]).drop("__at_id")
-    out.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    if {"_shard", "_slot"} & set(docs.columns):
+        raise ValueError("columns named _shard or _slot would be overwritten")
+    numbered, affected, filled = _numbered(docs, old_shard, shards, blocks, id_col, text_col)
+    if affected:
+        _write(numbered.filter(F.col("_shard").isin(affected)).select("d.*", "_slot", "_shard"), path)
+    for shard in affected:
+        if shard not in filled:
+            _deleted(docs.sparkSession, f"{path.rstrip('/')}/_shard={shard}")
     return affected
 
 
+def _numbered(docs: DataFrame, old_shard: Column, shards: int, blocks: int, id_col: str, text_col: str) -> tuple[DataFrame, list[int], set[int]]:
+    """(rows with their slots, the shards that rows enter or leave, the shards that have rows)."""
+    placed = _placed(docs, old_shard, shards, blocks, id_col, text_col)
+    # At most a row for each pair of shards.
+    flows = [(r["_old"], r["_shard"]) for r in placed.select("_old", "_shard").distinct().collect()]
+    affected = sorted({s for old, new in flows if old != new for s in (old, new)})
+    return gapless(placed.select("d", "_old", "_shard", "_key"), "_shard", "_key", "_slot"), affected, {new for _, new in flows}
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    """Write rows below path, a folder a shard, in place of what the folders of their shards hold."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_shard").parquet(path)
+
+
+def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, moved.
+
+    old_shard: an int column over docs that says where a row lies now (null counts as shard 0). The shards that rows enter or leave
+    are written below path, by default a new folder of the shared one, and their rows come from those files. Size is the UTF-8
+    bytes of the text plus 1. Null texts count as empty; rows without an id, and repeated rows, are rows like any others. Slots
+    number a shard's rows from 0 in the order of hashes of id and text. An empty table gives no rows; other columns, of whatever names, are written too.
+    """
+    spark = docs.sparkSession
+    numbered, affected, _ = _numbered(docs, old_shard, shards, blocks, id_col, text_col)
+    mine = F.col("_shard").isin(affected) if affected else F.lit(False)
+    figures = lambda rows: rows.select(
+        F.col("d").getField(id_col).cast("long").alias("doc_id"), F.col("d").getField(text_col).alias("text"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.col("_old").alias("old_shard")
+    )
+    rows = figures(numbered.filter(~mine))
+    if affected:
+        path = path or f"{shared_dir(spark)}/docframe/shards-{uuid.uuid4().hex}"
+        moved = numbered.filter(mine).select("d", "_old", "_slot", "_shard")
+        _write(moved, path)
+        rows = rows.unionByName(figures(spark.read.schema(moved.schema).parquet(path)))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), crc32_of(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard", (F.col("shard") != F.col("old_shard")).alias("moved"),
+    )
+
+
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())

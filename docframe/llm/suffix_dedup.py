@@ -31,6 +31,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docframe.llm.common import arrow_map, column, held, materialize
 
@@ -509,8 +510,9 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_spans and spans. Where a removed run ends inside a character, the text leaves out that character's rest. Null texts
     become empty."""
     named = _named(docs, id_col, text_col)
-    rest = named.schema["rest"].dataType.simpleString()
+    # A type and not its text, for names of columns may hold any sign.
+    schema = StructType.fromDDL(_FIGURES + ", kept_text string, spans array<struct<`from`: long, `to`: long>>").add("rest", named.schema["rest"].dataType)
     whole = named.select("row", "text", "rest").join(_starts(named, HOT), "row", "left")
-    out = arrow_map(whole, _remove, _FIGURES + f", kept_text string, spans array<struct<`from`: long, `to`: long>>, rest {rest}")
+    out = arrow_map(whole, _remove, schema)
     columns = [F.col("kept_text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns]
     return out.select(*columns, *(["n_bytes", "n_removed", "n_spans", "spans"] if figures else []))

@@ -83,6 +83,15 @@ def test_quality_counts_documents_that_share_many_lines(spark):
     assert all(r["kept"] for r in got)
 
 
+def test_quality_limit_leaves_copies_out(spark):
+    """A host with very many copies of one text has no higher limit for it: a header on 60 other documents is found as before."""
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(80))
+    rows = [(i, f"the header of the site\n{own(i)}", "en", "a", 1) for i in range(60)] + [(1000 + i, own(-1), "en", "a", 1) for i in range(8000)]
+    got = {r["doc_id"]: r["n_removed_lines"] for r in quality.quality(spark.createDataFrame(rows, DOCS), min_docs=20, share=0.01).collect()}
+    assert [got[i] for i in range(60)] == [1] * 60
+    assert sum(got.values()) == 60
+
+
 def test_quality_keeps_null_ids_and_repeated_rows(spark):
     own = lambda i: " ".join(f"own{i}x{j}" for j in range(80))
     shared = "shared line of the site " + "abcde " * 15
@@ -102,12 +111,12 @@ def test_quality_keeps_null_ids_and_repeated_rows(spark):
 def plain_verdicts(rows, min_docs, share, min_left):
     """(doc_id, counts, base_failed, kept, removed_chars, n_removed_lines) of rows (doc_id, text, source)."""
     trim = lambda line: line.lower().strip(" \t\r\x0b\x0c")
-    docs, sizes = {}, Counter()
+    docs, texts_of = {}, {}
     for _, text, host in rows:
-        sizes[host or ""] += 1
+        texts_of.setdefault(host or "", set()).add(text or "")
         for line in {trim(x) for x in (text or "").split("\n")} - {""}:
             docs.setdefault((host or "", line), set()).add(text or "")
-    common = {k for k, texts in docs.items() if len(texts) > max(min_docs, share * sizes[k[0]])}
+    common = {k for k, texts in docs.items() if len(texts) > max(min_docs, share * len(texts_of[k[0]]))}
     out = Counter()
     for i, text, host in rows:
         counts = plain_counts(text)
@@ -317,7 +326,7 @@ def test_reshard_odd_rows(spark, change):
     assert sharding.reshard(spark.createDataFrame([], DOCS), F.lit(0)).count() == 0
 
 
-def test_op8_sizes_and_rewrite(spark, sf, tmp_path):
+def test_op8_sizes(spark, sf):
     placed = op8_sharding(spark, sf)
     texts = {r["doc_id"]: (r["text"], r["source"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     sizes, slots, moved = Counter(), {}, 0
@@ -339,11 +348,44 @@ def test_op8_sizes_and_rewrite(spark, sf, tmp_path):
     least = sum(max(0, v - part) for v in old.values())
     assert least <= moved + 8 * max(len((t or "").encode()) + 1 for t, _ in texts.values())
     assert moved <= 1.05 * least + 8 * max(len((t or "").encode()) + 1 for t, _ in texts.values())
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    affected = sharding.rewrite(docs, placed, str(tmp_path / "out"))
-    back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == placed.filter(placed["shard"].isin(affected)).count()
-    assert {r[0] for r in back.select("shard").distinct().collect()} == set(affected)
+
+
+def shards_of(spark, path):
+    return [r.asDict() for r in spark.read.parquet(path).collect()]
+
+
+def test_rewrite_keeps_every_row(spark, tmp_path):
+    """Eight shards to four, with null and repeated ids and columns of clashing names: emptied folders go, no row does."""
+    from pyspark.sql import functions as F
+
+    rows = [(None if i % 3 == 0 else i // 2, f"text {i} " * (i % 40), "en", "s", i) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"shard": F.lit(7), "slot": F.lit("own")}).repartition(4)
+    path = str(tmp_path / "shards")
+    old = F.pmod(F.xxhash64("n_chars"), F.lit(8)).cast("int")
+    docs.withColumn("_shard", old).withColumn("_slot", F.lit(0).cast("long")).write.partitionBy("_shard").parquet(path)
+    sharding.rewrite(docs, old, path, shards=4)
+    found = shards_of(spark, path)
+    wanted = sorted(map(tuple, docs.collect()), key=str)
+    assert sorted((tuple(r[c] for c in docs.columns) for r in found), key=str) == wanted
+    assert {r["_shard"] for r in found} == {0, 1, 2, 3}
+    for s in range(4):
+        mine = sorted(r["_slot"] for r in found if r["_shard"] == s)
+        assert mine == list(range(len(mine)))
+    sizes = Counter()
+    for r in found:
+        sizes[r["_shard"]] += len(r["text"].encode()) + 1
+    assert max(sizes.values()) < 1.2 * min(sizes.values())  # a third of the ids is null, and their rows are spread too
+    with pytest.raises(ValueError, match="_shard"):
+        sharding.rewrite(docs.withColumn("_shard", F.lit(1)), old, path)
+
+
+def test_rewrite_leaves_other_shards_alone(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, "x" * 99, "en", "s", i % 2) for i in range(4000)], DOCS)
+    path = str(tmp_path / "shards")
+    assert sharding.rewrite(docs, F.col("n_chars").cast("int"), path, shards=2) in ([], [0, 1])
+    assert sharding.rewrite(docs.limit(0), F.lit(0), path) == []
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="no-sidebar"><header><a href="/">Site</a></header><nav><ul><li><a>Home</a><li><a>News</a></ul></nav>
@@ -361,6 +403,33 @@ def test_main_text():
 LONG = "word " * 60
 
 
+WORDS = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<form id="aspnetForm"><article><h1>T</h1><p>{WORDS}</p></article></form>', f'<form id="aspnetForm"><div id="content"><p>{WORDS}</p></div></form>', f"<main><fieldset><p>{WORDS}</p></fieldset></main>",
+        f'<article class="notice"><p>{WORDS}</p></article>', f'<article id="legal"><p>{WORDS}</p></article>', f'<main><section class="alerts"><p>{WORDS}</p></section></main>', f'<main><div class="social"><p>{WORDS}</p></div></main>',
+        f'<article><p>{WORDS}</p></article><div class="user-feedback"><p>Reader {WORDS}</p></div>', f'<article><p>{WORDS}</p></article><div class="discussion"><p>Reader {WORDS}</p><p>Reader {WORDS}</p></div>',
+        f'<main><article><p>{WORDS}</p></article><aside><p>Side {WORDS}</p></aside></main>', f'<div class="cookie-notice"><p>Cookies {WORDS}</p></div><article><p>{WORDS}</p></article>', f'<article><p>{WORDS}</p></article><div hidden><p>Secret {WORDS} {WORDS}</p></div>',
+    ],
+)
+def test_articles_inside_doubtful_elements(html):
+    found = html_text.main_text(f"<body>{html}</body>")
+    assert found.split("\n")[-1] == WORDS
+    assert not any(word in found for word in ("Reader", "Side", "Cookies", "Secret"))
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    for page in ("<svg>" * 20_000 + "<p>x", "<div>" * 20_000 + "<p>x</p>" * 20_000, "<div>" * 20_000 + "</section>" * 20_000):
+        began = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - began < 3
+
+
 @pytest.mark.parametrize(
     ("html", "want"),
     [
