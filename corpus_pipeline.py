@@ -1,7 +1,8 @@
 """A cleaning pipeline over the documents table: quality rules, exact dedup, SimHash near-dedup, suffix-array dedup, packing.
 
 Each stage works on all that the one before kept, takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again. All but the last return the columns of documents; the last gives the packed pieces.
+and read again. All but the last return the columns of documents and any others that the table has; the last gives the packed
+pieces with their ids. Null texts are empty, null ids and sources stay null, repeated rows are copies; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays; rows without an id are the smallest, null texts are empty ones."""
     return keep_first(docs, exact_dedup(docs, keep="largest"))
 
 
@@ -39,8 +40,8 @@ def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed token sequences."""
-    return pack(docs, bpe.vocabulary_path())
+    """The pieces of the packed token sequences, with their ids."""
+    return pack(docs, bpe.vocabulary_path(), with_ids=True)
 
 
 STAGES = [("quality", quality_rules), ("exact_dedup", exact), ("simhash", near), ("suffix_dedup", suffixes), ("packing", packing)]
