@@ -3,29 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions.text import STOP_FIELD, context_matches, keyword_similarity, keywords
+from docframe.functions.text import STOP_FIELD, context_matches, keyword_similarity, keywords, trim_all
+from docframe.session import materialize
 
 MIN_KEYWORD_SCORE = 5
 
 
-def keyword_candidates(tags: DataFrame, places: DataFrame, group: str, least: int = MIN_KEYWORD_SCORE) -> DataFrame:
-    """(group, tag, ord, place, score) of the places whose words hold a tag's keywords; the score is the keywords' length, and 5
-    more for a text that ends with a colon. Pairs meet on (group, word), so a group gives no pairs but those that share one.
-    tags: group, tag, ord, words array; places: group, place, text, words array. Further columns count where both sides have them:
-    section (3 more where equal), is_cell (5 more where both are table cells), and label of tags with row_header of places (10 more
-    where the label holds the header's first 20 characters); places with has_tag are taken already."""
+def contained_words(words: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(word, token): the words that stand inside a token. words: word, of three letters and more; tokens: token; repeats count once.
+
+    An index of three-letter grams finds the pairs: each word looks under its rarest gram alone, so a gram that very many tokens
+    hold is looked up only by words that have no rarer one, and what it finds is verified."""
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, 3)))
+    held = tokens.select("token").filter(F.length("token") >= 3).distinct().select("token", F.explode(grams(F.col("token"))).alias("gram"))
+    sizes = held.groupBy("gram").agg(F.count("*").alias("n"))
+    asked = words.select("word").filter(F.length("word") >= 3).distinct().select("word", F.explode(grams(F.col("word"))).alias("gram"))
+    # A gram that no token holds has no size: such a word stands in none.
+    rare = asked.join(sizes, "gram", "left").groupBy("word").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return rare.join(held, "gram").filter(F.contains("token", "word")).select("word", "token")
+
+
+def _texts(tags: DataFrame, places: DataFrame, group: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(scored, tag classes, place classes): tags of equal words and facts are one class, named by their first `ord`, and places of
+    equal texts and facts one, named by their first `place`; scored: group, tc, pc, score of the classes that share a word."""
     if "has_tag" in places.columns:
         places = places.filter(~F.coalesce("has_tag", F.lit(False)))
-    more = {"section", "is_cell"} & {*tags.columns} & {*places.columns}
+    more = sorted({"section", "is_cell"} & {*tags.columns} & {*places.columns})
     header = "label" in tags.columns and "row_header" in places.columns
-    own, other = [*sorted(more), *["label"] * header], [*sorted(more), *["row_header"] * header]
-    t = tags.select(group, "tag", "ord", *[F.col(c).alias(f"_t_{c}") for c in own], F.explode(F.array_distinct("words")).alias("word"))
-    p = places.select(group, "place", F.col("text").endswith(":").alias("colon"), *[F.col(c).alias(f"_p_{c}") for c in other], F.explode(F.array_distinct("words")).alias("word"))
+    own, other = [*more, *["label"] * header], [*more, *["row_header"] * header]
+    t = tags.select(group, "tag", "ord", F.array_sort("words").alias("_words"), *own)
+    p = places.select(group, "place", "text", *other)
+    t_class = t.groupBy(group, "_words", *own).agg(F.min("ord").alias("tc"))
+    p_class = p.groupBy(group, "text", *other).agg(F.min("place").alias("pc"))
+    alike = lambda df, found, keys: df.join(found.toDF(*[f"_k_{c}" for c in found.columns]), _all_equal(keys))
+    members = alike(t, t_class, [group, "_words", *own]).select(group, "tag", "ord", F.col("_k_tc").alias("tc"))
+    spots = alike(p, p_class, [group, "text", *other]).select(group, "place", F.col("_k_pc").alias("pc"))
+
+    tw = t_class.select(group, "tc", F.explode("_words").alias("word")).groupBy(group, "tc", "word").agg(F.sum(F.length("word")).alias("weight"))
+    tokens = F.array_distinct(F.split(F.regexp_replace(F.lower("text"), "[^a-zà-ÿ]+", " "), " "))
+    pw = p_class.select(group, "pc", F.explode(tokens).alias("token"))
+    inside = contained_words(tw, pw)
+    hits = tw.join(inside, "word").join(pw, [group, "token"]).select(group, "tc", "pc", "word", "weight").distinct()
+    summed = hits.groupBy(group, "tc", "pc").agg(F.sum("weight").alias("score"))
+    facts = t_class.select(group, "tc", *[F.col(c).alias(f"_t_{c}") for c in own])
+    others = p_class.select(group, "pc", F.endswith(trim_all(F.col("text")), F.lit(":")).alias("colon"), *[F.col(c).alias(f"_p_{c}") for c in other])
     extra = F.when(F.col("colon"), 5).otherwise(0)
     if "section" in more:
         extra = extra + F.when((F.col("_t_section") != "") & (F.col("_t_section") == F.col("_p_section")), 3).otherwise(0)
@@ -33,8 +59,32 @@ def keyword_candidates(tags: DataFrame, places: DataFrame, group: str, least: in
         extra = extra + F.when(F.col("_t_is_cell") & F.col("_p_is_cell"), 5).otherwise(0)
     if header:
         extra = extra + F.when((F.col("_p_row_header") != "") & F.contains(F.col("_t_label"), F.left("_p_row_header", F.lit(20))), 10).otherwise(0)
-    scored = t.join(p, [group, "word"]).groupBy(group, "tag", "ord", "place").agg((F.sum(F.length("word")) + F.first(extra)).alias("score"))
-    return scored.filter(F.col("score") >= least)
+    scored = summed.join(facts, [group, "tc"]).join(others, [group, "pc"]).select(group, "tc", "pc", (F.col("score") + extra).alias("score"))
+    return scored, members, spots
+
+
+def _all_equal(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+
+def keyword_candidates(tags: DataFrame, places: DataFrame, group: str, least: int = MIN_KEYWORD_SCORE) -> DataFrame:
+    """(group, tag, ord, place, score) of the places whose text contains a tag's keywords, as whole words or inside of others; the score is
+    the summed length of those it contains, and 5 more for a text that ends with a colon. Texts are scored once each: the pairs that
+    are compared are those of different texts of a group that share a word. A place without any keyword is no candidate.
+    tags: group, tag, ord, words (array of lower-case letters, as `keywords` gives them; a repeated word counts each time); places: group,
+    place, text. Further columns count where both sides have them: section (3 more where equal), is_cell (5 more where both are table
+    cells), and label of tags with row_header of places (10 more where the label holds the header's first 20 characters); places
+    with has_tag are taken already. Of a group, `ord` numbers the tags and `place` the places."""
+    scored, members, spots = _texts(tags, places, group)
+    return scored.filter(F.col("score") >= least).join(members, [group, "tc"]).join(spots, [group, "pc"]).select(group, "tag", "ord", "place", "score")
+
+
+def keyword_best(tags: DataFrame, places: DataFrame, group: str, least: int = MIN_KEYWORD_SCORE) -> DataFrame:
+    """(group, tag, ord, place, score): of each tag the best of its keyword_candidates, the first place on ties; places may serve
+    several tags. Of equal texts the first is the best, so no more pairs are made than there are of different texts."""
+    scored, members, _ = _texts(tags, places, group)
+    best = scored.filter(F.col("score") >= least).groupBy(group, "tc").agg(F.max_by(F.struct("pc", "score"), F.struct("score", -F.col("pc"))).alias("m"))
+    return best.join(members, [group, "tc"]).select(group, "tag", "ord", F.col("m.pc").alias("place"), "m.score")
 
 
 def cell_of_tag(tags: DataFrame, cells: DataFrame, doc: str = "doc_id", order: tuple[str, ...] = ("table_index", "row_index", "column_index")) -> DataFrame:
@@ -66,22 +116,39 @@ def best_candidate(candidates: DataFrame, group: str) -> DataFrame:
     return candidates.groupBy(group, "tag", "ord").agg(best.alias("m")).select(group, "tag", "m.place", "m.score")
 
 
-def greedy_assignment(candidates: DataFrame, group: str) -> DataFrame:
-    """Tags in their order each take their best place that is still free. One pass per group over scored candidates only."""
-
-    def assign(rows: pd.DataFrame) -> pd.DataFrame:
-        used: set[int] = set()
-        out = []
-        ordered = rows.sort_values(["ord", "score", "place"], ascending=[True, False, True])
-        for _, mine in ordered.groupby("ord", sort=False):
-            free = mine[~mine["place"].isin(used)]
-            if len(free):
-                row = free.iloc[0]
-                used.add(row["place"])
-                out.append(row)
-        return pd.DataFrame(out, columns=rows.columns)
-
-    return candidates.groupBy(group).applyInPandas(assign, candidates.schema)
+#: Tags of a group that are settled together.
+ASSIGN_BLOCK = 512
+
+
+def greedy_assignment(candidates: DataFrame, group: str, block: int = ASSIGN_BLOCK) -> DataFrame:
+    """candidates (group, tag, ord, place, score): tags in their order each take their best place that is still free, the first on ties.
+
+    A group's tags are settled in blocks of `block`, a round for each; the places that are taken are written between the rounds. Of
+    a block no tag can be pushed beyond its best `block` free places, so a task holds block x block candidates at most, whatever the
+    size of the group, and gives the same as one pass over all of it. Groups go side by side; a null place is never taken."""
+    order = Window.partitionBy(group).orderBy("ord")
+    tags = candidates.select(group, "ord").distinct().withColumn("_block", F.floor((F.row_number().over(order) - 1) / block))
+    tags = materialize(tags.toDF(f"_k_{group}", "_k_ord", "_block"), "assign-order")
+    rounds = (tags.agg(F.max("_block")).first()[0] or 0) + 1
+    out, taken = [], None
+    for n in range(rounds):
+        mine = candidates.join(tags.filter(F.col("_block") == n), _all_equal([group, "ord"])).filter("place is not null").select(*candidates.columns)
+        if taken is not None:
+            mine = mine.join(taken, _all_equal([group, "place"]), "left_anti")
+        best = Window.partitionBy(group, "ord").orderBy(F.desc("score"), "place")
+        near = mine.withColumn("_nth", F.row_number().over(best)).filter(F.col("_nth") <= block)
+        lists = near.groupBy(group, "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("_nth", "place"))), lambda x: x["place"]).alias("_places"))
+        blocks = lists.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("ord", "_places"))).alias("_tags"))
+        kinds = dict(candidates.dtypes)
+        start = F.array().cast(f"array<{kinds['place']}>")
+        # The places in the order in which the tags took them, null for a tag that found none.
+        took = F.aggregate("_tags", start, lambda used, t: F.concat(used, F.array(F.get(F.array_except(t["_places"], used), F.lit(0)))))
+        pairs = blocks.select(group, F.explode(F.arrays_zip(F.transform("_tags", lambda t: t["ord"]).alias("ord"), took.alias("place"))).alias("_p")).select(group, "_p.ord", "_p.place").filter("place is not null")
+        hits = pairs.toDF(f"_k_{group}", "_k_ord", "_k_place")
+        out.append(materialize(near.join(hits, _all_equal([group, "ord", "place"]), "left_semi").select(*candidates.columns), f"assigned-{n}"))
+        places = out[-1].select(F.col(group).alias(f"_k_{group}"), F.col("place").alias("_k_place"))
+        taken = places if taken is None else taken.union(places)
+    return reduce(DataFrame.unionByName, out)
 
 
 def by_position(expected: DataFrame, found: DataFrame, key: list[str], place: str) -> DataFrame:

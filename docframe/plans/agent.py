@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import insertion_point, keyword_score, keywords
-from docframe.operators.matching import best_candidate, by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
+from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_best, keyword_candidates, satisfaction, split_cells
 from docframe.session import materialize
 
 MAX_ROUNDS, ENOUGH = 3, 80
@@ -33,11 +33,19 @@ def semantic_matcher(tags: DataFrame, places: DataFrame) -> DataFrame:
     placed = by_position(tags.filter("table_index is not null").select("tag", "ord", *cell), places.filter("table_index is not null").select(*cell, "place"), cell, "place")
     exact = placed.select("doc_id", "tag", "place", F.lit(0.90).alias("confidence"), F.lit("table_cell").alias("insertion_point"))
     rest = tags.join(exact.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "ord", keywords(F.col("label")).alias("words"))
-    free = places.join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text", keywords(F.col("text")).alias("words"))
+    free = places.join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text")
     found = greedy_assignment(keyword_candidates(rest, free, "doc_id"), "doc_id")
     return exact.unionByName(found.select("doc_id", "tag", "place", F.lit(0.75).alias("confidence"), F.lit("after_colon").alias("insertion_point")))
 
 
+def section_matcher(tags: DataFrame, places: DataFrame) -> DataFrame:
+    """semantic_matcher within sections: a tag is placed in its own section alone, by the cell at the same table of the section, row and
+    column, else by keywords, each place once. tags: doc_id, section, tag, ord, label and the cell's ordinals, table_index counted
+    in the section (relative_tables); places: doc_id, section, place, text and the same ordinals. A blank section is one of its own."""
+    inside = lambda df: df.withColumn("doc_id", F.struct("doc_id", F.coalesce("section", F.lit("")).alias("section")))
+    return semantic_matcher(inside(tags), inside(places)).withColumn("doc_id", F.col("doc_id.doc_id"))
+
+
 def extract_json(response: Column) -> Column:
     """The JSON of a model's answer: a fenced block, else from the first brace to the last, else an array as matches."""
     fenced = F.nullif(F.regexp_extract(response, r"(?s)```(?:json)?\s*(.*?)```", 1), F.lit(""))
@@ -161,4 +169,5 @@ def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float =
 
 
 def best_by_keywords(tags: DataFrame, places: DataFrame) -> DataFrame:
-    return best_candidate(keyword_candidates(tags, places, "doc_id"), "doc_id")
+    """Of each tag (doc_id, tag, ord, words) the best place (doc_id, place, text) of its document."""
+    return keyword_best(tags, places, "doc_id")

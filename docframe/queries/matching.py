@@ -11,8 +11,8 @@ from docframe.operators import matching as M
 from docframe.queries.registry import Tables, query
 from docframe.queries.text import STOP
 
-#: Tags of an order are its customer's words, places its items' ship months; groups are orders.
-_WORDS = f"list_distinct(list_filter(string_split(regexp_replace(lower({{0}}), '[^a-zà-ÿ]+', ' ', 'g'), ' '), lambda w: length(w) >= 3 and not list_contains({STOP}, w)))"
+#: Words of a text as the keyword extractor gives them, repeats kept and not.
+_ALL_WORDS = f"list_filter(string_split(regexp_replace(lower({{0}}), '[^a-zà-ÿ]+', ' ', 'g'), ' '), lambda w: length(w) >= 3 and not list_contains({STOP}, w))"
 
 
 def _tags(t: Tables) -> DataFrame:
@@ -21,45 +21,60 @@ def _tags(t: Tables) -> DataFrame:
 
 def _places(t: Tables) -> DataFrame:
     text = F.concat("p_type", F.lit(" "), "p_name", F.when(F.col("p_size") % 2 == 0, ":").otherwise(""))
-    return t.part.select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("place"), text.alias("text"), keywords(text).alias("words"))
+    return t.part.select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("place"), text.alias("text"))
 
 
-_CANDIDATES = f"""tags as (select p_brand as brand, p_partkey as tag, unnest({_WORDS.format('p_name')}) as word from part),
-    texts as (select p_brand as brand, p_partkey as place, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part),
-    places as (select brand, place, ends_with(text, ':') as colon, unnest({_WORDS.format('text')}) as word from texts),
-    candidates as (select brand, tag, place, sum(length(word)) + case when any_value(colon) then 5 else 0 end as score from tags join places using (brand, word) group by all having score >= 5)"""
+#: The plain rule: each tag of a brand with each place of it, by what the text contains.
+_CANDIDATES = f"""tags as (select p_brand as brand, p_partkey as tag, {_ALL_WORDS.format('p_name')} as words from part),
+    places as (select p_brand as brand, p_partkey as place, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part),
+    pairs as (select brand, tag, place, ends_with(text, ':') as colon, list_sum(list_transform(words, lambda w: case when contains(lower(text), w) then length(w) else 0 end))::bigint as hits from tags join places using (brand)),
+    candidates as (select brand, tag, place, hits + case when colon then 5 else 0 end as score from pairs where hits > 0 and hits + case when colon then 5 else 0 end >= 5)"""
 
 
-def _best(t: Tables, places: DataFrame) -> DataFrame:
-    return M.best_candidate(M.keyword_candidates(_tags(t), places, "brand"), "brand").select("brand", "tag", "place", F.col("score").cast("long").alias("score"))
+def _long(df: DataFrame) -> DataFrame:
+    return df.select("brand", "tag", "place", F.col("score").cast("long").alias("score"))
 
 
 @query("keyword_best_candidate", f"with {_CANDIDATES}, r as (select *, row_number() over (partition by brand, tag order by score desc, place) as n from candidates) select brand, tag, place, score from r where n = 1")
 def keyword_best_candidate(t: Tables) -> DataFrame:
-    return _best(t, _places(t))
+    return _long(M.keyword_best(_tags(t), _places(t), "brand"))
 
 
-@query("keyword_best_candidate_all")
-def keyword_best_candidate_all(t: Tables) -> DataFrame:
-    return _best(t, _places(t))
+@query("keyword_candidate_counts", f"with {_CANDIDATES} select brand, tag, count(*) as n, sum(score)::bigint as total from candidates group by all")
+def keyword_candidate_counts(t: Tables) -> DataFrame:
+    """All candidates of each tag."""
+    found = M.keyword_candidates(_tags(t), _places(t), "brand")
+    return found.groupBy("brand", "tag").agg(F.count("*").alias("n"), F.sum("score").cast("long").alias("total"))
+
+
+@query(
+    "keyword_containment",
+    """with w as (select distinct unnest(list_filter(string_split(regexp_replace(lower(p_name || ' ' || p_type), '[^a-zà-ÿ]+', ' ', 'g'), ' '), lambda w: length(w) >= 3)) as word from part),
+        k as (select distinct substr(word, 2, 4) as word from w where length(word) >= 4)
+        select k.word, w.word as token from k join w on contains(w.word, k.word)""",
+)
+def keyword_containment(t: Tables) -> DataFrame:
+    """The words of parts that hold the second to fifth letter of another."""
+    tokens = t.part.select(F.explode(keywords(F.concat("p_name", F.lit(" "), "p_type"), ["-"])).alias("token")).distinct()
+    words = tokens.filter(F.length("token") >= 4).select(F.substring("token", 2, 4).alias("word"))
+    return M.contained_words(words, tokens).select("word", "token")
 
 
 @query(
     "keyword_candidates_bonus",
-    f"""with tags as (select p_brand as brand, p_partkey as tag, p_size % 3 as section, p_size % 2 = 1 as is_cell, p_name as label, unnest({_WORDS.format('p_name')}) as word from part),
-        texts as (select p_brand as brand, p_partkey as place, p_size % 3 as section, p_partkey % 2 = 1 as is_cell, split_part(p_name, ' ', 1) as header, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part where p_partkey % 7 <> 0),
-        places as (select brand, place, section, is_cell, header, ends_with(text, ':') as colon, unnest({_WORDS.format('text')}) as word from texts),
-        c as (select brand, tag, place, sum(length(word)) + any_value(case when colon then 5 else 0 end + case when tags.section = places.section then 3 else 0 end + case when tags.is_cell and places.is_cell then 5 else 0 end + case when contains(label, left(header, 20)) then 10 else 0 end) as score
-          from tags join places using (brand, word) group by all having score >= 5),
-        r as (select *, row_number() over (partition by brand, tag order by score desc, place) as n from c) select brand, tag, place, score from r where n = 1""",
+    f"""with tags as (select p_brand as brand, p_partkey as tag, p_size % 3 as section, p_size % 2 = 1 as is_cell, p_name as label, {_ALL_WORDS.format('p_name')} as words from part),
+        places as (select p_brand as brand, p_partkey as place, p_size % 3 as section, p_partkey % 2 = 1 as is_cell, split_part(p_name, ' ', 1) as header, p_type || ' ' || p_name || case when p_size % 2 = 0 then ':' else '' end as text from part where p_partkey % 7 <> 0),
+        pairs as (select brand, tag, place, list_sum(list_transform(words, lambda w: case when contains(lower(text), w) then length(w) else 0 end))::bigint as hits,
+            case when ends_with(text, ':') then 5 else 0 end + case when tags.section = places.section then 3 else 0 end + case when tags.is_cell and places.is_cell then 5 else 0 end + case when contains(label, left(header, 20)) then 10 else 0 end as extra
+          from tags join places using (brand)),
+        r as (select brand, tag, place, hits + extra as score, row_number() over (partition by brand, tag order by hits + extra desc, place) as n from pairs where hits > 0 and hits + extra >= 5) select brand, tag, place, score from r where n = 1""",
 )
 def keyword_candidates_bonus(t: Tables) -> DataFrame:
     """Every seventh part holds a tag already and is no place."""
     section = (F.col("p_size") % 3).cast("string")
     tags = _tags(t).join(t.part.select(F.col("p_partkey").alias("tag"), section.alias("section"), (F.col("p_size") % 2 == 1).alias("is_cell"), F.col("p_name").alias("label")), "tag")
     facts = t.part.select(F.col("p_partkey").alias("place"), section.alias("section"), (F.col("p_partkey") % 2 == 1).alias("is_cell"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("row_header"), (F.col("p_partkey") % 7 == 0).alias("has_tag"))
-    found = M.best_candidate(M.keyword_candidates(tags, _places(t).join(facts, "place"), "brand"), "brand")
-    return found.select("brand", "tag", "place", F.col("score").cast("long").alias("score"))
+    return _long(M.keyword_best(tags, _places(t).join(facts, "place"), "brand"))
 
 
 _GRID = "g as (select l_orderkey as doc_id, l_linenumber % 2 as table_index, l_linenumber % 3 as row_index, l_partkey % 4 as column_index, l_suppkey % 5 as tag, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as ord from lineitem)"
@@ -116,7 +131,8 @@ def verify_empty_cells(t: Tables) -> DataFrame:
 
 @query("keyword_greedy_assignment")
 def keyword_greedy_assignment(t: Tables) -> DataFrame:
-    return M.greedy_assignment(M.keyword_candidates(_tags(t), _places(t), "brand"), "brand")
+    """Tests hold it against one plain pass over each brand; SQL has no such loop."""
+    return _long(M.greedy_assignment(M.keyword_candidates(_tags(t), _places(t), "brand"), "brand"))
 
 
 @query(

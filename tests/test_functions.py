@@ -1,4 +1,5 @@
 import io
+import random
 import zipfile
 
 import pytest
@@ -130,6 +131,43 @@ def test_greedy_assignment_uses_a_place_once(spark):
     assert got == {"a": 1, "b": 3}
 
 
+@pytest.mark.parametrize("block", [1, 3, 512])
+def test_greedy_assignment_in_blocks_equals_one_pass(spark, block):
+    rnd = random.Random(4)
+    rows = [(g, f"t{t}", t, rnd.randrange(40), rnd.randint(1, 6)) for g in ("a", "b", None) for t in range(30) for _ in range(rnd.randint(1, 12))]
+    rows = list({(g, t, p): (g, n, t, p, s) for g, n, t, p, s in rows}.values())
+    used, want = set(), set()
+    for g in ("a", "b", None):
+        for t in range(30):
+            mine = sorted((-s, p) for h, _, o, p, s in rows if h == g and o == t and (g, p) not in used)
+            if mine:
+                used.add((g, mine[0][1]))
+                want.add((g, f"t{t}", mine[0][1]))
+    df = spark.createDataFrame(rows, "grp string, tag string, ord int, place int, score int").repartition(3)
+    assert {(r["grp"], r["tag"], r["place"]) for r in J.greedy_assignment(df, "grp", block).collect()} == want
+    assert J.greedy_assignment(df.limit(0), "grp").count() == 0
+
+
+def test_keywords_are_found_inside_of_words(spark):
+    tags = spark.createDataFrame([("d", "ADRESSE", 0, ["adresse"]), ("d", "NOM", 1, ["nom"]), ("d", "NONE", 2, ["absent"]), ("d", "TWICE", 3, ["nom", "nom"])], "doc string, tag string, ord int, words array<string>")
+    places = spark.createDataFrame([("d", 0, "Adresses postales :"), ("d", 1, "Dénomination"), ("d", 2, "Nom, prénom"), ("d", 3, None), ("e", 4, "adresse")], "doc string, place int, text string")
+    got = {(r["tag"], r["place"], r["score"]) for r in J.keyword_candidates(tags, places, "doc", least=1).collect()}
+    assert got == {("ADRESSE", 0, 12), ("NOM", 1, 3), ("NOM", 2, 3), ("TWICE", 1, 6), ("TWICE", 2, 6)}
+    best = {r["tag"]: (r["place"], r["score"]) for r in J.keyword_best(tags, places, "doc", least=1).collect()}
+    assert best == {"ADRESSE": (0, 12), "NOM": (1, 3), "TWICE": (1, 6)}
+
+
+def test_section_matcher_stays_in_its_section(spark):
+    from docframe.plans.agent import section_matcher
+
+    cells = "table_index int, row_index int, column_index int"
+    tags = spark.createDataFrame([("d", "A", "T1", 0, "", 0, 1, 1), ("d", "B", "T2", 1, "adresse postale", None, None, None), ("d", "C", "T3", 2, "", 0, 1, 1)], f"doc_id string, section string, tag string, ord int, label string, {cells}")
+    places = spark.createDataFrame(
+        [("d", "A", 0, "x", 0, 1, 1), ("d", "A", 1, "Adresse postale :", None, None, None), ("d", "B", 2, "Les adresses", None, None, None), ("d", "B", 3, "y", 0, 1, 1)], f"doc_id string, section string, place int, text string, {cells}"
+    )
+    assert {(r["tag"], r["place"], r["confidence"]) for r in section_matcher(tags, places).collect()} == {("T1", 0, 0.9), ("T2", 2, 0.75)}
+
+
 def test_tag_rows_labels(spark):
     xml = "<w:body>" + "".join(f"<w:p><w:r><w:t>{t}</w:t></w:r></w:p>" for t in ("A - Candidat", "Nom commercial", "{{NOM_COMMERCIAL}} suite", "SIRET : {{SIRET}}")) + "</w:body>"
     paras = S.paragraphs(spark.createDataFrame([("d", xml)], "doc_id string, xml string"))
