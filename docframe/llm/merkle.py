@@ -140,8 +140,8 @@ def manifest(docs: DataFrame, columns: list[str], id_col: str = "doc_id", group_
     over = ranked(tops.select(F.lit("").alias("all"), "key", "node"), "all", ["key"], "merkle-sources")
     over = materialize(over, "merkle-order")
     top_paths, root = _reduce(over.select(F.col("all").alias("key"), "at", "n", "node"), "merkle-root", fanout, levels)
-    top_paths = over.select(F.col("key").alias("sk"), F.col("at").alias("sa"), F.col("node").alias("subroot")).join(top_paths.select("at", F.col("path").alias("top_path")), F.col("sa") == F.col("at")).drop("at")
-    top_paths = top_paths.crossJoin(F.broadcast(root.select(F.col("node").alias("root"))))  # the root is one row
+    subroots = over.join(root.select(F.col("key").alias("_all"), F.col("node").alias("root")), F.col("all") == F.col("_all"))
+    top_paths = subroots.select(F.col("key").alias("sk"), F.col("at").alias("sa"), F.col("node").alias("subroot"), "root").join(top_paths.select("at", F.col("path").alias("top_path")), F.col("sa") == F.col("at")).drop("at")
     upper = paths.select(F.col("key").alias("pk"), F.col("at").alias("pa"), "path").join(top_paths, F.col("pk") == F.col("sk"))
     joined = blocks.join(upper, (F.col("key") == F.col("pk")) & (F.col("block") == F.col("pa")))
     rows = joined.select("key", "block", "n", "ids", "leaves", "changed", F.concat("path", "top_path").alias("path"), "subroot", "root")
