@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions import xml as X
-from docframe.operators.structure import cells, classify_paragraphs, element_stats, header_rows, paragraphs, section_hierarchy, table_stats
+from docframe.operators.structure import cells, classify_paragraphs, element_stats, header_rows, paragraphs_with_cells, section_hierarchy, table_stats
 from docframe.sources.docx import metadata
 
 _WHOLE = 1 << 20
 
 
-def outside_tables(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """Documents without their tables, so that the paragraphs of cells are left out."""
-    return docs.withColumn(xml, F.regexp_replace(xml, X.TABLE, ""))
-
-
 def elements(docs: DataFrame, doc: str = "path") -> DataFrame:
-    """doc, index, kind, level, section_id, list_run, text of the paragraphs with text outside of tables."""
-    shown = paragraphs(outside_tables(docs), doc).filter("text <> ''")
-    return section_hierarchy(classify_paragraphs(shown), doc, "index").select(doc, "index", "kind", "level", "section_id", "list_run", "text")
+    """doc, index, kind, level, section_id, list_run, text of the paragraphs with text outside of tables; index counts all paragraphs
+    outside of tables."""
+    body = paragraphs_with_cells(docs, doc).filter("table_index is null")
+    numbered = body.withColumn("index", F.row_number().over(Window.partitionBy(doc).orderBy("index")) - 1)
+    return section_hierarchy(classify_paragraphs(numbered.filter("text <> ''")), doc, "index").select(doc, "index", "kind", "level", "section_id", "list_run", "text")
 
 
 def extract(docs: DataFrame) -> DataFrame:

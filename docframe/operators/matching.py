@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import STOP_FIELD, context_matches, keyword_similarity, keywords, trim_all
+from docframe.operators.structure import spans_at
 from docframe.session import materialize
 
 MIN_KEYWORD_SCORE = 5
@@ -98,10 +99,11 @@ def paragraph_of_tag(found: DataFrame, paras: DataFrame, doc: str = "doc_id") ->
     of the one whose offsets hold `at`, else 0. paras: doc, index, start, end and the same cell columns."""
     cell = ["table_index", "row_index", "column_index"]
     by_cell = paras.filter("table_index is not null").groupBy(doc, *cell).agg(F.min("index").alias("_c"))
-    spans = paras.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("index", "start", "end"))).alias("_spans"))
-    inside = F.filter("_spans", lambda s: (s["start"] <= F.col("at")) & (F.col("at") < s["end"]))
-    joined = found.join(by_cell, [doc, *cell], "left").join(spans, doc, "left")
-    return joined.select(*[F.col(c) for c in found.columns], F.coalesce("_c", F.get(inside, F.lit(0))["index"], F.lit(0)).alias("paragraph_index"))
+    spans = paras.select(doc, F.col("index").alias("_i"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    places = found.select(doc, F.col("at").alias("_at")).distinct()
+    first = spans_at(places, spans, doc, "_at", "_s", "_e").filter(F.col("_at") < F.col("_e")).groupBy(F.col(doc).alias("_d"), "_at").agg(F.min("_i").alias("_p"))
+    joined = found.join(by_cell, [doc, *cell], "left").join(first, (F.col(doc) == F.col("_d")) & (F.col("at") == F.col("_at")), "left")
+    return joined.select(*found.columns, F.coalesce("_c", "_p", F.lit(0)).alias("paragraph_index"))
 
 
 def tags_by_cell(tags: DataFrame, doc: str = "doc_id", cell: tuple[str, ...] = ("table_index", "row_index", "column_index")) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docframe.functions import xml as X
 from docframe.functions.tags import distinct_tags, semantic_hint, tag_data_type, tag_type
 from docframe.functions.text import clean_label, contains_letters, count_characters, count_words, has_tag, normalize_text, trim_all
+from docframe.operators.markup import elements
 
 
 def paragraphs(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
@@ -42,18 +43,12 @@ def label_lookback(lines: DataFrame, doc: str, order: str, text: str, back: int
     return lines.withColumn(out, F.coalesce(F.left(found, F.lit(150)), F.lit("")))
 
 
-def tables(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
-    return docs.select(F.col(doc), F.posexplode(X.split_all(F.col(xml), X.TABLE)).alias("table_index", "table_xml"))
-
-
-def table_rows(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
-    return tables(docs, doc, xml).select(doc, "table_index", F.posexplode(X.split_all(F.col("table_xml"), X.ROW)).alias("row_index", "row_xml"))
-
-
 def cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", text_limit: int = 100, header_limit: int = 80) -> DataFrame:
-    """One row a cell: ordinals, text, is_empty, headers from the first row and the first column, tags, colspan."""
-    flat = table_rows(docs, doc, xml).select(doc, "table_index", "row_index", F.posexplode(X.split_all(F.col("row_xml"), X.CELL)).alias("column_index", "cell_xml"))
-    flat = flat.withColumn("text", X.unescape(X.cell_text(F.col("cell_xml"))))
+    """One row a cell: ordinals, text, is_empty, headers from the first row and the first column, tags, colspan, and parent_table,
+    parent_row and parent_column, the cell that holds its table (null outside of cells). A table inside of a cell is a table of its
+    own, and its text is not that of the cell around it; tables are numbered in the order in which they open."""
+    inside = elements(docs, doc, xml).filter("name = 'tc' and column_index is not null")
+    flat = inside.withColumn("text", X.unescape(X.cell_text(F.col("xml"))))
     by_column = Window.partitionBy(doc, "table_index", "column_index").orderBy("row_index").rowsBetween(Window.unboundedPreceding, 0)
     by_row = Window.partitionBy(doc, "table_index", "row_index").orderBy("column_index").rowsBetween(Window.unboundedPreceding, 0)
     return flat.select(
@@ -63,10 +58,20 @@ def cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", text_limit: in
         F.left(F.first("text").over(by_row), F.lit(header_limit)).alias("row_header"),
         F.when(F.col("row_index") > 0, F.left(F.first("text").over(by_column), F.lit(header_limit))).otherwise("").alias("column_header"),
         distinct_tags(F.col("text")).alias("tags"),
-        X.colspan(F.col("cell_xml")).alias("colspan"),
+        X.colspan(F.col("xml")).alias("colspan"),
+        "parent_table", "parent_row", "parent_column",
     )
 
 
+def paragraphs_with_cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """doc, index, xml, text, xml_start, xml_end, has_tag and the place of the innermost cell around each paragraph (table_index, row_index,
+    column_index, null in the body), without a join."""
+    found = elements(docs, doc, xml).filter("name = 'p'")
+    text = normalize_text(X.unescape(X.xml_text(F.col("xml"))))
+    placed = found.select(doc, F.col("paragraph_index").alias("index"), "xml", text.alias("text"), F.col("start").alias("xml_start"), F.col("end").alias("xml_end"), "table_index", "row_index", "column_index")
+    return placed.withColumn("has_tag", has_tag(F.col("text")))
+
+
 def header_rows(cell_rows: DataFrame, doc: str = "doc_id", bold: str | None = None) -> DataFrame:
     """doc, table_index, is_header: whether the first row reads like a header: at least half of its cells short and at least half
     not numbers, or at least half bold."""
@@ -91,14 +96,29 @@ def table_objects(cell_rows: DataFrame, doc: str = "doc_id") -> DataFrame:
     return rows.select(doc, "table_index", "row_index", F.map_from_entries(last).alias("data"))
 
 
+def spans_at(points: DataFrame, spans: DataFrame, doc: str, at: str, start: str, end: str) -> DataFrame:
+    """points with the spans of their document that reach over their position `at` (start <= at <= end), a row for each.
+
+    A span is filed by its size: spans of up to 2**k characters lie in at most two stretches of that length, and a point looks into the one
+    stretch of each size that its document has. So a point meets spans of about its neighbourhood's size and not all of its
+    document's, and the work grows with the document and not with its square. Both sides' columns must differ in name but for doc."""
+    size = F.greatest(F.lit(10), F.length(F.bin(F.col(end) - F.col(start))))
+    near = spans.withColumn("_k", size).withColumn("_b", F.explode(F.array_distinct(F.array(F.expr(f"shiftright(bigint({start}), _k)"), F.expr(f"shiftright(bigint({end}), _k)")))))
+    sizes = near.groupBy(F.col(doc).alias("_sd")).agg(F.collect_set("_k").alias("_sizes"))  # at most 54 sizes
+    looks = points.join(sizes, F.col(doc) == F.col("_sd")).withColumn("_pk", F.explode("_sizes")).withColumn("_pb", F.expr(f"shiftright(bigint({at}), _pk)"))
+    met = (F.col(doc) == F.col("_d")) & (F.col("_pk") == F.col("_k")) & (F.col("_pb") == F.col("_b"))
+    inside = (F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))
+    return looks.join(near.withColumnRenamed(doc, "_d"), met & inside).drop("_sd", "_sizes", "_pk", "_pb", "_d", "_k", "_b")
+
+
 def paragraphs_in_cells(paras: DataFrame, boxes: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Each paragraph with the first cell that spans it, by offsets; null ordinals outside cells. boxes: doc, table_index,
-    row_index, column_index, xml_start, xml_end."""
-    b = boxes.select(F.col(doc).alias("_d"), "table_index", "row_index", "column_index", F.col("xml_start").alias("_s"), F.col("xml_end").alias("_e"))
-    inside = (F.col(doc) == F.col("_d")) & (F.col("xml_start") >= F.col("_s")) & (F.col("xml_end") <= F.col("_e"))
-    joined = paras.join(b, inside, "left")
-    w = Window.partitionBy(doc, "index").orderBy("table_index", "row_index", "column_index")
-    return joined.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_d", "_s", "_e")
+    """Each paragraph with the first cell that spans it, by offsets; null ordinals outside cells. paras: doc, index, xml_start, xml_end,
+    an index once a document; boxes: doc, table_index, row_index, column_index, xml_start, xml_end."""
+    b = boxes.select(doc, F.struct("table_index", "row_index", "column_index").alias("_at"), F.col("xml_start").alias("_s"), F.col("xml_end").alias("_e"))
+    met = spans_at(paras.select(doc, F.col("index").alias("_i"), "xml_start", "xml_end"), b, doc, "xml_start", "_s", "_e").filter(F.col("xml_end") <= F.col("_e"))
+    first = met.groupBy(F.col(doc).alias("_d"), "_i").agg(F.min("_at").alias("_at"))
+    joined = paras.join(first, (F.col(doc) == F.col("_d")) & (F.col("index") == F.col("_i")), "left")
+    return joined.select(*paras.columns, "_at.table_index", "_at.row_index", "_at.column_index")
 
 
 def add_empty_cells(placed: DataFrame, cell_rows: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -135,7 +155,7 @@ def classify_paragraphs(paras: DataFrame) -> DataFrame:
     return paras.withColumn("kind", kind).withColumn("level", F.coalesce(level, item["level"] + 1))
 
 
-def section_hierarchy(elements: DataFrame, doc: str, order: str, kind: str = "kind", level: str = "level") -> DataFrame:
+def section_hierarchy(parts: DataFrame, doc: str, order: str, kind: str = "kind", level: str = "level") -> DataFrame:
     """section_id: a heading of level 1, or the first heading, opens a section; what stands before is section 0.
     list_run: neighbouring list items share a number."""
     w = Window.partitionBy(doc).orderBy(order)
@@ -144,21 +164,21 @@ def section_hierarchy(elements: DataFrame, doc: str, order: str, kind: str = "ki
     first = heading & (F.sum(heading.cast("int")).over(upto) == 1)
     opens = (heading & (F.col(level) == 1)) | first
     starts = (F.col(kind) == "list") & (F.coalesce(F.lag(kind).over(w), F.lit("")) != "list")
-    return elements.withColumn("_o", opens.cast("int")).withColumn("_l", starts.cast("int")).withColumns(
+    return parts.withColumn("_o", opens.cast("int")).withColumn("_l", starts.cast("int")).withColumns(
         {"section_id": F.sum("_o").over(upto).cast("int"), "list_run": F.when(F.col(kind) == "list", F.sum("_l").over(upto).cast("int"))}
     ).drop("_o", "_l")
 
 
-def element_stats(elements: DataFrame, doc: str, kind: str = "kind", text: str = "text") -> DataFrame:
+def element_stats(parts: DataFrame, doc: str, kind: str = "kind", text: str = "text") -> DataFrame:
     k = F.col(kind)
-    return elements.groupBy(doc).agg(
+    return parts.groupBy(doc).agg(
         F.count_if(k == "heading").alias("headings"), F.count_if(k == "list").alias("list_items"), F.count_if(k == "paragraph").alias("paragraphs"), F.count("*").alias("elements"),
         F.sum(count_words(F.col(text))).alias("words"), F.sum(count_characters(F.col(text))).alias("characters"),
     )
 
 
-def heading_counts(elements: DataFrame, doc: str, kind: str = "kind", level: str = "level") -> DataFrame:
-    return elements.filter(F.col(kind) == "heading").groupBy(doc, level).agg(F.count("*").alias("n"))
+def heading_counts(parts: DataFrame, doc: str, kind: str = "kind", level: str = "level") -> DataFrame:
+    return parts.filter(F.col(kind) == "heading").groupBy(doc, level).agg(F.count("*").alias("n"))
 
 
 def nth_occurrence(lines: DataFrame, doc: str, order: str, text: str, label: str, n: int) -> DataFrame:

@@ -114,6 +114,51 @@ def table_to_objects(t: Tables) -> DataFrame:
     return rows.select("doc_id", F.col("row_index").cast("long").alias("row_index"), F.col("data")["Line"].alias("line"), F.col("data")["Part & more"].alias("part"), F.col("data")["Flag"].alias("flag"))
 
 
+_NESTED_ITEMS = """items as (select o_orderkey as doc_id, l_partkey, l_suppkey, l_linestatus, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 as i from orders join lineitem on l_orderkey = o_orderkey),
+    numbered as (select *, sum((l_partkey % 3 = 0)::int) over (partition by doc_id order by i rows unbounded preceding) as inner_table from items)"""
+
+
+def nested_tables(t: Tables) -> DataFrame:
+    """A table an order, a row an item; every item whose part number 3 divides has a table in its second cell, before the cell's own text,
+    with a table in the first cell of that one."""
+    text = lambda c: F.concat(F.lit("<w:p><w:r><w:t>"), c.cast("string"), F.lit("</w:t></w:r></w:p>"))
+    cell = lambda *c: F.concat(F.lit("<w:tc>"), *c, F.lit("</w:tc>"))
+    table = lambda *c: F.concat(F.lit("<w:tbl><w:tr>"), *c, F.lit("</w:tr></w:tbl>"))
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    grouped = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(item)).alias("i"))
+    inner = lambda x: F.when(x["l_partkey"] % 3 == 0, table(cell(text(x["l_suppkey"])), cell(text(F.lit("in"))))).otherwise("")
+    row = lambda x: F.concat(F.lit("<w:tr>"), cell(text(x["l_partkey"])), cell(inner(x), text(x["l_linestatus"])), F.lit("</w:tr>"))
+    return grouped.select("doc_id", F.concat(F.lit("<w:body>"), text(F.lit("first")), F.lit("<w:tbl>"), F.array_join(F.transform("i", row), ""), F.lit("</w:tbl>"), text(F.lit("last")), F.lit("</w:body>")).alias("xml"))
+
+
+@query(
+    "nested_tables",
+    f"""with {_NESTED_ITEMS}
+        select doc_id, 0 as table_index, i as row_index, 0 as column_index, l_partkey::varchar as text, null::bigint as parent_row from items
+        union all select doc_id, 0, i, 1, l_linestatus, null from items
+        union all select doc_id, inner_table, 0, 0, l_suppkey::varchar, i from numbered where l_partkey % 3 = 0
+        union all select doc_id, inner_table, 0, 1, 'in', i from numbered where l_partkey % 3 = 0""",
+)
+def nested_table_cells(t: Tables) -> DataFrame:
+    return S.cells(nested_tables(t)).select("doc_id", "table_index", "row_index", "column_index", "text", F.col("parent_row").cast("long").alias("parent_row"))
+
+
+@query(
+    "nested_paragraphs",
+    f"""with {_NESTED_ITEMS}, n as (select *, sum(2 + 2 * (l_partkey % 3 = 0)::int) over (partition by doc_id order by i rows unbounded preceding) as upto from numbered),
+        p as (select doc_id, upto - 2 * (l_partkey % 3 = 0)::int - 1 as index, l_partkey::varchar as text, 0 as table_index, i as row_index, 0 as column_index from n
+          union all select doc_id, upto, l_linestatus, 0, i, 1 from n
+          union all select doc_id, upto - 2, l_suppkey::varchar, inner_table, 0, 0 from n where l_partkey % 3 = 0
+          union all select doc_id, upto - 1, 'in', inner_table, 0, 1 from n where l_partkey % 3 = 0
+          union all select doc_id, 0, 'first', null, null, null from n group by 1
+          union all select doc_id, max(upto) + 1, 'last', null, null, null from n group by 1)
+        select doc_id, index::bigint as index, text, table_index, row_index, column_index from p""",
+)
+def nested_paragraphs(t: Tables) -> DataFrame:
+    """Paragraphs with their cells, those of nested tables too."""
+    return S.paragraphs_with_cells(nested_tables(t)).select("doc_id", F.col("index").cast("long").alias("index"), "text", "table_index", "row_index", "column_index")
+
+
 @query("header_row_detection", "select l_orderkey as doc_id, true as is_header from lineitem group by 1")
 def header_row_detection(t: Tables) -> DataFrame:
     return S.header_rows(S.cells(order_tables(t))).select("doc_id", "is_header")
