@@ -1,12 +1,16 @@
-"""Rules of known forms: which labels, cells and boxes of a form take which tags. Places come as rows, to be applied by tagging."""
+"""Rules of known forms: which labels, cells and boxes of a form take which tags, as rows, and the edits that put them in."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions import xml as X
-from docframe.operators.structure import cells
+from docframe.functions.text import trim_all
+from docframe.operators.edits import apply_edits
+from docframe.operators.markup import elements
+from docframe.operators.structure import cells, paragraphs_with_cells
 from docframe.operators.tagging import apply_rules
 
 #: Per form the markers around the section with the labels, and its labels as (label, tags, occurrence).
@@ -85,16 +89,80 @@ def turnover_tags(cell_rows: DataFrame, doc: str = "doc_id", table: int = TURNOV
 
 
 def member_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
-    """doc, row_index, column_index, tags in the first table after the member's markers: each label's first row takes its tags in
-    the second cell, if it has one. Documents without markers or table give no row."""
-    mark = F.locate(MEMBER_MARKS[0], F.col(xml))
-    tail = F.expr(f"substring(`{xml}`, _at)")
+    """doc, table_index, row_index, column_index, tags in the first table that opens after the member's markers: each label's first row
+    takes its tags in the second cell, if it has one. Documents without markers or table give no row."""
     # The second marker counts from the first on.
-    placed = docs.select(F.col(doc), F.col(xml)).withColumn("_mark", mark).filter("_mark > 0")
-    placed = placed.withColumn("_at", F.expr(f"locate('{MEMBER_MARKS[1]}', `{xml}`, _mark)")).filter("_at > 0")
-    first = placed.select(doc, F.regexp_extract(tail, X.TABLE, 0).alias(xml)).filter(F.col(xml) != "")
-    rows = cells(first, doc, xml, text_limit=1 << 20).groupBy(doc, "row_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "text"))), lambda c: c["text"]), " ").alias("text"), F.count("*").alias("n"))
+    marked = docs.select(F.col(doc).alias("_m"), F.locate(MEMBER_MARKS[0], F.col(xml)).alias("_mark"), F.col(xml).alias("_x")).filter("_mark > 0")
+    marked = marked.withColumn("_at", F.expr(f"locate('{MEMBER_MARKS[1]}', _x, _mark)")).filter("_at > 0").select("_m", "_at")
+    tables = elements(docs, doc, xml).filter("name = 'tbl'").join(marked, (F.col(doc) == F.col("_m")) & (F.col("start") >= F.col("_at")))
+    first = tables.groupBy(F.col("_m")).agg(F.min("table_index").alias("_first"))
+    inside = cells(docs, doc, xml, text_limit=1 << 20).join(first, (F.col(doc) == F.col("_m")) & (F.col("table_index") == F.col("_first")))
+    rows = inside.groupBy(doc, "table_index", "row_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "text"))), lambda c: c["text"]), " ").alias("text"), F.count("*").alias("n"))
     labels = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, tags)).alias("tags")) for label, tags in MEMBER])
-    hits = rows.select(doc, "row_index", "n", "text", F.explode(labels).alias("r")).filter(F.contains("text", F.col("r.label")))
-    best = hits.groupBy(doc, "r").agg(F.min_by(F.struct("row_index", "n"), "row_index").alias("m")).filter("m.n >= 2")
-    return best.select(doc, "m.row_index", F.lit(1).alias("column_index"), "r.tags")
+    hits = rows.select(doc, "table_index", "row_index", "n", "text", F.explode(labels).alias("r")).filter(F.contains("text", F.col("r.label")))
+    best = hits.groupBy(doc, "r").agg(F.min_by(F.struct("table_index", "row_index", "n"), "row_index").alias("m")).filter("m.n >= 2")
+    return best.select(doc, "m.table_index", "m.row_index", F.lit(1).alias("column_index"), "r.tags")
+
+
+def _run(tags: Column, style: Column | None = None, between_tags: str = "</w:t><w:br/><w:t>") -> Column:
+    """A run with tags, by default a line each."""
+    texts = F.array_join(F.transform(tags, lambda t: F.concat(F.lit("{{"), t, F.lit("}}"))), between_tags)
+    return F.concat(F.lit("<w:r>"), style if style is not None else F.lit(""), F.lit("<w:t>"), texts, F.lit("</w:t></w:r>"))
+
+
+def _with_run(xml: Column, run: Column) -> Column:
+    """A paragraph with its begin and its properties as they were, and one run."""
+    begin = F.regexp_replace(F.regexp_extract(xml, r"^<w:p(?:\s[^>]*?)?/?>", 0), "/>$", ">")
+    return F.concat(begin, F.regexp_extract(xml, r"(?s)<w:pPr>.*?</w:pPr>", 0), run, F.lit("</w:p>"))
+
+
+#: Where a form's tags are put, in the order in which they count.
+_KINDS = {"label": 0, "question": 1000, "cell": 2000}
+
+
+def form_edits(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """doc, nr, start, end, text, tags: the edits that tag a form, DC1, DC2 or AE. Tags of a label fill the empty paragraph behind it or, in
+    DC2, stand in a new one after the label; those of the question follow the texts Oui and Non; those of cells take the place of
+    the cell's first paragraph and keep its style."""
+    paras = paragraphs_with_cells(docs, doc, xml)
+    lines = paras.select(doc, "index", "text")
+    at = paras.select(F.col(doc).alias("_d"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), F.col("text").alias("_text"), "xml_start", "xml_end")
+    here = (F.col(doc) == F.col("_d")) & (F.col("index") == F.col("_i"))
+    out = []
+    if form in LABELS:
+        met = label_tags(lines, form, doc).join(at, here)
+        empty = trim_all(F.col("_text")) == ""
+        new = _with_run(F.col("_xml"), _run(F.col("tags")))
+        met = met if form == "DC2" else met.filter(empty)
+        out.append(met.select(doc, F.lit(_KINDS["label"]).alias("_k"), F.when(empty, F.col("xml_start")).otherwise(F.col("xml_end")).alias("start"), F.col("xml_end").alias("end"), new.alias("text"), "tags"))
+    if form == "DC2":
+        start, end, _ = LABELS[form]
+        met = question_tags(between(lines, start, end, doc), doc).join(at, here)
+        # Behind the run that holds the word: a run inside of a run would show nothing.
+        word = F.when(F.col("tag") == YES, "Oui").otherwise("Non")
+        upto = F.expr("coalesce(nullif(locate('</w:r>', _xml, locate(_word, _xml)), 0), locate('</w:t>', _xml, locate(_word, _xml)))")
+        met = met.withColumn("_word", word).withColumn("_end", upto).filter("_end > 0")
+        spot = F.col("xml_start") + F.col("_end") + 5
+        run = F.concat(F.lit("<w:r><w:t> {{"), F.col("tag"), F.lit("}}</w:t></w:r>"))
+        out.append(met.select(doc, F.lit(_KINDS["question"]).alias("_k"), spot.alias("start"), spot.alias("end"), run.alias("text"), F.array("tag").alias("tags")))
+    places = {"DC2": lambda: turnover_tags(cells(docs, doc, xml), doc), "AE": lambda: member_tags(docs, doc, xml)}
+    if form in places:
+        cell = ["table_index", "row_index", "column_index"]
+        first = paras.filter("table_index is not null").groupBy(F.col(doc).alias("_d"), *[F.col(c).alias(f"_{c}") for c in cell]).agg(F.min_by(F.struct("xml", "xml_start", "xml_end"), "index").alias("_first"))
+        met = places[form]().join(first, (F.col(doc) == F.col("_d")) & (F.col("table_index") == F.col("_table_index")) & (F.col("row_index") == F.col("_row_index")) & (F.col("column_index") == F.col("_column_index")))
+        style = F.regexp_extract("_first.xml", r"(?s)<w:rPr>.*?</w:rPr>", 0)
+        out.append(met.select(doc, F.lit(_KINDS["cell"]).alias("_k"), F.col("_first.xml_start").alias("start"), F.col("_first.xml_end").alias("end"), _with_run(F.col("_first.xml"), _run(F.col("tags"), style, *[" au "] * (form == "DC2"))).alias("text"), "tags"))
+    edits = reduce(DataFrame.unionByName, out)
+    nr = F.row_number().over(Window.partitionBy(doc).orderBy("_k", "start", "text")) - 1
+    return edits.withColumn("nr", nr).select(doc, "nr", "start", "end", "text", "tags")
+
+
+def tag_form(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """docs with a whole form tagged in one pass, and inserted, the tags that were put in, in the document's order. Documents that are no such
+    form, or lack all of its marks, stay as they are."""
+    edits = form_edits(docs, form, doc, xml)
+    done = apply_edits(docs, edits.drop("tags"), doc, xml)
+    tags = edits.groupBy(F.col(doc).alias("_t")).agg(F.array_sort(F.collect_list(F.struct("start", "nr", "tags"))).alias("_rows"))
+    kept = F.filter("_rows", lambda r: ~F.array_contains("lost_edits", r["nr"]))
+    inserted = F.coalesce(F.flatten(F.transform(kept, lambda r: r["tags"])), F.array().cast("array<string>"))
+    return done.join(tags, F.col(doc) == F.col("_t"), "left").select(*docs.columns, inserted.alias("inserted"))

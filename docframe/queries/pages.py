@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from docframe.functions import geometry as G
 from docframe.functions import xml as X
 from docframe.functions.text import STOP_FIELD
 from docframe.operators import forms
+from docframe.operators.edits import tag_documents
 from docframe.operators import layout as L
 from docframe.operators import matching as M
 from docframe.operators import tagging as T
@@ -149,6 +152,92 @@ def form_member_tags(t: Tables) -> DataFrame:
     return forms.member_tags(docs).select("doc_id", "row_index", "column_index", F.array_join("tags", ",").alias("tags"))
 
 
+_EMPTY = '<w:p><w:pPr><w:jc w:val="left"/></w:pPr></w:p>'
+_CELL = "<w:tc><w:tcPr/><w:p><w:r><w:rPr><w:b/></w:rPr><w:t>{}</w:t></w:r></w:p></w:tc>".format
+
+
+def _line(text: str, more: str = "") -> str:
+    return f"<w:p><w:r><w:t>{text}</w:t></w:r>{more}</w:p>"
+
+
+#: A form in parts, each as it is and as it is tagged; # stands for the customer's name.
+_DC2 = [
+    *[(_line(x),) * 2 for x in ("Nom commercial", "C1 - Cas général", "Nom commercial : rubrique", "Nom commercial : #")],
+    (_EMPTY, _EMPTY.replace("</w:p>", "<w:r><w:t>{{NOM_COMMERCIAL}}</w:t><w:br/><w:t>{{DENOMINATION}}</w:t></w:r></w:p>")),
+    (_line("Adresses postale"), _line("Adresses postale") + "<w:p><w:r><w:t>{{ADRESSE}}</w:t><w:br/><w:t>{{ADRESSE_SIEGE}}</w:t></w:r></w:p>"),
+    *[(_line(x),) * 2 for x in ("one", "two", "three", "#", "Le candidat est-il une micro, petite entreprise ?")],
+    (_line("Oui"), _line("Oui", "<w:r><w:t> {{CHECK_PME_OUI}}</w:t></w:r>")),
+    (_line("Non"), _line("Non", "<w:r><w:t> {{CHECK_PME_NON}}</w:t></w:r>")),
+    *[(_line(x),) * 2 for x in ("C2 - Cas spécifiques", "Forme juridique")],
+    *[(f"<w:tbl><w:tr>{_CELL(i)}</w:tr></w:tbl>",) * 2 for i in range(forms.TURNOVER_TABLE)],
+    ("<w:tbl>", "<w:tbl>"),
+    *[
+        ("<w:tr>" + _CELL("#") + _CELL("") * 3 + "</w:tr>", "<w:tr>" + _CELL("#") + "".join(_CELL(x) for x in row) + "</w:tr>")
+        for row in (["{{CA_N_DEBUT}} au {{CA_N_FIN}}", "{{CA_N1_DEBUT}} au {{CA_N1_FIN}}", "{{CA_N2_DEBUT}} au {{CA_N2_FIN}}"], ["{{CA_N}}", "{{CA_N1}}", "{{CA_N2}}"], ["{{PART_CA_N}}", "{{PART_CA_N1}}", "{{PART_CA_N2}}"])
+    ],
+    ("</w:tbl>", "</w:tbl>"),
+]
+
+
+def _form_sql(text: str) -> str:
+    return "'" + text.replace("#", "' || c_name || '") + "'"
+
+
+@query("form_tagged", f"select c_custkey as doc_id, {_form_sql(''.join(b for _, b in _DC2))} as xml, 18 as n from customer")
+def form_tagged(t: Tables) -> DataFrame:
+    """The whole XML of a form, tagged in one pass: labels, question and table of turnover."""
+    parts = "".join(a for a, _ in _DC2).split("#")
+    xml = F.concat(F.lit(parts[0]), *[c for p in parts[1:] for c in (F.col("c_name"), F.lit(p))])
+    done = forms.tag_form(t.customer.select(F.col("c_custkey").alias("doc_id"), xml.alias("xml")), "DC2")
+    return done.select("doc_id", "xml", F.size("inserted").alias("n"))
+
+
+_ITEMS = "items as (select l_orderkey as doc_id, l_partkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 as i from lineitem)"
+
+
+def _tag_matches(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """A document an order, a paragraph an item: one tag each, a second where 2 divides the part number, a period where 3 does. The first
+    paragraph's tag is asked for a second time and so is one of a paragraph that is not there."""
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    grouped = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(item)).alias("i"))
+    text = lambda x, i: F.concat(F.lit("<w:p><w:r><w:t>Line "), i.cast("string"), F.when(x["l_partkey"] % 3 == 0, " du .... au ....").otherwise(" :"), F.lit("</w:t></w:r></w:p>"))
+    docs = grouped.select("doc_id", F.concat(F.lit("<w:body>"), F.array_join(F.transform("i", text), ""), F.lit("</w:body>")).alias("xml"))
+    rows = grouped.select("doc_id", F.posexplode("i").alias("index", "x")).select("doc_id", "index", F.col("x.l_partkey").alias("k"))
+    name = F.col("index").cast("string")
+    point = lambda p: F.lit(p).alias("insertion_point")
+    period = rows.filter("k % 3 = 0").select("doc_id", "index", F.explode(F.array(F.concat(F.lit("P"), name, F.lit("_DEBUT")), F.concat(F.lit("P"), name, F.lit("_FIN")))).alias("tag"), F.lit(5).alias("ord"), point("after_colon"))
+    first = rows.filter("k % 3 <> 0").select("doc_id", "index", F.concat(F.lit("T"), name).alias("tag"), F.lit(0).alias("ord"), point("after_colon"))
+    second = rows.filter("k % 2 = 0").select("doc_id", "index", F.concat(F.lit("U"), name).alias("tag"), F.lit(1).alias("ord"), point("inline"))
+    again = rows.filter("index = 0 and k % 3 <> 0").select("doc_id", "index", F.lit("T0").alias("tag"), F.lit(9).alias("ord"), point("inline"))
+    away = rows.filter("index = 0").select("doc_id", F.lit(1000).alias("index"), F.lit("AWAY").alias("tag"), F.lit(0).alias("ord"), point("inline"))
+    return docs, reduce(DataFrame.unionByName, [period, first, second, again, away])
+
+
+@query(
+    "tagged_documents",
+    f"""with {_ITEMS} select doc_id, '<w:body>' || string_agg('<w:p><w:r><w:t>Line ' || i || case when l_partkey % 3 = 0 then ' du {{{{P' || i || '_DEBUT}}}} au {{{{P' || i || '_FIN}}}}' else ' : {{{{T' || i || '}}}}' end
+        || case when l_partkey % 2 = 0 then ' {{{{U' || i || '}}}}' else '' end || '</w:t></w:r></w:p>', '' order by i) || '</w:body>' as xml from items group by doc_id""",
+)
+def tagged_documents(t: Tables) -> DataFrame:
+    """Whole documents with several tags in a paragraph."""
+    docs, matches = _tag_matches(t)
+    return tag_documents(docs, matches)[0]
+
+
+@query(
+    "tagged_documents_report",
+    f"""with {_ITEMS}, r as (
+          select doc_id, 'applied' as status, i from items where l_partkey % 3 <> 0 union all select doc_id, 'applied', i from items where l_partkey % 3 = 0 union all select doc_id, 'applied', i from items where l_partkey % 3 = 0
+          union all select doc_id, 'paragraph_changed', i from items where l_partkey % 2 = 0
+          union all select doc_id, 'already_used', i from items where i = 0 and l_partkey % 3 <> 0 union all select doc_id, 'no_paragraph', i from items where i = 0)
+        select doc_id, status, count(*) as n from r group by all""",
+)
+def tagged_documents_report(t: Tables) -> DataFrame:
+    """What became of every match where a paragraph takes one tag, or a period."""
+    docs, matches = _tag_matches(t)
+    return tag_documents(docs, matches, several=False)[1].groupBy("doc_id", "status").agg(F.count("*").alias("n"))
+
+
 @query("date_range_fallbacks", """select n_nationkey, n_name || case n_nationkey % 4 when 0 then ' du {{A}} au {{B}} fin' when 1 then ' du {{A}} au {{B}}' when 2 then ' du {{A}} au {{B}}fin' else ' {{A}} au {{B}}' end as text from nation""")
 def date_range_fallbacks(t: Tables) -> DataFrame:
     """Dots in one text, dots over several texts, nothing between du and au, neither."""
