@@ -1,12 +1,15 @@
-"""Mail merge: loops, tags, report. All row-local expressions: a fill never shuffles."""
+"""Mail merge: loops, tags, report, validation. All local to a row: a fill never shuffles."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docframe.functions.tags import distinct_tags, restyle
-from docframe.functions.text import ANY_CASE_TAG, checkbox_symbol, escape_xml
+from docframe.functions.tags import distinct_tags, flatten_json, restyle
+from docframe.functions.text import ANY_CASE_TAG, escape_xml
+from docframe.operators.markup import well_formed
+from docframe.operators.templates import expand_loops
+from docframe.session import ship_package
 
 
 def expand_loop(template: Column, name: str, items: Column, keys: list[str]) -> Column:
@@ -19,67 +22,13 @@ def expand_loop(template: Column, name: str, items: Column, keys: list[str]) ->
             body = F.replace(body, F.lit(f"{{{{{key.upper()}}}}}"), escape_xml(F.coalesce(item.getField(key).cast("string"), F.lit(""))))
         return body
 
-    def expanded(whole: Column) -> Column:
-        return F.coalesce(F.array_join(F.transform(items, lambda item: one(F.regexp_extract(whole, block, 1), item)), ""), F.lit(""))
+    def expanded(body: Column) -> Column:
+        return F.coalesce(F.array_join(F.transform(items, lambda item: one(body, item)), ""), F.lit(""))
 
+    # The bodies are cut out once for each block, before the items are gone through.
     wholes = F.array_distinct(F.regexp_extract_all(template, F.lit(block), F.lit(0)))
-    return F.aggregate(wholes, template, lambda text, whole: F.replace(text, whole, expanded(whole)))
-
-
-#: A block of any name; names are letters, digits and underscores.
-_BLOCK = r"(?is)\{#(\w+)\}(.*?)\{/\1\}"
-_OBJECT = "map<string,variant>"
-
-
-def _as_array(value: Column) -> Column:
-    """The JSON text of a variant that is an array, else null."""
-    return F.when(F.schema_of_variant(value).startswith("ARRAY"), F.to_json(value))
-
-
-def find_array(data: Column, name: Column) -> Column:
-    """The array that a loop's name means in a JSON object, as JSON text, else null: the key as written, the key in lower case, or
-    the path that the name gives when split at underscores, where keys match in any case."""
-    top = F.from_json(data, _OBJECT)
-
-    def step(at: Column, part: Column) -> Column:
-        hits = F.filter(F.map_entries(F.from_json(at, _OBJECT)), lambda e: F.lower(e["key"]) == part)
-        return F.to_json(F.get(hits, F.lit(0))["value"])
-
-    nested = F.aggregate(F.split(F.lower(name), "_"), data, step)
-    return F.coalesce(_as_array(F.try_element_at(top, name)), _as_array(F.try_element_at(top, F.lower(name))), _as_array(F.try_parse_json(nested)))
-
-
-def shown(value: Column) -> Column:
-    """A JSON value as text: booleans as boxes, lists of scalars joined, objects as JSON, null empty."""
-    kind = F.schema_of_variant(value)
-    scalars = F.array_join(F.transform(F.from_json(F.to_json(value), "array<variant>"), lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))), ", ")
-    return F.coalesce(
-        F.when(kind == "BOOLEAN", checkbox_symbol(F.try_variant_get(value, "$", "boolean"))).when(kind.startswith("ARRAY") & ~kind.contains("OBJECT"), scalars).when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.to_json(value)).otherwise(F.try_variant_get(value, "$", "string")),
-        F.lit(""),
-    )
-
-
-def _for_item(body: Column, item: Column) -> Column:
-    """A block's body with the tags of an object's keys, in any case, replaced; any other item repeats it as it is."""
-    plain = lambda v: F.regexp_replace(v, r"([\\$])", r"\\$1")
-    tag = lambda key: F.concat(F.lit(r"(?i)\{\{\Q"), key, F.lit(r"\E\}\}"))
-    entries = F.when(F.schema_of_variant(item).startswith("OBJECT"), F.map_entries(F.from_json(F.to_json(item), _OBJECT)))
-    filled = F.aggregate(entries, body, lambda text, e: F.regexp_replace(text, tag(e["key"]), plain(escape_xml(shown(e["value"])))))
-    return F.coalesce(filled, body)
-
-
-def expand_loops(template: Column, data: Column, most: int = 200) -> Column:
-    """All blocks {#NAME}...{/NAME} of a template, expanded by the arrays of a JSON object (find_array); blocks without an array or
-    with an empty one go. An inner block stays in each copy of the outer one and is expanded after it, from the whole object.
-    Blocks are taken first to last, `most` different ones at most: values that hold their own block would go on for ever."""
-
-    def step(text: Column, _: Column) -> Column:
-        whole, name, body = (F.regexp_extract(text, _BLOCK, g) for g in (0, 1, 2))
-        items = F.from_json(find_array(data, name), "array<variant>")
-        copies = F.coalesce(F.array_join(F.transform(items, lambda item: _for_item(body, item)), ""), F.lit(""))
-        return F.when(F.contains(text, F.lit("{#")) & (whole != ""), F.replace(text, whole, copies)).otherwise(text)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), template, step)
+    blocks = F.transform(wholes, lambda w: F.struct(w.alias("whole"), F.regexp_extract(w, block, 1).alias("body")))
+    return F.aggregate(blocks, template, lambda text, b: F.replace(text, b["whole"], expanded(b["body"])))
 
 
 def is_array_json(value: Column) -> Column:
@@ -102,16 +51,31 @@ def fill_tags(template: Column, tags: Column, keep_empty: bool = False) -> Colum
     return F.struct(xml.alias("xml"), usable.alias("replaced"), F.filter(names, lambda n: ~has_value(n)).alias("remaining"))
 
 
-def fill(df: DataFrame, template: str, tags: str, style: str = "unicode", keep_empty: bool = False, out: str = "filled") -> DataFrame:
-    """df with a struct column of fill_tags over its template and tag-map columns."""
-    return df.withColumn(out, fill_tags(F.col(template), restyle(F.col(tags), style), keep_empty))
+def fill(df: DataFrame, template: str, tags: str, style: str = "unicode", keep_empty: bool = False, out: str = "filled", validate: bool = False) -> DataFrame:
+    """df with a struct column of fill_tags over its template and tag-map columns; with validate it has a field error too, what keeps
+    the filled text from being well formed, null where nothing does: the whole stack of its elements is checked."""
+    filled = df.withColumn(out, fill_tags(F.col(template), restyle(F.col(tags), style), keep_empty))
+    if not validate:
+        return filled
+    ship_package(df.sparkSession)
+    return filled.withColumn("_error", well_formed(F.col(out)["xml"])).withColumn(out, F.col(out).withField("error", F.col("_error"))).drop("_error")
+
+
+def merge(df: DataFrame, template: str, data: str, style: str = "unicode", keep_empty: bool = False, out: str = "filled") -> DataFrame:
+    """A whole fill of documents from JSON: its blocks expanded, its values flattened to tags of any depth, the tags replaced and the
+    result validated. df: columns of the template and of a JSON object; out: struct(xml, replaced, remaining, error)."""
+    ship_package(df.sparkSession)
+    rows = df.withColumns({"_template": expand_loops(F.col(template), F.col(data)), "_tags": flatten_json(F.col(data))})
+    return fill(rows.withColumn("_tags", F.coalesce("_tags", F.create_map().cast("map<string,string>"))), "_template", "_tags", style, keep_empty, out, validate=True).drop("_template", "_tags")
 
 
 def fill_report(filled: DataFrame, column: str = "filled") -> DataFrame:
-    """Counts and names of replaced and remaining tags beside the other columns."""
+    """Counts and names of replaced and remaining tags beside the other columns; of a validated fill its error too."""
     c = F.col(column)
+    validated = "error" in filled.schema[column].dataType.names
     return filled.withColumns(
         {
+            **({"error": c["error"]} if validated else {}),
             "n_replaced": F.size(c["replaced"]),
             "n_remaining": F.size(c["remaining"]),
             "replaced_names": F.array_join(c["replaced"], ","),

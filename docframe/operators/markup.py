@@ -147,9 +147,9 @@ def elements(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFram
     return docs.select(F.col(doc).alias("d"), F.col(xml).alias("x")).mapInPandas(run, f"d {kind}, {_SCHEMA}").withColumnRenamed("d", doc)
 
 
-def nesting_error(xml: str | None) -> str | None:
-    """What keeps a document from being well formed, as code and position: a bracket that begins no tag, an end that is not that of the
-    open element, an element without an end, or more than one root; null for sound or empty text."""
+def nesting_error(xml: str | None, whole: bool = False) -> str | None:
+    """What keeps a text from being well formed, as code and position: a bracket that begins no tag, an end that is not that of the open
+    element, an element without an end, or, in a whole document, more than one root; null for sound or empty text."""
     if not xml:
         return None
     stack: list[str] = []
@@ -165,18 +165,18 @@ def nesting_error(xml: str | None) -> str | None:
                 return f"unexpected_end {name} at {m.start()}"
         else:
             roots += not stack
-            if roots > 1:
+            if whole and roots > 1:
                 return f"second_root {name} at {m.start()}"
             if not m[4]:
                 stack.append(name)
     return f"unclosed {stack[-1]}" if stack else None
 
 
-def well_formed(xml: Column) -> Column:
-    """The first error of each document's tags (nesting_error), null for a sound one: the whole stack of elements is checked."""
+def well_formed(xml: Column, whole: bool = False) -> Column:
+    """The first error of each text's tags (nesting_error), null for a sound one: the whole stack of elements is checked."""
 
     @F.pandas_udf("string")
     def check(texts: pd.Series) -> pd.Series:
-        return texts.map(nesting_error, na_action="ignore")
+        return pd.Series([nesting_error(t, whole) if isinstance(t, str) else None for t in texts], dtype=object)
 
     return check(xml)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.functions.tags import flatten_to_tags, restyle
+from docframe.functions.tags import flatten_json, flatten_to_tags, restyle
 from docframe.functions.text import checkbox_symbol, escape_xml
-from docframe.operators.fill import expand_loop, expand_loops, fill, fill_report
+from docframe.operators.fill import expand_loop, fill, fill_report, merge
+from docframe.operators.templates import expand_loops
 from docframe.queries.registry import Tables, query
 
 LETTER = "<w:p><w:t>Order {{ORDER}} of {{NAME}} ({{SEGMENT}}): {{TOTAL}} {{NOTE}}</w:t></w:p>{#ITEMS}<w:p>{{LINE}}. {{PART}} x {{QTY}}</w:p>{/ITEMS}"
@@ -81,29 +82,69 @@ def flatten_json_props(t: Tables) -> DataFrame:
     return rows.select("event_id", F.explode(tags).alias("tag", "value"))
 
 
-@query(
-    "flatten_nested_struct",
-    """with o as (select o_orderkey, o_orderstatus, o_custkey from orders), l as (select l_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) - 1 as i, l_partkey from lineitem)
-       select o_orderkey, 'ORDER_STATUS' as tag, o_orderstatus as value from o union all select o_orderkey, 'ORDER_CUSTOMER_ID', o_custkey::varchar from o
-       union all select o_orderkey, 'OPEN', case when o_orderstatus = 'O' then '☑' else '☐' end from o
-       union all select l_orderkey, 'ITEMS_' || i || '_PART', l_partkey::varchar from l join o on o_orderkey = l_orderkey
-       union all select l_orderkey, 'ITEMS', '[' || string_agg('{"part":' || l_partkey || '}', ',' order by i) || ']' from l join o on o_orderkey = l_orderkey group by 1
-       union all select l_orderkey, 'PARTS', string_agg(l_partkey::varchar, ', ' order by i) from l join o on o_orderkey = l_orderkey group by 1""",
-)
-def flatten_nested_struct(t: Tables) -> DataFrame:
+def nested_rows(t: Tables) -> DataFrame:
+    """Orders as records: a struct, a boolean, a list of structs and one of scalars."""
     key = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     items = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(key)).alias("i"))
-    rows = t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+    return t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         "o_orderkey",
         F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("id")).alias("customer")).alias("order"),
         (F.col("o_orderstatus") == "O").alias("open"),
         F.transform("i", lambda x: F.struct(x["l_partkey"].alias("part"))).alias("items"),
         F.transform("i", lambda x: x["l_partkey"]).alias("parts"),
     )
+
+
+_NESTED_SQL = """with o as (select o_orderkey, o_orderstatus, o_custkey from orders), l as (select l_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) - 1 as i, l_partkey from lineitem)
+       select o_orderkey, 'ORDER_STATUS' as tag, o_orderstatus as value from o union all select o_orderkey, 'ORDER_CUSTOMER_ID', o_custkey::varchar from o
+       union all select o_orderkey, 'OPEN', case when o_orderstatus = 'O' then '☑' else '☐' end from o
+       union all select l_orderkey, 'ITEMS_' || i || '_PART', l_partkey::varchar from l join o on o_orderkey = l_orderkey
+       union all select l_orderkey, 'ITEMS', '[' || string_agg('{"part":' || l_partkey || '}', ',' order by i) || ']' from l join o on o_orderkey = l_orderkey group by 1
+       union all select l_orderkey, 'PARTS', string_agg(l_partkey::varchar, ', ' order by i) from l join o on o_orderkey = l_orderkey group by 1"""
+
+
+@query("flatten_nested_struct", _NESTED_SQL)
+def flatten_nested_struct(t: Tables) -> DataFrame:
+    rows = nested_rows(t)
     tags = flatten_to_tags({c: (F.col(c), rows.schema[c].dataType) for c in ("order", "open", "items", "parts")})
     return rows.select("o_orderkey", F.explode(tags).alias("tag", "value"))
 
 
+@query("flatten_json_any", _NESTED_SQL)
+def flatten_json_any(t: Tables) -> DataFrame:
+    """The same records as JSON text, whose shape is read from each row."""
+    rows = nested_rows(t).select("o_orderkey", F.to_json(F.struct("order", "open", "items", "parts")).alias("data"))
+    return rows.select("o_orderkey", F.explode(flatten_json(F.col("data"))).alias("tag", "value"))
+
+
+@query("flatten_json_events", "select event_id, 'K' as tag, json_extract_string(props, '$.k') as value from events where json_extract_string(props, '$.k') is not null")
+def flatten_json_events(t: Tables) -> DataFrame:
+    return t.events.select("event_id", F.explode(flatten_json(F.col("props"))).alias("tag", "value"))
+
+
+@query(
+    "fill_validated",
+    "select c_custkey, case when count(o_orderkey) = 0 then 'unclosed w:tbl' end as error, '<w:body><w:p>' || any_value(c_name) || '</w:p><w:tbl>' || coalesce(string_agg('<w:tr>' || o_orderkey || '</w:tr>', '' order by o_orderkey), '') || case when count(o_orderkey) > 0 then '</w:tbl></w:body>' else '' end as xml from customer left join orders on o_custkey = c_custkey group by 1",
+)
+def fill_validated(t: Tables) -> DataFrame:
+    """The end of the table stands in a block that goes where a customer has no orders: such a fill is an error row."""
+    orders = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("key")))).alias("rows"))
+    joined = t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    ends = F.when(F.col("rows").isNotNull(), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    data = F.to_json(F.struct(F.struct(F.col("c_name").alias("name")).alias("customer"), F.coalesce("rows", F.array().cast("array<struct<key:bigint>>")).alias("rows"), ends.alias("ends")))
+    template = "<w:body><w:p>{{CUSTOMER_NAME}}</w:p><w:tbl>{#ROWS}<w:tr>{{KEY}}</w:tr>{/ROWS}{#ENDS}</w:tbl></w:body>{/ENDS}"
+    done = fill_report(merge(joined.select("c_custkey", F.lit(template).alias("template"), data.alias("data")), "template", "data"))
+    return done.select("c_custkey", "error", F.col("filled")["xml"].alias("xml"))
+
+
+@query("loop_deep_blocks", "select l_orderkey, string_agg('<' || l_partkey || '[akk][bkk]>', '' order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as xml from lineitem join orders on o_orderkey = l_orderkey group by 1")
+def loop_deep_blocks(t: Tables) -> DataFrame:
+    """Three levels of blocks in each order's letter."""
+    rows = nested_rows(t).filter("items is not null")
+    data = F.to_json(F.struct("items", F.array(F.struct(F.lit("a").alias("t")), F.struct(F.lit("b").alias("t"))).alias("tags"), F.array(F.lit(1), F.lit(2)).alias("keys")))
+    return rows.select(F.col("o_orderkey").alias("l_orderkey"), expand_loops(F.lit("{#ITEMS}<{{PART}}{#TAGS}[{{T}}{#KEYS}k{/KEYS}]{/TAGS}>{/ITEMS}"), data).alias("xml"))
+
+
 @query("checkbox_style_text", "select doc_id, case when toxic = 1 then 'X' else ' ' end as toxic, case when quality = 1 then 'X' else ' ' end as quality from labels")
 def checkbox_style_text(t: Tables) -> DataFrame:
     tags = F.create_map(F.lit("T"), checkbox_symbol(F.col("toxic") == 1), F.lit("Q"), checkbox_symbol(F.col("quality") == 1))

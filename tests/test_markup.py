@@ -73,8 +73,8 @@ def test_scan_of_deep_tables():
     ],
 )
 def test_nesting_error(spark, xml, error):
-    assert M.nesting_error(xml) == error
-    assert spark.createDataFrame([(xml,)], "x string").select(M.well_formed(F.col("x"))).first()[0] == error
+    assert M.nesting_error(xml, whole=True) == error
+    assert spark.createDataFrame([(xml,)], "x string").select(M.well_formed(F.col("x"), whole=True)).first()[0] == error
 
 
 def test_a_long_document_takes_linear_work(spark):
