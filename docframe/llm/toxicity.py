@@ -226,12 +226,16 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> Model:
-    """Learn from labelled rows whose fold is not 0. A repeated id counts as toxic if any of its labels is."""
+    """Learn from labelled rows whose fold is not 0. A repeated id counts as toxic if any of its labels is, and once, with one of its texts by
+    their hashes. Null ids and labels teach nothing, null and empty texts are texts without terms; without labelled rows, or with those of
+    one label alone, all scores are the share of toxic rows. Other columns are ignored."""
     known = labels.select(F.col(id_col).cast("long").alias("lid"), F.col("toxic").cast("int").alias("y")).filter("lid is not null and y is not null and y in (0, 1)")
     known = known.groupBy("lid").agg(F.max("y").alias("y")).filter(fold("lid") != 0)
     sample = known.orderBy(F.xxhash64("lid"), "lid").limit(max_labelled)
     # max_labelled rows of two numbers at most.
     texts = docs.select(F.col(id_col).cast("long").alias("lid"), F.col(text_col).alias("text")).join(F.broadcast(sample), "lid")
+    # However often an id stands in docs, one row of it reaches the driver.
+    texts = texts.groupBy("lid", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     # The sampled texts are written once, so that documents are read once for them.
     texts = materialize(texts.withColumn("part", F.pmod(F.xxhash64(F.col("lid"), F.lit(6)), F.lit(PARTS)).cast("int")), "labelled")
     least = max(MIN_TOXIC, TERM_SHARE * texts.filter("y = 1").count())
@@ -271,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([column(batch, "lid"), column(batch, "y"), column(batch, "part"), pa.array(rows, pa.list_(pa.float64()))], names=["lid", "y", "part", "x"])
 
     rows = arrow_map(texts.select("lid", "y", "part", "text"), measure, "lid long, y int, part int, x array<double>").collect()
-    rows.sort(key=lambda r: (r["lid"], r["part"], r["x"]))  # of max_labelled rows and those that repeat their ids
+    rows.sort(key=lambda r: (r["lid"], r["part"], r["x"]))  # at most max_labelled rows
     x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES))
     return Model(lexicon_without(None), x, np.array([r["y"] for r in rows], int), np.array([r["part"] == PARTS - 1 for r in rows], bool))
 

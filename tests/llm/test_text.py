@@ -486,6 +486,15 @@ def test_toxicity_held_out(spark):
     assert sum((a > b) + 0.5 * (a == b) for a in good for b in bad) > 0.97 * len(good) * len(bad)
 
 
+def test_toxicity_learns_a_repeated_id_once(spark, sf):
+    """Rows that repeat their id change nothing of the model, however many there are."""
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    one, many = toxicity.fit(docs, labels), toxicity.fit(docs.union(docs).union(docs), labels.union(labels))
+    assert one.terms == many.terms
+    assert one.trees.base == many.trees.base
+    assert toxicity.score(docs, one).exceptAll(toxicity.score(docs, many)).count() == 0
+
+
 def test_toxicity_odd_rows(spark):
     docs = clashing(odd_docs(spark))
     for labels in ([(9, 1, 1), (10, 1, 0), (9, 1, 0), (None, 1, 1), (11, None, None)], []):
