@@ -14,10 +14,10 @@ import bisect
 import uuid
 import zlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.llm.common import gapless, packed, text_or_empty
+from docframe.llm.common import packed, text_or_empty
 from docframe.session import shared_dir
 
 SHARDS, BLOCKS = 8, 512
@@ -141,7 +141,15 @@ def _numbered(docs: DataFrame, old_shard: Column, shards: int, blocks: int, id_c
     # At most a row for each pair of shards.
     flows = [(r["_old"], r["_shard"]) for r in placed.select("_old", "_shard").distinct().collect()]
     affected = sorted({s for old, new in flows if old != new for s in (old, new)})
-    return gapless(placed.select("d", "_old", "_shard", "_key"), "_shard", "_key", "_slot"), affected, {new for _, new in flows}
+    # Rows move once: they are numbered within (shard, bucket) where one exchange puts them, and the buckets' offsets, shards x buckets
+    # rows whatever the input, are sent to every task.
+    n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    dealt = placed.select("d", "_old", "_shard", "_key", F.pmod(F.xxhash64("_key"), F.lit(n)).cast("int").alias("_bucket"))
+    sizes = dealt.groupBy(F.col("_shard").alias("_s"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_c"))
+    before = sizes.select("_s", "_b", (F.sum("_c").over(Window.partitionBy("_s").orderBy("_b")) - F.col("_c")).alias("_before"))
+    inner = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_shard", "_bucket").orderBy("_key")) - 1)
+    numbered = inner.join(F.broadcast(before), (F.col("_shard") == F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    return numbered.select("d", "_old", "_shard", (F.col("_i") + F.col("_before")).cast("long").alias("_slot")), affected, {new for _, new in flows}
 
 
 def _write(rows: DataFrame, path: str) -> None:
