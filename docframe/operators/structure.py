@@ -169,6 +169,51 @@ def section_hierarchy(parts: DataFrame, doc: str, order: str, kind: str = "kind"
     ).drop("_o", "_l")
 
 
+def heading_parents(parts: DataFrame, doc: str, order: str, kind: str = "kind", level: str = "level") -> DataFrame:
+    """parts with parent: the `order` of the heading above each element. A heading hangs on the nearest one before it of a lower level, as a
+    stack of open headings gives it, any other element on the last heading; null at the top."""
+    before = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # The top of the stack below level n is the latest of the last headings of the levels below n.
+    last = [F.max(F.when((F.col(kind) == "heading") & (F.col(level) == n), F.col(order))).over(before) for n in range(1, 7)]
+    marked = parts.withColumns({f"_h{n}": c for n, c in enumerate(last, 1)})
+    of = F.when(F.col(kind) == "heading", F.greatest(F.col(level), F.lit(1))).otherwise(7)
+    shown = [F.when(of > n, F.col(f"_h{n}")) for n in range(1, 7)]
+    return marked.withColumn("parent", F.greatest(*shown)).drop(*[f"_h{n}" for n in range(1, 7)])
+
+
+def section_tree(parts: DataFrame, doc: str, order: str) -> DataFrame:
+    """doc, sections: one nested record a document. A section has id (from 1), title, level and content, in order: headings, paragraphs, lists
+    with their items, and tables by their number. parts: doc, order, kind (heading, list, paragraph, table), level, text and, for
+    tables, table_index.
+
+    Sections open as in section_hierarchy. What stands before the first is the section Introduction; a list that stands there alone is
+    the first content of the section after it, or of Introduction where none follows. Documents without elements give no row."""
+    if "table_index" not in parts.columns:
+        parts = parts.withColumn("table_index", F.lit(None).cast("int"))
+    # Before the first heading nothing but lists: these go to the first section.
+    lead = section_hierarchy(parts, doc, order)
+    by = Window.partitionBy(doc)
+    alone = F.min(F.when(F.col("section_id") == 0, (F.col("kind") == "list").cast("int"))).over(by) == 1
+    first = F.min(F.when(F.col("section_id") > 0, F.col("section_id"))).over(by)
+    placed = lead.withColumn("_s", F.when(alone & (F.col("section_id") == 0), F.coalesce(first, F.lit(0))).otherwise(F.col("section_id")))
+    heads = placed.withColumn("_opens", (F.col("kind") == "heading") & (F.row_number().over(Window.partitionBy(doc, "section_id").orderBy(order)) == 1) & (F.col("section_id") > 0))
+    item = F.struct(F.col(order).alias("at"), F.struct(F.coalesce(F.col("level") - 1, F.lit(0)).cast("int").alias("level"), "text").alias("item"))
+    unit = F.when(F.col("kind") == "list", F.concat(F.lit("l"), F.col("list_run").cast("string"))).otherwise(F.concat(F.lit("e"), F.col(order).cast("string")))
+    units = heads.groupBy(doc, "_s", unit.alias("_u"), "_opens", "kind").agg(
+        F.min(order).alias("_at"), F.first("text").alias("text"), F.first("level").alias("level"), F.first("table_index").alias("table_index"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "list", item))).alias("_items"),
+    )
+    content = F.struct(
+        "_at", F.struct("kind", F.when(F.col("kind") == "heading", F.col("level").cast("int")).alias("level"), F.when(F.col("kind").isin("heading", "paragraph"), F.col("text")).alias("text"),
+        F.when(F.col("kind") == "list", F.transform("_items", lambda x: x["item"])).alias("items"), "table_index").alias("c"),
+    )
+    title = F.max(F.when(F.col("_opens"), F.col("text")))
+    sections = units.groupBy(doc, "_s").agg(title.alias("title"), F.transform(F.array_sort(F.collect_list(F.when(~F.col("_opens"), content))), lambda x: x["c"]).alias("content"))
+    nth = F.row_number().over(Window.partitionBy(doc).orderBy("_s"))
+    named = sections.select(doc, F.struct(nth.alias("id"), F.coalesce("title", F.lit("Introduction")).alias("title"), F.lit(1).alias("level"), "content").alias("s"))
+    return named.groupBy(doc).agg(F.array_sort(F.collect_list("s")).alias("sections"))
+
+
 def element_stats(parts: DataFrame, doc: str, kind: str = "kind", text: str = "text") -> DataFrame:
     k = F.col(kind)
     return parts.groupBy(doc).agg(

@@ -69,6 +69,33 @@ def section_hierarchy(t: Tables) -> DataFrame:
     return S.section_hierarchy(elements(t), "user_id", "event_id").select("user_id", "event_id", F.col("section_id").cast("long").alias("section_id"), F.col("list_run").cast("long").alias("list_run"))
 
 
+@query(
+    "heading_parents",
+    f"""with {_ELEMENT_SQL} select user_id, event_id, (select max(h.event_id) from elements h where h.user_id = e.user_id and h.kind = 'heading' and h.event_id < e.event_id and (e.kind <> 'heading' or h.level < e.level)) as parent from elements e""",
+)
+def heading_parents(t: Tables) -> DataFrame:
+    return S.heading_parents(elements(t), "user_id", "event_id").select("user_id", "event_id", "parent")
+
+
+@query(
+    "section_tree",
+    f"""with {_ELEMENT_SQL}, h as (select *, sum((kind = 'heading')::int) over (partition by user_id order by event_id rows unbounded preceding) as nh, lag(kind) over (partition by user_id order by event_id) as before from elements),
+        r as (select *, sum((kind = 'heading' and (level = 1 or nh = 1))::int) over w as own, sum((kind = 'list' and coalesce(before, '') <> 'list')::int) over w as run from h window w as (partition by user_id order by event_id rows unbounded preceding)),
+        m as (select *, case when own = 0 and bool_and(kind = 'list') over (partition by user_id, own) then coalesce(min(case when own > 0 then own end) over (partition by user_id), 0) else own end as section,
+          own > 0 and row_number() over (partition by user_id, own order by event_id) = 1 as opens from r),
+        u as (select user_id, section, opens, min(event_id) as pos, case kind when 'list' then 'list(' || string_agg(split_part(text, ' ', 1), ',' order by event_id) || ')' when 'heading' then 'h' || any_value(level) || ':' || any_value(split_part(text, ' ', 1)) else any_value(split_part(text, ' ', 1)) end as shown
+          from m group by user_id, section, opens, kind, case when kind = 'list' then 'l' || run else 'e' || event_id end),
+        s as (select user_id, section, coalesce(max(case when opens then split_part(shown, ':', 2) end), 'Introduction') as title, coalesce(string_agg(shown, ';' order by pos) filter (where not opens), '') as content from u group by all)
+        select user_id, string_agg(title || '[' || content || ']', '|' order by section) as tree from s group by 1""",
+)
+def section_tree(t: Tables) -> DataFrame:
+    """The nested sections of each user's events, written as text."""
+    tree = S.section_tree(elements(t).withColumnRenamed("event_type", "text"), "user_id", "event_id")
+    one = lambda c: F.when(c["kind"] == "list", F.concat(F.lit("list("), F.array_join(F.transform(c["items"], lambda i: i["text"]), ","), F.lit(")"))).when(c["kind"] == "heading", F.concat(F.lit("h"), c["level"].cast("string"), F.lit(":"), c["text"])).otherwise(c["text"])
+    shown = F.transform("sections", lambda s: F.concat(s["title"], F.lit("["), F.array_join(F.transform(s["content"], one), ";"), F.lit("]")))
+    return tree.select("user_id", F.array_join(shown, "|").alias("tree"))
+
+
 @query("heading_levels", f"with {_ELEMENT_SQL} select user_id, level, count(*) as n from elements where kind = 'heading' group by all")
 def heading_levels(t: Tables) -> DataFrame:
     return S.heading_counts(elements(t), "user_id")

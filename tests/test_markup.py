@@ -102,5 +102,22 @@ def test_spans_of_all_sizes(spark):
     assert {(r["doc_id"], r["index"]): r["row_index"] for r in got.collect()} == want
 
 
+def test_sections_of_a_document(spark):
+    head = lambda n, t: f'<w:p><w:pPr><w:pStyle w:val="Heading{n}"/></w:pPr><w:r><w:t>{t}</w:t></w:r></w:p>'
+    item = lambda t: f"<w:p><w:pPr><w:numPr><w:ilvl w:val=\"1\"/></w:numPr></w:pPr><w:r><w:t>{t}</w:t></w:r></w:p>"
+    xmls = [item("i1") + item("i2") + head(1, "One") + P("a") + NESTED + head(2, "Sub") + item("i3") + head(1, "Two"), item("only"), P("intro") + head(3, "First"), ""]
+    docs = frame(spark, *xmls).withColumnRenamed("doc_id", "path").withColumns({c: F.lit(None).cast("string") for c in ("core", "app", "error")})
+    got = {r["path"]: r["sections"] for r in E.extract(docs).collect()}
+    shape = lambda ss: [(s["id"], s["title"], [(c["kind"], c["level"], c["text"], [i["text"] for i in c["items"] or []], c["table_index"]) for c in s["content"]]) for s in ss]
+    assert shape(got[0]) == [
+        (1, "One", [("list", None, None, ["i1", "i2"], None), ("paragraph", None, "a", [], None), ("paragraph", None, "before", [], None), ("table", None, None, [], 0), ("paragraph", None, "after", [], None), ("heading", 2, "Sub", [], None), ("list", None, None, ["i3"], None)]),
+        (2, "Two", []),
+    ]
+    assert shape(got[1]) == [(1, "Introduction", [("list", None, None, ["only"], None)])]
+    assert shape(got[2]) == [(1, "Introduction", [("paragraph", None, "intro", [], None)]), (2, "First", [])]
+    assert got[3] is None
+    assert got[0][0]["content"][0]["items"][0]["level"] == 1
+
+
 def test_text_of_runs(spark):
     assert spark.createDataFrame([(NESTED,)], "x string").select(xml_text(F.col("x"))).first()[0] == "beforeainblast1last2after"
