@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -89,9 +90,13 @@ def ask(task: str, **lists: tuple[DataFrame, str, int, list[str]]) -> DataFrame:
 PARAGRAPHS = 'Match each tag with the paragraph that should hold its value. Answer with JSON: {"matches": [{"tag", "paragraphIndex", "confidence", "insertionPoint"}]}.'
 
 
-def prompts(tags: DataFrame, places: DataFrame, contexts: int = 40, lines: int = 80) -> DataFrame:
-    """One prompt a document: its first tags and places as JSON."""
-    return ask(PARAGRAPHS, tags=(tags, "ord", contexts, ["tag", "label"]), paragraphs=(places, "place", lines, ["text"]))
+def prompts(tags: DataFrame, places: DataFrame, contexts: int = 40, lines: int = 80, feedback: DataFrame | None = None) -> DataFrame:
+    """One prompt a document: its first tags and places as JSON and, with feedback (doc_id, feedback), what was wrong the last time."""
+    asked = ask(PARAGRAPHS, tags=(tags, "ord", contexts, ["tag", "label"]), paragraphs=(places, "place", lines, ["text"]))
+    if feedback is None:
+        return asked
+    told = F.concat("prompt", F.coalesce(F.concat(F.lit("\nThe last answer had errors, mend them: "), "feedback"), F.lit("")))
+    return asked.join(feedback, "doc_id", "left").select("doc_id", told.alias("prompt"))
 
 
 def model_matcher(client: Callable[[str], object]) -> Matcher:
@@ -107,8 +112,8 @@ def model_matcher(client: Callable[[str], object]) -> Matcher:
                 answers.append(a if isinstance(a, str) else json.dumps(a))
             yield pd.DataFrame({"doc_id": f["doc_id"], "response": answers})
 
-    def match(tags: DataFrame, places: DataFrame) -> DataFrame:
-        asked = prompts(tags, places)
+    def match(tags: DataFrame, places: DataFrame, feedback: DataFrame | None = None) -> DataFrame:
+        asked = prompts(tags, places, feedback=feedback)
         kind = dict(asked.dtypes)["doc_id"]
         return parse_response(asked.mapInPandas(ask, f"doc_id {kind}, response string"))
 
@@ -135,6 +140,87 @@ def run_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, verify: Calla
     return done, score
 
 
+class FeedbackMatcher(Protocol):
+    def __call__(self, tags: DataFrame, places: DataFrame, feedback: DataFrame | None) -> DataFrame:
+        """doc_id, tag, place, confidence, insertion_point. feedback: doc_id, feedback of documents whose last answer had issues."""
+
+
+_CELL = ("table_index", "row_index", "column_index")
+
+
+def mapping_loop(tags: DataFrame, places: DataFrame, matcher: FeedbackMatcher, fallback: Matcher = semantic_matcher, max_rounds: int = MAX_ROUNDS, paras: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(matches, log) of a mapping that is asked for again with its own issues.
+
+    In each round the documents that are open are asked, with the issues of their last answer; an answer without issues (unified_issues)
+    ends its document, an answer without matches too. Of the documents that still have issues after max_rounds the last answer counts, and
+    tags that it leaves out go to the fallback; documents without any answer go to it whole. matches: doc_id, tag, place, confidence,
+    insertion_point, mode (answer or fallback); log: a row a document and round, doc_id, round, n_matches, n_issues, state (clean, again,
+    spent or empty). tags: doc_id, tag, ord, label and the cell's ordinals; places: as the matchers take them; paras: as unified_issues
+    takes them. The state of a round is written, so a model is asked once for it."""
+    cells = tags.select("doc_id", "tag", *_CELL)
+    open_docs, feedback = tags.select("doc_id").distinct(), None
+    kept, logs = [], []
+    for n in range(1, max_rounds + 1):
+        mine, here = tags.join(open_docs, "doc_id", "left_semi"), places.join(open_docs, "doc_id", "left_semi")
+        found = materialize(matcher(mine, here, feedback), f"mapping-{n}")
+        issues = materialize(unified_issues(found.join(cells, ["doc_id", "tag"]), mine, paras=paras), f"issues-{n}")
+        counts = found.groupBy("doc_id").agg(F.count("*").alias("n_matches"))
+        wrong = issues.groupBy("doc_id").agg(F.count("*").alias("n_issues"), F.array_join(F.array_sort(F.collect_set("issue")), ", ").alias("feedback"))
+        state = F.when(F.col("n_matches") == 0, "empty").when(F.col("n_issues") == 0, "clean").otherwise("again" if n < max_rounds else "spent")
+        seen = open_docs.join(counts, "doc_id", "left").join(wrong, "doc_id", "left").na.fill(0, ["n_matches", "n_issues"])
+        log = materialize(seen.select("doc_id", F.lit(n).alias("round"), "n_matches", "n_issues", state.alias("state"), "feedback"), f"log-{n}")
+        logs.append(log)
+        # The last answer of a document counts: that of its last round, or, where that was empty, of the one before.
+        kept.append(found.join(log.filter("n_matches > 0").select("doc_id"), "doc_id", "left_semi").withColumn("_round", F.lit(n)))
+        again = log.filter("state = 'again'")
+        open_docs, feedback = again.select("doc_id"), again.select("doc_id", "feedback")
+        if again.isEmpty():
+            break
+    answers = reduce(DataFrame.unionByName, kept)
+    last = answers.groupBy("doc_id").agg(F.max("_round").alias("_last"))
+    final = answers.join(last, "doc_id").filter("_round = _last").select("doc_id", "tag", "place", "confidence", "insertion_point").withColumn("mode", F.lit("answer"))
+    whole = reduce(DataFrame.unionByName, logs)
+    clean = whole.filter("state = 'clean'").select("doc_id")
+    rest = tags.join(clean, "doc_id", "left_anti").join(final, ["doc_id", "tag"], "left_anti")
+    more = fallback(rest, places.join(clean, "doc_id", "left_anti")).withColumn("mode", F.lit("fallback"))
+    return final.unionByName(more), whole.drop("feedback")
+
+
+def section_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, fallback: Matcher = semantic_matcher, max_rounds: int = MAX_ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(matches, log) of a loop over the sections of documents, all sections side by side.
+
+    In each round the tags of a section that have no place are asked for among the section's own places; where the answer places none
+    of them the fallback does. A place takes one tag, the first by ord, and keeps it. A section ends when all its tags have places.
+    tags, places: as semantic_matcher takes them, with section; matches: doc_id, section, tag, place, confidence, insertion_point, mode;
+    log: doc_id, section, round, asked, placed."""
+    inside = lambda df: df.withColumn("doc_id", F.struct("doc_id", F.coalesce("section", F.lit("")).alias("section")))
+    tags, places = inside(tags), inside(places)
+    known = places.select("doc_id", "place").distinct()
+    order = tags.groupBy("doc_id", "tag").agg(F.min("ord").alias("_ord"))
+    done, logs = None, []
+    for n in range(1, max_rounds + 1):
+        mine = tags if done is None else tags.join(done, ["doc_id", "tag"], "left_anti")
+        if mine.isEmpty():
+            break
+        free = places if done is None else places.join(done, ["doc_id", "place"], "left_anti")
+        fresh = lambda df: df.join(known, ["doc_id", "place"], "left_semi").join(mine, ["doc_id", "tag"], "left_semi")  # noqa: B023, E731
+        answer = materialize(fresh(matcher(mine, free)).withColumn("mode", F.lit("answer")), f"section-answer-{n}")
+        silent = mine.join(answer, "doc_id", "left_anti")
+        found = answer.unionByName(fresh(fallback(silent, free)).withColumn("mode", F.lit("fallback")))
+        if done is not None:
+            found = found.join(done, ["doc_id", "place"], "left_anti")
+        ranked = found.join(order, ["doc_id", "tag"]).withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "tag").orderBy(F.desc("confidence"), "place"))).filter("_n = 1")
+        first = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "place").orderBy("_ord", "tag"))).filter("_n = 1")
+        new = materialize(first.select("doc_id", "tag", "place", "confidence", "insertion_point", "mode"), f"section-{n}")
+        placed = new.groupBy("doc_id").agg(F.count("*").alias("placed"))
+        asked = mine.groupBy("doc_id").agg(F.count("*").alias("asked")).join(placed, "doc_id", "left")
+        logs.append(materialize(asked.select("doc_id.*", F.lit(n).alias("round"), "asked", F.coalesce("placed", F.lit(0)).alias("placed")), f"section-log-{n}"))
+        done = new if done is None else done.unionByName(new)
+    matches = done if done is not None else tags.limit(0).select("doc_id", "tag", F.lit(0).alias("place"), F.lit(0.0).alias("confidence"), F.lit("").alias("insertion_point"), F.lit("").alias("mode"))
+    log = reduce(DataFrame.unionByName, logs) if logs else tags.limit(0).select("doc_id.*", F.lit(0).alias("round"), F.lit(0).cast("long").alias("asked"), F.lit(0).cast("long").alias("placed"))
+    return matches.select("doc_id.*", *[c for c in matches.columns if c != "doc_id"]), log
+
+
 def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float = 0.3, paras: DataFrame | None = None, decisions: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """doc_id, issue of a mapping: places shared by tags of different cells, cells spread over places, too many tags left out. With
     paras (doc_id, place, text, is_cell) places in cells may be shared, and tags outside of tables whose label has two keywords or

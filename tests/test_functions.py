@@ -168,6 +168,34 @@ def test_section_matcher_stays_in_its_section(spark):
     assert {(r["tag"], r["place"], r["confidence"]) for r in section_matcher(tags, places).collect()} == {("T1", 0, 0.9), ("T2", 2, 0.75)}
 
 
+def test_feedback_reaches_the_model(spark):
+    """The client is told what was wrong with its last answer, and asked no more once it has none."""
+    from docframe.plans import agent
+
+    def client(prompt: str) -> str:
+        wrong = '{"matches": [{"tag": "A", "paragraphIndex": 0}, {"tag": "B", "paragraphIndex": 0}]}'
+        right = '{"matches": [{"tag": "A", "paragraphIndex": 0}, {"tag": "B", "paragraphIndex": 1}]}'
+        return right if "duplicate_place" in prompt else wrong
+
+    cells = "table_index int, row_index int, column_index int"
+    tags = spark.createDataFrame([("d", "A", 0, "", 0, 0, 0), ("d", "B", 1, "", 0, 0, 1)], f"doc_id string, tag string, ord int, label string, {cells}")
+    places = spark.createDataFrame([("d", 0, "x", 0, 0, 0), ("d", 1, "y", 0, 0, 1)], f"doc_id string, place int, text string, {cells}")
+    matches, log = agent.mapping_loop(tags, places, agent.model_matcher(client))
+    assert {(r["tag"], r["place"], r["mode"]) for r in matches.collect()} == {("A", 0, "answer"), ("B", 1, "answer")}
+    assert sorted((r["round"], r["state"]) for r in log.collect()) == [(1, "again"), (2, "clean")]
+
+
+def test_loops_of_empty_tables(spark):
+    from docframe.plans import agent
+
+    cells = "table_index int, row_index int, column_index int"
+    tags = spark.createDataFrame([], f"doc_id string, section string, tag string, ord int, label string, {cells}")
+    places = spark.createDataFrame([], f"doc_id string, section string, place int, text string, {cells}")
+    for loop in (lambda: agent.mapping_loop(tags, places, lambda t, p, f: agent.semantic_matcher(t, p)), lambda: agent.section_loop(tags, places, agent.semantic_matcher)):
+        matches, log = loop()
+        assert matches.count() == log.count() == 0
+
+
 def test_tag_rows_labels(spark):
     xml = "<w:body>" + "".join(f"<w:p><w:r><w:t>{t}</w:t></w:r></w:p>" for t in ("A - Candidat", "Nom commercial", "{{NOM_COMMERCIAL}} suite", "SIRET : {{SIRET}}")) + "</w:body>"
     paras = S.paragraphs(spark.createDataFrame([("d", xml)], "doc_id string, xml string"))
