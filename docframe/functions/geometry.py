@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,6 +64,62 @@ def text_width(c: Column, size: Column) -> Column:
     return F.length(c) * 0.5 * size
 
 
+#: Advance widths of the standard sans-serif font of page documents, in thousandths of its size, by character.
+GLYPHS = [
+    (" ", 278), ("!", 278), ('"', 355), ("#", 556), ("$", 556), ("%", 889), ("&", 667), ("'", 191), ("(", 333), (")", 333), ("*", 389), ("+", 584), (",", 278), ("-", 333), (".", 278), ("/", 278), ("0123456789", 556),
+    (":", 278), (";", 278), ("<", 584), ("=", 584), (">", 584), ("?", 556), ("@", 1015),
+    ("AB", 667), ("CD", 722), ("E", 667), ("F", 611), ("G", 778), ("H", 722), ("I", 278), ("J", 500), ("K", 667), ("L", 556), ("M", 833), ("N", 722), ("O", 778), ("P", 667), ("Q", 778), ("R", 722), ("S", 667), ("T", 611), ("U", 722), ("V", 667), ("W", 944), ("XY", 667), ("Z", 611),
+    ("[", 278), ("\\", 278), ("]", 278), ("^", 469), ("_", 556), ("`", 333),
+    ("ab", 556), ("c", 500), ("de", 556), ("f", 278), ("gh", 556), ("ij", 222), ("k", 500), ("l", 222), ("m", 833), ("nopq", 556), ("r", 333), ("s", 500), ("t", 278), ("u", 556), ("v", 500), ("w", 722), ("xyz", 500),
+    ("{", 334), ("|", 260), ("}", 334), ("~", 584), ("\xa0", 278), ("«»", 556), ("°", 400), ("ß", 611), ("Æ", 1000), ("æ", 889), ("ìíîï", 278),
+]
+#: Width of every other character.
+_OTHER = 556
+
+
+def glyph_table() -> list[int]:
+    """Widths by code point up to 255: those of GLYPHS, and for a letter with an accent those of the letter."""
+    known = {ch: w for chars, w in GLYPHS for ch in chars}
+    base = lambda ch: unicodedata.normalize("NFD", ch)[0]
+    return [known.get(chr(i), known.get(base(chr(i)), _OTHER)) for i in range(256)]
+
+
+def glyph_width(c: Column, size: Column | float = 1.0) -> Column:
+    """Width of a text in the standard font at a size, its glyphs' widths summed; kerning of pairs is left out."""
+    table = F.array(*map(F.lit, glyph_table()))
+    unit = F.lit(float(size)) if isinstance(size, int | float) else size
+    total = F.aggregate(F.split(c, ""), F.lit(0), lambda acc, ch: acc + F.when(ch == "", 0).otherwise(F.coalesce(F.get(table, F.ascii(ch)), F.lit(_OTHER))))
+    return total * unit / 1000
+
+
+def wrap_measured(c: Column, width: Column | float, size: Column | float) -> Column:
+    """Greedy lines of a text in the standard font: words are added while the line's width fits, a wider word stands alone. Each word is
+    measured once, and a line's width is carried along."""
+    limit, unit = (F.lit(float(x)) if isinstance(x, int | float) else x for x in (width, size))
+    words = F.transform(F.filter(F.split(c, r"(?U)\s+"), lambda w: w != ""), lambda w: F.struct(w.alias("t"), glyph_width(w).alias("w")))
+    space = dict((ch, w) for chars, w in GLYPHS for ch in chars)[" "] / 1000
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("line"), F.lit(0.0).alias("at"))
+
+    def add(s: Column, word: Column) -> Column:
+        longer = s["at"] + space + word["w"]
+        first, fits = s["line"] == "", longer * unit <= limit
+        return F.struct(
+            F.when(first | fits, s["done"]).otherwise(F.concat(s["done"], F.array(s["line"]))).alias("done"),
+            F.when(first, word["t"]).when(fits, F.concat(s["line"], F.lit(" "), word["t"])).otherwise(word["t"]).alias("line"),
+            F.when(first, word["w"]).when(fits, longer).otherwise(word["w"]).alias("at"),
+        )
+
+    return F.aggregate(words, start, add, lambda s: F.when(s["line"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["line"]))))
+
+
+def fitting_size_measured(c: Column, width: Column | float, preferred: float, least: float = 6.0) -> Column:
+    """The first size from the preferred one down, by halves, at which the text fits the width; the least where none above it does."""
+    limit = F.lit(float(width)) if isinstance(width, int | float) else width
+    sizes = F.array(*[F.lit(preferred - 0.5 * i) for i in range(max(0, math.ceil(2 * (preferred - least))))]) if preferred > least else F.array().cast("array<double>")
+    unit = glyph_width(c)
+    return F.coalesce(F.get(F.filter(sizes, lambda s: unit * s <= limit), F.lit(0)), F.lit(float(least)))
+
+
 def block_height(lines: Column, size: Column, step: float = 1.2) -> Column:
     return lines * size * step
 

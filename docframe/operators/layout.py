@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docframe.functions.geometry import field_type, fitting_font_size
+from docframe.functions.geometry import field_type, fitting_font_size, fitting_size_measured, wrap_measured
 from docframe.functions.text import trim_all, wrap
 from docframe.session import small
 
@@ -153,11 +153,15 @@ def label_places(lines: DataFrame, config: DataFrame, boxes: DataFrame, page: in
     return best.select("doc_id", "field", "type", "m.page", whole(F.col("m.place.x")).alias("x"), whole(F.col("m.place.y")).alias("y"))
 
 
-def placements(matches: DataFrame, size: float = 9.0, least: float = 6.0, step: float = 1.2) -> DataFrame:
+def placements(matches: DataFrame, size: float = 9.0, least: float = 6.0, step: float = 1.2, measured: bool = False) -> DataFrame:
     """One row a drawn line: the value in the largest size that fits its width, wrapped, lines going down. matches: doc_id, page,
-    field, x, y, width, value; rows without a value are left out."""
-    sized = matches.filter(F.coalesce("value", F.lit("")) != "").withColumn("size", fitting_font_size(F.col("value"), F.col("width"), size, least))
-    lined = sized.select("*", F.posexplode(wrap(F.col("value"), F.col("width"), F.col("size") * 0.5)).alias("nth", "line_text"))
+    field, x, y, width, value; rows without a value are left out. Widths are estimated from the number of characters or, measured,
+    summed from the standard font's glyphs."""
+    c, limit = F.col("value"), F.col("width")
+    fit = fitting_size_measured(c, limit, size, least) if measured else fitting_font_size(c, limit, size, least)
+    sized = matches.filter(F.coalesce("value", F.lit("")) != "").withColumn("size", fit)
+    lines = wrap_measured(c, limit, F.col("size")) if measured else wrap(c, limit, F.col("size") * 0.5)
+    lined = sized.select("*", F.posexplode(lines).alias("nth", "line_text"))
     return lined.select("doc_id", "page", "field", "size", "nth", "line_text", "x", (F.col("y") - F.col("nth") * F.col("size") * step).alias("y"))
 
 

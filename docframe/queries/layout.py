@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docframe.functions import geometry as G
 from docframe.operators import layout as L
 from docframe.queries.registry import Tables, query
 
@@ -102,10 +103,39 @@ def pdf_label_places(t: Tables) -> DataFrame:
     return L.label_places(L.group_lines(found), config, found)
 
 
-@query("pdf_placements")
+def _wrapped_sql(text: str, width: str) -> str:
+    """Lines of a text, joined by line feeds, under a width of its last line with one more word; `width` holds {}."""
+    longer = "(string_split(acc, chr(10))[-1] || ' ' || w)"
+    return f"list_reduce(list_filter(string_split({text}, ' '), lambda w: w <> ''), lambda acc, w: case when {width.format(longer)} then acc || ' ' || w else acc || chr(10) || w end)"
+
+
+_GLYPH_SQL = "map {" + ", ".join(f"{i}: {w}" for i, w in enumerate(G.glyph_table())) + "}"
+_GLYPHS_OF = "list_sum(list_transform(string_split({}, ''), lambda ch: coalesce(glyphs[unicode(ch)], 556)))"
+
+
+@query(
+    "pdf_placements",
+    f"""with v as (select p_partkey as doc_id, p_name || ' ' || p_type as value from part), s as (select *, coalesce((select max(k) / 2.0 from range(12, 19) r(k) where length(value) * 0.5 * k / 2.0 <= 60), 6.0)::double as size from v),
+        w as (select *, string_split({_wrapped_sql('value', 'length({}) * size * 0.5 <= 60')}, chr(10)) as lines from s)
+        select doc_id, 1 as page, 'name' as field, size, i as nth, lines[i + 1] as line_text, 50.0 as x, 700 - i * size * 1.2 as y from (select *, unnest(range(len(lines))) as i from w)""",
+)
 def pdf_placements(t: Tables) -> DataFrame:
-    rows = t.part.select(F.col("p_partkey").alias("doc_id"), F.lit(1).alias("page"), F.lit("name").alias("field"), F.lit(50.0).alias("x"), F.lit(700.0).alias("y"), F.lit(60.0).alias("width"), F.concat_ws(" ", "p_name", "p_type").alias("value"))
-    return L.placements(rows)
+    return L.placements(_values(t)).withColumn("nth", F.col("nth").cast("long"))
+
+
+def _values(t: Tables) -> DataFrame:
+    return t.part.select(F.col("p_partkey").alias("doc_id"), F.lit(1).alias("page"), F.lit("name").alias("field"), F.lit(50.0).alias("x"), F.lit(700.0).alias("y"), F.lit(60.0).alias("width"), F.concat_ws(" ", "p_name", "p_type").alias("value"))
+
+
+@query(
+    "pdf_placements_measured",
+    f"""with v as (select p_partkey as doc_id, p_name || ' ' || p_type as value, {_GLYPH_SQL} as glyphs from part),
+        s as (select *, coalesce((select max(k) / 2.0 from range(13, 19) r(k) where {_GLYPHS_OF.format('value')} / 1000.0 * k / 2.0 <= 60), 6.0)::double as size from v),
+        w as (select *, string_split({_wrapped_sql('value', _GLYPHS_OF + ' / 1000.0 * size <= 60')}, chr(10)) as lines from s)
+        select doc_id, size, i as nth, lines[i + 1] as line_text, 700 - i * size * 1.2 as y from (select *, unnest(range(len(lines))) as i from w)""",
+)
+def pdf_placements_measured(t: Tables) -> DataFrame:
+    return L.placements(_values(t), measured=True).select("doc_id", "size", F.col("nth").cast("long").alias("nth"), "line_text", "y")
 
 
 @query(

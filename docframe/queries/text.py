@@ -205,9 +205,13 @@ def text_measures(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", G.text_width(F.col("p_name"), F.lit(9)).cast("double").alias("width"), G.fitting_font_size(F.col("p_name"), F.lit(100)).alias("size"))
 
 
-@query("wrap_text")
+@query(
+    "wrap_text",
+    """with w as (select item_id, string_split(list_reduce(list_filter(string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' '), lambda w: w <> ''), lambda acc, w: case when length(string_split(acc, chr(10))[-1] || ' ' || w) <= 80 then acc || ' ' || w else acc || chr(10) || w end), chr(10)) as lines from benchmark)
+       select item_id, i as line, lines[i + 1] as text from (select *, unnest(range(len(lines))) as i from w)""",
+)
 def wrap_text(t: Tables) -> DataFrame:
-    return t.benchmark.select("item_id", F.posexplode(X.wrap(F.col("text"), 80)).alias("line", "text"))
+    return t.benchmark.select("item_id", F.posexplode(X.wrap(F.col("text"), 80)).alias("line", "text")).withColumn("line", F.col("line").cast("long"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from docframe.functions import geometry as geo
@@ -80,3 +82,17 @@ def test_best_segments_over_blocks(spark):
     rows = spark.createDataFrame([(40, []), (10, ["T"]), (10, [])], "relevance int, tags array<string>")
     assert relevant(rows).count() == 2
     assert relevant(rows, only_with_tags=True).count() == 1
+
+
+def test_measured_text(spark):
+    from docframe.functions import geometry as G
+
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(G.glyph_width(F.lit("Hi é€"), 10)) == pytest.approx((722 + 222 + 278 + 556 + 556) / 100)
+    assert one(G.glyph_width(F.lit(""))) == 0
+    assert one(G.glyph_width(F.lit("ÀÎîW"))) == pytest.approx((667 + 278 + 278 + 944) / 1000)
+    assert one(G.wrap_measured(F.lit(" iiii  WWWW ii i"), 2.0, 1.0)) == ["iiii", "WWWW", "ii i"]
+    assert one(G.wrap_measured(F.lit("  "), 2.0, 1.0)) == []
+    assert one(G.fitting_size_measured(F.lit("WWWW"), 30.0, 9.0)) == 7.5
+    assert one(G.fitting_size_measured(F.lit("WWWW"), 1.0, 9.0)) == 6.0
+    assert one(G.fitting_size_measured(F.lit("W"), 1.0, 5.0)) == 6.0
