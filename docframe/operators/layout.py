@@ -174,6 +174,15 @@ def checkbox_marks(lines: DataFrame, config: DataFrame) -> DataFrame:
     return first.select("doc_id", "page", "field", F.lit("X").alias("line_text"), F.lit(10.0).alias("size"), (F.col("x") - 12).alias("x"), (F.col("y") - 2).alias("y"))
 
 
+def build_matches(positions: DataFrame, values: DataFrame, width: float = 300.0, height: float = 12.0, confidence: float = 0.95) -> DataFrame:
+    """doc_id, field, page, x, y, width, height, confidence, value: what to draw of positions (doc_id, field, page, x, y, confidence) with a
+    place and a value (doc_id, field, value) that is not empty; without a confidence of their own they have the given one."""
+    given = values.filter(F.coalesce("value", F.lit("")) != "").select("doc_id", "field", "value")
+    sure = F.coalesce(F.nullif(F.col("confidence"), F.lit(0.0)), F.lit(confidence))
+    placed = positions.filter("x is not null and y is not null").join(given, ["doc_id", "field"])
+    return placed.select("doc_id", "field", "page", "x", "y", F.lit(width).alias("width"), F.lit(height).alias("height"), sure.alias("confidence"), "value")
+
+
 def observe(lines: DataFrame, values: DataFrame) -> DataFrame:
     """status of placed values: on each page the first line that holds the value's first 12 characters must carry it behind a
     colon (inline) or at its start (multiline); any page that does not is a collision; unseen values count as ok.

@@ -112,12 +112,6 @@ def tags_by_cell(tags: DataFrame, doc: str = "doc_id", cell: tuple[str, ...] = (
     return inside.groupBy(doc, *cell).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda x: x["tag"]).alias("tags"))
 
 
-def best_candidate(candidates: DataFrame, group: str) -> DataFrame:
-    """The best place of each tag, first on ties; places may serve several tags."""
-    best = F.max_by(F.struct("place", "score"), F.struct("score", -F.col("place")))
-    return candidates.groupBy(group, "tag", "ord").agg(best.alias("m")).select(group, "tag", "m.place", "m.score")
-
-
 #: Tags of a group that are settled together.
 ASSIGN_BLOCK = 512
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions import xml as X
 from docframe.functions.tags import distinct_tags, semantic_hint, tag_data_type, tag_type
-from docframe.functions.text import clean_label, contains_letters, count_characters, count_words, has_tag, normalize_text, trim_all
+from docframe.functions.text import TAG, clean_label, contains_letters, count_characters, count_words, has_tag, normalize_text, trim_all
 from docframe.operators.markup import elements
 
 
@@ -148,6 +148,46 @@ def tag_rows(paras: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
+def template_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """doc, ord, tag, data_type, context: one row a different tag of a document. The context is the text of the 200 characters of XML
+    before its first place and the 100 behind, without the tag, cut at 100."""
+    found = docs.select(doc, F.col(xml).alias("_x"), F.posexplode(distinct_tags(F.col(xml))).alias("ord", "tag"))
+    placed = found.withColumn("_full", F.concat(F.lit("{{"), "tag", F.lit("}}"))).withColumn("_at", F.expr("locate(_full, _x)"))
+    around = F.expr("substring(_x, greatest(_at - 200, 1), least(_at - 1, 200) + length(_full) + 100)")
+    text = trim_all(F.expr("concat(substring(_t, 1, locate(_full, _t) - 1), substring(_t, locate(_full, _t) + length(_full)))"))
+    read = placed.select(doc, "ord", "tag", "_full", X.xml_text(around).alias("_t"))
+    bare = F.when(F.expr("locate(_full, _t) > 0"), text).otherwise(trim_all(F.col("_t")))
+    return read.select(doc, "ord", "tag", tag_data_type(F.col("tag")).alias("data_type"), F.left(bare, F.lit(100)).alias("context"))
+
+
+def found_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """doc, ord, tag, at, context, table_index, row_index, column_index: one row a place of a tag, repeats too. at: the character it starts at,
+    from 0; context: the text of the 100 characters before and behind, markup as spaces; the innermost cell around it, null outside."""
+    pieces = F.split(F.col(xml), TAG, -1)
+    fulls = F.regexp_extract_all(F.col(xml), F.lit(TAG), F.lit(0))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("ats"))
+    step = lambda s, p: F.struct((s["end"] + p["n"] + p["m"]).alias("end"), F.concat(s["ats"], F.array(s["end"] + p["n"])).alias("ats"))
+    sizes = F.zip_with(F.slice(pieces, F.lit(1), F.size(fulls)), fulls, lambda g, t: F.struct(F.length(g).alias("n"), F.length(t).alias("m")))
+    ats = F.aggregate(sizes, start, step)["ats"]
+    around = lambda t, at: F.substring(F.col(xml), F.greatest(at - 99, F.lit(1)), F.least(at, F.lit(100)) + F.length(t) + 100)
+    rows = docs.select(doc, F.posexplode(F.zip_with(fulls, ats, lambda t, at: F.struct(t.alias("t"), at.alias("at"), X.cell_text(around(t, at)).alias("context")))).alias("ord", "_p"))
+    found = rows.select(F.col(doc).alias("_fd"), "ord", F.translate("_p.t", "{}", "").alias("tag"), "_p.at", "_p.context")
+    cells_ = elements(docs, doc, xml).filter("name = 'tc'").select(doc, F.struct("depth", "table_index", "row_index", "column_index").alias("_cell"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    met = spans_at(found.select(F.col("_fd").alias(doc), F.col("at").alias("_at")), cells_, doc, "_at", "_s", "_e").filter("_at < _e")
+    inner = met.groupBy(F.col(doc).alias("_cd"), "_at").agg(F.max("_cell").alias("_cell"))
+    joined = found.join(inner, (F.col("_fd") == F.col("_cd")) & (F.col("at") == F.col("_at")), "left")
+    return joined.select(F.col("_fd").alias(doc), "ord", "tag", "at", "context", "_cell.table_index", "_cell.row_index", "_cell.column_index")
+
+
+def paragraphs_with_headers(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", header_limit: int = 80) -> DataFrame:
+    """paragraphs_with_cells with row_header and column_header of their cell, empty outside of cells."""
+    place = ["table_index", "row_index", "column_index"]
+    heads = cells(docs, doc, xml, header_limit=header_limit).select(F.col(doc).alias("_d"), *[F.col(c).alias(f"_{c}") for c in place], "row_header", "column_header")
+    paras = paragraphs_with_cells(docs, doc, xml)
+    here = (F.col(doc) == F.col("_d")) & (F.col("table_index") == F.col("_table_index")) & (F.col("row_index") == F.col("_row_index")) & (F.col("column_index") == F.col("_column_index"))
+    return paras.join(heads, here, "left").select(*paras.columns, F.coalesce("row_header", F.lit("")).alias("row_header"), F.coalesce("column_header", F.lit("")).alias("column_header"))
+
+
 def classify_paragraphs(paras: DataFrame) -> DataFrame:
     """kind heading, list or paragraph, with level; a heading style beats list numbering."""
     level, item = X.heading_level(X.style_id(F.col("xml"))), X.list_item(F.col("xml"))

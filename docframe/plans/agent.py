@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docframe.functions.text import insertion_point, keyword_score, keywords
-from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_best, keyword_candidates, satisfaction, split_cells
+from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
 from docframe.session import materialize
 
 MAX_ROUNDS, ENOUGH = 3, 80
@@ -252,8 +252,3 @@ def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float =
             wrong = pairs.join(state, "doc_id").filter("(value and not oui) or (not value and not non)")
             out = out.unionByName(wrong.select("doc_id", F.lit("unlike_template").alias("issue")))
     return out
-
-
-def best_by_keywords(tags: DataFrame, places: DataFrame) -> DataFrame:
-    """Of each tag (doc_id, tag, ord, words) the best place (doc_id, place, text) of its document."""
-    return keyword_best(tags, places, "doc_id")

@@ -147,6 +147,15 @@ def pdf_checkbox_marks(t: Tables) -> DataFrame:
     return L.checkbox_marks(L.group_lines(boxes(t)), config).select("doc_id", "field", "x", "y")
 
 
+@query("pdf_build_matches", "select c_custkey as doc_id, 'f' as field, 1 as page, c_acctbal as x, 5.0 as y, 300.0 as width, 12.0 as height, case c_custkey % 3 when 0 then 0.95 else 0.7 end as confidence, c_name as value from customer where c_custkey % 5 > 1")
+def pdf_build_matches(t: Tables) -> DataFrame:
+    """Positions without a place, and empty values, are not drawn; a missing confidence is the given one."""
+    k = F.col("c_custkey")
+    positions = t.customer.select(k.alias("doc_id"), F.lit("f").alias("field"), F.lit(1).alias("page"), F.when(k % 5 > 0, F.col("c_acctbal")).alias("x"), F.lit(5.0).alias("y"), F.when(k % 3 > 0, 0.7).otherwise(0.0).alias("confidence"))
+    values = t.customer.select(k.alias("doc_id"), F.lit("f").alias("field"), F.when(k % 5 == 1, "").otherwise(F.col("c_name")).alias("value"))
+    return L.build_matches(positions, values)
+
+
 @query("pdf_observe", "select n_nationkey as doc_id, 'f' as field, case n_nationkey % 3 when 0 then 'ok' when 1 then 'collision' else 'ok' end as status from nation")
 def pdf_observe(t: Tables) -> DataFrame:
     k = F.col("n_nationkey") % 3

@@ -191,6 +191,45 @@ def header_row_detection(t: Tables) -> DataFrame:
     return S.header_rows(S.cells(order_tables(t))).select("doc_id", "is_header")
 
 
+_TAGGED_XML = "'<w:body><w:p><w:r><w:t>Nom du client ' || c_name || ' :</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>{{NOM_COMMERCIAL}} et {{DATE_FIN}}</w:t></w:r></w:p></w:tc></w:tr></w:tbl><w:p><w:t>' || repeat('x', 60) || ' {{NOM_COMMERCIAL}}</w:t></w:p></w:body>'"
+
+
+def _tagged_docs(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("doc_id"), F.expr(_TAGGED_XML).alias("xml"))
+
+
+@query(
+    "template_tags",
+    f"""with x as (select c_custkey as doc_id, {_TAGGED_XML} as xml from customer), g as (select * from x, (values (0, 'NOM_COMMERCIAL', 'string'), (1, 'DATE_FIN', 'date')) v(ord, tag, data_type)),
+        p as (select *, '{{{{' || tag || '}}}}' as full_tag, strpos(xml, '{{{{' || tag || '}}}}') as pos from g),
+        c as (select *, substr(xml, greatest(pos - 200, 1), least(pos - 1, 200) + length(full_tag) + 100) as part from p)
+        select doc_id, ord, tag, data_type, left(trim(replace(array_to_string(regexp_extract_all(part, '<w:t(?: [^>]*)?>([^<]*)</w:t>', 1), ''), full_tag, '')), 100) as context from c""",
+)
+def template_tags(t: Tables) -> DataFrame:
+    return S.template_tags(_tagged_docs(t))
+
+
+@query(
+    "found_tags",
+    f"""with x as (select c_custkey as doc_id, {_TAGGED_XML} as xml from customer), n as (select *, strpos(xml, '{{{{NOM') - 1 as a, strpos(xml, '{{{{DATE') - 1 as b from x), m as (select *, a + strpos(substr(xml, a + 2), '{{{{NOM') as c from n),
+        p as (select doc_id, xml, 0 as ord, 'NOM_COMMERCIAL' as tag, a as at_, 0 as place from m union all select doc_id, xml, 1, 'DATE_FIN', b, 0 from m union all select doc_id, xml, 2, 'NOM_COMMERCIAL', c, null from m)
+        select doc_id, ord, tag, at_ as "at", trim(regexp_replace(regexp_replace(substr(xml, greatest(at_ - 99, 1), least(at_, 100) + length(tag) + 104), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) as context,
+          place as table_index, place as row_index, place as column_index from p""",
+)
+def found_tags(t: Tables) -> DataFrame:
+    """Every place of a tag with its context and cell."""
+    return S.found_tags(_tagged_docs(t)).withColumn("at", F.col("at").cast("long"))
+
+
+@query(
+    "paragraph_headers",
+    f"with {_CELLS}, h as (select *, first_value(text) over (partition by doc_id, row_index order by column_index) as row_header, case when row_index > 0 then first_value(text) over (partition by doc_id, column_index order by row_index) else '' end as column_header from cells) select doc_id, row_index::bigint as row_index, column_index, text, row_header, column_header from h",
+)
+def paragraph_headers(t: Tables) -> DataFrame:
+    """Paragraphs of cells with the headers of their cell."""
+    return S.paragraphs_with_headers(order_tables(t)).select("doc_id", F.col("row_index").cast("long").alias("row_index"), "column_index", "text", "row_header", "column_header")
+
+
 _BOXES = "boxes as (select l_orderkey as doc_id, l_linenumber as column_index, min(l_partkey % 500) as s, max(l_partkey % 500 + 40) as e from lineitem group by all), paras as (select l_orderkey as doc_id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 as index, l_suppkey % 500 as s from lineitem)"
 
 

@@ -96,3 +96,52 @@ def test_measured_text(spark):
     assert one(G.fitting_size_measured(F.lit("WWWW"), 30.0, 9.0)) == 7.5
     assert one(G.fitting_size_measured(F.lit("WWWW"), 1.0, 9.0)) == 6.0
     assert one(G.fitting_size_measured(F.lit("W"), 1.0, 5.0)) == 6.0
+
+
+def test_units_and_styles(spark):
+    from docframe.functions import geometry as G
+    from docframe.operators import segments as SG
+
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(G.points_to_mm(F.lit(28.3465))) == pytest.approx(10)
+    assert one(G.points_to_inches(F.lit(144.0))) == 2
+    assert one(G.block_height(F.lit(3), F.lit(10.0))) == pytest.approx(36)
+    for run, slanted, family in (("<w:i/>", True, None), ('<w:i w:val="on"/><w:rFonts w:hAnsi="a" w:ascii="Arial"/>', True, "Arial"), ('<w:i w:val="0"/>', False, None), ("", False, None)):
+        assert one(X.is_italic(F.lit(run))) is slanted
+        assert one(X.font_family(F.lit(run))) == family
+    section = F.struct(F.lit("B").alias("letter"), F.lit("Objet").alias("title"))
+    none = F.lit(None).cast("struct<letter:string,title:string>")
+    long_line = "A line of text that is longer than sixty characters, as titles may be"
+    assert one(SG.table_title(F.lit("x"), F.lit(0), section)) == "Section B - Objet"
+    assert one(SG.table_title(F.lit("abc\n  Turnover of years \n"), F.lit(1), none)) == "Tableau 2: Turnover of years"
+    assert one(SG.table_title(F.lit(long_line), F.lit(0), none)) == f"Tableau 1: {long_line[:60]}..."
+    assert one(SG.table_title(F.lit("abc"), F.lit(4), none)) == "Tableau 5"
+
+
+def test_pages_are_merged_in_order(spark):
+    rows = [("m", "b", 1, 1), ("m", "a", 0, 2), ("m", "a", 0, 1), ("n", "c", 0, 5)]
+    found = layout.merge_pages(spark.createDataFrame(rows, "merge_id string, doc_id string, doc_ord int, page int")).collect()
+    assert sorted((r["merge_id"], r["page"], r["doc_id"]) for r in found) == [("m", 1, "a"), ("m", 2, "a"), ("m", 3, "b"), ("n", 1, "c")]
+
+
+def test_sessions_and_streams(spark, tmp_path):
+    """Documents that arrive are filled by the operators that fill tables."""
+    from docframe.session import build_session
+    from docframe.streaming.files import fill_stream
+
+    assert build_session("again").sparkContext is spark.sparkContext
+    rows = [(1, "Dear {{A}}", {"A": "x & y"}), (2, "{{B}}!", {})]
+    schema = "id int, template string, tags map<string,string>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    filled = fill_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "template", "tags")
+    stream = filled.select("id", F.col("filled.xml").alias("xml")).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    stream.awaitTermination(120)
+    assert {r["id"]: r["xml"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1: "Dear x &amp; y", 2: "!"}
+
+
+def test_only_documents_are_accepted(spark):
+    from docframe.sources.docx import accepted
+
+    names = ["a.docx", "b.DOCX", "c.doc", "d.pdf", "~$e.docx", None]
+    kept = {r["path"] for r in accepted(spark.createDataFrame([(n,) for n in names], "path string")).collect()}
+    assert kept == {"a.docx", "b.DOCX", "c.doc", "~$e.docx"}
