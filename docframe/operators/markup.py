@@ -11,8 +11,10 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from docframe.session import ship_package
 
@@ -22,6 +24,9 @@ _SCHEMA = (
     "nth int, name string, depth int, start int, end int, sound boolean, table_index int, row_index int, column_index int, paragraph_index int, "
     "parent_table int, parent_row int, parent_column int, xml string"
 )
+_TYPES = [{"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}[c.split()[1]] for c in _SCHEMA.split(", ")]
+#: Elements that are given out together.
+_ROWS = 20_000
 
 
 class Element(NamedTuple):
@@ -132,19 +137,24 @@ def elements(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFram
     and xml: a paragraph's whole text, a cell's without the tables in it. Tables are numbered in the order in which they open.
     A null document has no elements; other columns are ignored."""
     ship_package(docs.sparkSession)
-    names = [c.split()[0] for c in _SCHEMA.split(", ")]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for key, text in zip(frame["d"], frame["x"], strict=True):
-                rows = scan(text)
-                if rows:
-                    out = pd.DataFrame.from_records(rows, columns=names).astype({c: "Int32" for c in names if c.endswith("_index") or c.startswith("parent_")})
-                    out.insert(0, "d", [key] * len(rows))
-                    yield out
-
-    kind = docs.schema[doc].dataType.simpleString()
-    return docs.select(F.col(doc).alias("d"), F.col(xml).alias("x")).mapInPandas(run, f"d {kind}, {_SCHEMA}").withColumnRenamed("d", doc)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            owners: list[int] = []
+            rows: list[Element] = []
+            for i, text in enumerate(texts):
+                found = scan(text)
+                owners += [i] * len(found)
+                rows += found
+                if len(rows) >= _ROWS or (rows and i == len(texts) - 1):
+                    columns = zip(_TYPES, zip(*rows, strict=True), strict=True)
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(owners, pa.int64())), *(pa.array(values, kind) for kind, values in columns)], names=["d", *Element._fields])
+                    owners, rows = [], []
+
+    kind = docs.schema[doc].dataType
+    schema = StructType.fromDDL(_SCHEMA)
+    return docs.select(F.col(doc).alias("d"), F.col(xml).alias("x")).mapInArrow(run, StructType([StructField("d", kind), *schema.fields])).withColumnRenamed("d", doc)
 
 
 def nesting_error(xml: str | None, whole: bool = False) -> str | None:
