@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions import xml as X
 from docframe.functions.text import checkbox_label, collapse, fold_label, is_non, is_oui, sanitize_tag_name, trim_all
+from docframe.operators.matching import contained_words
 
 #: Signs of set and of empty boxes.
 CHECKED, UNCHECKED = "☑✓✔☒■", "☐□○◯◻"
@@ -92,19 +93,27 @@ def match_by_ordinal(templates: DataFrame, targets: DataFrame, group: str) -> Da
 def match_by_score(templates: DataFrame, targets: DataFrame, group: str, least: int = MIN_SCORE, once: bool = False) -> DataFrame:
     """Each template box with the target box of its group that holds most of its words of three letters or more, by their length:
     group, template_index, template_ord, target_index, target_ord, score, checked (the template's). The first target counts on
-    ties; a target may serve several templates, or with `once` (the semantic fallback) the first of them. Pairs stay in a group."""
+    ties; a target may serve several templates, or with `once` (the semantic fallback) the first of them.
+
+    Labels are compared, not boxes: of equal labels of a group's targets the first is the best, so a label that stands at very many
+    boxes is one row, and only labels of which one holds a word of the other meet. Rows without a group match nothing."""
     def side(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(group, F.col("index").alias(f"{name}_index"), F.col("ord").alias(f"{name}_ord"), "checked", fold_label(F.col("label")).alias(f"{name}_label"))
 
-    words = F.filter(F.split("template_label", " "), lambda w: (F.length(w) >= 3) & F.contains(F.col("target_label"), w))
-    score = F.aggregate(words, F.lit(0), lambda n, w: n + F.length(w))
-    pairs = side(templates, "template").join(side(targets, "target").drop("checked"), group).withColumn("score", score).filter(F.col("score") >= least)
-    best = Window.partitionBy(group, "template_index", "template_ord").orderBy(F.desc("score"), "target_index", "target_ord")
-    top = pairs.withColumn("_n", F.row_number().over(best)).filter("_n = 1")
-    if once:
-        first = Window.partitionBy(group, "target_index", "target_ord").orderBy("template_index", "template_ord")
-        top = top.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    return top.select(group, "template_index", "template_ord", "target_index", "target_ord", "score", "checked")
+    boxes = side(templates, "template")
+    first = side(targets, "target").groupBy(group, "target_label").agg(F.min(F.struct("target_index", "target_ord")).alias("_at"))
+    asked = F.filter(F.split("template_label", " "), lambda w: F.length(w) >= 3)
+    words = boxes.select(group, "template_label").distinct().select(group, "template_label", F.explode(asked).alias("word")).groupBy(group, "template_label", "word").agg(F.sum(F.length("word")).alias("_weight"))
+    tokens = first.select(group, "target_label", F.explode(F.array_distinct(F.split("target_label", " "))).alias("token"))
+    hits = words.join(contained_words(words, tokens), "word").join(tokens, [group, "token"]).select(group, "template_label", "target_label", "word", "_weight").distinct()
+    scored = hits.groupBy(group, "template_label", "target_label").agg(F.sum("_weight").cast("int").alias("score")).filter(F.col("score") >= least)
+    best = F.max_by(F.struct("_at", "score"), F.struct("score", -F.col("_at.target_index"), -F.col("_at.target_ord")))
+    chosen = scored.join(first, [group, "target_label"]).groupBy(group, "template_label").agg(best.alias("_m"))
+    top = boxes.join(chosen, [group, "template_label"]).select(group, "template_index", "template_ord", F.col("_m._at.target_index").alias("target_index"), F.col("_m._at.target_ord").alias("target_ord"), F.col("_m.score").alias("score"), "checked")
+    if not once:
+        return top
+    kept = F.min_by(F.struct("template_index", "template_ord", "score", "checked"), F.struct("template_index", "template_ord"))
+    return top.groupBy(group, "target_index", "target_ord").agg(kept.alias("_k")).select(group, "_k.template_index", "_k.template_ord", "target_index", "target_ord", "_k.score", "_k.checked")
 
 
 def match_boxes(templates: DataFrame, targets: DataFrame, group: str, least: int = MIN_SCORE) -> DataFrame:

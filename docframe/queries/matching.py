@@ -129,9 +129,16 @@ def verify_empty_cells(t: Tables) -> DataFrame:
     return M.verify(expected, found, "doc_id", cells=cells)
 
 
-@query("keyword_greedy_assignment")
+@query(
+    "keyword_greedy_assignment",
+    f"""with recursive {_CANDIDATES}, lists as (select brand, tag, dense_rank() over (partition by brand order by tag) as k, list({{'place': place, 'score': score}} order by score desc, place) as l from candidates group by brand, tag),
+        r as (select distinct brand, 0::bigint as k, []::bigint[] as used, null::bigint as tag, null::struct(place bigint, score bigint) as hit from lists
+          union all select brand, k, case when hit is null then used else list_append(used, hit.place) end, tag, hit
+            from (select r.brand, lists.k, r.used, lists.tag::bigint as tag, list_filter(lists.l, lambda x: not list_contains(r.used, x.place))[1]::struct(place bigint, score bigint) as hit from r join lists on lists.brand = r.brand and lists.k = r.k + 1))
+        select brand, tag, hit.place as place, hit.score as score from r where hit is not null""",
+)
 def keyword_greedy_assignment(t: Tables) -> DataFrame:
-    """Tests hold it against one plain pass over each brand; SQL has no such loop."""
+    """The tags of a brand one after the other, each to its best place that is still free."""
     return _long(M.greedy_assignment(M.keyword_candidates(_tags(t), _places(t), "brand"), "brand"))
 
 
@@ -270,6 +277,32 @@ def checkbox_match(t: Tables) -> DataFrame:
     return B.match_boxes(boxes, boxes, "doc_id").select("doc_id", "template_index", "target_index", "score", "checked")
 
 
+_FOLDED = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+#: The plain rule: each box of a brand with each of its targets, by the words that the target's label contains.
+_LABEL_PAIRS = f"""template as (select p_brand as brand, p_partkey as template_index, p_size % 2 = 0 as checked, {_FOLDED.format('p_name')} as label from part),
+    target as (select p_brand as brand, p_partkey as target_index, {_FOLDED.format("p_type || ', ' || p_name")} as label from part where p_size % 3 = 0),
+    scored as (select brand, template_index, target_index, checked, list_sum(list_transform(list_filter(string_split(template.label, ' '), lambda w: length(w) >= 3), lambda w: case when contains(target.label, w) then length(w) else 0 end))::int as score from template join target using (brand)),
+    best as (select *, row_number() over (partition by brand, template_index order by score desc, target_index) as n from scored where score >= 10)"""
+
+
+def _label_boxes(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """A box for each part, and a target for each third size."""
+    box = lambda df, label, checked: df.select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("index"), F.lit(0).alias("ord"), checked.alias("checked"), label.alias("label"))
+    targets = t.part.filter("p_size % 3 = 0")
+    return box(t.part, F.col("p_name"), F.col("p_size") % 2 == 0), box(targets, F.concat("p_type", F.lit(", "), "p_name"), F.lit(False))
+
+
+@query("checkbox_match_words", f"with {_LABEL_PAIRS} select brand, template_index, target_index, score, checked from best where n = 1")
+def checkbox_match_words(t: Tables) -> DataFrame:
+    return B.match_by_score(*_label_boxes(t), "brand").select("brand", "template_index", "target_index", "score", "checked")
+
+
+@query("checkbox_match_once", f"with {_LABEL_PAIRS} select brand, min(template_index) as template_index, target_index, min_by(score, template_index) as score, min_by(checked, template_index) as checked from best where n = 1 group by brand, target_index")
+def checkbox_match_once(t: Tables) -> DataFrame:
+    """Each target serves the first of the boxes that it is best for."""
+    return B.match_by_score(*_label_boxes(t), "brand", once=True).select("brand", "template_index", "target_index", "score", "checked")
+
+
 @query("checkbox_apply", "select doc_id, '<w:p><w:t>' || case when toxic = 1 then '☐' else '☑' end || ' Oui</w:t></w:p>' as xml from labels")
 def checkbox_apply(t: Tables) -> DataFrame:
     lines = _box_lines(t).filter("index = 0")

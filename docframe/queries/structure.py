@@ -310,8 +310,10 @@ _SEGMENTS = f"with x as (select doc_id, unnest(string_split(text, chr(10))) as t
 
 
 def _line_segments(t: Tables) -> DataFrame:
-    flat = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "text"))
-    return flat.filter(F.length(F.trim("text")) >= MIN_SEGMENT)
+    """Documents whose lines are pages, cut at their breaks; what is shorter than a segment goes."""
+    run = lambda x: F.concat(F.lit("<w:p><w:r><w:t>"), x, F.lit("</w:t></w:r></w:p>"))
+    docs = t.documents.select("doc_id", F.array_join(F.transform(F.split("text", "\n"), run), '<w:br w:type="page"/>').alias("xml"))
+    return G.by_pages(docs).filter(F.length(F.trim("text")) >= MIN_SEGMENT)
 
 
 @query("segments_by_page", f"{_SEGMENTS} select doc_id, length(text) as n, md5(text) as digest from s")
@@ -319,9 +321,11 @@ def segments_by_page(t: Tables) -> DataFrame:
     return _line_segments(t).select("doc_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("digest"))
 
 
-@query("segment_stats", f"{_SEGMENTS} select doc_id, count(*) as segments, sum(length(text)) as characters, max(length(text)) as longest from s group by 1")
+@query("segment_stats", f"{_SEGMENTS} select doc_id, count(*) as segments, count(*) as paragraphs, 0 as with_tags, 0 as tags, sum(length(text)) as characters, max(length(text)) as longest from s group by 1")
 def segment_stats(t: Tables) -> DataFrame:
-    return _line_segments(t).groupBy("doc_id").agg(F.count("*").alias("segments"), F.sum(F.length("text")).alias("characters"), F.max(F.length("text")).cast("long").alias("longest"))
+    found = _line_segments(t)
+    sizes = found.groupBy("doc_id").agg(F.sum(F.length("text")).alias("characters"), F.max(F.length("text")).cast("long").alias("longest"))
+    return G.segment_stats(found).join(sizes, "doc_id")
 
 
 @query(

@@ -18,3 +18,22 @@ def test_looser_score_and_single_use(spark):
     pairs = lambda **k: {(r["template_index"], r["score"]) for r in checkbox.match_by_score(boxes, target, "doc", checkbox.FIND_SCORE, **k).collect()}
     assert pairs() == {(0, 9), (1, 6)}
     assert pairs(once=True) == {(0, 9)}
+
+
+def test_words_equal_a_plain_double_loop(spark):
+    """A label on a third of all boxes, repeated words, words inside of others, boxes without words, a box without a group."""
+    names = ["Lot unique", "lot", "candidat seul", "le candidat-seul, unique", "seul seul seul", "", None, "a b c", "unique unique"]
+    labels = [names[0] if i % 3 == 0 else names[(7 * i) % len(names)] for i in range(240)]
+    boxes = [(None if i == 5 else i % 4, i, i % 2, i % 5 < 2, x) for i, x in enumerate(labels)]
+    fold = lambda x: " ".join("".join(c if c.isalnum() else " " for c in x.lower()).split())
+    want, once = set(), {}
+    for g, i, o, c, x in boxes[:120]:
+        scored = [(-sum(len(w) for w in fold(x).split(" ") if len(w) >= 3 and w in fold(y)), j, p) for h, j, p, _, y in boxes[120:] if g is not None and h == g and x is not None and y is not None]
+        if scored and -min(scored)[0] >= checkbox.FIND_SCORE:
+            score, j, p = min(scored)
+            want.add((g, i, o, j, p, -score, c))
+            once.setdefault((g, j, p), (g, i, o, j, p, -score, c))
+    template, target = spark.createDataFrame(boxes[:120], BOXES), spark.createDataFrame(boxes[120:], BOXES)
+    assert {tuple(r) for r in checkbox.match_by_score(template, target, "doc", checkbox.FIND_SCORE).collect()} == want
+    assert {tuple(r) for r in checkbox.match_by_score(template, target, "doc", checkbox.FIND_SCORE, once=True).collect()} == set(once.values())
+    assert checkbox.match_by_score(template, target.limit(0), "doc").count() == 0
