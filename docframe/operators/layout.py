@@ -86,6 +86,18 @@ def tag_places(lines: DataFrame) -> DataFrame:
     return flat.select(*KEY, "line", "ord", F.translate("full_tag", "{}", "").alias("tag"), (F.col("x") + before * F.col("width") / F.length("text")).alias("x"), "y")
 
 
+#: Headings that tell which form a document of pages is.
+FORM_HEADINGS = {"DC1": ["D-Présentation du candidat", "D - Présentation"], "DC2": ["C-Identification du candidat", "C - Identification"]}
+
+
+def form_of_pages(lines: DataFrame) -> DataFrame:
+    """doc_id, form: that of the first line, over all pages in order, which holds a heading of FORM_HEADINGS (of several on a line the
+    first form counts); null for a document without one."""
+    form = F.coalesce(*[F.when(F.greatest(*[F.col("text").contains(h) for h in heads]), F.lit(kind)) for kind, heads in FORM_HEADINGS.items()])
+    first = F.min(F.when(form.isNotNull(), F.struct("page", "line", form.alias("form"))))
+    return lines.groupBy("doc_id").agg(first.alias("_f")).select("doc_id", F.col("_f.form").alias("form"))
+
+
 def lines_containing(lines: DataFrame, text: str, case_sensitive: bool = False, page: int | None = None) -> DataFrame:
     hit = F.col("text").contains(text) if case_sensitive else F.lower("text").contains(text.lower())
     return lines.filter(hit if page is None else hit & (F.col("page") == page))

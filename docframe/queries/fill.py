@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.tags import flatten_json, flatten_to_tags, restyle
 from docframe.functions.text import checkbox_symbol, escape_xml
+from docframe.operators import records as R
 from docframe.operators.fill import expand_loop, fill, fill_report, merge
 from docframe.operators.templates import expand_loops
 from docframe.queries.registry import Tables, query
@@ -137,6 +138,28 @@ def fill_validated(t: Tables) -> DataFrame:
     return done.select("c_custkey", "error", F.col("filled")["xml"].alias("xml"))
 
 
+_OPEN = "p_size % 5 = 0"
+
+
+@query(
+    "fill_output",
+    f"""with k as (select *, p_size % 2 = 0 as a, p_size % 3 = 0 as b from part) select p_partkey, not ({_OPEN}) as success, case when p_size % 7 = 0 then 'own.docx' else 'offer ' || p_partkey || '_FILLED.docx' end as filename,
+        'offer ' || p_partkey || case p_size % 4 when 0 then '.docx' when 1 then '.doc' else '' end as original_filename, ({_OPEN}) as failed, 3 as tags_in_document, 1 + a::int + b::int as tags_replaced, 2 - a::int - b::int as tags_remaining,
+        concat_ws(',', case when a then 'NAME' end, case when b then 'TYPE' end, 'BRAND') as replaced, concat_ws(',', case when not a then 'NAME' end, case when not b then 'TYPE' end) as remaining from k""",
+)
+def fill_output(t: Tables) -> DataFrame:
+    """Offers whose name and type are not always given; the template of each fifth size is not closed."""
+    template = F.concat(F.lit("<w:p>{{NAME}}, {{TYPE}}: {{BRAND}}"), F.when(F.expr(_OPEN), "").otherwise("</w:p>"))
+    tags = F.create_map(F.lit("NAME"), F.when(F.col("p_size") % 2 == 0, F.col("p_name")), F.lit("TYPE"), F.when(F.col("p_size") % 3 == 0, F.col("p_type")), F.lit("BRAND"), F.col("p_brand"))
+    ending = F.when(F.col("p_size") % 4 == 0, ".docx").when(F.col("p_size") % 4 == 1, ".doc").otherwise("")
+    path = F.concat(F.lit("in/offer "), F.col("p_partkey").cast("string"), ending)
+    rows = t.part.select("p_partkey", path.alias("path"), F.when(F.col("p_size") % 7 == 0, "own.docx").alias("wanted"), template.alias("template"), tags.alias("tags"))
+    out = R.fill_output(fill(rows, "template", "tags", validate=True), name="wanted").select("p_partkey", "output.*")
+    report = F.col("report")
+    counts = [report[c].alias(c) for c in ("tags_in_document", "tags_replaced", "tags_remaining")]
+    return out.select("p_partkey", "success", "filename", "original_filename", F.col("error").isNotNull().alias("failed"), *counts, F.array_join(report["replaced_tags"], ",").alias("replaced"), F.array_join(report["remaining_tags"], ",").alias("remaining"))
+
+
 @query("loop_deep_blocks", "select l_orderkey, string_agg('<' || l_partkey || '[akk][bkk]>', '' order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as xml from lineitem join orders on o_orderkey = l_orderkey group by 1")
 def loop_deep_blocks(t: Tables) -> DataFrame:
     """Three levels of blocks in each order's letter."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions import geometry as G
 from docframe.operators import layout as L
+from docframe.operators import records as R
 from docframe.queries.registry import Tables, query
 
 PAGE_WIDTH = 595.0
@@ -62,17 +63,42 @@ def pdf_empty_zones(t: Tables) -> DataFrame:
     return _zones(t)
 
 
-@query(
-    "pdf_fields",
-    f"""with {_ZONE_SQL}, named as (select * replace (trim(regexp_replace(label, ':\\s*$', '')) as label) from zones where length(trim(regexp_replace(label, ':\\s*$', ''))) >= 3),
-        sure as (select *, 0.9 as confidence from named where kind = 'after_colon'),
-        maybe as (select *, 0.7 as confidence from named n where kind = 'gap' and not exists (select 1 from sure s where s.doc_id = n.doc_id and s.page = n.page and abs(s.x - n.x) < 10 and abs(s.y - n.y) < 3))
-        select doc_id, page, kind, x, y, label, confidence::double as confidence from (select * from sure union all select * from maybe)""",
-)
+_FIELD_SQL = f"""{_ZONE_SQL}, named as (select * replace (trim(regexp_replace(label, ':\\s*$', '')) as label) from zones where length(trim(regexp_replace(label, ':\\s*$', ''))) >= 3),
+    sure as (select *, 0.9 as confidence from named where kind = 'after_colon'),
+    maybe as (select *, 0.7 as confidence from named n where kind = 'gap' and not exists (select 1 from sure s where s.doc_id = n.doc_id and s.page = n.page and abs(s.x - n.x) < 10 and abs(s.y - n.y) < 3)),
+    fields as (select * from sure union all select * from maybe)"""
+
+
+@query("pdf_fields", f"with {_FIELD_SQL} select doc_id, page, kind, x, y, label, confidence::double as confidence from fields")
 def pdf_fields(t: Tables) -> DataFrame:
     return L.fields(_zones(t)).select("doc_id", "page", "kind", "x", "y", "label", "confidence")
 
 
+@query(
+    "page_records",
+    f"""with {_FIELD_SQL}, e as (select doc_id, page, count(*) as elements from boxes group by all), l as (select doc_id, page, count(*) as lines, md5(string_agg(text, chr(10) order by y desc)) as digest from lines group by all),
+        z as (select doc_id, page, count(*) as zones, round(sum(width), 3) as free from zones group by all), f as (select doc_id, page, count(*) as fields, string_agg(label, '|' order by confidence desc, line, x) as labels from fields group by all)
+        select doc_id, page, elements, lines, digest, coalesce(zones, 0) as zones, coalesce(free, 0) as free, coalesce(fields, 0) as fields, coalesce(labels, '') as labels from e join l using (doc_id, page) left join z using (doc_id, page) left join f using (doc_id, page)""",
+)
+def page_records(t: Tables) -> DataFrame:
+    """All that a page holds as one record, with the digest of its lines and the labels of its fields in order."""
+    r = R.page_records(boxes(t), PAGE_WIDTH, 842.0)
+    free = F.round(F.aggregate("empty_zones", F.lit(0.0), lambda n, z: n + z["width"]), 3)
+    texts = lambda c, field: F.transform(c, lambda x: x[field])
+    sizes = [F.size(c).alias(n) for c, n in (("elements", "elements"), ("lines", "lines"), ("empty_zones", "zones"), ("fields", "fields"))]
+    return r.select("doc_id", "page", *sizes, F.md5(F.array_join(texts("lines", "text"), "\n")).alias("digest"), free.alias("free"), F.array_join(texts("fields", "label"), "|").alias("labels"))
+
+
+_HEADINGS = "case when l_partkey % 11 = 3 then 'D - Présentation du candidat' when l_partkey % 11 = 5 then 'C-Identification du candidat (suite)' when l_partkey % 11 = 7 then 'D-Présentation du candidat, C - Identification' else 'B - Objet' end"
+
+
+@query("form_of_pages", f"with l as (select l_orderkey as doc_id, (l_linenumber, l_suppkey) as spot, {_HEADINGS} as text from lineitem), k as (select doc_id, spot, case when text like 'D%' then 'DC1' when text like 'C%' then 'DC2' end as form from l) select doc_id, min_by(form, (spot, form)) filter (form is not null) as form from k group by 1")
+def form_of_pages(t: Tables) -> DataFrame:
+    """Each line number is a page, and its suppliers are the lines."""
+    return L.form_of_pages(t.lineitem.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.col("l_suppkey").alias("line"), F.expr(_HEADINGS).alias("text")))
+
+
+
 @query("section_bounds_lines", f"with {_BOX_SQL}, {_TEXT_SQL}, f as (select doc_id, min(nr) as f from lines where text like '%w1%' group by 1), e as (select l.doc_id, min(nr) as e from lines l join f using (doc_id) where nr > f and text like '%w9%' group by 1) select l.doc_id, l.text from lines l join f using (doc_id) left join e using (doc_id) where nr > f and (e is null or nr < e)")
 def section_bounds_lines(t: Tables) -> DataFrame:
     return L.section_lines(L.group_lines(boxes(t)), "W 1", "w9").select("doc_id", "text")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docframe.functions.text import keywords
 from docframe.operators import checkbox as B
 from docframe.operators import matching as M
+from docframe.operators import records as R
 from docframe.queries.registry import Tables, query
 from docframe.queries.text import STOP
 
@@ -233,6 +234,28 @@ def satisfaction(t: Tables) -> DataFrame:
     return M.satisfaction(_verified(t), "doc")
 
 
+@query(
+    "mapping_output",
+    f"""with {_VERIFIED}, k2 as (select v.doc, v.status, substr(v.tag, 2)::bigint as ord, 'T' || substr(v.tag, 2) as tag from v), d as (select doc, count(*) as expected, count_if(status in ('ok', 'semantic_mismatch')) as applied,
+        string_agg(tag, ',' order by ord) filter (status in ('ok', 'semantic_mismatch')) as placed, string_agg(tag, ',' order by ord) filter (status not in ('ok', 'semantic_mismatch')) as failed, string_agg('"' || tag || '":""', ',' order by ord) as empty,
+        string_agg(status || ' ' || tag, ',' order by status, tag) filter (status = 'missing') as issues from k2 group by 1),
+        docs as (select distinct p_brand as doc from part union all select 'none')
+        select doc, doc || '_tagged.docx' as output_filename, coalesce(floor(100 * applied / expected + 0.5), 0)::int as satisfaction, coalesce(floor(100 * applied / expected + 0.5), 0) >= 80 as success, coalesce(expected, 0) as expected, coalesce(applied, 0) as n_applied,
+        coalesce(expected - applied, 0) as n_failed, coalesce(placed, '') as applied, coalesce(failed, '') as failed, md5('{{' || coalesce(empty, '') || '}}') as data_structure, coalesce(issues, '') as issues from docs left join d using (doc)""",
+)
+def mapping_output(t: Tables) -> DataFrame:
+    """The parts of a brand are the tags of its document; one more document has none."""
+    null = F.lit(None).cast("int")
+    tags = t.part.select(F.col("p_brand").alias("doc"), F.concat(F.lit("T"), F.col("p_partkey").cast("string")).alias("tag"), F.col("p_partkey").alias("ord"), null.alias("table_index"), null.alias("row_index"), null.alias("column_index"))
+    verified = _verified(t)
+    docs = t.part.select(F.col("p_brand").alias("doc")).distinct().union(t.region.limit(1).select(F.lit("none"))).withColumn("path", F.concat(F.lit("in/"), "doc", F.lit(".docx")))
+    issues = verified.filter("status = 'missing'").select("doc", F.col("status").alias("type"), "tag", F.lit("").alias("description"))
+    out = R.mapping_output(docs, R.settle(R.checklist(tags.union(tags), "doc"), verified, "doc"), issues, doc="doc").select("doc", "output.*")
+    named = F.transform("issues", lambda i: F.concat_ws(" ", i["type"], i["tag"]))
+    lists = [F.array_join(c, ",").alias(c) for c in ("applied", "failed")]
+    return out.select("doc", "output_filename", "satisfaction", "success", F.col("tags_expected").alias("expected"), F.col("tags_applied").alias("n_applied"), F.col("tags_failed").alias("n_failed"), *lists, F.md5("data_structure").alias("data_structure"), F.array_join(named, ",").alias("issues"))
+
+
 #: Labels as lines: each labelled document is a group of three lines.
 _BOX_SQL = """boxes as (select doc_id, 0 as index, case when toxic = 1 then '☑' else '☐' end || ' Oui' as text from labels union all select doc_id, 3, case when toxic = 1 then '☐' else '☑' end || ' Non' from labels
     union all select doc_id, 20, case when quality = 1 then '✔' else '□' end || ' Bonne qualité' from labels)"""
