@@ -24,7 +24,7 @@ def elements(docs: DataFrame, doc: str = "path") -> DataFrame:
 
 def body_parts(docs: DataFrame, doc: str = "path") -> DataFrame:
     """doc, index, kind, level, text, table_index: the paragraphs with text outside of tables and the tables among them, in order."""
-    whole = markup.elements(docs, doc).filter("parent_table is null and (name = 'tbl' or (name = 'p' and table_index is null))")
+    whole = markup.elements(docs, doc, names=("tbl", "p")).filter("parent_table is null and (name = 'tbl' or (name = 'p' and table_index is null))")
     texts = classify_paragraphs(whole.withColumn("text", normalize_text(X.unescape(X.xml_text(F.col("xml"))))).withColumn("index", F.col("start")))
     kind = F.when(F.col("name") == "tbl", "table").otherwise(F.col("kind"))
     shown = texts.filter("name = 'tbl' or text <> ''")

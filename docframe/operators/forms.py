@@ -94,7 +94,7 @@ def member_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataF
     # The second marker counts from the first on.
     marked = docs.select(F.col(doc).alias("_m"), F.locate(MEMBER_MARKS[0], F.col(xml)).alias("_mark"), F.col(xml).alias("_x")).filter("_mark > 0")
     marked = marked.withColumn("_at", F.expr(f"locate('{MEMBER_MARKS[1]}', _x, _mark)")).filter("_at > 0").select("_m", "_at")
-    tables = elements(docs, doc, xml).filter("name = 'tbl'").join(marked, (F.col(doc) == F.col("_m")) & (F.col("start") >= F.col("_at")))
+    tables = elements(docs, doc, xml, ("tbl",)).join(marked, (F.col(doc) == F.col("_m")) & (F.col("start") >= F.col("_at")))
     first = tables.groupBy(F.col("_m")).agg(F.min("table_index").alias("_first"))
     inside = cells(docs, doc, xml, text_limit=1 << 20).join(first, (F.col(doc) == F.col("_m")) & (F.col("table_index") == F.col("_first")))
     rows = inside.groupBy(doc, "table_index", "row_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "text"))), lambda c: c["text"]), " ").alias("text"), F.count("*").alias("n"))

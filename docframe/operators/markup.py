@@ -69,52 +69,50 @@ def _own(xml: str, start: int, end: int, gone: list[tuple[int, int]]) -> str:
     return "".join([*parts, xml[at:end]])
 
 
-def scan(xml: str | None) -> list[Element]:
-    """The elements of one document. An end without a begin is passed over; an element without an end reaches to the end of the element
-    around it and is not sound."""
+def scan(xml: str | None, names: tuple[str, ...] = ("tbl", "tr", "tc", "p")) -> list[Element]:
+    """The elements of one document, those of `names`. An end without a begin is passed over; an element without an end reaches to the end of
+    the element around it and is not sound."""
     xml = xml or ""
     found: list[Element | None] = []
     stack: list[_Open] = []
+    opened: dict[str, list[_Open]] = {"tbl": [], "tr": [], "tc": [], "p": []}
+    around: list[_Open] = []  # open tables and cells
     tables = paragraphs = 0
     nowhere = (None, None, None)
 
     def shut(end: int, after: int, sound: bool) -> None:
         e = stack.pop()
-        table, row, column, paragraph = e.place
-        text = None
-        if e.name == "p":
-            text = xml[e.start : after]
-        elif e.name == "tc":
-            text = _own(xml, e.inner, end, e.gone)
-        if e.name == "tbl":
-            cell = next((o for o in reversed(stack) if o.name == "tc"), None)
-            if cell is not None:
-                cell.gone.append((e.start, after))
-        found[e.nth] = Element(e.nth, e.name, len(stack), e.start, after, sound, table, row, column, paragraph, *e.holder, text)
+        name = e.name
+        opened[name].pop()
+        if name == "tbl" or name == "tc":
+            around.pop()
+        if name == "tbl" and opened["tc"]:
+            opened["tc"][-1].gone.append((e.start, after))
+        if name in names:
+            text = xml[e.start : after] if name == "p" else _own(xml, e.inner, end, e.gone) if name == "tc" else None
+            found[e.nth] = Element(e.nth, name, len(stack), e.start, after, sound, *e.place, *e.holder, text)
 
     for m in _TAG.finditer(xml):
         name = m[2]
         if m[1]:
-            if any(o.name == name for o in stack):
+            if opened[name]:
                 while stack[-1].name != name:
                     shut(m.start(), m.start(), sound=False)
                 shut(m.start(), m.end(), sound=True)
             continue
-        table = next((o for o in reversed(stack) if o.name in ("tbl", "tc")), None)
-        row = next((o for o in reversed(stack) if o.name == "tr"), None)
-        cell = next((o for o in reversed(stack) if o.name == "tc"), None)
-        here = cell.place[:3] if cell is not None else nowhere
-        holder = cell.holder if cell is not None else nowhere
+        cell = opened["tc"][-1] if opened["tc"] else None
+        here, holder = (cell.place[:3], cell.holder) if cell is not None else (nowhere, nowhere)
         if name == "tbl":
             place, holder = (tables, None, None, None), here
             tables += 1
         elif name == "tr":
-            owner = table if table is not None and table.name == "tbl" else None
+            owner = around[-1] if around and around[-1].name == "tbl" else None
             place = (owner.place[0] if owner else here[0], owner.rows if owner else None, None, None)
             holder = owner.holder if owner else holder
             if owner:
                 owner.rows += 1
         elif name == "tc":
+            row = opened["tr"][-1] if opened["tr"] else None
             place = (*(row.place[:2] if row is not None else (here[0], None)), row.cells if row is not None else None, None)
             holder = row.holder if row is not None else holder
             if row is not None:
@@ -123,19 +121,24 @@ def scan(xml: str | None) -> list[Element]:
             place = (*here, paragraphs)
             paragraphs += 1
         found.append(None)
-        stack.append(_Open(len(found) - 1, name, m.start(), m.end(), place, holder))
+        new = _Open(len(found) - 1, name, m.start(), m.end(), place, holder)
+        stack.append(new)
+        opened[name].append(new)
+        if name == "tbl" or name == "tc":
+            around.append(new)
         if m[3]:
             shut(m.end(), m.end(), sound=True)
     while stack:
         shut(len(xml), len(xml), sound=False)
-    return found
+    return [e for e in found if e is not None]
 
 
-def elements(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
+def elements(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", names: tuple[str, ...] = ("tbl", "tr", "tc", "p")) -> DataFrame:
     """One row an element: doc, nth, name (tbl, tr, tc or p), depth, start and end (characters), sound, table_index, row_index,
     column_index (of the innermost cell around it), paragraph_index, parent_table, parent_row, parent_column (the cell that holds its table)
     and xml: a paragraph's whole text, a cell's without the tables in it. Tables are numbered in the order in which they open.
-    A null document has no elements; other columns are ignored."""
+    A null document has no elements; other columns are ignored. Of elements not in `names` no rows are made, and they are counted all the
+    same: a caller that reads one kind should name it, as the others' rows and texts would only be sent to be dropped."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +147,7 @@ def elements(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFram
             owners: list[int] = []
             rows: list[Element] = []
             for i, text in enumerate(texts):
-                found = scan(text)
+                found = scan(text, names)
                 owners += [i] * len(found)
                 rows += found
                 if len(rows) >= _ROWS or (rows and i == len(texts) - 1):

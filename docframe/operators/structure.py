@@ -47,7 +47,7 @@ def cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", text_limit: in
     """One row a cell: ordinals, text, is_empty, headers from the first row and the first column, tags, colspan, and parent_table,
     parent_row and parent_column, the cell that holds its table (null outside of cells). A table inside of a cell is a table of its
     own, and its text is not that of the cell around it; tables are numbered in the order in which they open."""
-    inside = elements(docs, doc, xml).filter("name = 'tc' and column_index is not null")
+    inside = elements(docs, doc, xml, ("tc",)).filter("column_index is not null")
     flat = inside.withColumn("text", X.unescape(X.cell_text(F.col("xml"))))
     by_column = Window.partitionBy(doc, "table_index", "column_index").orderBy("row_index").rowsBetween(Window.unboundedPreceding, 0)
     by_row = Window.partitionBy(doc, "table_index", "row_index").orderBy("column_index").rowsBetween(Window.unboundedPreceding, 0)
@@ -66,7 +66,7 @@ def cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml", text_limit: in
 def paragraphs_with_cells(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
     """doc, index, xml, text, xml_start, xml_end, has_tag and the place of the innermost cell around each paragraph (table_index, row_index,
     column_index, null in the body), without a join."""
-    found = elements(docs, doc, xml).filter("name = 'p'")
+    found = elements(docs, doc, xml, ("p",))
     text = normalize_text(X.unescape(X.xml_text(F.col("xml"))))
     placed = found.select(doc, F.col("paragraph_index").alias("index"), "xml", text.alias("text"), F.col("start").alias("xml_start"), F.col("end").alias("xml_end"), "table_index", "row_index", "column_index")
     return placed.withColumn("has_tag", has_tag(F.col("text")))
@@ -172,7 +172,7 @@ def found_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataFr
     around = lambda t, at: F.substring(F.col(xml), F.greatest(at - 99, F.lit(1)), F.least(at, F.lit(100)) + F.length(t) + 100)
     rows = docs.select(doc, F.posexplode(F.zip_with(fulls, ats, lambda t, at: F.struct(t.alias("t"), at.alias("at"), X.cell_text(around(t, at)).alias("context")))).alias("ord", "_p"))
     found = rows.select(F.col(doc).alias("_fd"), "ord", F.translate("_p.t", "{}", "").alias("tag"), "_p.at", "_p.context")
-    cells_ = elements(docs, doc, xml).filter("name = 'tc'").select(doc, F.struct("depth", "table_index", "row_index", "column_index").alias("_cell"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    cells_ = elements(docs, doc, xml, ("tc",)).select(doc, F.struct("depth", "table_index", "row_index", "column_index").alias("_cell"), F.col("start").alias("_s"), F.col("end").alias("_e"))
     met = spans_at(found.select(F.col("_fd").alias(doc), F.col("at").alias("_at")), cells_, doc, "_at", "_s", "_e").filter("_at < _e")
     inner = met.groupBy(F.col(doc).alias("_cd"), "_at").agg(F.max("_cell").alias("_cell"))
     joined = found.join(inner, (F.col("_fd") == F.col("_cd")) & (F.col("at") == F.col("_at")), "left")
