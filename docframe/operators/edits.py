@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docframe.functions.tags import distinct_tags
 from docframe.operators.structure import paragraphs_with_cells
 from docframe.operators.tagging import date_pair_xml, insert_tag
-from docframe.session import ship_package
+from docframe.session import ship_package, shuffled
 
 
 def splice(text: str, edits: Iterable[Mapping]) -> tuple[str, list[int]]:
@@ -60,7 +60,7 @@ def apply_edits(docs: DataFrame, edits: DataFrame, doc: str = "doc_id", xml: str
     ship_package(docs.sparkSession)
     row = F.struct(F.col("nr").cast("int").alias("nr"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "text")
     lists = edits.filter("start is not null and end is not null").groupBy(F.col(doc).alias("_d")).agg(F.collect_list(row).alias("_edits"))
-    joined = docs.join(lists, F.col(doc) == F.col("_d"), "left")
+    joined = shuffled(docs).join(lists, F.col(doc) == F.col("_d"), "left")
     out = joined.withColumn("_new", F.when(F.col("_edits").isNotNull(), spliced(F.col(xml), F.col("_edits"))))
     new = {xml: F.when(F.col("_edits").isNotNull(), F.col("_new.text")).otherwise(F.col(xml))}
     return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns], F.coalesce("_new.lost", F.array().cast("array<int>")).alias("lost_edits"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from docframe.functions.text import trim_all
 from docframe.operators.edits import apply_edits
 from docframe.operators.markup import elements
-from docframe.operators.structure import cells, paragraphs_with_cells
+from docframe.operators.structure import cells, placed_paragraphs
 from docframe.operators.tagging import apply_rules
+from docframe.session import materialize, shuffled
 
 #: Per form the markers around the section with the labels, and its labels as (label, tags, occurrence).
 LABELS = {
@@ -54,10 +55,10 @@ QUESTION, YES, NO = "est-il une micro", "CHECK_PME_OUI", "CHECK_PME_NON"
 
 def between(lines: DataFrame, start: str, end: str, doc: str = "doc_id") -> DataFrame:
     """Lines after the first with the start marker and before the next with the end marker, or to the end of the document."""
-    first = lines.filter(F.contains("text", F.lit(start))).groupBy(doc).agg(F.min("index").alias("_from"))
-    below = lines.join(first, doc).filter(F.col("index") > F.col("_from"))
-    last = below.filter(F.contains("text", F.lit(end))).groupBy(doc).agg(F.min("index").alias("_to"))
-    return below.join(last, doc, "left").filter(F.col("_to").isNull() | (F.col("index") < F.col("_to"))).select(*lines.columns)
+    by = Window.partitionBy(doc)
+    first = lambda rows, mark, name: rows.withColumn(name, F.min(F.when(F.contains("text", F.lit(mark)), F.col("index"))).over(by))
+    below = first(lines.filter(F.col(doc).isNotNull()), start, "_from").filter(F.col("index") > F.col("_from"))
+    return first(below, end, "_to").filter(F.col("_to").isNull() | (F.col("index") < F.col("_to"))).select(*lines.columns)
 
 
 def label_tags(lines: DataFrame, form: str, doc: str = "doc_id") -> DataFrame:
@@ -72,10 +73,9 @@ def label_tags(lines: DataFrame, form: str, doc: str = "doc_id") -> DataFrame:
 def question_tags(lines: DataFrame, doc: str = "doc_id", question: str = QUESTION, yes: str = YES, no: str = NO) -> DataFrame:
     """doc, index, tag: the first line after the question that holds Oui, and the first from there on that holds Non, the same one
     if it holds both. Documents without either give no row."""
-    asked = lines.filter(F.contains("text", F.lit(question))).groupBy(doc).agg(F.min("index").alias("_q"))
-    after = lines.join(asked, doc).filter(F.col("index") > F.col("_q"))
-    oui = after.filter(F.contains("text", F.lit("Oui"))).groupBy(doc).agg(F.min("index").alias("_y"))
-    non = after.join(oui, doc).filter((F.col("index") >= F.col("_y")) & F.contains("text", F.lit("Non"))).groupBy(doc, "_y").agg(F.min("index").alias("_n"))
+    first = lambda word: F.min(F.when(F.contains("text", F.lit(word)), F.col("index"))).over(Window.partitionBy(doc))
+    after = lines.filter(F.col(doc).isNotNull()).withColumn("_q", first(question)).filter(F.col("index") > F.col("_q"))
+    non = after.withColumn("_y", first("Oui")).filter((F.col("index") >= F.col("_y")) & F.contains("text", F.lit("Non"))).groupBy(doc, "_y").agg(F.min("index").alias("_n"))
     both = F.array(F.struct(F.col("_y").alias("index"), F.lit(yes).alias("tag")), F.struct(F.col("_n").alias("index"), F.lit(no).alias("tag")))
     return non.select(doc, F.explode(both).alias("m")).select(doc, "m.index", "m.tag")
 
@@ -94,9 +94,9 @@ def member_tags(docs: DataFrame, doc: str = "doc_id", xml: str = "xml") -> DataF
     # The second marker counts from the first on.
     marked = docs.select(F.col(doc).alias("_m"), F.locate(MEMBER_MARKS[0], F.col(xml)).alias("_mark"), F.col(xml).alias("_x")).filter("_mark > 0")
     marked = marked.withColumn("_at", F.expr(f"locate('{MEMBER_MARKS[1]}', _x, _mark)")).filter("_at > 0").select("_m", "_at")
-    tables = elements(docs, doc, xml, ("tbl",)).join(marked, (F.col(doc) == F.col("_m")) & (F.col("start") >= F.col("_at")))
+    tables = shuffled(elements(docs, doc, xml, ("tbl",))).join(marked, (F.col(doc) == F.col("_m")) & (F.col("start") >= F.col("_at")))
     first = tables.groupBy(F.col("_m")).agg(F.min("table_index").alias("_first"))
-    inside = cells(docs, doc, xml, text_limit=1 << 20).join(first, (F.col(doc) == F.col("_m")) & (F.col("table_index") == F.col("_first")))
+    inside = shuffled(cells(docs, doc, xml, text_limit=1 << 20)).join(first, (F.col(doc) == F.col("_m")) & (F.col("table_index") == F.col("_first")))
     rows = inside.groupBy(doc, "table_index", "row_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "text"))), lambda c: c["text"]), " ").alias("text"), F.count("*").alias("n"))
     labels = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, tags)).alias("tags")) for label, tags in MEMBER])
     hits = rows.select(doc, "table_index", "row_index", "n", "text", F.explode(labels).alias("r")).filter(F.contains("text", F.col("r.label")))
@@ -124,9 +124,14 @@ def form_edits(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml"
     """doc, nr, start, end, text, tags: the edits that tag a form, DC1, DC2 or AE. Tags of a label fill the empty paragraph behind it or, in
     DC2, stand in a new one after the label; those of the question follow the texts Oui and Non; those of cells take the place of
     the cell's first paragraph and keep its style."""
-    paras = paragraphs_with_cells(docs, doc, xml)
+    # Documents are read once, and what is found is written: labels, question, cells and edits each look it up.
+    # Forms are far larger than the rows they are made from, so these are dealt out first.
+    dealt = docs.select(doc, xml).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), doc)
+    found = materialize(elements(dealt, doc, xml, ("tc", "p")).withColumn("xml", F.when(F.col("name") == "p", F.col("xml"))), "form")
+    paras = placed_paragraphs(found.filter("name = 'p'"), doc)
+    boxes = found.filter("name = 'tc' and column_index is not null")
     lines = paras.select(doc, "index", "text")
-    at = paras.select(F.col(doc).alias("_d"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), F.col("text").alias("_text"), "xml_start", "xml_end")
+    at = shuffled(paras).select(F.col(doc).alias("_d"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), F.col("text").alias("_text"), "xml_start", "xml_end")
     here = (F.col(doc) == F.col("_d")) & (F.col("index") == F.col("_i"))
     out = []
     if form in LABELS:
@@ -145,11 +150,11 @@ def form_edits(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml"
         spot = F.col("xml_start") + F.col("_end") + 5
         run = F.concat(F.lit("<w:r><w:t> {{"), F.col("tag"), F.lit("}}</w:t></w:r>"))
         out.append(met.select(doc, F.lit(_KINDS["question"]).alias("_k"), spot.alias("start"), spot.alias("end"), run.alias("text"), F.array("tag").alias("tags")))
-    places = {"DC2": lambda: turnover_tags(cells(docs, doc, xml), doc), "AE": lambda: member_tags(docs, doc, xml)}
+    places = {"DC2": lambda: turnover_tags(boxes, doc), "AE": lambda: member_tags(docs, doc, xml)}
     if form in places:
         cell = ["table_index", "row_index", "column_index"]
         first = paras.filter("table_index is not null").groupBy(F.col(doc).alias("_d"), *[F.col(c).alias(f"_{c}") for c in cell]).agg(F.min_by(F.struct("xml", "xml_start", "xml_end"), "index").alias("_first"))
-        met = places[form]().join(first, (F.col(doc) == F.col("_d")) & (F.col("table_index") == F.col("_table_index")) & (F.col("row_index") == F.col("_row_index")) & (F.col("column_index") == F.col("_column_index")))
+        met = shuffled(places[form]()).join(first, (F.col(doc) == F.col("_d")) & (F.col("table_index") == F.col("_table_index")) & (F.col("row_index") == F.col("_row_index")) & (F.col("column_index") == F.col("_column_index")))
         style = F.regexp_extract("_first.xml", r"(?s)<w:rPr>.*?</w:rPr>", 0)
         out.append(met.select(doc, F.lit(_KINDS["cell"]).alias("_k"), F.col("_first.xml_start").alias("start"), F.col("_first.xml_end").alias("end"), _with_run(F.col("_first.xml"), _run(F.col("tags"), style, *[" au "] * (form == "DC2"))).alias("text"), "tags"))
     edits = reduce(DataFrame.unionByName, out)
@@ -160,9 +165,9 @@ def form_edits(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml"
 def tag_form(docs: DataFrame, form: str, doc: str = "doc_id", xml: str = "xml") -> DataFrame:
     """docs with a whole form tagged in one pass, and inserted, the tags that were put in, in the document's order. Documents that are no such
     form, or lack all of its marks, stay as they are."""
-    edits = form_edits(docs, form, doc, xml)
+    edits = materialize(form_edits(docs, form, doc, xml), "form-edits")
     done = apply_edits(docs, edits.drop("tags"), doc, xml)
     tags = edits.groupBy(F.col(doc).alias("_t")).agg(F.array_sort(F.collect_list(F.struct("start", "nr", "tags"))).alias("_rows"))
     kept = F.filter("_rows", lambda r: ~F.array_contains("lost_edits", r["nr"]))
     inserted = F.coalesce(F.flatten(F.transform(kept, lambda r: r["tags"])), F.array().cast("array<string>"))
-    return done.join(tags, F.col(doc) == F.col("_t"), "left").select(*docs.columns, inserted.alias("inserted"))
+    return shuffled(done).join(tags, F.col(doc) == F.col("_t"), "left").select(*docs.columns, inserted.alias("inserted"))
