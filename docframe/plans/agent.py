@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.text import insertion_point, keyword_score, keywords
 from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
-from docframe.session import materialize
+from docframe.session import materialize, shuffled
 
 MAX_ROUNDS, ENOUGH = 3, 80
 #: The least confidence of a match, by the kind of matching.
@@ -33,8 +33,8 @@ def semantic_matcher(tags: DataFrame, places: DataFrame) -> DataFrame:
     cell = ["doc_id", "table_index", "row_index", "column_index"]
     placed = by_position(tags.filter("table_index is not null").select("tag", "ord", *cell), places.filter("table_index is not null").select(*cell, "place"), cell, "place")
     exact = placed.select("doc_id", "tag", "place", F.lit(0.90).alias("confidence"), F.lit("table_cell").alias("insertion_point"))
-    rest = tags.join(exact.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "ord", keywords(F.col("label")).alias("words"))
-    free = places.join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text")
+    rest = shuffled(tags).join(exact.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "ord", keywords(F.col("label")).alias("words"))
+    free = shuffled(places).join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text")
     found = greedy_assignment(keyword_candidates(rest, free, "doc_id"), "doc_id")
     return exact.unionByName(found.select("doc_id", "tag", "place", F.lit(0.75).alias("confidence"), F.lit("after_colon").alias("insertion_point")))
 
@@ -194,26 +194,27 @@ def section_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, fallback:
     tags, places: as semantic_matcher takes them, with section; matches: doc_id, section, tag, place, confidence, insertion_point, mode;
     log: doc_id, section, round, asked, placed."""
     inside = lambda df: df.withColumn("doc_id", F.struct("doc_id", F.coalesce("section", F.lit("")).alias("section")))
-    tags, places = inside(tags), inside(places)
+    # Written once: each round would make them again.
+    tags, places = materialize(inside(tags), "section-tags"), materialize(inside(places), "section-places")
     known = places.select("doc_id", "place").distinct()
     order = tags.groupBy("doc_id", "tag").agg(F.min("ord").alias("_ord"))
     done, logs = None, []
     for n in range(1, max_rounds + 1):
-        mine = tags if done is None else tags.join(done, ["doc_id", "tag"], "left_anti")
+        mine = tags if done is None else shuffled(tags).join(done, ["doc_id", "tag"], "left_anti")
         if mine.isEmpty():
             break
-        free = places if done is None else places.join(done, ["doc_id", "place"], "left_anti")
-        fresh = lambda df: df.join(known, ["doc_id", "place"], "left_semi").join(mine, ["doc_id", "tag"], "left_semi")  # noqa: B023, E731
+        free = places if done is None else shuffled(places).join(done, ["doc_id", "place"], "left_anti")
+        fresh = lambda df: shuffled(shuffled(df).join(known, ["doc_id", "place"], "left_semi")).join(mine, ["doc_id", "tag"], "left_semi")  # noqa: B023, E731
         answer = materialize(fresh(matcher(mine, free)).withColumn("mode", F.lit("answer")), f"section-answer-{n}")
-        silent = mine.join(answer, "doc_id", "left_anti")
+        silent = shuffled(mine).join(answer, "doc_id", "left_anti")
         found = answer.unionByName(fresh(fallback(silent, free)).withColumn("mode", F.lit("fallback")))
         if done is not None:
-            found = found.join(done, ["doc_id", "place"], "left_anti")
-        ranked = found.join(order, ["doc_id", "tag"]).withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "tag").orderBy(F.desc("confidence"), "place"))).filter("_n = 1")
+            found = shuffled(found).join(done, ["doc_id", "place"], "left_anti")
+        ranked = shuffled(found).join(order, ["doc_id", "tag"]).withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "tag").orderBy(F.desc("confidence"), "place"))).filter("_n = 1")
         first = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "place").orderBy("_ord", "tag"))).filter("_n = 1")
         new = materialize(first.select("doc_id", "tag", "place", "confidence", "insertion_point", "mode"), f"section-{n}")
         placed = new.groupBy("doc_id").agg(F.count("*").alias("placed"))
-        asked = mine.groupBy("doc_id").agg(F.count("*").alias("asked")).join(placed, "doc_id", "left")
+        asked = mine.groupBy("doc_id").agg(F.count("*").alias("asked")).hint("merge").join(placed, "doc_id", "left")
         logs.append(materialize(asked.select("doc_id.*", F.lit(n).alias("round"), "asked", F.coalesce("placed", F.lit(0)).alias("placed")), f"section-log-{n}"))
         done = new if done is None else done.unionByName(new)
     matches = done if done is not None else tags.limit(0).select("doc_id", "tag", F.lit(0).alias("place"), F.lit(0.0).alias("confidence"), F.lit("").alias("insertion_point"), F.lit("").alias("mode"))

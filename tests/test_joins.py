@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from docframe.operators import forms
 from docframe.operators.edits import apply_edits
+from docframe.plans import agent
 
 
 def plan(df):
@@ -17,3 +18,18 @@ def test_forms_are_not_broadcast(spark):
     done = forms.tag_form(docs, "DC2")
     assert "BroadcastHashJoin" not in plan(done)
     assert done.filter("inserted = array('FORME_JURIDIQUE')").count() == 8
+
+
+def test_rounds_of_the_section_loop_are_not_broadcast(spark):
+    tags = spark.range(8).select(F.col("id").alias("doc_id"), F.lit("S").alias("section"), F.lit("A").alias("tag"), F.lit(0).alias("ord"), F.lit("").alias("label"), *[F.lit(0).alias(c) for c in ("table_index", "row_index", "column_index")])
+    places = tags.select("doc_id", "section", F.lit(0).alias("place"), F.lit("").alias("text"), "table_index", "row_index", "column_index")
+    seen = []
+
+    def matcher(mine, free):
+        seen.extend(map(plan, (mine, free)))
+        return mine.select("doc_id", "tag", F.lit(0).alias("place"), F.lit(0.8).alias("confidence"), F.lit("inline").alias("insertion_point")).filter("doc_id.doc_id < 0")
+
+    assert agent.section_loop(tags, places, matcher)[0].count() == 8
+    more = tags.unionByName(tags.withColumn("tag", F.lit("B")))  # leaves tags over for a second round
+    assert agent.section_loop(more, places, matcher)[0].count() == 8
+    assert "BroadcastHashJoin" not in "".join(seen)
