@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docframe.functions.tags import distinct_tags
 from docframe.operators.structure import paragraphs_with_cells
 from docframe.operators.tagging import date_pair_xml, insert_tag
-from docframe.session import ship_package, shuffled
+from docframe.session import materialize, ship_package, shuffled
 
 
 def splice(text: str, edits: Iterable[Mapping]) -> tuple[str, list[int]]:
@@ -90,8 +90,9 @@ def tag_documents(docs: DataFrame, matches: DataFrame, doc: str = "doc_id", xml:
     points = F.coalesce("insertion_point", F.lit("after_colon"))
     base = matches.select(F.col(doc).alias("_d"), "tag", F.col("index").cast("int").alias("index"), points.alias("point"), F.col("ord").cast("int").alias("ord"))
     held = docs.select(F.col(doc).alias("_h"), F.explode(distinct_tags(F.col(xml))).alias("_tag")).distinct()
-    paras = paragraphs_with_cells(docs, doc, xml).select(F.col(doc).alias("_p"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), "xml_start", "xml_end", F.col("table_index").isNotNull().alias("_in_cell"))
-    known = base.join(held, (F.col("_d") == F.col("_h")) & (F.col("tag") == F.col("_tag")), "left").join(paras.select("_p", "_i"), (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")), "left")
+    # Documents are read once: whether a paragraph is there and what it holds are looked up in what is written.
+    paras = materialize(paragraphs_with_cells(docs, doc, xml).select(F.col(doc).alias("_p"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), "xml_start", "xml_end", F.col("table_index").isNotNull().alias("_in_cell")), "tag-paragraphs")
+    known = shuffled(shuffled(base).join(held, (F.col("_d") == F.col("_h")) & (F.col("tag") == F.col("_tag")), "left")).join(paras.select("_p", "_i"), (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")), "left")
     status = F.when(F.col("_h").isNotNull(), "already_used").when(F.col("_p").isNull(), "no_paragraph")
     told = known.select("_d", "tag", "index", "point", "ord", status.alias("status"))
     first = F.row_number().over(Window.partitionBy("_d", "tag", F.col("status").isNull()).orderBy(F.desc("index"), "ord")) == 1
@@ -109,7 +110,7 @@ def tag_documents(docs: DataFrame, matches: DataFrame, doc: str = "doc_id", xml:
     steps = steps.withColumn("_turn", F.row_number().over(place)).withColumn("_skip", F.lit(False) if several else ~F.col("_both") & (F.col("_turn") > 1))
     rows = F.transform(F.array_sort(F.collect_list(F.when(~F.col("_skip"), F.struct("_turn", F.struct("ord", "a", "b", "point").cast(_STEP).alias("s"))))), lambda x: x["s"])
     lists = steps.groupBy("_d", "index").agg(rows.alias("_steps"), F.array_sort(F.collect_list(F.when(F.col("_skip"), F.col("a")))).alias("_skipped"))
-    met = lists.join(paras, (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")))
+    met = shuffled(lists).join(paras, (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")))
     done = met.withColumn("_new", _tagged(F.col("_xml"), F.col("_steps"), F.col("_in_cell")))
     edits = done.filter(F.exists("_new.done", lambda x: x)).select(F.col("_d").alias(doc), F.col("index").alias("nr"), F.col("xml_start").alias("start"), F.col("xml_end").alias("end"), F.col("_new.xml").alias("text"))
     out = apply_edits(docs, edits, doc, xml).drop("lost_edits")  # paragraphs of tags do not overlap but where one holds the other

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docframe.operators import forms
-from docframe.operators.edits import apply_edits
+from docframe.operators.edits import apply_edits, tag_documents
 from docframe.plans import agent
 
 
@@ -33,3 +33,10 @@ def test_rounds_of_the_section_loop_are_not_broadcast(spark):
     more = tags.unionByName(tags.withColumn("tag", F.lit("B")))  # leaves tags over for a second round
     assert agent.section_loop(more, places, matcher)[0].count() == 8
     assert "BroadcastHashJoin" not in "".join(seen)
+
+
+def test_tagged_documents_are_not_broadcast(spark):
+    docs = spark.range(8).select(F.col("id").alias("doc_id"), F.lit("<w:p><w:r><w:t>Line :</w:t></w:r></w:p>").alias("xml"))
+    out, report = tag_documents(docs, docs.select("doc_id", F.lit("T").alias("tag"), F.lit(0).alias("index"), F.lit("after_colon").alias("insertion_point"), F.lit(0).alias("ord")))
+    assert "BroadcastHashJoin" not in plan(out) + plan(report)
+    assert report.filter("status = 'applied'").count() == 8
