@@ -121,3 +121,12 @@ def test_sections_of_a_document(spark):
 
 def test_text_of_runs(spark):
     assert spark.createDataFrame([(NESTED,)], "x string").select(xml_text(F.col("x"))).first()[0] == "beforeainblast1last2after"
+
+
+def test_simple_cells_and_paragraphs_are_read_in_one_step(spark):
+    """Cells of nothing but paragraphs and others give the same elements, whatever their tags look like."""
+    for open_, close in (("<w:p>", "</w:p>"), ('<w:p w:a="/">', "</w:p>"), ("<w:p>", "</w:p >"), ("<w:p >", "</w:p>")):
+        found = M.scan(f"<w:tbl><w:tr><w:tc>{open_}a{close}<w:p/><w:pPr/>b</w:tc></w:tr></w:tbl>{open_}c{close}")
+        assert [(e.name, e.depth, e.column_index, e.paragraph_index, e.sound) for e in found] == [("tbl", 0, None, None, True), ("tr", 1, None, None, True), ("tc", 2, 0, None, True), ("p", 3, 0, 0, True), ("p", 3, 0, 1, True), ("p", 0, None, 2, True)]
+    # A cell of paragraphs is one match and no longer four tags.
+    assert len(M._STEP.findall("<w:tc><w:p>a</w:p><w:p/></w:tc>")) == 1
