@@ -123,6 +123,22 @@ def test_text_of_runs(spark):
     assert spark.createDataFrame([(NESTED,)], "x string").select(xml_text(F.col("x"))).first()[0] == "beforeainblast1last2after"
 
 
+def test_headers_come_from_the_scan_without_moving_rows(spark):
+    """Rows that do not move have no exchange in their plan; a row inside of a row heads no column before it."""
+    cell = "<w:tc><w:p><w:r><w:t>{}</w:t></w:r></w:p></w:tc>".format
+    nested = f"<w:tc><w:tbl><w:tr>{cell('i0')}{cell('i1')}</w:tr></w:tbl><w:p><w:t>out</w:t></w:p></w:tc>"
+    xml = f"<w:tbl><w:tr>{cell('a')}{cell('b')}</w:tr><w:tr>{cell('c')}{nested}</w:tr></w:tbl><w:p><w:t>body</w:t></w:p>"
+    odd = f"<w:tbl><w:tr>{cell('x')}<w:tr>{cell('y')}{cell('z')}</w:tr>{cell('w')}</w:tr></w:tbl>"
+    docs = spark.createDataFrame([(1, xml), (2, odd), (3, None)], "doc_id int, xml string")
+    found, paras = S.cells(docs), S.paragraphs_with_headers(docs)
+    for df in (found, paras):
+        shown = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in shown and "Window" not in shown and shown.count("MapInArrow") == 1
+    want = {(1, "a"): ("a", ""), (1, "b"): ("a", ""), (1, "c"): ("c", "a"), (1, "out"): ("c", "b"), (1, "i0"): ("i0", ""), (1, "i1"): ("i0", ""), (2, "x"): ("x", ""), (2, "y"): ("y", "x"), (2, "z"): ("y", "w"), (2, "w"): ("x", "")}
+    assert {(r["doc_id"], r["text"]): (r["row_header"], r["column_header"]) for r in found.collect()} == want
+    assert {(r["doc_id"], r["text"]): (r["row_header"], r["column_header"]) for r in paras.collect()} == want | {(1, "body"): ("", "")}
+
+
 def test_simple_cells_and_paragraphs_are_read_in_one_step(spark):
     """Cells of nothing but paragraphs and others give the same elements, whatever their tags look like."""
     for open_, close in (("<w:p>", "</w:p>"), ('<w:p w:a="/">', "</w:p>"), ("<w:p>", "</w:p >"), ("<w:p >", "</w:p>")):
