@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docframe.functions.tags import default_json
 from docframe.operators import layout
+from docframe.session import materialize
 from docframe.sinks.docx import output_name
 
 #: Percent of expected tags that a mapping must place.
@@ -90,10 +91,11 @@ def mapping_output(docs: DataFrame, expected: DataFrame, issues: DataFrame | Non
 def page_records(boxes: DataFrame, page_width: float, page_height: float, with_fields: bool = True) -> DataFrame:
     """doc_id, page, width, height, elements, lines, empty_zones, fields: all that layout finds on a page, as arrays in order; a page
     whose boxes are all blank has elements alone, and fields are empty without with_fields. Only a page's own rows are collected."""
-    lines = layout.group_lines(boxes)
+    # Lines and zones are read several times each, so they are made and written once.
+    lines = materialize(layout.group_lines(boxes), "record-lines")
     numbered = lines.select(*layout.KEY, F.posexplode("boxes").alias("_i", "_b"), "line", "y")
     on_line = numbered.select(*layout.KEY, "line", F.col("_b.index").alias("index"), F.col("_b.x").alias("x"), "y", F.col("_b.width").alias("width"), F.col("_b.text").alias("text"))
-    zones = layout.empty_zones(lines, on_line, page_width)
+    zones = materialize(layout.empty_zones(lines, on_line, page_width), "record-zones")
     gathered = lambda df, name, *cols: df.groupBy(*layout.KEY).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
     out = gathered(boxes, "elements", "index", "text", "x", "y", "width", "height")
     out = out.join(gathered(lines, "lines", "line", "x", "y", "width", "height", "text"), layout.KEY, "left")
