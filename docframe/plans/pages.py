@@ -59,6 +59,8 @@ def match_fields(expected: DataFrame, fields: DataFrame, pages: DataFrame, model
     expected: doc_id, ord, tag, page, x, y, label; fields: doc_id, page, fid, x, y, label; pages: doc_id, page, width, height;
     model: (open rows of expected, fields) -> doc_id, ord, fid, confidence. Gives the matches (doc_id, ord, tag, fid, page, x, y,
     confidence, stage), expected with status and issue, and per document the percent of matched rows."""
+    # Each stage reads both anew, so they are made and written once.
+    expected, fields = materialize(expected, "field-tags"), materialize(fields, "field-places")
     first = expected.groupBy("doc_id", "tag").agg(F.min("ord").alias("ord"))
     places = fields.select("doc_id", "fid", "page", "x", "y")
 
@@ -104,7 +106,8 @@ def fill_pages(
     todo = filled_values(values).join(small(config.select("field", "type")), "field").select("doc_id", "field", "type", "value")
     columns = ["doc_id", "field", "type", "page", "x", "y"]
     boxes = boxes.select("doc_id", "page", "index", "text", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "width", "height")])
-    lines = group_lines(boxes)
+    boxes = materialize(boxes, "page-boxes")  # the lines, the labels and each round's look at the page read them
+    lines = materialize(group_lines(boxes), "page-lines")
     places: DataFrame | None = None
     for nth in range(max_rounds):
         open_ = todo if places is None else todo.join(places, ["doc_id", "field"], "left_anti")

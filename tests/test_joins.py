@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from docframe.operators import forms
+from docframe.operators import forms, records
 from docframe.operators.edits import apply_edits, tag_documents
-from docframe.plans import agent
+from docframe.plans import agent, pages
 
 
 def plan(df):
@@ -40,3 +40,14 @@ def test_tagged_documents_are_not_broadcast(spark):
     out, report = tag_documents(docs, docs.select("doc_id", F.lit("T").alias("tag"), F.lit(0).alias("index"), F.lit("after_colon").alias("insertion_point"), F.lit(0).alias("ord")))
     assert "BroadcastHashJoin" not in plan(out) + plan(report)
     assert report.filter("status = 'applied'").count() == 8
+
+
+def test_inputs_that_are_read_several_times_are_written_once(spark, tmp_path):
+    """Stages of field matching, page records and page fills read what was written, and do not make their inputs anew."""
+    t = spark.range(4).select(F.col("id").alias("doc_id"), F.lit(1).alias("ord"), F.lit("T").alias("tag"), F.lit(1).alias("page"), F.lit(0.1).alias("x"), F.lit(0.0).alias("y"), F.lit("nom").alias("label"))
+    sizes = t.select("doc_id", "page", F.lit(1.0).alias("width"), F.lit(1.0).alias("height"))
+    matches, states, score = pages.match_fields(t, t.select("doc_id", "page", F.col("ord").alias("fid"), "x", "y", "label"), sizes)
+    assert "Range" not in plan(states) + plan(score) and score.filter("percent = 100").count() == 4
+    boxes = spark.range(4).select(F.col("id").alias("doc_id"), F.lit(1).alias("page"), F.lit(0).alias("index"), F.lit("Nom :").alias("text"), F.lit(10.0).alias("x"), F.lit(700.0).alias("y"), F.lit(30.0).alias("width"), F.lit(9.0).alias("height"))
+    shown = records.page_records(boxes, 595.0, 842.0)
+    assert plan(shown).count("Range") == 1 and shown.filter("size(fields) = 1 and size(lines) = 1").count() == 4
