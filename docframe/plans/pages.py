@@ -11,7 +11,7 @@ from docframe.functions.geometry import relative_score, text_width
 from docframe.operators.layout import LEFT, checkbox_marks, filled_values, group_lines, label_places, observe
 from docframe.operators.matching import keyword_fields, nearest_field, satisfaction
 from docframe.plans.agent import ENOUGH, LEAST, ask, extract_json
-from docframe.session import materialize, small
+from docframe.session import dealt, materialize, small
 
 MAX_PAGE_ROUNDS, FONT, STEP_DOWN = 5, 9.0, 18.0
 NEAR, ALIKE = 0.8, 0.7
@@ -70,9 +70,11 @@ def match_fields(expected: DataFrame, fields: DataFrame, pages: DataFrame, model
     def settled(matches: DataFrame) -> DataFrame:
         return first.join(matches.select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi").select("doc_id", "ord")
 
+    rows = max(expected.count(), fields.count())
     dx, dy = (F.col("x") - F.col("fx")) / F.col("width"), (F.col("y") - F.col("fy")) / F.col("height")
     points = expected.join(pages, ["doc_id", "page"]).select("doc_id", "page", F.col("ord").alias("id"), "x", "y", "width", "height")
-    near = nearest_field(points, fields.select("doc_id", "page", "fid", F.col("x").alias("fx"), F.col("y").alias("fy")), ["doc_id", "page"], relative_score(F.sqrt(dx * dx + dy * dy)), NEAR)
+    targets = fields.select("doc_id", "page", "fid", F.col("x").alias("fx"), F.col("y").alias("fy"))
+    near = nearest_field(dealt(points, rows, "doc_id", "page"), dealt(targets, rows, "doc_id", "page"), ["doc_id", "page"], relative_score(F.sqrt(dx * dx + dy * dy)), NEAR)
     matches = staged(near.select("doc_id", F.col("id").alias("ord"), "fid", F.col("score").alias("confidence")), "position")
     matches = materialize(matches, "field-matches")  # neither the next stage nor the states match anew
     rest = expected.join(settled(matches), ["doc_id", "ord"], "left_anti")
