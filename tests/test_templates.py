@@ -32,6 +32,27 @@ def test_expand(template, want):
     assert B.expand(template, data) == want
 
 
+def test_inner_arrays_are_read_once_for_a_document(monkeypatch):
+    seen = []
+    shown = B.shown
+    monkeypatch.setattr(B, "shown", lambda v: seen.append(v) or shown(v))
+    data = {"a": [{"k": f"k{i}"} for i in range(50)], "b": [{"m": "<"} for _ in range(40)], "c": [{"k": "c"}, {}]}
+    got = B.expand("{#A}{{K}}{#B}{{M}}{#C}{{K}}{/C}{/B};{/A}", data)
+    assert got == "".join(f"k{i}" + f"&lt;k{i}k{i}" * 40 + ";" for i in range(50))
+    assert len(seen) == 50 + 40 + 1
+
+
+@pytest.mark.parametrize("low", [1, 4, 8, 20])
+def test_levels_above_and_below_the_low_ones(monkeypatch, low):
+    """Blocks of ten levels, of which some are expanded by the stack and the others once for each set of values."""
+    monkeypatch.setattr(B, "LOW", low)
+    B.parse.cache_clear()
+    template = "".join(f"{{#A}}{i}{{{{K}}}}" for i in range(10)) + "{/A}" * 10
+    want = lambda i, k: "" if i == 10 else "".join(f"{i}{k or x}{want(i + 1, k or x)}" for x in "vw")
+    assert B.expand(template, {"a": [{"k": "v"}, {"K": "w"}]}) == want(0, "")
+    B.parse.cache_clear()
+
+
 def test_expand_of_no_object(spark):
     df = spark.createDataFrame([("a{#X}b{/X}c", None), ("a{#X}b{/X}c", "no json"), ("a{#X}b{/X}c", "[1]"), (None, "{}")], "t string, d string")
     assert [r[0] for r in df.select(B.expand_loops(F.col("t"), F.col("d"))).collect()] == ["ac", "ac", "ac", None]
