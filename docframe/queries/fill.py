@@ -11,6 +11,7 @@ from docframe.operators import records as R
 from docframe.operators.fill import expand_loop, fill, fill_report, merge
 from docframe.operators.templates import expand_loops
 from docframe.queries.registry import Tables, query
+from docframe.session import dealt, shuffled
 
 LETTER = "<w:p><w:t>Order {{ORDER}} of {{NAME}} ({{SEGMENT}}): {{TOTAL}} {{NOTE}}</w:t></w:p>{#ITEMS}<w:p>{{LINE}}. {{PART}} x {{QTY}}</w:p>{/ITEMS}"
 _ESC = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;')"
@@ -129,8 +130,10 @@ def flatten_json_events(t: Tables) -> DataFrame:
 )
 def fill_validated(t: Tables) -> DataFrame:
     """The end of the table stands in a block that goes where a customer has no orders: such a fill is an error row."""
-    orders = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("key")))).alias("rows"))
-    joined = t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    # Orders take few bytes and their fills much time: dealt by rows, they are filled by all tasks and not by one.
+    n = t.orders.count()
+    orders = dealt(t.orders.select("o_custkey", "o_orderkey"), n, "o_custkey").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("key")))).alias("rows"))
+    joined = shuffled(dealt(t.customer.select("c_custkey", "c_name"), n, "c_custkey")).join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     ends = F.when(F.col("rows").isNotNull(), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
     data = F.to_json(F.struct(F.struct(F.col("c_name").alias("name")).alias("customer"), F.coalesce("rows", F.array().cast("array<struct<key:bigint>>")).alias("rows"), ends.alias("ends")))
     template = "<w:body><w:p>{{CUSTOMER_NAME}}</w:p><w:tbl>{#ROWS}<w:tr>{{KEY}}</w:tr>{/ROWS}{#ENDS}</w:tbl></w:body>{/ENDS}"

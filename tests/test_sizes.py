@@ -32,3 +32,11 @@ def test_fields_of_small_documents_are_compared_without_parts_of_words(spark, sf
         found.append(sorted(map(tuple, matching.keyword_fields(rows, fields).collect())))
     assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {1, 2}
     assert matching.keyword_fields(rows, fields.limit(0)).count() == 0
+
+
+def test_fills_are_dealt_over_the_tasks_by_rows(spark, sf, monkeypatch):
+    monkeypatch.setattr(session, "DEAL", 100)
+    made = plan(QUERIES["fill_validated"](spark, sf))
+    n = spark.read.parquet(f"{sf}/orders.parquet").count() // 100 + 1
+    assert n > 4 and re.findall(r"hashpartitioning\([^)]*, (\d+)\)", made) == [str(n)] * 2
+    assert "BroadcastHashJoin" not in made
