@@ -8,12 +8,14 @@ from functools import reduce
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docframe.functions.text import insertion_point, keyword_score, keywords
 from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
-from docframe.session import materialize, shuffled
+from docframe.session import dealt, materialize, shuffled, ship_package
 
 MAX_ROUNDS, ENOUGH = 3, 80
 #: The least confidence of a match, by the kind of matching.
@@ -31,10 +33,17 @@ def semantic_matcher(tags: DataFrame, places: DataFrame) -> DataFrame:
     """Offline matcher: position first, then keywords, each place once. tags: doc_id, tag, ord, label, table_index, row_index,
     column_index; places: doc_id, place, text, and the same ordinals."""
     cell = ["doc_id", "table_index", "row_index", "column_index"]
-    placed = by_position(tags.filter("table_index is not null").select("tag", "ord", *cell), places.filter("table_index is not null").select(*cell, "place"), cell, "place")
-    exact = placed.select("doc_id", "tag", "place", F.lit(0.90).alias("confidence"), F.lit("table_cell").alias("insertion_point"))
-    rest = shuffled(tags).join(exact.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "ord", keywords(F.col("label")).alias("words"))
-    free = shuffled(places).join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text")
+    asked, spots = tags.select("tag", "ord", "label", *cell), places.filter("table_index is not null").select(*cell, "place")
+    rows = tags.count()
+    placed = materialize(by_position(dealt(asked, rows, *cell), dealt(spots, rows, *cell), cell, "place", "left").select("doc_id", "tag", "ord", "label", "place"), "semantic-places")
+    exact = placed.filter("place is not null").select("doc_id", "tag", "place", F.lit(0.90).alias("confidence"), F.lit("table_cell").alias("insertion_point"))
+    rest = placed.filter("place is null")
+    if rest.isEmpty():
+        return exact
+    # Only documents that have tags left look at their words.
+    rest = materialize(shuffled(rest).join(exact.select("doc_id", "tag"), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "ord", keywords(F.col("label")).alias("words")), "semantic-rest")
+    near = shuffled(places).join(rest.select("doc_id").distinct(), "doc_id", "left_semi")
+    free = shuffled(near).join(exact.select("doc_id", "place"), ["doc_id", "place"], "left_anti").select("doc_id", "place", "text")
     found = greedy_assignment(keyword_candidates(rest, free, "doc_id"), "doc_id")
     return exact.unionByName(found.select("doc_id", "tag", "place", F.lit(0.75).alias("confidence"), F.lit("after_colon").alias("insertion_point")))
 
@@ -192,34 +201,112 @@ def section_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, fallback:
     In each round the tags of a section that have no place are asked for among the section's own places; where the answer places none
     of them the fallback does. A place takes one tag, the first by ord, and keeps it. A section ends when all its tags have places.
     tags, places: as semantic_matcher takes them, with section; matches: doc_id, section, tag, place, confidence, insertion_point, mode;
-    log: doc_id, section, round, asked, placed."""
-    inside = lambda df: df.withColumn("doc_id", F.struct("doc_id", F.coalesce("section", F.lit("")).alias("section")))
-    # Written once: each round would make them again.
-    tags, places = materialize(inside(tags), "section-tags"), materialize(inside(places), "section-places")
-    known = places.select("doc_id", "place").distinct()
-    order = tags.groupBy("doc_id", "tag").agg(F.min("ord").alias("_ord"))
-    done, logs = None, []
+    log: doc_id, section, round, asked, placed. Tags and places are read once, into a row a section; a round reads the sections that
+    the one before left over, and the fallback those that the answer leaves to it."""
+    state = _sections(tags, places)
+    done, logs = [], []
     for n in range(1, max_rounds + 1):
-        mine = tags if done is None else shuffled(tags).join(done, ["doc_id", "tag"], "left_anti")
-        if mine.isEmpty():
+        rows = state.count()
+        if not rows:
             break
-        free = places if done is None else shuffled(places).join(done, ["doc_id", "place"], "left_anti")
-        fresh = lambda df: shuffled(shuffled(df).join(known, ["doc_id", "place"], "left_semi")).join(mine, ["doc_id", "tag"], "left_semi")  # noqa: B023, E731
-        answer = materialize(fresh(matcher(mine, free)).withColumn("mode", F.lit("answer")), f"section-answer-{n}")
-        silent = shuffled(mine).join(answer, "doc_id", "left_anti")
-        found = answer.unionByName(fresh(fallback(silent, free)).withColumn("mode", F.lit("fallback")))
-        if done is not None:
-            found = shuffled(found).join(done, ["doc_id", "place"], "left_anti")
-        ranked = shuffled(found).join(order, ["doc_id", "tag"]).withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "tag").orderBy(F.desc("confidence"), "place"))).filter("_n = 1")
-        first = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "place").orderBy("_ord", "tag"))).filter("_n = 1")
-        new = materialize(first.select("doc_id", "tag", "place", "confidence", "insertion_point", "mode"), f"section-{n}")
-        placed = new.groupBy("doc_id").agg(F.count("*").alias("placed"))
-        asked = mine.groupBy("doc_id").agg(F.count("*").alias("asked")).hint("merge").join(placed, "doc_id", "left")
-        logs.append(materialize(asked.select("doc_id.*", F.lit(n).alias("round"), "asked", F.coalesce("placed", F.lit(0)).alias("placed")), f"section-log-{n}"))
-        done = new if done is None else done.unionByName(new)
-    matches = done if done is not None else tags.limit(0).select("doc_id", "tag", F.lit(0).alias("place"), F.lit(0.0).alias("confidence"), F.lit("").alias("insertion_point"), F.lit("").alias("mode"))
-    log = reduce(DataFrame.unionByName, logs) if logs else tags.limit(0).select("doc_id.*", F.lit(0).alias("round"), F.lit(0).cast("long").alias("asked"), F.lit(0).cast("long").alias("placed"))
-    return matches.select("doc_id.*", *[c for c in matches.columns if c != "doc_id"]), log
+        settled = _settled(state, matcher(_each(state, "tags"), _each(state, "spots")), rows, f"section-answer-{n}")
+        parts, silent = {"answer": settled.filter("answered")}, settled.filter("not answered").select(*state.columns)
+        rows = silent.count()
+        if rows:
+            parts["fallback"] = _settled(silent, fallback(_each(silent, "tags"), _each(silent, "spots")), rows, f"section-fallback-{n}")
+        for mode, part in parts.items():
+            done.append(_each(part, "won").withColumn("mode", F.lit(mode)))
+            logs.append(part.select("doc", "part", F.lit(n).alias("round"), "asked", "placed"))
+        state = reduce(DataFrame.unionByName, parts.values()).filter("size(tags) > 0").select(*state.columns)
+    matches = reduce(DataFrame.unionByName, done) if done else _each(state, "tags").limit(0).select("doc_id", "section", "tag", F.lit(0).alias("place"), F.lit(0.0).alias("confidence"), F.lit("").alias("insertion_point"), F.lit("").alias("mode"))
+    log = reduce(DataFrame.unionByName, logs) if logs else state.limit(0).select("doc", "part", F.lit(0).alias("round"), F.lit(0).cast("long").alias("asked"), F.lit(0).cast("long").alias("placed"))
+    return matches.withColumn("doc_id", F.col("doc_id.doc_id")), log.withColumnsRenamed({"doc": "doc_id", "part": "section"})
+
+
+def _sections(tags: DataFrame, places: DataFrame) -> DataFrame:
+    """doc, part, tags, spots, gone: a row a section that has tags, with its tags, its free places, and the places that are taken."""
+    part = F.coalesce("section", F.lit("")).alias("part")
+    rows = lambda df: F.struct(*[c for c in df.columns if c not in ("doc_id", "section")])
+    sides = [df.select(F.col("doc_id").alias("doc"), part, rows(df).alias(name)) for df, name in ((tags, "tag"), (places, "spot"))]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    met = both.groupBy("doc", "part").agg(F.collect_list("tag").alias("tags"), F.collect_list("spot").alias("spots")).filter("size(tags) > 0")
+    return materialize(met.withColumn("gone", F.array().cast(f"array<{dict(places.dtypes)['place']}>")), "sections")
+
+
+def _each(sections: DataFrame, column: str) -> DataFrame:
+    """The rows that sections hold in a column; their doc_id names document and section."""
+    return sections.select(F.struct(F.col("doc").alias("doc_id"), F.col("part").alias("section")).alias("doc_id"), F.col("part").alias("section"), F.explode(column).alias("_x")).select("doc_id", "section", "_x.*")
+
+
+def _settle(tags: list[tuple], spots: set, gone: set, answers: list[tuple]) -> tuple[bool, dict]:
+    """(whether an answer names a tag and a place of the section, the tags that get a place with the number of the answer that gives it). tags:
+    (tag, ord); answers: (tag, place, confidence, insertion_point). A tag wants its best free place, and of the tags that want one the first
+    has it."""
+    order: dict = {}
+    for tag, nth in sorted(tags, key=lambda t: (t[1] is not None, t[1] or 0, t[0])):
+        order.setdefault(tag, nth)
+    ranks = {tag: i for i, tag in enumerate(order)}
+    best = sorted(enumerate(answers), key=lambda a: (a[1][2] is None, a[1][2] == a[1][2], -(a[1][2] or 0.0), a[1][1], a[1][3] or ""))
+    own = [(i, tag, place) for i, (tag, place, *_) in best if tag in ranks and (place in spots or place in gone)]
+    wants: dict = {}
+    for i, tag, place in own:
+        if place in spots:
+            wants.setdefault(tag, (i, place))
+    taken: set = set()
+    won = {}
+    for tag in sorted(wants, key=ranks.__getitem__):
+        i, place = wants[tag]
+        if place not in taken:
+            taken.add(place)
+            won[tag] = i
+    return bool(own), won
+
+
+def _settled(sections: DataFrame, answer: DataFrame, rows: int, name: str) -> DataFrame:
+    """Sections after an answer: tags and spots hold what is left, nothing where all tags have places; won: the matches; answered: whether the
+    answer names a tag and a place of the section; asked and placed: numbers of tags. A section's answers meet it in one shuffle."""
+    ship_package(sections.sparkSession)
+    given = answer.filter("tag is not null and place is not null").select(F.col("doc_id.doc_id").alias("doc"), F.col("doc_id.section").alias("part"), F.struct("tag", "place", "confidence", "insertion_point").alias("a"))
+    # Partitions are bounded by rows, for a section takes few bytes but holds several rows.
+    lists = dealt(given, 3 * rows, "doc", "part").groupBy("doc", "part").agg(F.collect_list("a").alias("won"))
+    met = shuffled(dealt(sections, 3 * rows, "doc", "part")).join(lists, ["doc", "part"], "left")
+    met = met.withColumn("won", F.coalesce("won", F.array().cast(lists.schema["won"].dataType))).select("doc", "part", "tags", "spots", "gone", "won")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = {c: batch.column(c) for c in ("tags", "spots", "gone", "won")}
+            ends = {c: x.offsets.to_pylist() for c, x in lists.items()}
+            inner = {c: x.values for c, x in lists.items()}
+            field = lambda c, f: inner[c].field(f).to_pylist()  # noqa: B023, E731
+            names, orders, places, used = field("tags", "tag"), field("tags", "ord"), field("spots", "place"), inner["gone"].to_pylist()
+            answers = [*zip(*(field("won", f) for f in ("tag", "place", "confidence", "insertion_point")), strict=True)]
+            keep: dict[str, list] = {c: [] for c in lists}
+            sizes: dict[str, list] = {c: [0] for c in lists}
+            flags: list[tuple] = []
+            for i in range(batch.num_rows):
+                t, p, g, a = (range(e[i], e[i + 1]) for e in ends.values())
+                asked, how = len(t), (False, {})
+                if a:
+                    how = _settle([(names[k], orders[k]) for k in t], {places[k] for k in p}, {used[k] for k in g}, answers[a.start : a.stop])
+                won = [a.start + k for k in how[1].values()]
+                keep["won"] += won
+                left = [k for k in t if names[k] not in how[1]] if won else t
+                if left:
+                    taken = {answers[k][1] for k in won}
+                    keep["tags"] += left
+                    keep["spots"] += [k for k in p if places[k] not in taken] if taken else p
+                    keep["gone"] += [*(used[k] for k in g), *taken]
+                for c in lists:
+                    sizes[c].append(len(keep[c]))
+                flags.append((how[0], asked, len(won)))
+            out = [batch.column("doc"), batch.column("part")]
+            for c, x in lists.items():
+                values = pa.array(keep[c], inner[c].type) if c == "gone" else inner[c].take(pa.array(keep[c], pa.int64()))
+                out.append(pa.ListArray.from_arrays(pa.array(sizes[c], pa.int32()), values, type=x.type))
+            more = [pa.array(v, k) for v, k in zip(zip(*flags, strict=True), (pa.bool_(), pa.int64(), pa.int64()), strict=True)] if flags else [pa.array([], k) for k in (pa.bool_(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*out, *more], names=[*batch.schema.names, "answered", "asked", "placed"])
+
+    return materialize(met.mapInArrow(run, StructType([*met.schema.fields, *StructType.fromDDL("answered boolean, asked long, placed long").fields])), name)
 
 
 def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float = 0.3, paras: DataFrame | None = None, decisions: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
