@@ -7,16 +7,18 @@ as it was. An edit that overlaps one of a smaller number is not applied, and the
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docframe.functions.tags import distinct_tags
-from docframe.operators.structure import paragraphs_with_cells
-from docframe.operators.tagging import date_pair_xml, insert_tag
-from docframe.session import materialize, ship_package, shuffled
+from docframe.operators.markup import scan
+from docframe.operators.tagging import date_pair_xml, insert_tag, once
+from docframe.session import ship_package, shuffled
 
 
 def splice(text: str, edits: Iterable[Mapping]) -> tuple[str, list[int]]:
@@ -66,7 +68,10 @@ def apply_edits(docs: DataFrame, edits: DataFrame, doc: str = "doc_id", xml: str
     return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns], F.coalesce("_new.lost", F.array().cast("array<int>")).alias("lost_edits"))
 
 
-_STEP = "struct<ord:int,a:string,b:string,point:string>"
+_STEP = "struct<a:string,b:string,point:string>"
+_PLACE = f"struct<index:int,start:int,end:int,xml:string,in_cell:boolean,steps:array<{_STEP}>>"
+_TOLD = "struct<tag:string,index:int,status:string>"
+_TURNS = f"struct<gaps:array<string>,places:array<{_PLACE}>,nested:boolean,told:array<{_TOLD}>>"
 
 
 def _tagged(xml: Column, steps: Column, in_cell: Column) -> Column:
@@ -74,48 +79,114 @@ def _tagged(xml: Column, steps: Column, in_cell: Column) -> Column:
 
     def step(state: Column, s: Column) -> Column:
         pair = date_pair_xml(state["xml"], s["a"], s["b"])
-        new = F.when(s["b"].isNotNull(), pair).otherwise(insert_tag(state["xml"], s["a"], s["point"], in_cell))
-        return F.struct(F.coalesce(new, state["xml"]).alias("xml"), F.concat(state["done"], F.array(new.isNotNull())).alias("done"))
+        tried = F.when(s["b"].isNotNull(), pair).otherwise(insert_tag(state["xml"], s["a"], s["point"], in_cell))
+        return once(tried, lambda new: F.struct(F.coalesce(new, state["xml"]).alias("xml"), F.concat(state["done"], F.array(new.isNotNull())).alias("done")))
 
     return F.aggregate(steps, F.struct(xml.alias("xml"), F.array().cast("array<boolean>").alias("done")), step)
 
 
+def turns(xml: str | None, held: Iterable[str] | None, asked: Iterable[tuple], several: bool = True) -> tuple[list[tuple], list[tuple]]:
+    """(places, told) of one document: the paragraphs that take tags, as (index, start, end, xml, in_cell, steps) with the steps (a, b, point) in
+    their order, and what is known of the other matches (tag, index, status). asked: (tag, index, point, ord); held: tags that the
+    document holds already."""
+    # Paragraphs by their number; those that no match names are only counted.
+    named = {m[1] for m in asked}
+    paras = {e.paragraph_index: e for e in scan(xml, ("p",)) if e.paragraph_index in named}
+    held, seen = set(held or ()), set()
+    by_ord = lambda o: (o is not None, o or 0)
+    told = [(tag, index, "already_used" if tag in held else "no_paragraph") for tag, index, *_ in asked if tag in held or index not in paras]
+    open_: dict[int, list[tuple]] = {}
+    for m in sorted((m for m in asked if m[0] not in held and m[1] in paras), key=lambda m: (-m[1], by_ord(m[3]), m[2])):
+        if m[0] in seen:
+            told.append((*m[:2], "already_used"))
+        else:
+            seen.add(m[0])
+            open_.setdefault(m[1], []).append(m)
+    places = []
+    for index in sorted(open_):
+        by_tag = {m[0]: m for m in open_[index]}
+        steps = []
+        for tag, _, point, nth in open_[index]:
+            base, _, side = (tag or "").rpartition("_")
+            a, b = f"{base}_DEBUT", f"{base}_FIN"
+            if side not in ("DEBUT", "FIN") or a not in by_tag or b not in by_tag:
+                steps.append((1, by_ord(nth), tag or "", (tag, None, point)))
+            elif side == "DEBUT":
+                # A period is one step, named by its first tag's ord; it goes before all others.
+                steps.append((0, min(by_ord(by_tag[t][3]) for t in (a, b)), base, (a, b, point)))
+        steps.sort(key=lambda s: s[:3])
+        skipped = [] if several else [s for s in steps[1:] if s[0]]
+        told += [(s[3][0], index, "paragraph_changed") for s in skipped]
+        e = paras[index]
+        places.append((index, e.start, e.end, e.xml, e.table_index is not None, [s[3] for s in steps if s not in skipped]))
+    return places, told
+
+
+def _turns(xml: Column, held: Column, asked: Column, several: bool) -> Column:
+    """Struct of turns: gaps, what stands before, between and behind the places; places; nested: whether a place holds another, so that
+    gaps count for nothing; told. Null where nothing is asked."""
+
+    @F.arrow_udf(_TURNS)
+    def run(texts: pa.Array, tags: pa.Array, lists: pa.Array) -> pa.Array:
+        matches = [*zip(*(lists.values.field(f).to_pylist() for f in ("tag", "index", "point", "ord")), strict=True)]
+        rows = []
+        for text, mine, lo, hi, some in zip(texts.to_pylist(), tags.to_pylist(), lists.offsets.to_pylist(), lists.offsets.to_pylist()[1:], lists.is_valid().to_pylist(), strict=False):
+            if not some:
+                rows.append(None)
+                continue
+            places, told = turns(text, mine, matches[lo:hi], several)
+            gaps, at, nested = [], 0, False
+            for p in places:
+                nested = nested or p[1] < at
+                gaps.append((text or "")[at : p[1]])
+                at = max(at, p[2])
+            rows.append(([*gaps, (text or "")[at:]], places, nested, told))
+        return _turn_rows(rows)
+
+    return run(xml, held, asked)
+
+
+def _lists(rows: list[list], columns: list[tuple[str, pa.DataType]], inner: dict[str, pa.Array] | None = None) -> pa.ListArray:
+    """Lists of structs from lists of tuples; `inner` are columns that come as they are."""
+    flat = [*zip(*(x for r in rows for x in r), strict=True)] or [[] for _ in columns]
+    fields = [inner[n] if inner and n in inner else pa.array(v, t) for (n, t), v in zip(columns, flat, strict=True)]
+    ends = [0, *itertools.accumulate(map(len, rows))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=[n for n, _ in columns]))
+
+
+def _turn_rows(rows: list[tuple | None]) -> pa.StructArray:
+    full = [r or ([], [], False, []) for r in rows]
+    text, whole, flag = pa.string(), pa.int32(), pa.bool_()
+    steps = _lists([p[5] for r in full for p in r[1]], [("a", text), ("b", text), ("point", text)])
+    places = _lists([r[1] for r in full], [("index", whole), ("start", whole), ("end", whole), ("xml", text), ("in_cell", flag), ("steps", steps.type)], {"steps": steps})
+    told = _lists([r[3] for r in full], [("tag", text), ("index", whole), ("status", text)])
+    columns = [pa.array([r[0] for r in full], pa.list_(text)), places, pa.array([r[2] for r in full], flag), told]
+    return pa.StructArray.from_arrays(columns, names=["gaps", "places", "nested", "told"], mask=pa.array([r is None for r in rows], flag))
+
+
 def tag_documents(docs: DataFrame, matches: DataFrame, doc: str = "doc_id", xml: str = "xml", several: bool = True) -> tuple[DataFrame, DataFrame]:
     """(docs with the tags of their matches put in, report: doc, tag, index, status of every match).
 
     matches: doc, tag, index (of a paragraph), insertion_point, ord. Of a paragraph the tags X_DEBUT and X_FIN of a period go in first and
     together, the others after them in their order; without `several` a paragraph takes one other tag, or none beside a period. A tag that
     the document holds already, or that a match of a later paragraph or a smaller ord takes, is not put in again. status:
-    applied, already_used, paragraph_changed, no_paragraph or no_place (no text to take it)."""
+    applied, already_used, paragraph_changed, no_paragraph or no_place (no text to take it). A document meets its matches in one shuffle
+    and is read once; its paragraphs take their tags without leaving it. Rows of docs that share a key each take all its matches."""
+    ship_package(docs.sparkSession)
     points = F.coalesce("insertion_point", F.lit("after_colon"))
-    base = matches.select(F.col(doc).alias("_d"), "tag", F.col("index").cast("int").alias("index"), points.alias("point"), F.col("ord").cast("int").alias("ord"))
-    held = docs.select(F.col(doc).alias("_h"), F.explode(distinct_tags(F.col(xml))).alias("_tag")).distinct()
-    # Documents are read once: whether a paragraph is there and what it holds are looked up in what is written.
-    paras = materialize(paragraphs_with_cells(docs, doc, xml).select(F.col(doc).alias("_p"), F.col("index").alias("_i"), F.col("xml").alias("_xml"), "xml_start", "xml_end", F.col("table_index").isNotNull().alias("_in_cell")), "tag-paragraphs")
-    known = shuffled(shuffled(base).join(held, (F.col("_d") == F.col("_h")) & (F.col("tag") == F.col("_tag")), "left")).join(paras.select("_p", "_i"), (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")), "left")
-    status = F.when(F.col("_h").isNotNull(), "already_used").when(F.col("_p").isNull(), "no_paragraph")
-    told = known.select("_d", "tag", "index", "point", "ord", status.alias("status"))
-    first = F.row_number().over(Window.partitionBy("_d", "tag", F.col("status").isNull()).orderBy(F.desc("index"), "ord")) == 1
-    marked = told.withColumn("_first", first).withColumn("status", F.coalesce("status", F.when(~F.col("_first"), "already_used")))
-    base_name, side = F.regexp_replace("tag", "_(DEBUT|FIN)$", ""), F.regexp_extract("tag", "_(DEBUT|FIN)$", 1)
-    open_ = marked.filter("status is null").select("_d", "index", "tag", "point", "ord", base_name.alias("_base"), side.alias("_side"))
-    by = Window.partitionBy("_d", "index", "_base")
-    paired = open_.withColumn("_both", (F.col("_side") != "") & (F.size(F.collect_set("_side").over(by)) == 2))
-    # A period is one step, named by its first tag's ord; it goes before all others.
-    steps = paired.groupBy("_d", "index", F.when(F.col("_both"), F.col("_base")).otherwise(F.col("tag")).alias("_name"), "_both").agg(
-        F.min("ord").alias("ord"), F.max(F.when(F.col("_both"), F.concat("_base", F.lit("_DEBUT"))).otherwise(F.col("tag"))).alias("a"),
-        F.max(F.when(F.col("_both"), F.concat("_base", F.lit("_FIN")))).alias("b"), F.min_by("point", "ord").alias("point"),
-    )
-    place = Window.partitionBy("_d", "index").orderBy(F.desc("_both"), "ord", "_name")
-    steps = steps.withColumn("_turn", F.row_number().over(place)).withColumn("_skip", F.lit(False) if several else ~F.col("_both") & (F.col("_turn") > 1))
-    rows = F.transform(F.array_sort(F.collect_list(F.when(~F.col("_skip"), F.struct("_turn", F.struct("ord", "a", "b", "point").cast(_STEP).alias("s"))))), lambda x: x["s"])
-    lists = steps.groupBy("_d", "index").agg(rows.alias("_steps"), F.array_sort(F.collect_list(F.when(F.col("_skip"), F.col("a")))).alias("_skipped"))
-    met = shuffled(lists).join(paras, (F.col("_d") == F.col("_p")) & (F.col("index") == F.col("_i")))
-    done = met.withColumn("_new", _tagged(F.col("_xml"), F.col("_steps"), F.col("_in_cell")))
-    edits = done.filter(F.exists("_new.done", lambda x: x)).select(F.col("_d").alias(doc), F.col("index").alias("nr"), F.col("xml_start").alias("start"), F.col("xml_end").alias("end"), F.col("_new.xml").alias("text"))
-    out = apply_edits(docs, edits, doc, xml).drop("lost_edits")  # paragraphs of tags do not overlap but where one holds the other
-    outcome = done.select("_d", "index", F.explode(F.zip_with("_steps", "_new.done", lambda s, d: F.struct(F.array_compact(F.array(s["a"], s["b"])).alias("tags"), F.when(d, "applied").otherwise("no_place").alias("s")))).alias("o"))
-    put = outcome.select("_d", "index", F.explode("o.tags").alias("tag"), F.col("o.s").alias("status")).unionByName(done.select("_d", "index", F.explode("_skipped").alias("tag"), F.lit("paragraph_changed").alias("status")))
-    rest = marked.filter("status is not null").select("_d", "index", "tag", "status")
-    report = put.unionByName(rest).select(F.col("_d").alias(doc), "tag", "index", "status")
+    match = F.struct("tag", F.col("index").cast("int").alias("index"), points.alias("point"), F.col("ord").cast("int").alias("ord"))
+    lists = matches.groupBy(F.col(doc).alias("_d")).agg(F.collect_list(match).alias("_asked"))
+    met = shuffled(docs.withColumn("_here", F.lit(True))).join(lists, F.col(doc) == F.col("_d"), "full")
+    read = met.withColumn("_turns", _turns(F.col(xml), distinct_tags(F.col(xml)), F.col("_asked"), several))
+    done = read.withColumn("_new", F.transform("_turns.places", lambda p: _tagged(p["xml"], p["steps"], p["in_cell"])))
+    behind = F.zip_with(F.transform("_new", lambda n: n["xml"]), F.slice("_turns.gaps", F.lit(2), F.size("_new")), lambda n, g: F.concat(n, g))
+    joined = F.concat(F.get("_turns.gaps", F.lit(0)), F.array_join(behind, ""))
+    # Where a place holds another the outer one counts, if it has taken a tag.
+    edits = F.filter(F.zip_with("_turns.places", "_new", lambda p, n: F.when(F.exists(n["done"], lambda x: x), F.struct(p["index"].alias("nr"), p["start"].alias("start"), p["end"].alias("end"), n["xml"].alias("text")))), lambda e: e.isNotNull())
+    nested = F.col("_turns.nested")
+    put = F.when(nested, spliced(F.when(nested, F.col(xml)), F.when(nested, edits))["text"]).when(F.col("_asked").isNotNull() & F.col(xml).isNotNull(), joined).otherwise(F.col(xml))
+    out = done.filter("_here").select(*[put.alias(c) if c == xml else F.col(c) for c in docs.columns])
+    status = lambda p, n: F.zip_with(p["steps"], n["done"], lambda s, d: F.transform(F.array_compact(F.array(s["a"], s["b"])), lambda t: F.struct(t.alias("tag"), p["index"].alias("index"), F.when(d, "applied").otherwise("no_place").alias("status"))))
+    rows = F.concat(F.flatten(F.flatten(F.zip_with("_turns.places", "_new", status))), "_turns.told")
+    report = done.filter("_asked is not null").select(F.col("_d").alias(doc), F.explode(rows).alias("_r")).select(doc, "_r.*")
     return out, report

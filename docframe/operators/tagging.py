@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,52 +14,61 @@ from docframe.session import small
 _LAST_TEXT = r"(?s)^(.*<w:t(?: [^>]*)?>)([^<]*)(</w:t>.*)$"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value being evaluated once however often it is used, inside of lambdas too."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _full(tag: Column) -> Column:
     return F.concat(F.lit("{{"), tag, F.lit("}}"))
 
 
-def _on_last_text(xml: Column, new: Column) -> Column:
-    """The last text element of a paragraph with new text; null without one."""
-    head, tail = F.regexp_extract(xml, _LAST_TEXT, 1), F.regexp_extract(xml, _LAST_TEXT, 3)
-    return F.when(xml.rlike(_LAST_TEXT), F.concat(head, new, tail))
+def _parts(xml: Column) -> Column:
+    """What stands before the last text of a paragraph, the text, and what stands behind it; all empty without one."""
+    return F.struct(*[F.regexp_extract(xml, _LAST_TEXT, i).alias(c) for i, c in enumerate(("head", "text", "tail"), 1)])
 
 
-def _last(xml: Column) -> Column:
-    return F.regexp_extract(xml, _LAST_TEXT, 2)
+def _put(parts: Column, new: Column) -> Column:
+    """The paragraph with a new last text; null without one."""
+    return F.when(parts["head"] != "", F.concat(parts["head"], new, parts["tail"]))
 
 
-def after_colon(xml: Column, tag: Column) -> Column:
-    text = _last(xml)
+def _after_colon(parts: Column, tag: Column) -> Column:
+    text = parts["text"]
     at = F.length(text) - F.position(F.lit(":"), F.reverse(text)) + 1
     new = F.concat(F.substring(text, F.lit(1), at), F.lit(" "), _full(tag), F.substring(text, at + 1, F.length(text)))
-    return F.when(text.contains(":"), _on_last_text(xml, new))
+    return F.when(text.contains(":"), _put(parts, new))
 
 
-def into_empty(xml: Column, tag: Column) -> Column:
+def _into_empty(xml: Column, parts: Column, tag: Column) -> Column:
     """A run for a paragraph of less than ten characters, in place of its text."""
     run = F.concat(F.lit("<w:r><w:t>"), _full(tag), F.lit("</w:t></w:r>"))
     bare = F.when(xml.rlike("</w:p>$"), F.concat(F.regexp_replace(xml, "</w:p>$", ""), run, F.lit("</w:p>")))
-    return F.when(F.length(trim_all(X.xml_text(xml))) < 10, F.coalesce(_on_last_text(xml, _full(tag)), bare))
+    return F.when(F.length(trim_all(X.xml_text(xml))) < 10, F.coalesce(_put(parts, _full(tag)), bare))
 
 
-def inline(xml: Column, tag: Column) -> Column:
-    return _on_last_text(xml, F.concat(_last(xml), F.lit(" "), _full(tag)))
+def _inline(parts: Column, tag: Column) -> Column:
+    return _put(parts, F.concat(parts["text"], F.lit(" "), _full(tag)))
 
 
-def into_cell(xml: Column, tag: Column) -> Column:
+def _into_cell(xml: Column, parts: Column, tag: Column) -> Column:
     """Before a percent sign, in place of next to nothing, after a colon, in place of signs without a word, else at the end."""
-    text = X.xml_text(xml)
-    t = trim_all(text)
-    percent = _on_last_text(xml, F.replace(_last(xml), F.lit("%"), F.concat(_full(tag), F.lit(" %"))))
-    short = (F.length(t) < 3) | ((F.length(t) < 10) & ~t.rlike("[A-Za-zÀ-ÿ]{3}"))
-    return F.when(_last(xml).contains("%"), percent).when(t.endswith(":"), after_colon(xml, tag)).when(short, into_empty(xml, tag)).otherwise(inline(xml, tag))
+    last = parts["text"]
+    percent = _put(parts, F.replace(last, F.lit("%"), F.concat(_full(tag), F.lit(" %"))))
+    short = lambda t: (F.length(t) < 3) | ((F.length(t) < 10) & ~t.rlike("[A-Za-zÀ-ÿ]{3}"))
+    by_text = once(trim_all(X.xml_text(xml)), lambda t: F.when(t.endswith(":"), _after_colon(parts, tag)).when(short(t), _into_empty(xml, parts, tag)).otherwise(_inline(parts, tag)))
+    return F.when(last.contains("%"), percent).otherwise(by_text)
 
 
 def insert_tag(xml: Column, tag: Column, point: Column, in_cell: Column) -> Column:
     """The paragraph with its tag; null if no strategy places it."""
-    asked = F.when(point == "after_colon", after_colon(xml, tag)).when(point == "replace_empty", into_empty(xml, tag)).when(point == "table_cell", into_cell(xml, tag)).when(point.isin("inline", "checkbox"), inline(xml, tag))
-    tries = [F.when(in_cell, into_cell(xml, tag)), asked, into_cell(xml, tag), after_colon(xml, tag), into_empty(xml, tag), inline(xml, tag)]
-    return F.coalesce(*[F.when(t.contains(_full(tag)), t) for t in tries])
+
+    def tried(parts: Column) -> Column:
+        cell, colon, empty, end = _into_cell(xml, parts, tag), _after_colon(parts, tag), _into_empty(xml, parts, tag), _inline(parts, tag)
+        asked = F.when(point == "after_colon", colon).when(point == "replace_empty", empty).when(point == "table_cell", cell).when(point.isin("inline", "checkbox"), end)
+        return F.coalesce(*[once(t, lambda new: F.when(new.contains(_full(tag)), new)) for t in (F.when(in_cell, cell), asked, cell, colon, empty, end)])
+
+    return once(_parts(xml), tried)
 
 
 def date_pair(text: Column, start: Column, end: Column) -> Column:
@@ -74,15 +85,17 @@ _OPEN = r"<w:t(?: [^>]*)?>"
 def date_pair_xml(xml: Column, start: Column, end: Column) -> Column:
     """A paragraph with the tags of a period: in place of the dots of "du .... au ....", in one text element or over several; behind
     du and au where nothing stands between them; else at the end of the text. Null if there is no text to take them."""
-    text = X.xml_text(xml)
     a, b = (F.replace(_full(t), F.lit("$"), F.lit("\\$")) for t in (start, end))
     whole = F.regexp_replace(xml, F.lit(rf"(?iU)({_OPEN}[^<]*)(du\s*){_DOTS}(\s*au\s*){_DOTS}"), F.concat(F.lit("$1$2"), a, F.lit("$3"), b))
     bare = F.regexp_replace(xml, F.lit(rf"(?iU)({_OPEN}[^<]*du\s+)(au\s*)"), F.concat(F.lit("$1"), a, F.lit(" $2"), b))
-    changed = lambda new: F.when(new != xml, new)
-    behind = F.when(text.rlike(r"(?iU)du\s+au"), changed(bare))
-    return F.when(text.rlike(rf"(?iU)du\s*{_DOTS}\s*au\s*{_DOTS}"), F.coalesce(changed(whole), changed(_over_runs(xml, a, b)))).otherwise(
-        F.coalesce(behind, inline(xml, F.concat(start, F.lit("}} au {{"), end)))
-    )
+    changed = lambda c: once(c, lambda new: F.when(new != xml, new))
+    at_end = once(_parts(xml), lambda parts: _inline(parts, F.concat(start, F.lit("}} au {{"), end)))
+
+    def by_text(text: Column) -> Column:
+        behind = F.when(text.rlike(r"(?iU)du\s+au"), changed(bare))
+        return F.when(text.rlike(rf"(?iU)du\s*{_DOTS}\s*au\s*{_DOTS}"), F.coalesce(changed(whole), changed(_over_runs(xml, a, b)))).otherwise(F.coalesce(behind, at_end))
+
+    return once(X.xml_text(xml), by_text)
 
 
 def _over_runs(xml: Column, a: Column, b: Column) -> Column:

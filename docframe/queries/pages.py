@@ -19,6 +19,7 @@ from docframe.operators.extract import extract
 from docframe.plans import agent, pages
 from docframe.queries.layout import _BOX_SQL, _FIRST_SQL, _TEXT_SQL, boxes
 from docframe.queries.registry import Tables, query
+from docframe.session import materialize
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in STOP_FIELD) + "]"
 _WORDS = f"list_filter(string_split(regexp_replace(lower({{0}}), '[^a-zà-ÿ]+', ' ', 'g'), ' '), lambda w: length(w) >= 3 and not list_contains({_STOP}, w))"
@@ -200,9 +201,11 @@ def _tag_matches(t: Tables) -> tuple[DataFrame, DataFrame]:
     paragraph's tag is asked for a second time and so is one of a paragraph that is not there."""
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     grouped = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(item)).alias("i"))
-    text = lambda x, i: F.concat(F.lit("<w:p><w:r><w:t>Line "), i.cast("string"), F.when(x["l_partkey"] % 3 == 0, " du .... au ....").otherwise(" :"), F.lit("</w:t></w:r></w:p>"))
+    # Documents and matches are made of the same items: these are sorted and written once.
+    grouped = materialize(grouped.select("doc_id", F.transform("i", lambda x: x["l_partkey"]).alias("i")), "tag-items")
+    text = lambda k, i: F.concat(F.lit("<w:p><w:r><w:t>Line "), i.cast("string"), F.when(k % 3 == 0, " du .... au ....").otherwise(" :"), F.lit("</w:t></w:r></w:p>"))
     docs = grouped.select("doc_id", F.concat(F.lit("<w:body>"), F.array_join(F.transform("i", text), ""), F.lit("</w:body>")).alias("xml"))
-    rows = grouped.select("doc_id", F.posexplode("i").alias("index", "x")).select("doc_id", "index", F.col("x.l_partkey").alias("k"))
+    rows = grouped.select("doc_id", F.posexplode("i").alias("index", "k"))
     name = F.col("index").cast("string")
     point = lambda p: F.lit(p).alias("insertion_point")
     period = rows.filter("k % 3 = 0").select("doc_id", "index", F.explode(F.array(F.concat(F.lit("P"), name, F.lit("_DEBUT")), F.concat(F.lit("P"), name, F.lit("_FIN")))).alias("tag"), F.lit(5).alias("ord"), point("after_colon"))
