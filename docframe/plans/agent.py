@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from docframe.functions.text import insertion_point, keyword_score, keywords
 from docframe.operators.matching import by_position, duplicate_places, greedy_assignment, keyword_candidates, satisfaction, split_cells
@@ -203,7 +203,14 @@ def section_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, fallback:
     tags, places: as semantic_matcher takes them, with section; matches: doc_id, section, tag, place, confidence, insertion_point, mode;
     log: doc_id, section, round, asked, placed. Tags and places are read once, into a row a section; a round reads the sections that
     the one before left over, and the fallback those that the answer leaves to it."""
-    state = _sections(tags, places)
+    return section_rounds(_sections(tags, places), matcher, fallback, max_rounds)
+
+
+def section_rounds(sections: DataFrame, matcher: Matcher, fallback: Matcher = semantic_matcher, max_rounds: int = MAX_ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """section_loop over sections that are rows already: doc, part (the section, not null), tags and spots, arrays of the rows of tags and places
+    without doc_id and section."""
+    place = next(f.dataType for f in sections.schema["spots"].dataType.elementType if f.name == "place")
+    state = materialize(sections.filter("size(tags) > 0").select("doc", "part", "tags", "spots", F.array().cast(ArrayType(place)).alias("gone")), "sections")
     done, logs = [], []
     for n in range(1, max_rounds + 1):
         rows = state.count()
@@ -224,13 +231,11 @@ def section_loop(tags: DataFrame, places: DataFrame, matcher: Matcher, fallback:
 
 
 def _sections(tags: DataFrame, places: DataFrame) -> DataFrame:
-    """doc, part, tags, spots, gone: a row a section that has tags, with its tags, its free places, and the places that are taken."""
     part = F.coalesce("section", F.lit("")).alias("part")
     rows = lambda df: F.struct(*[c for c in df.columns if c not in ("doc_id", "section")])
     sides = [df.select(F.col("doc_id").alias("doc"), part, rows(df).alias(name)) for df, name in ((tags, "tag"), (places, "spot"))]
     both = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    met = both.groupBy("doc", "part").agg(F.collect_list("tag").alias("tags"), F.collect_list("spot").alias("spots")).filter("size(tags) > 0")
-    return materialize(met.withColumn("gone", F.array().cast(f"array<{dict(places.dtypes)['place']}>")), "sections")
+    return both.groupBy("doc", "part").agg(F.collect_list("tag").alias("tags"), F.collect_list("spot").alias("spots"))
 
 
 def _each(sections: DataFrame, column: str) -> DataFrame:
@@ -263,50 +268,51 @@ def _settle(tags: list[tuple], spots: set, gone: set, answers: list[tuple]) -> t
 
 
 def _settled(sections: DataFrame, answer: DataFrame, rows: int, name: str) -> DataFrame:
-    """Sections after an answer: tags and spots hold what is left, nothing where all tags have places; won: the matches; answered: whether the
-    answer names a tag and a place of the section; asked and placed: numbers of tags. A section's answers meet it in one shuffle."""
+    """Sections after an answer: tags and spots hold what is left, nothing where all tags have places; gone: the places that are taken; won:
+    the matches; answered: whether the answer names a tag and a place of the section; asked and placed: numbers of tags. A section's
+    answers meet it in one shuffle; sections without any stay as they are."""
     ship_package(sections.sparkSession)
-    given = answer.filter("tag is not null and place is not null").select(F.col("doc_id.doc_id").alias("doc"), F.col("doc_id.section").alias("part"), F.struct("tag", "place", "confidence", "insertion_point").alias("a"))
+    match = F.struct("tag", "place", "confidence", "insertion_point")
+    given = answer.filter("tag is not null and place is not null").select(F.col("doc_id.doc_id").alias("doc"), F.col("doc_id.section").alias("part"), match.alias("a"))
     # Partitions are bounded by rows, for a section takes few bytes but holds several rows.
-    lists = dealt(given, 3 * rows, "doc", "part").groupBy("doc", "part").agg(F.collect_list("a").alias("won"))
-    met = shuffled(dealt(sections, 3 * rows, "doc", "part")).join(lists, ["doc", "part"], "left")
-    met = met.withColumn("won", F.coalesce("won", F.array().cast(lists.schema["won"].dataType))).select("doc", "part", "tags", "spots", "gone", "won")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = {c: batch.column(c) for c in ("tags", "spots", "gone", "won")}
-            ends = {c: x.offsets.to_pylist() for c, x in lists.items()}
-            inner = {c: x.values for c, x in lists.items()}
-            field = lambda c, f: inner[c].field(f).to_pylist()  # noqa: B023, E731
-            names, orders, places, used = field("tags", "tag"), field("tags", "ord"), field("spots", "place"), inner["gone"].to_pylist()
-            answers = [*zip(*(field("won", f) for f in ("tag", "place", "confidence", "insertion_point")), strict=True)]
-            keep: dict[str, list] = {c: [] for c in lists}
-            sizes: dict[str, list] = {c: [0] for c in lists}
-            flags: list[tuple] = []
-            for i in range(batch.num_rows):
-                t, p, g, a = (range(e[i], e[i + 1]) for e in ends.values())
-                asked, how = len(t), (False, {})
-                if a:
-                    how = _settle([(names[k], orders[k]) for k in t], {places[k] for k in p}, {used[k] for k in g}, answers[a.start : a.stop])
-                won = [a.start + k for k in how[1].values()]
-                keep["won"] += won
-                left = [k for k in t if names[k] not in how[1]] if won else t
-                if left:
-                    taken = {answers[k][1] for k in won}
-                    keep["tags"] += left
-                    keep["spots"] += [k for k in p if places[k] not in taken] if taken else p
-                    keep["gone"] += [*(used[k] for k in g), *taken]
-                for c in lists:
-                    sizes[c].append(len(keep[c]))
-                flags.append((how[0], asked, len(won)))
-            out = [batch.column("doc"), batch.column("part")]
-            for c, x in lists.items():
-                values = pa.array(keep[c], inner[c].type) if c == "gone" else inner[c].take(pa.array(keep[c], pa.int64()))
-                out.append(pa.ListArray.from_arrays(pa.array(sizes[c], pa.int32()), values, type=x.type))
-            more = [pa.array(v, k) for v, k in zip(zip(*flags, strict=True), (pa.bool_(), pa.int64(), pa.int64()), strict=True)] if flags else [pa.array([], k) for k in (pa.bool_(), pa.int64(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*out, *more], names=[*batch.schema.names, "answered", "asked", "placed"])
-
-    return materialize(met.mapInArrow(run, StructType([*met.schema.fields, *StructType.fromDDL("answered boolean, asked long, placed long").fields])), name)
+    lists = dealt(given, 3 * rows, "doc", "part").groupBy("doc", "part").agg(F.collect_list("a").alias("_given"))
+    met = shuffled(dealt(sections.select("doc", "part", "tags", "spots", "gone"), 3 * rows, "doc", "part")).join(lists, ["doc", "part"], "left")
+    asked = F.col("_given").isNotNull()
+    inner = {(c, f): F.when(asked, F.transform(c, lambda x: x[f])) for c, f in (("tags", "tag"), ("tags", "ord"), ("spots", "place"))}  # noqa: B023
+    met = met.withColumn("_how", _chosen(*inner.values(), F.when(asked, F.col("gone")), F.col("_given"), met.schema["gone"].dataType))
+    at = lambda c, nths: F.transform(nths, lambda i: F.get(c, i))
+    left = {c: F.when(asked, at(F.col(c), F.col("_how")[c])).otherwise(F.col(c)).alias(c) for c in ("tags", "spots")}
+    gone = F.when(asked, F.concat("gone", F.col("_how.taken"))).otherwise(F.col("gone"))
+    won = F.coalesce(at(F.col("_given"), F.col("_how.won")), F.array().cast(met.schema["_given"].dataType))
+    sums = [F.coalesce("_how.answered", F.lit(False)).alias("answered"), F.size("tags").cast("long").alias("asked"), F.when(asked, F.size("_how.won")).otherwise(0).cast("long").alias("placed")]
+    return materialize(met.select("doc", "part", *left.values(), gone.alias("gone"), won.alias("won"), *sums), name)
+
+
+def _chosen(names: Column, orders: Column, places: Column, gone: Column, given: Column, taken: ArrayType) -> Column:
+    """Struct(answered, tags, spots, taken, won) of _settle for each section: numbers of the tags that are left, of the places that are free
+    then (none where no tag is left) and of the answers that count, and the places they take. Null without answers."""
+    kind = StructType([StructField("answered", BooleanType()), *[StructField(c, ArrayType(IntegerType())) for c in ("tags", "spots", "won")], StructField("taken", taken)])
+
+    @F.arrow_udf(kind)
+    def run(names: pa.Array, orders: pa.Array, places: pa.Array, gone: pa.Array, given: pa.Array) -> pa.Array:
+        fields = [given.values.field(f).to_pylist() for f in ("tag", "place", "confidence", "insertion_point")]
+        answers, ends = [*zip(*fields, strict=True)], given.offsets.to_pylist()
+        out: dict[str, list] = {c: [] for c in ("answered", "tags", "spots", "won", "taken")}
+        for n, (t, o, p, g) in enumerate(zip(*(x.to_pylist() for x in (names, orders, places, gone)), strict=True)):
+            if t is None:
+                row = (None,) * 5
+            else:
+                mine = answers[ends[n] : ends[n + 1]]
+                answered, won = _settle([*zip(t, o, strict=True)], {*p}, {*g}, mine)
+                left = [i for i, tag in enumerate(t) if tag not in won]
+                took = {mine[i][1] for i in won.values()}
+                row = (answered, left, [i for i, x in enumerate(p) if x not in took] if left else [], [*won.values()], [*took])
+            for c, x in zip(out.values(), row, strict=True):
+                c.append(x)
+        kinds = [pa.bool_(), *[pa.list_(pa.int32())] * 3, gone.type]
+        return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=[*out])
+
+    return run(names, orders, places, gone, given)
 
 
 def unified_issues(matches: DataFrame, expected: DataFrame, max_missing: float = 0.3, paras: DataFrame | None = None, decisions: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
